@@ -63,7 +63,9 @@ def contains_social_security_number(c: Column) -> Column:
 def contains_credit_card_number(c: Column) -> Column:
     """Thirteen to nineteen digits in card spelling that pass the Luhn test."""
     candidates = F.regexp_extract_all(c.cast("string"), F.lit(CARD), F.lit(0))
-    return F.exists(candidates, lambda n: F.luhn_check(F.regexp_replace(n, "[ -]", "")))
+    return F.exists(
+        candidates, lambda n: F.call_function("luhn_check", F.regexp_replace(n, "[ -]", ""))
+    )
 
 
 def castable(c: Column, type_name: str) -> Column:
