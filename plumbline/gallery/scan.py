@@ -220,7 +220,7 @@ _R.check(
 )
 _DIGITS = r"regexp_replace(n, '[ -]', '', 'g')"
 _DOUBLED = (
-    f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), i -> CASE "
+    f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE "
     f"WHEN (length({_DIGITS}) - i) % 2 = 0 THEN {_DIGITS}[i]::INT "
     f"ELSE {_DIGITS}[i]::INT * 2 - CASE WHEN {_DIGITS}[i]::INT > 4 THEN 9 ELSE 0 END END))"
 )
@@ -233,7 +233,7 @@ _R.check(
         (
             share_of(
                 r"len(list_filter(regexp_extract_all(text, '\b\d(?:[ -]?\d){12,18}\b'), "
-                f"n -> {_DOUBLED} % 10 = 0)) > 0"
+                f"lambda n: {_DOUBLED} % 10 = 0)) > 0"
             ),
             "< 0.5",
         ),

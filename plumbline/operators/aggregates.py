@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, functions as F, types as T
@@ -177,13 +177,19 @@ def approx_quantile(col: str, q: float, accuracy: int = 10000) -> Metric:
     return _sketch("approx_quantile", (col,), expr, q, accuracy)
 
 
+def _kll(col: str, k: int, read: Callable[[Column], Column]) -> Column:
+    """What is read off the KLL sketch of a column; an empty sketch cannot be read."""
+    sketch = F.kll_sketch_agg_double(ref(col).cast("double"), F.lit(k))
+    return F.when(F.count(ref(col)) > 0, read(sketch))
+
+
 def kll_quantile(col: str, q: float, k: int = 800) -> Metric:
     """Quantile read off a KLL sketch; ``k`` sets its size and so its error."""
-    sketch = F.kll_sketch_agg_double(ref(col).cast("double"), F.lit(k))
-    return _sketch("kll", (col,), F.kll_sketch_get_quantile_double(sketch, F.lit(q)), q, k)
+    quantile = _kll(col, k, lambda s: F.kll_sketch_get_quantile_double(s, F.lit(q)))
+    return _sketch("kll", (col,), quantile, q, k)
 
 
 def kll_rank(col: str, value: float, k: int = 800) -> Metric:
     """Share of values at or below ``value``, read off a KLL sketch."""
-    sketch = F.kll_sketch_agg_double(ref(col).cast("double"), F.lit(k))
-    return _sketch("kll_rank", (col,), F.kll_sketch_get_rank_double(sketch, F.lit(value)), value, k)
+    rank = _kll(col, k, lambda s: F.kll_sketch_get_rank_double(s, F.lit(value)))
+    return _sketch("kll_rank", (col,), rank, value, k)

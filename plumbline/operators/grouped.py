@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.functions.columns import every, ref, some
-from plumbline.operators.metric import FRAME, GROUPS, Metric
+from plumbline.operators.metric import FRAME, GROUPS, Metric, RuleError
 
 N = "_n"
 
@@ -130,7 +130,7 @@ def histogram_values(
 
     def build(df: DataFrame, by: Sequence[str]) -> DataFrame:
         if by:
-            raise ValueError("a histogram is not evaluated per partition")
+            raise RuleError("a histogram is not evaluated per partition")
         bins = histogram(df, col, binning, max_bins)
         if value is None:
             return bins.agg(F.count(F.lit(1)).cast("double").alias("metric"))

@@ -15,14 +15,10 @@ from plumbline.functions.columns import is_numeric, is_string
 from plumbline.operators import aggregates as A
 from plumbline.operators import grouped as G
 from plumbline.operators import pairs as X
-from plumbline.operators.metric import FRAME, Metric
+from plumbline.operators.metric import FRAME, Metric, RuleError
 from plumbline.plans.rules import Rule
 
 
-class RuleError(ValueError):
-    """The rule cannot be run on this data set; becomes an ERROR result."""
-
-
 @dataclass(frozen=True)
 class Context:
     df: DataFrame
@@ -159,8 +155,8 @@ def _pattern(rule: Rule, ctx: Context) -> Metric:
 def _data_type(rule: Rule, ctx: Context) -> Metric:
     (col,) = _cols(rule, ctx, 1)
     name = _listed(rule, "a type")[0]
-    metric = A.data_type(col, name)
     try:
+        metric = A.data_type(col, name)
         ctx.df.select(metric.expr)
     except (AnalysisException, ParseException):
         raise RuleError(f"type {name!r} is not known for column {col!r}") from None

@@ -8,18 +8,21 @@ Only rule metadata is on the driver; metrics stay in the plan.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from plumbline.functions.assertions import Assertion, Custom
 from plumbline.functions.columns import ref
 from plumbline.operators import grouped as G
-from plumbline.operators.metric import FRAME, GROUPS, SCAN, SKETCH, Metric
-from plumbline.plans.catalogue import Constraint, Context, RuleError, compile_rule
+from plumbline.operators.metric import FRAME, GROUPS, SCAN, SKETCH, Metric, RuleError
+from plumbline.plans.catalogue import Constraint, Context, compile_rule
 from plumbline.plans.checks import Check
-from plumbline.plans.rules import Rule, explode_rules, parse_rules, rules_of
+from plumbline.plans.rules import Rule, explode_rules, one_row, parse_rules, rules_of
 
 # Below spark.sql.codegen.maxFields (100): a wider aggregate leaves generated code.
 CHUNK = 80
@@ -48,36 +51,68 @@ def to_rules(spark: SparkSession, rules, name: str) -> list[Rule]:
     return parse_rules(spark, {name: rules})
 
 
-def _item(c: Constraint, metric: Column, passed: Column, status: Column, message: Column) -> Column:
-    return F.struct(
-        F.lit(c.rule.ruleset_name).alias("ruleset_name"),
-        F.lit(c.rule.rule_no).alias("rule_no"),
-        F.lit(c.rule.rule_text).alias("rule_text"),
-        F.lit(c.rule.rule_type).alias("rule_type"),
-        metric.cast("double").alias("metric"),
-        F.coalesce(status, F.when(passed, "PASS").otherwise("FAIL")).alias("result"),
-        message.alias("message"),
-    )
+_RULE_ROWS = (
+    "array<struct<slot:int,rule_id:int,ruleset_name:string,rule_no:int,rule_text:string,"
+    "rule_type:string,status:string,message:string,op:string,lo:double,hi:double,"
+    "items:array<double>,demand:string>>"
+)
 
 
-def _judged(c: Constraint, metric: Column) -> Column:
-    """One result from a metric; a NULL or NaN metric meets no demand."""
-    passed = F.coalesce(c.demand.holds(metric) & ~F.isnan(metric), F.lit(False))
-    failure = F.concat(
-        F.lit("value "), metric.cast("string"), F.lit(f" does not meet: {c.demand.text}")
-    )
-    empty = F.lit("no value: the data set is empty or holds only NULL")
-    message = F.when(passed, "").when(metric.isNull(), empty).otherwise(failure)
-    return _item(c, metric, passed, F.lit(None).cast("string"), message)
-
+def _rule_row(rule_id: int, c: Constraint, slot: int | None) -> dict:
+    row = {
+        "slot": slot,
+        "rule_id": rule_id,
+        "ruleset_name": c.rule.ruleset_name,
+        "rule_no": c.rule.rule_no,
+        "rule_text": c.rule.rule_text,
+        "rule_type": c.rule.rule_type,
+        "status": c.status,
+        "message": c.message,
+    }
+    if c.status is None:
+        row["demand"] = c.demand.text
+        if isinstance(c.demand, Assertion):
+            row |= {"op": c.demand.op, "lo": c.demand.lo, "hi": c.demand.hi}
+            row["items"] = list(c.demand.values)
+    return row
 
-def _settled(c: Constraint) -> Column:
-    none = F.lit(None)
-    return _item(c, none, F.lit(False), F.lit(c.status), F.lit(c.message))
 
+def _judge(
+    frame: DataFrame, by: Sequence[str], metrics: list[str], rows: list[dict], custom: dict
+) -> DataFrame:
+    """Results of all rules on the metrics of one frame; a NULL or NaN metric meets nothing.
 
-def _results(frame: DataFrame, by: Sequence[str], items: list[Column]) -> DataFrame:
-    return frame.select(*map(ref, by), F.inline(F.array(*items)))
+    The rules are one literal, so the plan does not grow with their number.
+    """
+    by_cols = list(map(ref, by))
+    rules = F.from_json(F.lit(json.dumps(rows)), _RULE_ROWS)
+    values = F.array(*map(ref, metrics)) if metrics else F.lit(None).cast("array<double>")
+    judged = frame.select(*by_cols, values.alias("_metrics"), F.inline(rules))
+    metric = F.col("metric")
+    holds = F.expr(
+        """CASE op WHEN '=' THEN metric = lo WHEN '>' THEN metric > lo WHEN '<' THEN metric < lo
+        WHEN '>=' THEN metric >= lo WHEN '<=' THEN metric <= lo
+        WHEN 'between' THEN metric > lo AND metric < hi
+        WHEN 'in' THEN array_contains(items, metric) END"""
+    )
+    for rule_id, demand in custom.items():
+        holds = F.when(F.col("rule_id") == rule_id, demand.holds(metric)).otherwise(holds)
+    judged = judged.withColumn("metric", F.expr("try_element_at(_metrics, slot + 1)"))
+    judged = judged.withColumn("_met", F.coalesce(holds & ~F.isnan(metric), F.lit(False)))
+    return judged.select(
+        *by_cols,
+        "ruleset_name",
+        "rule_no",
+        "rule_text",
+        "rule_type",
+        "metric",
+        F.expr("coalesce(status, if(_met, 'PASS', 'FAIL')) AS result"),
+        F.expr(
+            """CASE WHEN status IS NOT NULL THEN message WHEN _met THEN ''
+            WHEN metric IS NULL THEN 'no value: the data set is empty or holds only NULL'
+            ELSE concat('value ', metric, ' does not meet: ', demand) END AS message"""
+        ),
+    )
 
 
 def _chunks(metrics: list[Metric]) -> list[list[Metric]]:
@@ -99,48 +134,70 @@ def evaluate_constraints(
     by_cols = list(map(ref, by))
 
     frames: list[tuple[DataFrame, list[Metric]]] = []
+    failed: dict[Metric, str] = {}
+
+    def plan(chunk: list[Metric], build: Callable[[list[Metric]], DataFrame]) -> None:
+        """Adds the chunk's plan, without the metrics that do not fit the data set."""
+        try:
+            frames.append((build(chunk), chunk))
+        except RuleError as error:
+            failed.update({m: str(error) for m in chunk})
+        except AnalysisException as error:
+            if len(chunk) == 1:
+                failed[chunk[0]] = f"does not fit the data set: {error.getCondition()}"
+                return
+            for m in chunk:
+                try:
+                    build([m])
+                except AnalysisException as single:
+                    failed[m] = f"does not fit the data set: {single.getCondition()}"
+            fitting = [m for m in chunk if m not in failed]
+            if len(fitting) == len(chunk):
+                raise
+            if fitting:
+                frames.append((build(fitting), fitting))
+
+    def named(chunk: list[Metric]) -> list[Column]:
+        return [m.expr.alias(alias[m]) for m in chunk]
+
+    def counted(chunk: list[Metric]) -> DataFrame:
+        sizes = G.group_sizes(df, chunk[0].keys, by)
+        return sizes.groupBy(*by_cols).agg(*named(chunk))
+
+    def framed(chunk: list[Metric]) -> DataFrame:
+        built = chunk[0].build(df, by)
+        return built.select(*by_cols, F.col("metric").alias(alias[chunk[0]]))
+
     for family in (SCAN, SKETCH):
         for chunk in _chunks([m for m in alias if m.family == family]):
-            exprs = [m.expr.alias(alias[m]) for m in chunk]
-            frames.append((df.groupBy(*by_cols).agg(*exprs), chunk))
-
+            plan(chunk, lambda ms: df.groupBy(*by_cols).agg(*named(ms)))
     key_sets: dict[tuple, list[Metric]] = {}
     for m in alias:
         if m.family == GROUPS:
             key_sets.setdefault(G.key_set(m), []).append(m)
     for chunk in key_sets.values():
-        sizes = G.group_sizes(df, chunk[0].keys, by)
-        exprs = [m.expr.alias(alias[m]) for m in chunk]
-        frames.append((sizes.groupBy(*by_cols).agg(*exprs), chunk))
-
-    failed: dict[Metric, str] = {}
+        plan(chunk, counted)
     for m in alias:
         if m.family == FRAME:
-            try:
-                frame = m.build(df, by).select(*by_cols, F.col("metric").alias(alias[m]))
-                frames.append((frame, [m]))
-            except RuleError as error:
-                failed[m] = str(error)
-
-    settled = [c for c in constraints if c.status]
-    settled += [
-        Constraint(c.rule, status="ERROR", message=failed[c.metric])
-        for c in constraints
+            plan([m], framed)
+
+    numbered = [
+        (i, Constraint(c.rule, status="ERROR", message=failed[c.metric]))
         if not c.status and c.metric in failed
+        else (i, c)
+        for i, c in enumerate(constraints)
     ]
     parts = []
     for frame, chunk in frames:
-        items = [
-            _judged(c, F.col(alias[c.metric]))
-            for c in constraints
-            if not c.status and c.metric in chunk
-        ]
-        parts.append(_results(frame, by, items))
+        slots = {m: i for i, m in enumerate(chunk)}
+        mine = [(i, c) for i, c in numbered if not c.status and c.metric in slots]
+        rows = [_rule_row(i, c, slots[c.metric]) for i, c in mine]
+        custom = {i: c.demand for i, c in mine if isinstance(c.demand, Custom)}
+        parts.append(_judge(frame, by, [alias[m] for m in chunk], rows, custom))
+    settled = [_rule_row(i, c, None) for i, c in numbered if c.status]
     if settled:
-        one = spark.range(1).select(
-            *[F.lit(None).cast(df.schema[b].dataType).alias(b) for b in by]
-        )
-        parts.append(_results(one, by, [_settled(c) for c in settled]))
+        none = [F.lit(None).cast(df.schema[b].dataType).alias(b) for b in by]
+        parts.append(_judge(one_row(spark).select(*none), by, [], settled, {}))
     if not parts:
         keys = "".join(f"`{b}` {df.schema[b].dataType.simpleString()}, " for b in by)
         return spark.createDataFrame([], keys + RESULT_SCHEMA)

@@ -165,13 +165,18 @@ class Rule:
 def rules_of(rules: DataFrame) -> list[Rule]:
     """Rules of the rulesets to be evaluated; metadata, one row per rule."""
     fields = [f for f in RULE_FIELDS if f != "column_name"]
-    rows = rules.select(*fields).orderBy("ruleset_name", "rule_no").collect()
+    rows = sorted(rules.select(*fields).collect(), key=lambda r: (r.ruleset_name, r.rule_no))
     return [
         Rule(**{k: tuple(v) if isinstance(v, list) else v for k, v in r.asDict().items()})
         for r in rows
     ]
 
 
+def one_row(spark: SparkSession) -> DataFrame:
+    """One row in one partition, for rows made of literals."""
+    return spark.range(0, 1, 1, 1)
+
+
 def rulesets_frame(
     spark: SparkSession, rulesets: Mapping[str, str | Iterable[str]]
 ) -> DataFrame:
@@ -180,7 +185,8 @@ def rulesets_frame(
         (name, text if isinstance(text, str) else ", \n".join(map(str.strip, text)))
         for name, text in rulesets.items()
     ]
-    return spark.createDataFrame(texts, "Name string, Ruleset string")
+    rows = [F.struct(F.lit(n).alias("Name"), F.lit(t).alias("Ruleset")) for n, t in texts]
+    return one_row(spark).select(F.inline(F.array(*rows)))
 
 
 def parse_rules(spark: SparkSession, rulesets: Mapping[str, str | Iterable[str]]) -> list[Rule]:

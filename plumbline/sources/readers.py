@@ -77,8 +77,9 @@ def tag_origin(
 ) -> DataFrame:
     """Adds ``table_name`` and ``partition_0..n`` taken from each row's file path.
 
-    ``table_part`` counts path parts from 0, a scheme taking three; negative counts from
-    the file name backwards. Partitions are the last folders before the file.
+    ``table_part`` counts the parts of the reported path from 0 (in ``s3a://lake/folder/t``
+    the table is part 4); negative counts from the file name backwards. Partitions are the
+    last folders before the file.
     """
     parts = _path_parts(F.col("_metadata.file_path") if file_path is None else file_path)
     position = F.lit(table_part + 1 if table_part >= 0 else table_part)
