@@ -21,7 +21,17 @@ STRING = (T.StringType, T.CharType, T.VarcharType)
 
 def ref(name: str) -> Column:
     """Top-level column by its exact name, whatever characters it holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(identifier(name))
+
+
+def identifier(name: str) -> str:
+    """A column name as it is written in an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A text as it is written in an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def share(predicate: Column) -> Column:

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 
 from pyspark.sql import Column, functions as F, types as T
 
-from plumbline.functions.columns import is_string, typed
+from plumbline.functions.columns import identifier, is_string, literal, ref, typed
 
 # Text shapes looked for by the contains* checks. One character before the
 # @ tells as much about there being an address as all of them, at linear cost.
@@ -75,23 +75,37 @@ def contains_credit_card_number(c: Column) -> Column:
     )
 
 
-def castable(c: Column, type_name: str) -> Column:
+# What any number or truth value has: looked at first, so that long texts are passed over
+# without being decoded. Numbers begin with one of + - . 0-9, which sort from '+' to '9'.
+_NUMBER_START = "{c} >= '+' AND {c} < ':'"
+_BOOLEAN_SIZE = "octet_length({c}) BETWEEN 4 AND 5"
+
+
+def shape_sql(c: str) -> dict[str, str]:
+    """Conditions on a text, as SQL: reads as an integer, a fraction, a truth value."""
+    number, size = _NUMBER_START.format(c=c), _BOOLEAN_SIZE.format(c=c)
+    return {
+        "integral": f"({number} AND {c} RLIKE {literal(INTEGRAL)})",
+        "fractional": f"({number} AND {c} RLIKE {literal(FRACTIONAL)})",
+        "boolean": f"({size} AND {c} RLIKE {literal(BOOLEAN)})",
+    }
+
+
+def castable(col: str, type_name: str) -> Column:
     """Whether a non-NULL value can be read as ``type_name``.
 
     Takes the profiler's kinds (Integral, Fractional, Numeric, Boolean, String) or any
     Spark type name.
     """
-    text = c.cast("string")
     kind = type_name.lower()
-    if kind == "integral":
-        return text.rlike(INTEGRAL)
+    shapes = shape_sql(f"CAST({identifier(col)} AS STRING)")
+    if kind in ("integral", "boolean"):
+        return F.expr(shapes[kind])
     if kind in ("fractional", "numeric"):
-        return text.rlike(INTEGRAL) | text.rlike(FRACTIONAL)
-    if kind == "boolean":
-        return text.rlike(BOOLEAN)
+        return F.expr(f"{shapes['integral']} OR {shapes['fractional']}")
     if kind == "string":
-        return c.isNotNull()
-    return c.try_cast(type_name).isNotNull()
+        return ref(col).isNotNull()
+    return ref(col).try_cast(type_name).isNotNull()
 
 
 def fresh(c: Column, dtype: T.DataType, max_age: timedelta, as_of: datetime) -> Column:

@@ -143,7 +143,7 @@ def greater_or_equal(a: str, b: str) -> Metric:
 def data_type(col: str, type_name: str) -> Metric:
     """Share of the non-NULL values that can be read as ``type_name``."""
     c = ref(col)
-    readable = F.try_divide(F.count_if(P.castable(c, type_name)), F.count(c))
+    readable = F.try_divide(F.count_if(P.castable(col, type_name)), F.count(c))
     return _scan("data_type", (col,), readable, type_name.lower())
 
 
@@ -178,9 +178,11 @@ def approx_quantile(col: str, q: float, accuracy: int = 10000) -> Metric:
 
 
 def _kll(col: str, k: int, read: Callable[[Column], Column]) -> Column:
-    """What is read off the KLL sketch of a column; an empty sketch cannot be read."""
-    sketch = F.kll_sketch_agg_double(ref(col).cast("double"), F.lit(k))
-    return F.when(F.count(ref(col)) > 0, read(sketch))
+    """What is read off the KLL sketch of a column, which passes over NULL and NaN; an empty
+    sketch cannot be read."""
+    c = ref(col).cast("double")
+    sketch = F.kll_sketch_agg_double(c, F.lit(k))
+    return F.when(F.count_if(c.isNotNull() & ~F.isnan(c)) > 0, read(sketch))
 
 
 def kll_quantile(col: str, q: float, k: int = 800) -> Metric:

@@ -12,32 +12,42 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from plumbline.functions import predicates as P
-from plumbline.functions.columns import is_flat, is_numeric, is_string, ref
+from plumbline.functions.columns import (
+    identifier,
+    is_flat,
+    is_numeric,
+    is_string,
+    literal,
+    ref,
+)
+from plumbline.functions.predicates import shape_sql
 
 RSD = 0.05
 LOW_CARDINALITY = 120
 QUANTILES = [i / 100 for i in range(1, 101)]
 KLL_K = 800
+# Numeric statistics and the aggregates they are.
+NUMBERS = {
+    "minimum": "min",
+    "maximum": "max",
+    "mean": "avg",
+    "sum": "sum",
+    "std_dev": "stddev_pop",
+}
 # Columns per aggregate: up to nine aggregates a column stay within generated code.
 COLUMNS_PER_PASS = 9
 
-_SUMMARY = "column_name string, data_type string, is_inferred boolean, rows bigint, cells bigint, boolean bigint, fractional bigint, integral bigint, minimum double, maximum double, mean double, sum double, std_dev double, approx_distinct bigint, approx_percentiles array<double>"
+_SUMMARY = (
+    "column_name string, data_type string, is_inferred boolean, rows bigint, cells bigint, "
+    "boolean bigint, fractional bigint, integral bigint, minimum double, maximum double, "
+    "mean double, sum double, std_dev double, approx_distinct bigint, "
+    "approx_percentiles array<double>"
+)
 
 
-def _numbers(c: Column) -> list[Column]:
-    return [
-        F.min(c).cast("double").alias("minimum"),
-        F.max(c).cast("double").alias("maximum"),
-        F.avg(c).cast("double").alias("mean"),
-        F.sum(c).cast("double").alias("sum"),
-        F.stddev_pop(c).alias("std_dev"),
-    ]
-
-
-def _no_numbers() -> list[Column]:
-    names = ("minimum", "maximum", "mean", "sum", "std_dev")
-    return [F.lit(None).cast("double").alias(n) for n in names]
+def _struct(parts: dict[str, str]) -> Column:
+    """One SQL expression per column of the table keeps building the plan cheap."""
+    return F.expr(f"struct({', '.join(f'{sql} AS {name}' for name, sql in parts.items())})")
 
 
 def _kind(dtype: T.DataType) -> str:
@@ -54,38 +64,42 @@ def _kind(dtype: T.DataType) -> str:
 
 
 def _plain(field: T.StructField) -> Column:
-    c = ref(field.name)
+    c = identifier(field.name)
+    parts = {
+        "column_name": literal(field.name),
+        "schema_type": literal(_kind(field.dataType)),
+        "rows": "count(1)",
+        "cells": f"count({c})",
+        "boolean": "CAST(NULL AS BIGINT)",
+        "fractional": "CAST(NULL AS BIGINT)",
+        "integral": "CAST(NULL AS BIGINT)",
+        **dict.fromkeys(NUMBERS, "CAST(NULL AS DOUBLE)"),
+    }
     if is_string(field.dataType):
-        shapes = [F.count_if(c.rlike(p)) for p in (P.BOOLEAN, P.FRACTIONAL, P.INTEGRAL)]
-    else:
-        shapes = [F.lit(None).cast("bigint")] * 3
-    numbers = _numbers(c) if is_numeric(field.dataType) else _no_numbers()
-    return F.struct(
-        F.lit(field.name).alias("column_name"),
-        F.lit(_kind(field.dataType)).alias("schema_type"),
-        F.count(F.lit(1)).alias("rows"),
-        F.count(c).alias("cells"),
-        *[s.alias(n) for s, n in zip(shapes, ("boolean", "fractional", "integral"))],
-        *numbers,
-    )
-
-
-def _quantiles(c: Column) -> Column:
-    sketch = F.kll_sketch_agg_double(c.cast("double"), F.lit(KLL_K))
-    ranks = F.array(*[F.lit(q) for q in QUANTILES])
-    return F.when(F.count(c) > 0, F.kll_sketch_get_quantile_double(sketch, ranks))
+        parts |= {name: f"count_if({test})" for name, test in shape_sql(c).items()}
+    if is_numeric(field.dataType):
+        parts |= {name: f"CAST({call}({c}) AS DOUBLE)" for name, call in NUMBERS.items()}
+    return _struct(parts)
 
 
 def _sketches(field: T.StructField, rsd: float) -> Column:
-    c = ref(field.name)
-    flat = is_flat(field.dataType)
-    distinct = F.approx_count_distinct(c, rsd) if flat else F.lit(None).cast("bigint")
-    quantiles = _quantiles(c) if is_numeric(field.dataType) else F.lit(None).cast("array<double>")
-    return F.struct(
-        F.lit(field.name).alias("column_name"),
-        distinct.alias("approx_distinct"),
-        quantiles.alias("approx_percentiles"),
-    )
+    c = identifier(field.name)
+    parts = {
+        "column_name": literal(field.name),
+        "approx_distinct": "CAST(NULL AS BIGINT)",
+        "approx_percentiles": "CAST(NULL AS ARRAY<DOUBLE>)",
+    }
+    if is_flat(field.dataType):
+        parts["approx_distinct"] = f"approx_count_distinct({c}, {rsd}D)"
+    if is_numeric(field.dataType):
+        sketch = f"kll_sketch_agg_double(CAST({c} AS DOUBLE), {KLL_K})"
+        ranks = f"array({', '.join(f'{q}D' for q in QUANTILES)})"
+        # Sketches pass over NULL and NaN, and an empty one cannot be read.
+        taken = f"{c} IS NOT NULL AND NOT isnan(CAST({c} AS DOUBLE))"
+        parts["approx_percentiles"] = (
+            f"CASE WHEN count_if({taken}) > 0 THEN kll_sketch_get_quantile_double({sketch}, {ranks}) END"
+        )
+    return _struct(parts)
 
 
 def _rows(df: DataFrame, structs: Sequence[Column], width: int) -> DataFrame:
@@ -135,9 +149,7 @@ def summary(df: DataFrame, rsd: float = RSD) -> DataFrame:
 def inferred_numbers(df: DataFrame, columns: Sequence[str], rsd: float = RSD) -> DataFrame:
     """Numeric statistics of string columns whose values all read as numbers."""
     numbers = df.select(*[ref(c).try_cast("double").alias(c) for c in columns])
-    return summary(numbers, rsd).select(
-        "column_name", "minimum", "maximum", "mean", "sum", "std_dev", "approx_percentiles"
-    )
+    return summary(numbers, rsd).select("column_name", *NUMBERS, "approx_percentiles")
 
 
 def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -186,7 +198,7 @@ def profile(
         r.column_name for r in rows if r.is_inferred and r.data_type in ("Integral", "Fractional")
     ]
     if numeric_texts:
-        names = ("minimum", "maximum", "mean", "sum", "std_dev", "approx_percentiles")
+        names = (*NUMBERS, "approx_percentiles")
         numbers = inferred_numbers(df, numeric_texts, rsd)
         numbers = numbers.withColumnsRenamed({n: f"_{n}" for n in names})
         first = (

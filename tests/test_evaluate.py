@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline import evaluate, evaluate_many
+from plumbline import evaluate, evaluate_many, profile
 from plumbline.plans import score as S
 
 GOLDEN = [
@@ -161,6 +161,10 @@ def test_nan_meets_no_demand(spark):
     df = spark.createDataFrame([(float("nan"),), (1.0,)], "x double")
     (row,) = evaluate(df, ['HasMax "x" > 0']).collect()
     assert row.result == "FAIL"
+    only = df.where("isnan(x)")
+    found = {r.rule_no: r.metric for r in evaluate(only, ['KllSketchSatisfies "x" "0.5" > 0', "HasSize = 1"]).collect()}
+    assert found == {0: None, 1: 1.0}
+    assert profile(only).first().approx_percentiles is None
 
 
 def test_list_values_with_blanks_commas_quotes_brackets(spark):
