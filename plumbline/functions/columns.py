@@ -65,6 +65,22 @@ def is_flat(dtype: T.DataType) -> bool:
     )
 
 
+# Bytes up to which a text is its own grouping key.
+LONG_TEXT = 64
+
+
+def compact_key(c: Column, dtype: T.DataType) -> Column:
+    """Grouping key that stands for the value: long texts give way to their SHA-256.
+
+    A digest is longer than the longest text kept, so it equals no such text; shuffles
+    then carry at most 68 bytes per text in place of whole documents. NULL stays NULL.
+    """
+    if not is_string(dtype):
+        return c
+    digest = F.concat(F.lit("sha:"), F.sha2(c, 256))
+    return F.when(F.octet_length(c) > LONG_TEXT, digest).otherwise(c)
+
+
 def typed(value: object, dtype: T.DataType) -> Column:
     """Literal in the type of the column it is compared with.
 

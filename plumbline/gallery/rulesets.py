@@ -281,6 +281,17 @@ _R.add(
 )
 
 
+_R.add(
+    "r12_check_results",
+    lambda spark, d: S.check_results(_mixed(spark, d)).select(
+        "check", "check_level", "check_status", "constraint_status"
+    ),
+    f"""SELECT 'mixed' AS "check", 'Error' AS check_level, 'Error' AS check_status,
+    CASE result WHEN 'PASS' THEN 'Success' ELSE 'Failure' END AS constraint_status
+    FROM {_MIXED_SQL} WHERE result <> 'SKIP'""",
+)
+
+
 @_R.query(
     "s12_flatten",
     f"""SELECT 'Rule_' || rule_no AS "Name", result AS "Result", rule_type AS kind, 'lineitem' AS table_name

@@ -8,9 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from plumbline.functions.columns import every, ref, some
+from plumbline.functions.columns import compact_key, every, ref, some
 from plumbline.operators.metric import FRAME, GROUPS, Metric, RuleError
 
 N = "_n"
@@ -51,9 +51,17 @@ def statistics(width: int) -> dict[str, Column]:
     }
 
 
-def grouped(statistic: str, cols: Sequence[str], binning: Column | None = None) -> Metric:
+def grouped(
+    statistic: str,
+    cols: Sequence[str],
+    dtypes: Sequence[T.DataType],
+    binning: Column | None = None,
+) -> Metric:
     """``binning`` replaces the single column by an expression of it."""
-    keys = (binning,) if binning is not None else tuple(ref(c) for c in cols)
+    if binning is not None:
+        keys = (binning,)
+    else:
+        keys = tuple(compact_key(ref(c), t) for c, t in zip(cols, dtypes))
     expr = statistics(len(keys))[statistic].cast("double")
     label = (str(binning),) if binning is not None else ()
     return Metric(GROUPS, (statistic, *cols, *label), tuple(cols), expr, keys=keys)
@@ -76,7 +84,8 @@ def mutual_information_frame(
     the rows of the table are never expanded.
     """
     both = df.where(ref(a).isNotNull() & ref(b).isNotNull())
-    pairs = group_sizes(both, [ref(a), ref(b)], by)
+    keys = [compact_key(ref(c), df.schema[c].dataType) for c in (a, b)]
+    pairs = group_sizes(both, keys, by)
     by_cols = list(map(ref, by))
     k0, k1 = F.col("_k0"), F.col("_k1")
     margins = pairs.groupingSets(

@@ -10,21 +10,36 @@ from __future__ import annotations
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from plumbline.functions.columns import every, ref
+from plumbline.functions.columns import compact_key, every, is_string, ref
 from plumbline.operators.grouped import key_names
 
 
+def _texts(
+    df: DataFrame, cols: Sequence[str], other: DataFrame, other_cols: Sequence[str]
+) -> list[bool]:
+    """Which column pairs are texts on both sides, and so may be compared by digest."""
+    return [
+        is_string(df.schema[a].dataType) and is_string(other.schema[b].dataType)
+        for a, b in zip(cols, other_cols)
+    ]
+
+
+def _key(c: Column, text: bool) -> Column:
+    return compact_key(c, T.StringType()) if text else c
+
+
 def referential_integrity(
     df: DataFrame, cols: Sequence[str], parent: DataFrame, parent_cols: Sequence[str]
 ) -> DataFrame:
     """``checked`` child rows with a complete key, those ``matched`` in the parent, ``metric``."""
     keys = key_names(len(cols))
+    texts = _texts(df, cols, parent, parent_cols)
 
     def side(frame: DataFrame, names: Sequence[str], rows: int, known: int) -> DataFrame:
         return (
-            frame.select(*[ref(c).alias(k) for c, k in zip(names, keys)])
+            frame.select(*[_key(ref(c), t).alias(k) for c, k, t in zip(names, keys, texts)])
             .where(every(F.col(k).isNotNull() for k in keys))
             .withColumns({"n": F.lit(rows).cast("long"), "known": F.lit(known)})
         )
@@ -78,9 +93,11 @@ def dataset_match(
     match = list(match) or [c for c in other.columns if c not in keys]
     cols = [*keys, *match]
 
+    texts = _texts(df, cols, other, cols)
+
     def side(frame: DataFrame, in_reference: int) -> DataFrame:
         return frame.select(
-            *map(ref, cols),
+            *[_key(ref(c), t).alias(c) for c, t in zip(cols, texts)],
             F.lit(in_reference).cast("long").alias("_r"),
             F.lit(1 - in_reference).cast("long").alias("_d"),
         )

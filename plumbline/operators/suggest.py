@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from plumbline.functions.columns import ref
+from plumbline.functions.columns import compact_key, ref
 from plumbline.operators import grouped as G
 from plumbline.operators.profile import RSD
 
@@ -166,7 +166,7 @@ def suggest_unique(df: DataFrame, profile: DataFrame, rsd: float = RSD) -> DataF
     names = [r.column_name for r in candidates.select("column_name").collect()]
     unique = G.statistics(1)["uniqueness"]
     parts = [
-        G.group_sizes(df, [ref(c)])
+        G.group_sizes(df, [compact_key(ref(c), df.schema[c].dataType)])
         .agg(unique.alias("uniqueness"))
         .select(F.lit(c).alias("column_name"), "uniqueness")
         for c in names

@@ -116,7 +116,8 @@ def _any(build):
 def _groups(statistic: str, n: int | None = None):
     def compile_(rule: Rule, ctx: Context) -> Metric:
         binning = rule.options.get("binning")
-        return G.grouped(statistic, _cols(rule, ctx, n), binning)
+        cols = _cols(rule, ctx, n)
+        return G.grouped(statistic, cols, [ctx.dtype(c) for c in cols], binning)
 
     return compile_
 

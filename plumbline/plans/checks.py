@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import replace
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline.plans.rules import Rule
 
@@ -234,6 +234,12 @@ class Check:
     def customSql(self, sql: str, assertion=None) -> Check:
         return self._add("CustomSql", (sql,), assertion)
 
+    def status(self, results: DataFrame) -> DataFrame:
+        """Overall status of this check: Success, or its level when a rule is not met."""
+        from plumbline.plans.score import check_status
+
+        return check_status(results.where(F.col("ruleset_name") == self.name), self.level)
+
     def run(self, df: DataFrame, **kwargs) -> DataFrame:
         from plumbline.plans.evaluate import evaluate
 

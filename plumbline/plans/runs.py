@@ -213,7 +213,11 @@ class DataQuality:
     # --- evaluate ----------------------------------------------------------------
 
     def start_data_quality_ruleset_evaluation_run(
-        self, DataSource: Mapping, RulesetNames: Iterable[str], **kwargs
+        self,
+        DataSource: Mapping,
+        RulesetNames: Iterable[str],
+        references: Mapping[str, DataFrame] | None = None,
+        as_of: datetime | None = None,
     ) -> dict:
         """Evaluates all rulesets in shared passes; one result record per ruleset."""
         names = list(RulesetNames)
@@ -225,7 +229,7 @@ class DataQuality:
             return self._finish(run, "NODATA", "Empty Dataframe")
         rules = rules_of(explode_rules(self.rulesets(names)))
         source = {k: v if isinstance(v, str) else json.dumps(v) for k, v in DataSource.items()}
-        results = evaluate(df, rules, **kwargs)
+        results = evaluate(df, rules, references=references, as_of=as_of)
         # One row per rule: judged once, then kept as local rows for the record.
         judged = self.spark.createDataFrame(results.collect(), results.schema)
         records = result_records(judged, run["RunId"], source, run["StartedOn"], _now())

@@ -64,6 +64,22 @@ def check_status(
     )
 
 
+def check_results(
+    results: DataFrame, level: str = "Error", by: Sequence[str] = RULESET
+) -> DataFrame:
+    """Results as constraints of checks, each beside the overall status of its check."""
+    overall = check_status(results, level, by).withColumnRenamed("status", "check_status")
+    outcome = F.when(F.col("result") == "PASS", "Success").otherwise("Failure")
+    return results.where("result <> 'SKIP'").join(overall, list(by)).select(
+        F.col(by[0]).alias("check"),
+        F.lit(level).alias("check_level"),
+        "check_status",
+        F.col("rule_text").alias("constraint"),
+        outcome.alias("constraint_status"),
+        F.col("message").alias("constraint_message"),
+    )
+
+
 def result_records(
     results: DataFrame,
     run_id: str,

@@ -47,6 +47,9 @@ def test_golden_example(golden):
     assert tally.tally == {"RULES": 6, "PASS": 4, "FAIL": 2}
     assert tally.score == pytest.approx(4 / 6)
     assert S.check_status(results).first().status == "Error"
+    constraints = S.check_results(results, "Warning").collect()
+    assert {(r.check_status, r.check_level) for r in constraints} == {("Warning", "Warning")}
+    assert sum(r.constraint_status == "Success" for r in constraints) == 4
     failing = {r.rule_no: r.message for r in S.failing(results).collect()}
     assert failing[1] == "value 1.0 does not meet: = 0"
     assert set(failing) == {1, 2}
@@ -249,6 +252,17 @@ def test_rules_that_do_not_fit_leave_the_others_alone(spark):
     assert found == ["PASS", "ERROR", "PASS", "PASS", "PASS"]
 
 
+def test_long_texts_group_like_short_ones(spark):
+    long = ["x" * n + tail for n in (63, 64, 65, 5000) for tail in ("", "a", "b")]
+    rows = [(t,) for t in (*long, *long[:5], "", None, "sha:" + "0" * 60)]
+    df = spark.createDataFrame(rows, "t string")
+    found = outcome(evaluate(df, ['HasUniqueness "t" > 0', 'HasNumberOfDistinctValues "t" > 0']))
+    values = [r[0] for r in rows if r[0] is not None]
+    assert found[("rules", 1)][0] == len(set(values))
+    single = sum(values.count(v) == 1 for v in set(values))
+    assert found[("rules", 0)][0] == pytest.approx(single / len(values))
+
+
 def test_hot_key_counts_are_whole(spark):
     """A third of the rows under one key, spread over many tasks."""
     df = spark.range(0, 90000, 1, 16).select(
