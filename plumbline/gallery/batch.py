@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from plumbline.gallery.common import Registry, table
 from plumbline.plans import batch as B
 from plumbline.scratch import scratch_path
-from plumbline.sources.records import append_record, latest_by_key
+from plumbline.sources.records import append_record, latest_by_key, read_records
 
 _R = Registry()
 QUERIES, ORACLES = _R.queries, _R.oracles
@@ -94,7 +94,7 @@ def _step_log(spark, d):
     """Steps appended to the log, then the newest step of every item."""
     path = scratch_path(spark, "steps")
     append_record(_steps(spark, d), path)
-    newest = latest_by_key(spark.read.parquet(path), ["batch_id", "object_id"], ["step_no"])
+    newest = latest_by_key(read_records(spark, path), ["batch_id", "object_id"], ["step_no"])
     return newest.select("batch_id", "object_id", "status", "step_no")
 
 

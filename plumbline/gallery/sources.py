@@ -160,7 +160,7 @@ def _append(spark, d):
     records.append_record(
         urgent.withColumn("o_orderstatus", F.lit("rushed")), path, datetime(2024, 1, 2)
     )
-    newest = records.latest_by_key(spark.read.parquet(path), ["o_orderkey"])
+    newest = records.latest_by_key(records.read_records(spark, path), ["o_orderkey"])
     return newest.select("o_orderkey", "o_orderstatus")
 
 

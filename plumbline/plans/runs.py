@@ -21,8 +21,8 @@ from plumbline.plans.batch import step_log
 from plumbline.plans.evaluate import NO_RESULTS, evaluate, with_defaults
 from plumbline.plans.rules import explode_rules, rules_of
 from plumbline.plans.score import flat_results, result_records, tally
-from plumbline.sources.readers import read_path, read_source
-from plumbline.sources.records import append_record, first_written, latest_by_key
+from plumbline.sources.readers import read_source
+from plumbline.sources.records import append_record, first_written, latest_by_key, read_records
 from plumbline.sources.sinks import write_results
 
 RUN_SCHEMA = (
@@ -37,6 +37,11 @@ RULESET_SCHEMA = (
 )
 
 
+# Fixed formats: how run ids begin, and the message of a run without data.
+RUN_PREFIX = {"profile": "dqprofile", "suggestion": "dqrecrun", "evaluation": "dqrun"}
+EMPTY = "Empty Dataframe"
+
+
 class NotFound(LookupError):
     """No record under that key."""
 
@@ -70,7 +75,7 @@ class DataQuality:
         return f"{self.store}/{table}"
 
     def _versions(self, table: str) -> DataFrame:
-        versions = read_path(self.spark, self._path(table))
+        versions = read_records(self.spark, self._path(table))
         if versions is None:
             raise NotFound(f"nothing recorded in {table!r}")
         return versions
@@ -90,12 +95,12 @@ class DataQuality:
         row = tuple(run.get(f) for f in fields)
         append_record(self.spark.createDataFrame([row], RUN_SCHEMA), self._path("runs"))
 
-    def _start(self, kind: str, prefix: str, **fields) -> dict:
+    def _start(self, kind: str, **fields) -> dict:
         started = _now()
         stamp = started.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
         run = {
             # Two runs may start in the same microsecond on different drivers.
-            "RunId": f"{prefix}-{stamp}-{self.job_name}-{uuid.uuid4().hex[:8]}",
+            "RunId": f"{RUN_PREFIX[kind]}-{stamp}-{self.job_name}-{uuid.uuid4().hex[:8]}",
             "Kind": kind,
             "Status": "RUNNING",
             "StartedOn": started,
@@ -158,10 +163,10 @@ class DataQuality:
     # --- profile, suggest, recommend ---------------------------------------------
 
     def start_data_quality_profile_run(self, DataSource: Mapping) -> dict:
-        run = self._start("profile", "dqprofile", DataSource=json.dumps(DataSource))
+        run = self._start("profile", DataSource=json.dumps(DataSource))
         df = read_source(self.spark, DataSource)
         if df is None:
-            return self._finish(run, "NODATA", "Empty Dataframe")
+            return self._finish(run, "NODATA", EMPTY)
         rows = profile(df).withColumn("RunId", F.lit(run["RunId"]))
         append_record(rows, self._path("profiles"))
         return self._finish(run, "SUCCEEDED")
@@ -178,14 +183,14 @@ class DataQuality:
         self, DataSource: Mapping, ProfileRunId: str | None = None
     ) -> dict:
         """Suggests from the profile of an earlier run if given, else from a new one."""
-        run = self._start("suggestion", "dqrecrun", DataSource=json.dumps(DataSource))
+        run = self._start("suggestion", DataSource=json.dumps(DataSource))
         if ProfileRunId is not None:
             profiled = self.get_data_quality_profile(ProfileRunId).get("ColumnProfiles")
         else:
             df = read_source(self.spark, DataSource)
             profiled = None if df is None else profile(df)
         if profiled is None:
-            return self._finish(run, "NODATA", "Empty Dataframe")
+            return self._finish(run, "NODATA", EMPTY)
         rows = suggest(profiled).withColumn("RunId", F.lit(run["RunId"]))
         append_record(rows, self._path("suggestions"))
         return self._finish(run, "SUCCEEDED")
@@ -222,11 +227,11 @@ class DataQuality:
         """Evaluates all rulesets in shared passes; one result record per ruleset."""
         names = list(RulesetNames)
         run = self._start(
-            "evaluation", "dqrun", DataSource=json.dumps(DataSource), RulesetNames=names
+            "evaluation", DataSource=json.dumps(DataSource), RulesetNames=names
         )
         df = read_source(self.spark, DataSource)
         if df is None:
-            return self._finish(run, "NODATA", "Empty Dataframe")
+            return self._finish(run, "NODATA", EMPTY)
         rules = rules_of(explode_rules(self.rulesets(names)))
         source = {k: v if isinstance(v, str) else json.dumps(v) for k, v in DataSource.items()}
         results = evaluate(df, rules, references=references, as_of=as_of)
@@ -275,9 +280,7 @@ class DataQuality:
                 status, message = "COMPLETED", ""
                 if ids:
                     records = self._versions("results").where(F.col("ResultId").isin(ids))
-                    flat = flat_results(records, table, exec_name)
-                    write_results(flat, results_path, batch_id)
-                    scores = records.select("ResultId", "Score").orderBy("ResultId").collect()
+                    scores = sorted(records.select("ResultId", "Score").collect())
                     message = "\n".join(f"Ruleset: {r.ResultId}, Score: {r.Score}" for r in scores)
                 else:
                     status, message = "WARNING", NO_RESULTS
@@ -296,6 +299,13 @@ class DataQuality:
 
         with ThreadPoolExecutor(max_workers=parallel) as pool:
             rows = list(pool.map(work, items))
+        done = {r["run_id"]: r["object_id"] for r in rows if r["status"] == "COMPLETED"}
+        if done:
+            table_of = F.create_map(*[F.lit(x) for pair in done.items() for x in pair])
+            run_id = F.col("RulesetEvaluationRunId")
+            records = self._versions("results").where(run_id.isin(list(done)))
+            flat = flat_results(records, table_of[run_id], exec_name)
+            write_results(flat, results_path, batch_id)
         steps = step_log(self.spark, rows)
         append_record(steps, self._path("steps"))
         return steps

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 STATUSES = ("PASS", "FAIL", "ERROR", "SKIP", "WARNING")
 RULESET = ("ruleset_name",)
@@ -127,16 +127,18 @@ def result_records(
     )
 
 
-def flat_results(records: DataFrame, table_name, exec_name: str = "") -> DataFrame:
+def flat_results(records: DataFrame, table_name: str | Column, exec_name: str = "") -> DataFrame:
     """Rule results of nested records as flat rows, one per rule."""
-    rule = records.select("ResultId", F.explode("RuleResults").alias("r"))
     table = F.lit(table_name) if isinstance(table_name, str) else table_name
+    rule = records.select(
+        "ResultId", table.alias("table_name"), F.explode("RuleResults").alias("r")
+    )
     return rule.select(
         "r.Name",
         "r.Result",
         F.col("r.Description").alias("dqdl_rule"),
         "r.EvaluationMessage",
         F.col("ResultId").alias("result_id"),
-        table.alias("table_name"),
+        "table_name",
         F.lit(exec_name).alias("sfn_exec_name"),
     )

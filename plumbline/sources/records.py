@@ -2,20 +2,34 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.functions.columns import ref
+from plumbline.sources.readers import read_path
 
 EXPIRY_DAYS = 32
+WRITE = "write_id"
 
 
 def append_record(record: DataFrame, path: str, written_at: datetime | None = None) -> None:
-    """Adds a version of one or more records; ``written_at`` is UTC, now by default."""
+    """Adds a version of one or more records; ``written_at`` is UTC, now by default.
+
+    Every write has a folder of its own: writers that share an output folder also share
+    its temporary files, and the first to finish would remove those of the others.
+    """
     stamp = F.current_timestamp() if written_at is None else F.lit(written_at.isoformat())
-    record.withColumn("written_at", stamp.cast("timestamp")).write.mode("append").parquet(path)
+    folder = f"{path}/{WRITE}=w-{uuid.uuid4().hex}"
+    record.withColumn("written_at", stamp.cast("timestamp")).write.parquet(folder)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame | None:
+    """All versions of all records; None when nothing has been written."""
+    versions = read_path(spark, path)
+    return None if versions is None else versions.drop(WRITE)
 
 
 def latest_by_key(

@@ -16,7 +16,10 @@ def result_partition(batch_id: str) -> str:
 
 
 def write_results(results: DataFrame, path: str, batch_id: str) -> None:
-    """Appends flat results (a few rows per rule) under their table and batch partition."""
+    """Appends flat results (a row per rule) under their table and batch partition.
+
+    One writer at a time: a batch writes the results of all its tables in one go.
+    """
     (
         results.withColumn("partition", F.lit(result_partition(batch_id)))
         .hint("rebalance")
@@ -38,7 +41,8 @@ def publish(
     append -- add the rows to what is there
     replace -- drop everything there, keep these rows only
     refresh -- drop everything there, keep the rows whose source folder matches the
-               pattern; ``df`` is the read of that source, partitions come from its folders
+               pattern; ``df`` is the read of that source (which lies outside of ``path``),
+               partitions come from its folders
     """
     if mode == "refresh":
         matching = df.where(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -97,7 +98,7 @@ def test_newest_version_counts(spark, tmp_path):
     schema = "Name string, n int"
     records.append_record(spark.createDataFrame([("a", 1), ("b", 1)], schema), path, datetime(2024, 1, 1))
     records.append_record(spark.createDataFrame([("a", 2)], schema), path, datetime(2024, 3, 1))
-    stored = spark.read.parquet(path)
+    stored = records.read_records(spark, path)
     newest = {r.Name: r.n for r in records.latest_by_key(stored, ["Name"]).collect()}
     assert newest == {"a": 2, "b": 1}
     written = {r.Name: (r.CreatedOn, r.LastModifiedOn) for r in records.first_written(stored, ["Name"]).collect()}
@@ -106,6 +107,15 @@ def test_newest_version_counts(spark, tmp_path):
     assert records.expire(stored, datetime(2024, 2, 1)).count() == 3
 
 
+def test_writers_at_the_same_time(spark, tmp_path):
+    path = str(tmp_path / "r")
+    one = lambda i: records.append_record(spark.createDataFrame([(str(i), i)], "Name string, n int"), path)
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(one, range(40)))
+    assert {r.n for r in records.read_records(spark, path).collect()} == set(range(40))
+    assert records.read_records(spark, str(tmp_path / "none")) is None
+
+
 def test_latest_view_keeps_every_row_of_the_newest_run(spark):
     rows = [("t", 1, "x"), ("t", 2, "y"), ("t", 2, "z"), (None, 1, "w"), ("u", 5, "v")]
     df = spark.createDataFrame(rows, "table_name string, run_ts int, x string")
