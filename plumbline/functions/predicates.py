@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F, types as T
 
@@ -109,12 +109,14 @@ def castable(col: str, type_name: str) -> Column:
 
 
 def fresh(c: Column, dtype: T.DataType, max_age: timedelta, as_of: datetime) -> Column:
-    """``as_of - c <= max_age``, compared in the column's own time type."""
+    """``as_of - c <= max_age``, compared in the column's own time type; times are UTC."""
+    if as_of.tzinfo is not None:
+        as_of = as_of.astimezone(timezone.utc).replace(tzinfo=None)
     oldest = F.lit((as_of - max_age).isoformat(sep=" "))
     if isinstance(dtype, T.DateType):
         return c >= F.to_date(oldest.cast("timestamp_ntz"))
     if isinstance(dtype, T.TimestampType):
-        return c >= oldest.cast("timestamp")
+        return c >= F.concat(oldest, F.lit("Z")).cast("timestamp")
     return c.cast("timestamp_ntz") >= oldest.cast("timestamp_ntz")
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
@@ -184,6 +183,14 @@ def _quantile(build):
     return compile_
 
 
+def _kll(rule: Rule, ctx: Context) -> Metric:
+    """A quantile, or with ``"rank"`` and a value the share of values up to it."""
+    if rule.columns[1:2] != ("rank",):
+        return _quantile(A.kll_quantile)(rule, ctx)
+    (col,) = _numeric(rule, ctx, 1)
+    return A.kll_rank(col, _number(rule, 2, "a value"), **rule.options)
+
+
 def _approx_distinct(rule: Rule, ctx: Context) -> Metric:
     (col,) = _cols(rule, ctx, 1)
     return A.approx_distinct(col, **rule.options)
@@ -201,7 +208,7 @@ def _freshness(rule: Rule, ctx: Context) -> Metric:
         max_age = timedelta(**{unit: rule.lo})
     as_of = rule.options.get("as_of") or ctx.as_of
     if as_of is None:
-        as_of = datetime.now(timezone.utc).replace(tzinfo=None)
+        as_of = datetime.now(timezone.utc)
     return A.freshness(col, ctx.dtype(col), max_age, as_of)
 
 
@@ -327,7 +334,7 @@ METRICS: dict[str, Callable[[Rule, Context], Metric]] = {
     "HasMaxLength": _lengths(A.max_length),
     "HasApproxCountDistinct": _approx_distinct,
     "HasApproxQuantile": _quantile(A.approx_quantile),
-    "KllSketchSatisfies": _quantile(A.kll_quantile),
+    "KllSketchSatisfies": _kll,
     "IsComplete": _completeness,
     "HasCompleteness": _completeness,
     "AreComplete": _any(A.all_complete),

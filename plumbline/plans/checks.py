@@ -72,9 +72,15 @@ class Check:
         return self._add("HasApproxQuantile", columns, assertion, options={"accuracy": accuracy})
 
     def kllSketchSatisfies(
-        self, column: str, assertion, quantile: float = 0.5, k: int = 800
+        self,
+        column: str,
+        assertion,
+        quantile: float = 0.5,
+        k: int = 800,
+        rank_of: float | None = None,
     ) -> Check:
-        columns = (column, str(quantile))
+        """Asserts a quantile, or with ``rank_of`` the share of values up to that one."""
+        columns = (column, str(quantile)) if rank_of is None else (column, "rank", str(rank_of))
         return self._add("KllSketchSatisfies", columns, assertion, options={"k": k})
 
     def isComplete(self, column: str) -> Check:

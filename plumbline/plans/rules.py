@@ -15,9 +15,10 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.functions.assertions import NUMBER
+from plumbline.functions.columns import identifier, literal
 
 RULE_FIELDS = (
     "ruleset_name",
@@ -43,100 +44,91 @@ _SEPARATOR = r",\s*(?=[A-Z]\w*(?:[\s,]|$))(?![^\[]*\])"
 _COMPARISON = rf"^(!=|>=|<=|=|>|<)\s*({NUMBER})\s*(\w*)$"
 _TEXT_TEST = rf"^(!=|=|matches)\s*({_QUOTED})$"
 _BETWEEN = rf"^between\s+({NUMBER})\s+and\s+({NUMBER})$"
-_THRESHOLD = r"(?s)\s*with threshold\s+(.*)$"
+_HEAD = rf"(?s)^(\w+)((?:\s+{_QUOTED})*)\s*(.*)$"
+_MARGIN = r"^\s+|\s+$"
+_LIST = r"(?s)^in\s*\[(.*)\]$"
+_ITEM = rf'{_QUOTED}|[^",\s][^",]*'
+_THRESHOLD = r"\s*with threshold\s+([^\"]*)$"
+_OUTER_QUOTES = '^"|"$'
 
 
-def _split_rules(text: Column) -> Column:
+def _split_rules(text: str) -> str:
     """Break at separators outside of quotes: only the even pieces of a split on quotes."""
-    pieces = F.transform(
-        F.split(text, '"'),
-        lambda piece, i: F.when(
-            i % 2 == 0, F.regexp_replace(piece, _SEPARATOR, _BREAK)
-        ).otherwise(piece),
-    )
-    return F.split(F.array_join(pieces, '"'), _BREAK)
+    return f"""split(array_join(transform(split({text}, '"'), (piece, i) ->
+        CASE WHEN i % 2 = 0 THEN regexp_replace(piece, {literal(_SEPARATOR)}, {literal(_BREAK)})
+        ELSE piece END), '"'), {literal(_BREAK)})"""
 
 
-def _unquote(text: Column) -> Column:
-    inner = F.regexp_replace(text, r'^"|"$', "")
-    return F.when(text.startswith('"'), F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(
-        F.trim(text)
-    )
+def _unquote(item: str) -> str:
+    inner = f"regexp_replace({item}, {literal(_OUTER_QUOTES)}, '')"
+    return f"""CASE WHEN startswith({item}, '"') THEN replace({inner}, '""', '"')
+        ELSE trim({item}) END"""
+
 
+def _items(text: str, pattern: str) -> str:
+    found = f"regexp_extract_all({text}, {literal(pattern)}, 0)"
+    return f"transform({found}, item -> {_unquote('item')})"
 
-def _group(text: Column, pattern: str, n: int) -> Column:
+
+def _group(text: str, pattern: str, n: int) -> str:
     """Regex group, NULL when there is no match."""
-    found = F.regexp_extract(text, pattern, n)
-    return F.when(found != "", found)
+    return f"nullif(regexp_extract({text}, {literal(pattern)}, {n}), '')"
 
 
 def explode_rules(rulesets: DataFrame, name: str = "Name", text: str = "Ruleset") -> DataFrame:
     """One row per rule of a table of rulesets, with the rule split into its parts."""
-    rules = rulesets.select(
-        F.col(name).alias("ruleset_name"),
-        F.posexplode(_split_rules(F.col(text))).alias("rule_no", "raw"),
-    )
-    trimmed = F.regexp_replace("raw", r"^\s+|\s+$", "")
-    rules = rules.select("ruleset_name", "rule_no", trimmed.alias("rule_text"))
-    rules = rules.where("rule_text <> ''")
-
-    head = rf"(?s)^(\w+)((?:\s+{_QUOTED})*)\s*(.*)$"
-    rules = rules.select(
-        "*",
-        F.regexp_extract("rule_text", head, 1).alias("rule_type"),
-        F.transform(
-            F.regexp_extract_all(
-                F.regexp_extract("rule_text", head, 2), F.lit(_QUOTED), F.lit(0)
-            ),
-            _unquote,
-        ).alias("columns"),
-        F.regexp_extract("rule_text", head, 3).alias("expression"),
-    )
-    demand = F.regexp_extract("expression", _THRESHOLD, 1)
-    rules = rules.select(
-        "*", demand.alias("_demand"), F.regexp_replace("expression", _THRESHOLD, "").alias("_body")
+    head, body, demand = literal(_HEAD), "_body", "_demand"
+    rules = (
+        rulesets.selectExpr(
+            f"{identifier(name)} AS ruleset_name",
+            f"posexplode({_split_rules(identifier(text))}) AS (rule_no, raw)",
+        )
+        .selectExpr(
+            "ruleset_name",
+            "rule_no",
+            f"regexp_replace(raw, {literal(_MARGIN)}, '') AS rule_text",
+        )
+        .where("rule_text <> ''")
+        .selectExpr(
+            "*",
+            f"regexp_extract(rule_text, {head}, 1) AS rule_type",
+            f"{_items(f'regexp_extract(rule_text, {head}, 2)', _QUOTED)} AS columns",
+            f"regexp_extract(rule_text, {head}, 3) AS expression",
+        )
+        .selectExpr(
+            "*",
+            f"regexp_extract(expression, {literal(_THRESHOLD)}, 1) AS {demand}",
+            f"regexp_replace(expression, {literal(_THRESHOLD)}, '') AS {body}",
+        )
     )
+    listed = f"regexp_extract({body}, {literal(_LIST)}, 1)"
+    is_list = f"startswith({body}, 'in')"
+    is_text_test = f"{body} RLIKE {literal(_TEXT_TEST)}"
 
-    body, demand = F.col("_body"), F.col("_demand")
-    listed = body.startswith("in")
-    items = F.transform(
-        F.regexp_extract_all(
-            F.regexp_extract(body, r"(?s)^in\s*\[(.*)\]$", 1),
-            F.lit(rf'{_QUOTED}|[^",\s][^",]*'),
-            F.lit(0),
-        ),
-        _unquote,
-    )
-    op = F.coalesce(
-        F.when(listed, F.lit("in")),
-        F.when(body.rlike(_BETWEEN), F.lit("between")),
-        _group(body, _COMPARISON, 1),
-        _group(body, _TEXT_TEST, 1),
-    )
-    lo = F.coalesce(_group(body, _BETWEEN, 1), _group(body, _COMPARISON, 2))
-    in_list = F.when(listed, items).when(
-        body.rlike(_TEXT_TEST), F.array(_unquote(F.regexp_extract(body, _TEXT_TEST, 2)))
-    )
-    threshold_op = F.coalesce(
-        F.when(demand.rlike(_BETWEEN), F.lit("between")), _group(demand, _COMPARISON, 1)
-    )
-    threshold_lo = F.coalesce(_group(demand, _BETWEEN, 1), _group(demand, _COMPARISON, 2))
-    return rules.select(
+    def between(part: str) -> str:
+        return f"CASE WHEN {part} RLIKE {literal(_BETWEEN)} THEN 'between' END"
+
+    def low(part: str) -> str:
+        return f"coalesce({_group(part, _BETWEEN, 1)}, {_group(part, _COMPARISON, 2)})"
+
+    return rules.selectExpr(
         "ruleset_name",
         "rule_no",
         "rule_text",
         "rule_type",
         "columns",
-        F.try_element_at("columns", F.lit(1)).alias("column_name"),
+        "try_element_at(columns, 1) AS column_name",
         "expression",
-        op.alias("op"),
-        lo.cast("double").alias("lo"),
-        _group(body, _BETWEEN, 2).cast("double").alias("hi"),
-        in_list.alias("in_list"),
-        _group(body, _COMPARISON, 3).alias("unit"),
-        threshold_op.alias("threshold_op"),
-        threshold_lo.cast("double").alias("threshold_lo"),
-        _group(demand, _BETWEEN, 2).cast("double").alias("threshold_hi"),
+        f"""coalesce(CASE WHEN {is_list} THEN 'in' END, {between(body)},
+            {_group(body, _COMPARISON, 1)}, {_group(body, _TEXT_TEST, 1)}) AS op""",
+        f"CAST({low(body)} AS DOUBLE) AS lo",
+        f"CAST({_group(body, _BETWEEN, 2)} AS DOUBLE) AS hi",
+        f"""CASE WHEN {is_list} THEN {_items(listed, _ITEM)} WHEN {is_text_test}
+            THEN {_items(f'regexp_extract({body}, {literal(_TEXT_TEST)}, 2)', _QUOTED)} END AS in_list""",
+        f"{_group(body, _COMPARISON, 3)} AS unit",
+        f"coalesce({between(demand)}, {_group(demand, _COMPARISON, 1)}) AS threshold_op",
+        f"CAST({low(demand)} AS DOUBLE) AS threshold_lo",
+        f"CAST({_group(demand, _BETWEEN, 2)} AS DOUBLE) AS threshold_hi",
     )
 
 

@@ -47,7 +47,7 @@ class NotFound(LookupError):
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 class DataQuality:

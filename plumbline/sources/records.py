@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.functions.columns import ref
 from plumbline.sources.readers import read_path
@@ -15,13 +15,20 @@ EXPIRY_DAYS = 32
 WRITE = "write_id"
 
 
+def _utc(moment: datetime) -> str:
+    """A moment as text; one without a zone is UTC already."""
+    if moment.tzinfo is not None:
+        moment = moment.astimezone(timezone.utc).replace(tzinfo=None)
+    return moment.isoformat(sep=" ")
+
+
 def append_record(record: DataFrame, path: str, written_at: datetime | None = None) -> None:
     """Adds a version of one or more records; ``written_at`` is UTC, now by default.
 
     Every write has a folder of its own: writers that share an output folder also share
     its temporary files, and the first to finish would remove those of the others.
     """
-    stamp = F.current_timestamp() if written_at is None else F.lit(written_at.isoformat())
+    stamp = F.current_timestamp() if written_at is None else F.lit(_utc(written_at) + "Z")
     folder = f"{path}/{WRITE}=w-{uuid.uuid4().hex}"
     record.withColumn("written_at", stamp.cast("timestamp")).write.parquet(folder)
 
@@ -73,7 +80,9 @@ def series_view(results: DataFrame) -> DataFrame:
 def expire(records: DataFrame, as_of: Column | datetime, days: int = EXPIRY_DAYS) -> DataFrame:
     """Records still alive ``days`` days after they were written."""
     if isinstance(as_of, datetime):
-        as_of = F.lit(as_of.isoformat()).cast(records.schema["written_at"].dataType)
+        dtype = records.schema["written_at"].dataType
+        zone = "Z" if isinstance(dtype, T.TimestampType) else ""
+        as_of = F.lit(_utc(as_of) + zone).cast(dtype)
     return records.where(F.col("written_at") > as_of - F.make_dt_interval(F.lit(days)))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,6 +77,7 @@ EVERY = [
     'HasApproxCountDistinct "a" = 3',
     'HasApproxQuantile "b" "0.5" = 2',
     'KllSketchSatisfies "b" "0.5" = 2',
+    'KllSketchSatisfies "b" "rank" "2" > 0.6',
     'AreComplete "a" "b"',
     'AreAnyComplete "b" "c"',
     'IsPositive "b"',
@@ -263,6 +264,26 @@ def test_long_texts_group_like_short_ones(spark):
     assert found[("rules", 0)][0] == pytest.approx(single / len(values))
 
 
+def test_freshness_in_every_time_type_and_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql(
+            """SELECT TIMESTAMP '2024-01-30T01:00:00Z' AS zoned, TIMESTAMP_NTZ '2024-01-30 01:00:00' AS plain,
+            DATE '2024-01-30' AS day"""
+        )
+        as_of = datetime(2024, 1, 31)
+        for hours, fresh in ((23, "PASS"), (22, "FAIL")):
+            rules = [f'DataFreshness "{c}" <= {hours} hours' for c in ("zoned", "plain")]
+            for moment in (as_of, as_of.replace(tzinfo=timezone.utc)):
+                found = {r.result for r in evaluate(df, rules, as_of=moment).collect()}
+                assert found == {fresh}
+        days = ['DataFreshness "day" <= 1 day', 'DataFreshness "day" <= 0 days']
+        found = {r.rule_no: r.result for r in evaluate(df, days, as_of=as_of).collect()}
+        assert found == {0: "PASS", 1: "FAIL"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_hot_key_counts_are_whole(spark):
     """A third of the rows under one key, spread over many tasks."""
     df = spark.range(0, 90000, 1, 16).select(

@@ -50,6 +50,15 @@ def test_unquoted_list_of_names_stays_whole(spark):
     assert found[0].in_list == ("A", "B", "C")
 
 
+def test_threshold_is_the_one_outside_of_quotes(spark):
+    text = 'IsContainedIn "x" in ["a with threshold > 1","b"] with threshold >= 0.5'
+    (rule,) = rules(spark, text)
+    assert rule.in_list == ("a with threshold > 1", "b")
+    assert (rule.threshold_op, rule.threshold_lo) == (">=", 0.5)
+    (rule,) = rules(spark, 'IsContainedIn "x" in ["a with threshold > 1"]')
+    assert (rule.in_list, rule.threshold_op) == (("a with threshold > 1",), None)
+
+
 def test_value_with_line_break_is_kept(spark):
     (rule,) = rules(spark, 'IsContainedIn "x" in ["a\nb","c"]')
     assert rule.in_list == ("a\nb", "c")
