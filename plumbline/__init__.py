@@ -5,9 +5,11 @@ from plumbline.plans.evaluate import evaluate, evaluate_batch, evaluate_many
 from plumbline.plans.rules import explode_rules
 from plumbline.operators.profile import profile
 from plumbline.operators.suggest import recommend, suggest
+from plumbline.plans.jobs import BatchJobs
 from plumbline.plans.runs import DataQuality
 
 __all__ = [
+    "BatchJobs",
     "Check",
     "DataQuality",
     "evaluate",

@@ -9,21 +9,17 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from plumbline.operators.profile import profile
 from plumbline.operators.suggest import recommend, suggest
-from plumbline.plans.batch import step_log
-from plumbline.plans.evaluate import NO_RESULTS, evaluate, with_defaults
+from plumbline.plans.evaluate import evaluate
 from plumbline.plans.rules import explode_rules, rules_of
-from plumbline.plans.score import flat_results, result_records, tally
+from plumbline.plans.score import result_records, tally
 from plumbline.sources.readers import read_source
 from plumbline.sources.records import append_record, first_written, latest_by_key, read_records
-from plumbline.sources.sinks import write_results
 
 RUN_SCHEMA = (
     "RunId string, Kind string, Status string, StatusMsg string, DataSource string, "
@@ -71,21 +67,22 @@ class DataQuality:
 
     # --- records -----------------------------------------------------------------
 
-    def _path(self, table: str) -> str:
-        return f"{self.store}/{table}"
+    def append(self, rows: DataFrame, table: str) -> None:
+        """Adds rows to a table of the store."""
+        append_record(rows, f"{self.store}/{table}")
 
-    def _versions(self, table: str) -> DataFrame:
-        versions = read_records(self.spark, self._path(table))
+    def has(self, table: str) -> bool:
+        return read_records(self.spark, f"{self.store}/{table}") is not None
+
+    def table(self, table: str) -> DataFrame:
+        """All versions of all rows recorded in a table of the store."""
+        versions = read_records(self.spark, f"{self.store}/{table}")
         if versions is None:
             raise NotFound(f"nothing recorded in {table!r}")
         return versions
 
-    def table(self, table: str) -> DataFrame:
-        """All rows recorded in a table of the store."""
-        return self._versions(table)
-
     def _get(self, table: str, key: str, value: str) -> dict:
-        found = latest_by_key(self._versions(table).where(F.col(key) == value), [key]).collect()
+        found = latest_by_key(self.table(table).where(F.col(key) == value), [key]).collect()
         if not found:
             raise NotFound(f"no {key} {value!r} in {table!r}")
         return found[0].asDict(recursive=True)
@@ -93,7 +90,7 @@ class DataQuality:
     def _put_run(self, run: dict) -> None:
         fields = [f.strip().split()[0] for f in RUN_SCHEMA.split(", ")]
         row = tuple(run.get(f) for f in fields)
-        append_record(self.spark.createDataFrame([row], RUN_SCHEMA), self._path("runs"))
+        self.append(self.spark.createDataFrame([row], RUN_SCHEMA), "runs")
 
     def _start(self, kind: str, **fields) -> dict:
         started = _now()
@@ -139,23 +136,21 @@ class DataQuality:
             TargetTable.get(k) for k in ("CatalogId", "DatabaseName", "TableName")
         )
         row = (Name, Description, text, dict(Tags or {}), dict(DataSource or {}), target)
-        append_record(
-            self.spark.createDataFrame([row], RULESET_SCHEMA), self._path("rulesets")
-        )
+        self.append(self.spark.createDataFrame([row], RULESET_SCHEMA), "rulesets")
         return {"Name": Name}
 
     create_data_quality_ruleset = update_data_quality_ruleset
 
     def rulesets(self, names: Iterable[str] | None = None) -> DataFrame:
         """Newest version of the rulesets, as a table."""
-        versions = self._versions("rulesets")
+        versions = self.table("rulesets")
         if names is not None:
             versions = versions.where(F.col("Name").isin(list(names)))
         return latest_by_key(versions, ["Name"])
 
     def get_data_quality_ruleset(self, Name: str) -> dict:
         ruleset = self._get("rulesets", "Name", Name)
-        versions = self._versions("rulesets").where(F.col("Name") == Name)
+        versions = self.table("rulesets").where(F.col("Name") == Name)
         written = first_written(versions, ["Name"]).first()
         ruleset.pop("written_at")
         return {**ruleset, "CreatedOn": written.CreatedOn, "LastModifiedOn": written.LastModifiedOn}
@@ -168,14 +163,14 @@ class DataQuality:
         if df is None:
             return self._finish(run, "NODATA", EMPTY)
         rows = profile(df).withColumn("RunId", F.lit(run["RunId"]))
-        append_record(rows, self._path("profiles"))
+        self.append(rows, "profiles")
         return self._finish(run, "SUCCEEDED")
 
     def get_data_quality_profile(self, RunId: str) -> dict:
         """The run with its column profiles as a DataFrame, one row per column."""
         run = self.get_run(RunId)
         if run["Status"] == "SUCCEEDED":
-            rows = self._versions("profiles").where(F.col("RunId") == RunId)
+            rows = self.table("profiles").where(F.col("RunId") == RunId)
             run["ColumnProfiles"] = rows.drop("RunId", "written_at").orderBy("column_name")
         return run
 
@@ -192,14 +187,14 @@ class DataQuality:
         if profiled is None:
             return self._finish(run, "NODATA", EMPTY)
         rows = suggest(profiled).withColumn("RunId", F.lit(run["RunId"]))
-        append_record(rows, self._path("suggestions"))
+        self.append(rows, "suggestions")
         return self._finish(run, "SUCCEEDED")
 
     def get_data_quality_rule_recommendation_run(self, RunId: str) -> dict:
         """The run with its suggestions as a DataFrame, one row per suggestion."""
         run = self.get_run(RunId)
         if run["Status"] == "SUCCEEDED":
-            rows = self._versions("suggestions").where(F.col("RunId") == RunId)
+            rows = self.table("suggestions").where(F.col("RunId") == RunId)
             rows = rows.drop("RunId", "written_at")
             run["ConstraintSuggestions"] = rows.orderBy("column_name", "suggesting_rule")
         return run
@@ -212,7 +207,7 @@ class DataQuality:
         suggestions = run["ConstraintSuggestions"].withColumn("table_name", F.lit(table_name))
         source = {k: v if isinstance(v, str) else json.dumps(v) for k, v in run["DataSource"].items()}
         rulesets = recommend(suggestions, RunId, source, database)
-        append_record(rulesets, self._path("rulesets"))
+        self.append(rulesets, "rulesets")
         return {"Name": f"{table_name}_generated"}
 
     # --- evaluate ----------------------------------------------------------------
@@ -238,7 +233,7 @@ class DataQuality:
         # One row per rule: judged once, then kept as local rows for the record.
         judged = self.spark.createDataFrame(results.collect(), results.schema)
         records = result_records(judged, run["RunId"], source, run["StartedOn"], _now())
-        append_record(records, self._path("results"))
+        self.append(records, "results")
         ids = [r.ResultId for r in records.select("ResultId").orderBy("ResultId").collect()]
         return self._finish(run, "SUCCEEDED", ResultIds=ids)
 
@@ -248,71 +243,9 @@ class DataQuality:
     def get_data_quality_result(self, ResultId: str) -> dict:
         return self._get("results", "ResultId", ResultId)
 
-    # --- batches -----------------------------------------------------------------
-
-    def evaluate_items(
-        self,
-        batch_id: str,
-        items: Iterable[Mapping],
-        base: str,
-        partition: str,
-        results_path: str,
-        exec_name: str = "",
-        step: str = "Step-DQ_Evaluate_Rulesets",
-        step_no: int = 1,
-        parallel: int = 8,
-    ) -> DataFrame:
-        """Evaluates every table of a batch, writes flat results, returns the step rows.
-
-        Tables are independent jobs submitted side by side; one that fails is recorded as
-        ERROR and leaves the others alone.
-        """
-
-        def work(item: Mapping) -> dict:
-            spec = with_defaults(item, base, partition)
-            table = spec["table_name"]
-            run_id = None
-            try:
-                run_id = self.start_data_quality_ruleset_evaluation_run(
-                    spec["DataSource"], spec["RulesetNames"]
-                )["RunId"]
-                ids = self.get_run(run_id)["ResultIds"] or []
-                status, message = "COMPLETED", ""
-                if ids:
-                    records = self._versions("results").where(F.col("ResultId").isin(ids))
-                    scores = sorted(records.select("ResultId", "Score").collect())
-                    message = "\n".join(f"Ruleset: {r.ResultId}, Score: {r.Score}" for r in scores)
-                else:
-                    status, message = "WARNING", NO_RESULTS
-            except (PySparkException, NotFound, ValueError) as error:
-                status, message = "ERROR", f"{table}\n{error}"
-            return {
-                "batch_id": batch_id,
-                "object_id": table,
-                "step": step,
-                "step_no": step_no,
-                "status": status,
-                "status_msg": message,
-                "run_id": run_id,
-                "time": _now(),
-            }
-
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            rows = list(pool.map(work, items))
-        done = {r["run_id"]: r["object_id"] for r in rows if r["status"] == "COMPLETED"}
-        if done:
-            table_of = F.create_map(*[F.lit(x) for pair in done.items() for x in pair])
-            run_id = F.col("RulesetEvaluationRunId")
-            records = self._versions("results").where(run_id.isin(list(done)))
-            flat = flat_results(records, table_of[run_id], exec_name)
-            write_results(flat, results_path, batch_id)
-        steps = step_log(self.spark, rows)
-        append_record(steps, self._path("steps"))
-        return steps
-
     def tallies(self, RunId: str) -> DataFrame:
         """Tally per ruleset of a run's results."""
-        rules = self._versions("results").where(F.col("RulesetEvaluationRunId") == RunId)
+        rules = self.table("results").where(F.col("RulesetEvaluationRunId") == RunId)
         rows = rules.select("RulesetName", F.explode("RuleResults").alias("r"))
         flat = rows.select(F.col("RulesetName").alias("ruleset_name"), F.col("r.Result").alias("result"))
         return tally(flat)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline import DataQuality
+from plumbline import BatchJobs, DataQuality
 from plumbline.plans import batch as B
 from plumbline.plans.runs import NotFound
 
@@ -76,29 +76,53 @@ def test_update_keeps_creation_time(spark, tmp_path):
     assert second["CreatedOn"] == first["CreatedOn"] < second["LastModifiedOn"]
 
 
+def event(base, names):
+    parms = {"Base": base, "Partition": "Dyymmdd", "ExecName": "exec-1"}
+    return {"BatchId": "FEED.EVAL.D240131", "NameList": names, "process_parms": parms}
+
+
 def test_batch_of_tables(spark, tables, tmp_path):
     dq = DataQuality(spark, str(tmp_path / "store"))
     for name in ("good", "gone", "bad"):
         dq.create_data_quality_ruleset(Name=f"{name}_generated", Ruleset='HasSize > 100, IsUnique "k"')
-    items = [{"ObjectId": "good"}, {"ObjectId": "gone"}, {"ObjectId": "bad"}, {"ObjectId": "broken", "DataSource": {"SQL": "SELECT x"}}]
+    overrides = {"broken": {"DataSource": {"SQL": "SELECT x"}}}
+    jobs = BatchJobs(dq, event(tables, ["good", "gone", "bad", "broken"]), overrides, parallel=4)
+    jobs.open()
     results = str(tmp_path / "results")
-    steps = dq.evaluate_items("FEED.EVAL.D240131", items, tables, "D240131", results, "exec-1", parallel=4)
+    steps = jobs.evaluate(results)
     status = {r.object_id: r.status for r in steps.collect()}
     assert status == {"good": "COMPLETED", "gone": "WARNING", "bad": "COMPLETED", "broken": "ERROR"}
     written = spark.read.parquet(results)
-    found = {(r.table_name, r.partition, r.Name, r.Result) for r in written.collect()}
+    found = {(r.table_name, r.partition, r.Name, r.Result, r.sfn_exec_name) for r in written.collect()}
     assert found == {
-        ("good", "D240131.EVAL", "Rule_0", "PASS"),
-        ("good", "D240131.EVAL", "Rule_1", "PASS"),
-        ("bad", "D240131.EVAL", "Rule_0", "FAIL"),
-        ("bad", "D240131.EVAL", "Rule_1", "FAIL"),
+        ("good", "D240131.EVAL", "Rule_0", "PASS", "exec-1"),
+        ("good", "D240131.EVAL", "Rule_1", "PASS", "exec-1"),
+        ("bad", "D240131.EVAL", "Rule_0", "FAIL", "exec-1"),
+        ("bad", "D240131.EVAL", "Rule_1", "FAIL", "exec-1"),
     }
     assert set(written.columns) == {
         "Name", "Result", "dqdl_rule", "EvaluationMessage", "result_id", "table_name", "sfn_exec_name", "partition",
     }
-    items_status = B.item_status(steps)
-    assert B.batch_status(items_status).first().status == "FAILED"
-    assert B.batch_status(items_status, strict_reference=True).first().status == "SUCCEEDED"
+    assert jobs.status().first().status == "FAILED"
+    assert jobs.status(strict_reference=True).first().status == "SUCCEEDED"
+
+
+def test_all_four_jobs(spark, tables, tmp_path):
+    dq = DataQuality(spark, str(tmp_path / "store"))
+    jobs = BatchJobs(dq, event(tables, ["good", "gone"]))
+    jobs.open()
+    jobs.open()
+    assert [i["table_name"] for i in jobs.items()] == ["gone", "good"]
+    jobs.profile()
+    jobs.suggest()
+    recommended = {r.object_id: r.status for r in jobs.recommend().collect()}
+    assert recommended == {"good": "COMPLETED", "gone": "ERROR"}
+    jobs.evaluate(str(tmp_path / "results"))
+    last = {(r.object_id, r.step): r.status for r in jobs.steps().collect()}
+    assert last[("good", "Step-Evaluate")] == "COMPLETED"
+    assert {r.Result for r in spark.read.parquet(str(tmp_path / "results")).collect()} == {"PASS"}
+    runs = dq.table("runs").where("Kind = 'suggestion' AND Status <> 'RUNNING'")
+    assert {r.Status for r in runs.collect()} == {"SUCCEEDED", "NODATA"}
 
 
 STEP = "batch_id string, object_id string, step_no int, status string"
