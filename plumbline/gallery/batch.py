@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plumbline.gallery.common import Registry, table
+from plumbline.gallery.profiles import ORDER_SUGGESTIONS_SQL
 from plumbline.plans import batch as B
+from plumbline.plans.jobs import BatchJobs
+from plumbline.plans.runs import DataQuality
 from plumbline.scratch import scratch_path
 from plumbline.sources.records import append_record, latest_by_key, read_records
 
@@ -111,3 +114,26 @@ def _read_batch(spark, d):
         items.withColumn("part", F.lit("item"))
     )
     return rows.select("part", "BatchId", "ObjectId")
+
+
+@_R.query(
+    "b_four_jobs",
+    f"""SELECT 'orders.parquet' AS table_name, 'PASS' AS "Result", count(*) AS rules, 'COMPLETED' AS step_status
+    FROM ({ORDER_SUGGESTIONS_SQL})""",
+)
+def _four_jobs(spark, d):
+    """Profile, suggest, recommend and evaluate as recorded jobs of a batch of one table."""
+    store = scratch_path(spark, "store")
+    parms = {"Base": d, "Partition": "", "ExecName": "run-1"}
+    event = {"BatchId": "FEED.EVAL.D240131", "NameList": ["orders.parquet"], "process_parms": parms}
+    jobs = BatchJobs(DataQuality(spark, store), event)
+    jobs.open()
+    jobs.profile()
+    jobs.suggest()
+    jobs.recommend()
+    jobs.evaluate(f"{store}/flat")
+    steps = jobs.steps().where("step = 'Step-Evaluate'")
+    results = spark.read.parquet(f"{store}/flat")
+    counted = results.groupBy("table_name", "Result").agg(F.count(F.lit(1)).alias("rules"))
+    status = steps.select(F.col("object_id").alias("table_name"), F.col("status").alias("step_status"))
+    return counted.join(status, "table_name").select("table_name", "Result", "rules", "step_status")

@@ -247,7 +247,7 @@ def _unique(spark, d):
     return suggest_unique(orders, profile(orders)).select("column_name", "dqdl_rule")
 
 
-_ALL_SQL = f"""SELECT column_name, 'CompleteIfCompleteRule' AS suggesting_rule, dqdl_rule FROM ({_COMPLETE_SQL})
+ORDER_SUGGESTIONS_SQL = f"""SELECT column_name, 'CompleteIfCompleteRule' AS suggesting_rule, dqdl_rule FROM ({_COMPLETE_SQL})
     UNION ALL SELECT column_name, 'NonNegativeNumbersRule', dqdl_rule FROM ({_NON_NEGATIVE_SQL})
     UNION ALL SELECT column_name, 'CategoricalRangeRule', dqdl_rule FROM ({_CATEGORY_SQL})"""
 
@@ -259,14 +259,14 @@ def _order_suggestions(spark, d):
 _R.add(
     "g08_rule_text",
     lambda spark, d: _order_suggestions(spark, d).select("suggesting_rule", "dqdl_rule"),
-    f"SELECT suggesting_rule, dqdl_rule FROM ({_ALL_SQL})",
+    f"SELECT suggesting_rule, dqdl_rule FROM ({ORDER_SUGGESTIONS_SQL})",
 )
 _R.add(
     "g09_sorted_suggestions",
     lambda spark, d: _order_suggestions(spark, d).select(
         "column_name", "suggesting_rule", "dqdl_rule"
     ),
-    f"SELECT column_name, suggesting_rule, dqdl_rule FROM ({_ALL_SQL}) ORDER BY 1, 2",
+    f"SELECT column_name, suggesting_rule, dqdl_rule FROM ({ORDER_SUGGESTIONS_SQL}) ORDER BY 1, 2",
 )
 
 
@@ -274,7 +274,7 @@ _R.add(
     "g10_recommend",
     f"""SELECT 'orders_generated' AS "Name",
     string_agg(dqdl_rule, ', ' || chr(10) ORDER BY column_name, suggesting_rule) AS "Ruleset",
-    'run-1' AS run_id, 'orders' AS table_name FROM ({_ALL_SQL})""",
+    'run-1' AS run_id, 'orders' AS table_name FROM ({ORDER_SUGGESTIONS_SQL})""",
 )
 def _recommend(spark, d):
     found = _order_suggestions(spark, d).withColumn("table_name", F.lit("orders"))
@@ -289,7 +289,7 @@ def _recommend(spark, d):
 @_R.query(
     "g_suggest_then_evaluate",
     f"""SELECT suggesting_rule, count(*) AS rules, count(*) AS met FROM (
-    {_ALL_SQL}) GROUP BY suggesting_rule""",
+    {ORDER_SUGGESTIONS_SQL}) GROUP BY suggesting_rule""",
 )
 def _closed_loop(spark, d):
     """Rules recommended for a table hold on that table."""

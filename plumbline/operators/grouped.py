@@ -112,12 +112,12 @@ def mutual_information(a: str, b: str) -> Metric:
 
 
 def histogram(
-    df: DataFrame, col: str, binning: Column | None = None, max_bins: int | None = 1000
+    df: DataFrame, col: str, binning: Column | None = None, max_bins: int | None = None
 ) -> DataFrame:
-    """``(value, count, ratio)`` of the largest ``max_bins`` bins; NULL is a bin of its own.
+    """``(value, count, ratio)`` of every bin; NULL is a bin of its own.
 
-    ``max_bins`` is part of the report asked for; None reports every bin. Ratios are
-    over all rows of the table. Ties are ordered by value.
+    ``max_bins`` asks for a report of the largest bins only, ties ordered by value. Ratios
+    are over all rows of the table in any case.
     """
     key = binning if binning is not None else ref(col)
     sizes = group_sizes(df, [key])
@@ -133,7 +133,10 @@ def histogram(
 
 
 def histogram_values(
-    col: str, value: str | None = None, binning: Column | None = None, max_bins: int = 1000
+    col: str,
+    value: str | None = None,
+    binning: Column | None = None,
+    max_bins: int | None = None,
 ) -> Metric:
     """Ratio of one bin of the histogram (0 when it is not in it), or the number of bins."""
 

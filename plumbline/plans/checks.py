@@ -198,9 +198,11 @@ class Check:
         column: str,
         assertion,
         binning: Column | None = None,
-        maxBins: int = 1000,
+        maxBins: int | None = None,
         value: str | None = None,
     ) -> Check:
+        """Asserts the number of bins, or with ``value`` the ratio of that bin; with
+        ``maxBins`` the histogram is that of the largest bins."""
         columns = (column,) if value is None else (column, value)
         options = {"binning": binning, "max_bins": maxBins}
         return self._add("HasHistogramValues", columns, assertion, options=options)
