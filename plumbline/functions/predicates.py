@@ -120,6 +120,19 @@ def fresh(c: Column, dtype: T.DataType, max_age: timedelta, as_of: datetime) ->
     return c.cast("timestamp_ntz") >= oldest.cast("timestamp_ntz")
 
 
+def _bound(value, dtype: T.DataType) -> Column:
+    """Number of a rule as a literal, whole ones without a fraction; a text in the column's type."""
+    if isinstance(value, float) and value.is_integer():
+        value = int(value)
+    return F.lit(value) if isinstance(value, (int, float)) else typed(value, dtype)
+
+
+def _comparable(c: Column, dtype: T.DataType, limit) -> Column:
+    """A text compared with a number counts by its number, if it has one."""
+    numeric = isinstance(limit, (int, float))
+    return c.try_cast("double") if numeric and is_string(dtype) else c
+
+
 def compare(c: Column, dtype: T.DataType, op: str, lo, hi, values) -> Column:
     """Value expression of a rule: in, matches, between (exclusive) or a comparison."""
     if op == "in":
@@ -127,7 +140,16 @@ def compare(c: Column, dtype: T.DataType, op: str, lo, hi, values) -> Column:
     if op == "matches":
         return c.isNull() | matches(c, values[0])
     if op == "between":
-        return c.isNull() | ((c > typed(lo, dtype)) & (c < typed(hi, dtype)))
-    bound = typed(values[0] if values else lo, dtype)
-    test = {"=": c == bound, ">": c > bound, "<": c < bound, ">=": c >= bound, "<=": c <= bound}
+        low, high = _bound(lo, dtype), _bound(hi, dtype)
+        value = _comparable(c, dtype, lo)
+        return c.isNull() | ((value > low) & (value < high))
+    limit = values[0] if values else lo
+    bound, value = _bound(limit, dtype), _comparable(c, dtype, limit)
+    test = {
+        "=": value == bound,
+        ">": value > bound,
+        "<": value < bound,
+        ">=": value >= bound,
+        "<=": value <= bound,
+    }
     return c.isNull() | test[op]

@@ -21,6 +21,7 @@ MAX_FRACTIONAL_RATIO = 0.4
 TARGET_COVERAGE = 0.9
 Z = 1.96
 
+# Columns of a suggestion.
 SUGGESTION = (
     "column_name",
     "constraint_name",

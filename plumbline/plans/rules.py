@@ -42,7 +42,7 @@ _BREAK = "\u0001"
 _QUOTED = r'"(?:[^"]++|"")*+"'
 _SEPARATOR = r",\s*(?=[A-Z]\w*(?:[\s,]|$))(?![^\[]*\])"
 _COMPARISON = rf"^(!=|>=|<=|=|>|<)\s*({NUMBER})\s*(\w*)$"
-_TEXT_TEST = rf"^(!=|=|matches)\s*({_QUOTED})$"
+_TEXT_TEST = rf"^(!=|>=|<=|=|>|<|matches)\s*({_QUOTED})$"
 _BETWEEN = rf"^between\s+({NUMBER})\s+and\s+({NUMBER})$"
 _HEAD = rf"(?s)^(\w+)((?:\s+{_QUOTED})*)\s*(.*)$"
 _MARGIN = r"^\s+|\s+$"

@@ -128,7 +128,10 @@ def result_records(
 
 
 def flat_results(records: DataFrame, table_name: str | Column, exec_name: str = "") -> DataFrame:
-    """Rule results of nested records as flat rows, one per rule."""
+    """Rule results of nested records as flat rows, one per rule.
+
+    The column names are fixed values of the stored format.
+    """
     table = F.lit(table_name) if isinstance(table_name, str) else table_name
     rule = records.select(
         "ResultId", table.alias("table_name"), F.explode("RuleResults").alias("r")

@@ -193,6 +193,30 @@ def test_list_values_take_the_type_of_the_column(spark):
     assert [r.result for r in rows] == ["PASS"] * 4
 
 
+def test_values_compare_as_numbers(spark):
+    df = spark.createDataFrame(
+        [(1, 1.5, "1.0"), (2, 2.5, "x"), (3, 3.5, None)], "i int, d double, t string"
+    ).withColumns({"m": F.col("d").cast("decimal(5,2)"), "day": F.expr("date_add(DATE '2023-12-31', i)")})
+    rules = {
+        'ColumnValues "i" between 0 and 4': 1.0,
+        'ColumnValues "i" between 1 and 3': 1 / 3,
+        'ColumnValues "i" >= 2': 2 / 3,
+        'ColumnValues "i" > 1.5': 2 / 3,
+        'ColumnValues "i" = 3': 1 / 3,
+        'ColumnValues "d" < 2.5': 1 / 3,
+        'ColumnValues "m" <= 2.5': 2 / 3,
+        'ColumnValues "t" > 0': 2 / 3,
+        'ColumnValues "t" = "x"': 2 / 3,
+        'ColumnValues "t" in ["x","y"]': 2 / 3,
+        'ColumnValues "t" matches "^[0-9]"': 2 / 3,
+        'ColumnLength "t" between 0 and 2': 1 / 3,
+        'ColumnValues "day" >= "2024-01-02"': 2 / 3,
+        'ColumnValues "day" < "2024-01-02"': 1 / 3,
+    }
+    found = {r.rule_text: r.metric for r in evaluate(df, list(rules)).collect()}
+    assert found == {text: pytest.approx(share) for text, share in rules.items()}
+
+
 def test_awkward_column_names(spark):
     df = spark.createDataFrame([(1, 2)], ["a.b", 'c "d"'])
     rows = evaluate(df, ['HasMin "a.b" = 1', 'IsUnique "c ""d"""', 'IsComplete "a.b"']).collect()
