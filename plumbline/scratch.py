@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local run without one gets a new folder."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a folder beside the warehouse's tables.
+
+    Both are shared by all executors of a cluster; a folder of one machine is never taken.
+    """
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if root:
         return root
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="plumbline-")
+    root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
     context.setCheckpointDir(root)
     return root
 
