@@ -14,7 +14,9 @@ gives no piece. Only the two named columns are read.
 
 from __future__ import annotations
 
+import re
 import zlib
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,8 @@ from plumbline.llm.common import kind, text_rows
 
 #: Tokens that open windows may hold before they fill one another up.
 HOLD = 4_000_000
-#: Words whose ids a task remembers, and the longest such word.
-REMEMBER, LONGEST = 500_000, 64
+#: Words whose ids a worker remembers, and the longest such word.
+REMEMBER, LONGEST = 600_000, 64
 
 
 def default_tokenizer() -> str:
@@ -35,34 +37,91 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class Encoder(dict):
+#: Letters, numerals and white space below U+0100, and what the tokenizer takes as one word there.
+LETTERS, NUMERALS, BLANKS = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+PIECE = re.compile(
+    f"[{LETTERS}]+|'(?:s|t|re|ve|m|ll|d)|[{NUMERALS}]|[^{BLANKS}{LETTERS}{NUMERALS}]+"
+)
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class Pieces(dict):
+    """Lower-cased word -> its ids as little-endian bytes, from the tokenizer's own model."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self._ids = tokenizer.model.tokenize
+        self._letters = byte_letters()
+
+    def __missing__(self, word: str) -> bytes:
+        spelt = word.encode().decode("latin-1").translate(self._letters)
+        found = np.array([t.id for t in self._ids(spelt)], "<u4").tobytes()
+        return remember(self, word, found)
+
+
+class Chunks(dict):
+    """Any run without white space -> its ids, from the whole tokenizer."""
+
+    def __init__(self, tokenizer):
+        super().__init__()
+        self._encode = tokenizer.encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = np.array(self._encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return remember(self, chunk, found)
+
+
+def remember(known: dict, word: str, ids: bytes) -> bytes:
+    if len(word) <= LONGEST:
+        if len(known) >= REMEMBER:
+            known.clear()
+        known[word] = ids
+    return ids
+
+
+class Encoder:
     """Ids of a text, word by word: the tokenizer never joins what white space parts.
 
-    Maps a word to its ids as little-endian bytes and asks the tokenizer only for unknown ones.
+    Texts below U+0100 need no normalisation but lower-casing, so their words are cut here and
+    only unknown ones go to the model; all others are cut at white space and go through the whole
+    tokenizer. Both give what the tokenizer gives for the whole text.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self._tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self._tokenizer.encode(word, add_special_tokens=False).ids
-        found = np.array(ids, "<u4").tobytes()
-        if len(word) <= LONGEST:
-            if len(self) >= REMEMBER:
-                self.clear()
-            self[word] = found
-        return found
+        tokenizer = Tokenizer.from_file(path)
+        self.pieces, self.chunks = Pieces(tokenizer), Chunks(tokenizer)
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
     def ids(self, text: str, end: int) -> np.ndarray:
-        # Python also splits at these four, which are no white space to the tokenizer
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            words = (w for x in text.split("\n") for y in x.split("\t") for w in y.split(" "))
+        try:
+            text.encode("latin-1")
+            plain = not any(s in text for s in self.special)
+        except UnicodeEncodeError:
+            plain = False
+        if plain:
+            parts = map(self.pieces.__getitem__, PIECE.findall(text.lower()))
+        elif any(c in text for c in "\x1c\x1d\x1e\x1f"):
+            # Python also splits at these four, which are no white space to the tokenizer
+            parts = (
+                self.chunks[w] for x in text.split("\n") for y in x.split("\t") for w in y.split(" ")
+            )
         else:
-            words = text.split()
-        return np.frombuffer(b"".join(map(self.__getitem__, words)) + end.to_bytes(4, "little"), "<u4")
+            parts = map(self.chunks.__getitem__, text.split())
+        return np.frombuffer(b"".join(parts) + end.to_bytes(4, "little"), "<u4")
+
+
+@cache
+def encoder(path: str) -> Encoder:
+    """One for each worker, so that tasks after the first find words known."""
+    return Encoder(path)
 
 
 class Windows:
@@ -189,7 +248,7 @@ def pack(
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        encoder, windows = Encoder(path), Windows(capacity)
+        words, windows = encoder(path), Windows(capacity)
         sequence = TaskContext.get().partitionId() << 32
 
         def rows(full):
@@ -208,7 +267,7 @@ def pack(
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for doc, value in zip(keys, batch.column(1)):
-                windows.add(doc, encoder.ids(value.as_py() or "", end))
+                windows.add(doc, words.ids(value.as_py() or "", end))
                 if len(windows.full) >= 256:
                     yield rows(windows.take())
         windows.drain()
