@@ -20,15 +20,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from plumbline.llm.common import OWN
 
-#: Rows on which costs and selectivities are estimated.
-SAMPLE_ROWS = 2_000
+#: Rows on which costs and selectivities are estimated, and the longest text among them.
+SAMPLE_ROWS, SAMPLE_CHARS = 500, 65_536
 
 #: Fixed by the contract: white space that parts words, and the symbols.
 SPACE = r"[\\x20\\x09-\\x0D]"
 SYMBOLS = "#*$%&|<>"
 
 TEXT = "{text}"
-WORDS = f"filter(split({TEXT}, '{SPACE}+'), w -> w <> '')"
+#: Hashes of the words. They stand for the words, which are compared within one text only.
+HASHES = (
+    rf"transform(filter(split(trim(BOTH ' \t\n\u000B\u000C\r' FROM {TEXT}), '{SPACE}+'), (w, i) -> i > 0 OR w <> ''), "
+    "w -> xxhash64(w))"
+)
 LINES = f"filter(split({TEXT}, '\\\\n'), l -> l rlike '[^\\\\x20\\\\x09-\\\\x0D]')"
 
 
@@ -38,9 +42,7 @@ def let(value: str, name: str, body: str) -> str:
 
 
 #: A window's fingerprint from its words' hashes: 64 bits, compared within one text only.
-_WINDOWS = (
-    "transform(sequence(0, size(h) - 5), i -> xxhash64(h[i], h[i + 1], h[i + 2], h[i + 3], h[i + 4]))"
-)
+_WINDOWS = "transform(sequence(1, size(h) - 4), i -> xxhash64(slice(h, i, 5)))"
 #: Starts of the windows found twice or more, in order: neighbours in the sorted list are equal.
 _STARTS = let(
     "array_sort(transform(v, (x, i) -> struct(x AS x, i AS i)))",
@@ -55,7 +57,7 @@ _COVERED = (
     "ELSE least(5, p[least(j + 1, size(p) - 1)] - x) END), 0L, (a, x) -> a + x)"
 )
 _REPEATED = let(
-    f"transform({WORDS}, w -> xxhash64(w))",
+    "{hashes}",
     "h",
     "CASE WHEN size(h) < 6 THEN 0L ELSE "
     + let(
@@ -68,8 +70,8 @@ _REPEATED = let(
 
 #: Measure -> SQL over the text.
 MEASURES = {
-    "n_words": f"cast(size({WORDS}) AS bigint)",
-    "word_chars": rf"cast(char_length(translate({TEXT}, ' \t\n\u000B\f\r', '')) AS bigint)",
+    "n_words": "cast(size({hashes}) AS bigint)",
+    "word_chars": rf"cast(char_length(translate({TEXT}, ' \t\n\u000B\u000C\r', '')) AS bigint)",
     "n_symbols": f"cast(char_length({TEXT}) - char_length(translate({TEXT}, '{SYMBOLS}', '')) AS bigint)",
     "n_dup_lines": let(LINES, "l", "cast(size(l) - size(array_distinct(l)) AS bigint)"),
     "n_repeat_words": _REPEATED,
@@ -96,9 +98,12 @@ RULES = (
 BASE = ("too_few_words", "repeated_words")
 
 
-def measures(text: str) -> dict[str, str]:
-    """The measures over a column or an expression; a null text counts as empty."""
-    return {k: v.replace(TEXT, f"coalesce({text}, '')") for k, v in MEASURES.items()}
+def measures(text: str, hashes: str | None = None) -> dict[str, str]:
+    """The measures over a text, a null one counting as empty; ``hashes``: a column that has them."""
+    return {
+        k: v.replace("{hashes}", hashes or HASHES).replace(TEXT, f"coalesce({text}, '')")
+        for k, v in MEASURES.items()
+    }
 
 
 def inlined(rule: Rule, columns: dict[str, str]) -> str:
@@ -114,7 +119,10 @@ def estimate(
     docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS
 ) -> list[dict]:
     """Per rule: seconds on the sample, share rejected there, rejection per second."""
-    sample = docs.select(F.col(text).cast("string").alias(OWN + "text")).limit(rows)
+    texts = docs.select(F.col(text).cast("string").alias(OWN + "text"))
+    # taken from the first partitions that have as many, however many there are
+    taken = texts.where(F.length(OWN + "text") <= SAMPLE_CHARS).take(rows)
+    sample = docs.sparkSession.createDataFrame(taken, texts.schema)
     columns = measures(OWN + "text")
     found = []
     for rule in rules:
@@ -158,8 +166,9 @@ def assess(
     order = [r for r in ordered(docs, text, rules) if r.name not in BASE]
     base = [r for r in rules if r.name in BASE]
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias(OWN + "text"))
-    measured = rows.select(
-        "doc_id", *(F.expr(e).alias(m) for m, e in measures(OWN + "text").items())
+    hashed = rows.withColumn(OWN + "hashes", F.expr(HASHES.replace(TEXT, f"coalesce({OWN}text, '')")))
+    measured = hashed.select(
+        "doc_id", *(F.expr(e).alias(m) for m, e in measures(OWN + "text", OWN + "hashes").items())
     )
     failed = " OR ".join(f"({r.reject})" for r in base) or "false"
     return (
