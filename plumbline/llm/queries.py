@@ -6,13 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.llm import decontamination, packing, quality
+from plumbline.llm import (
+    decontamination,
+    html_text,
+    language,
+    lines,
+    packing,
+    quality,
+    repeats,
+    secrets,
+    simhash,
+    toxicity,
+)
+from plumbline.llm.common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: fingerprint and the smallest document within links of two bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: words, words under a test item's window, the items."""
     found = decontamination.decontaminate(
@@ -28,6 +45,20 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: toxicity, learned from the labels outside the held-out fold."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    own = fold(F.col("doc_id"), 5)
+    scored = toxicity.score(docs, labels.where(toxicity.learnable(F.col("doc_id"), own)))
+    return scored.select(
+        "doc_id",
+        F.coalesce(own == 0, F.lit(False)).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+        "flagged",
+    )
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: measures, base verdict and the cascade's verdict."""
     return quality.assess(table(spark, sf_dir, "documents")).select(
@@ -42,14 +73,56 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: language, learned from the rows outside the held-out fold."""
+    own = fold(F.col("doc_id"), 3)
+    found = language.identify(
+        table(spark, sf_dir, "documents"), F.col("doc_id").isNotNull() & (own != 1)
+    )
+    return found.select(
+        "doc_id", F.coalesce(own == 1, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per candidate for a secret: the forest's score and verdict; of the text itself only a digest."""
+    return secrets.scan(table(spark, sf_dir, "documents")).select(
+        "doc_id", "nth", F.sha2("candidate", 256).alias("candidate_sha256"), "length", "score", "secret"
+    )
+
+
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its main text."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per piece of a tokenised document: its place in a sequence of at most 4096 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: what is left without passages of 100 bytes that also start earlier."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"), with_text=False).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its lines, those deleted as later repeats of a run, and the digest of what stays."""
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_language": op5_language,
+    "op6_secrets": op6_secrets,
+    "op7_html": op7_html,
     "op8_packing": op8_packing,
+    "op9_repeats": op9_repeats,
+    "op10_lines": op10_lines,
 }
 ORACLES: dict[str, str] = {}

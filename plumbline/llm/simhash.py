@@ -132,7 +132,11 @@ def _sharded(rows: DataFrame, masks: list[int]) -> DataFrame:
 
 
 def links(fingerprints: DataFrame, radius: int = RADIUS, tree: int = TREE) -> DataFrame:
-    """Links ``u, v`` that connect all distinct ``fp`` within the radius of each other."""
+    """Links ``u, v`` that connect all distinct ``fp`` within the radius of each other.
+
+    ``tree``: fingerprints of one tree at most; 64 are always allowed, so that bits remain to deal by.
+    """
+    tree = max(tree, 64)
     schema = T.StructType([T.StructField("u", T.LongType()), T.StructField("v", T.LongType())])
 
     def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
