@@ -155,19 +155,35 @@ def blocks(items: DataFrame, key: str, text: str, size: int) -> Iterator[list[tu
         yield block
 
 
+def sent(docs: DataFrame, items: DataFrame, key: str, text: str, window: int, size: int) -> list:
+    """The blocks' automata, broadcast one by one as the items come in."""
+    context = docs.sparkSession.sparkContext
+    return [context.broadcast(Automaton(b, window)) for b in blocks(items, key, text, size)]
+
+
+def matcher(automata: list):
+    """Words -> mask of the hit ones and names of the items, over all blocks."""
+
+    def match(words: list[bytes]) -> tuple[bytearray, set[str]]:
+        mask, found = bytearray(len(words)), set()
+        for a in automata:
+            a.value.hits(words, mask, found)
+        return mask, found
+
+    return match
+
+
 def spans_of(mask: bytearray) -> list[tuple[int, int]]:
     return [m.span() for m in re.finditer(rb"\x01+", bytes(mask))]
 
 
 def cleaned(text: str, limit: float, match) -> str | None:
     """The text without hit spans, until none is left; None where they cover more than the limit."""
-    total = removed = None
+    total, removed = len(words_of(text)), 0
     while True:
         raw = text.encode()
         places = [m.span() for m in WORD.finditer(raw.lower())]
-        mask = match([raw[a:b].lower() for a, b in places])[0]
-        total, removed = (total, removed) if total is not None else (len(places), 0)
-        spans = spans_of(mask)
+        spans = spans_of(match([raw[a:b].lower() for a, b in places])[0])
         removed += sum(b - a for a, b in spans)
         if not spans:
             return text
@@ -197,11 +213,7 @@ def decontaminate(
     ``clean_text`` is null where the spans cover more than ``max_coverage`` of the words (and where
     the text is null).
     """
-    spark = docs.sparkSession
-    automata = [
-        spark.sparkContext.broadcast(Automaton(block, window))
-        for block in blocks(items, item_key, item_text, block_words)
-    ]
+    automata = sent(docs, items, item_key, item_text, window, block_words)
     schema = T.StructType(
         [
             T.StructField("doc_id", kind(docs, key)),
@@ -222,11 +234,7 @@ def decontaminate(
     )
 
     def make():
-        def match(words):
-            mask, found = bytearray(len(words)), set()
-            for a in automata:
-                a.value.hits(words, mask, found)
-            return mask, found
+        match = matcher(automata)
 
         def work(batch):
             out = {f.name: [] for f in schema}
@@ -250,30 +258,27 @@ def decontaminate(
     return map_batches(text_rows(docs, key, text), make, schema)
 
 
-def remove_contamination(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+def remove_contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item_key: str = "item_id",
+    item_text: str = "text",
+    window: int = 10,
+    max_coverage: float = 0.5,
+    block_words: int = BLOCK_WORDS,
+) -> DataFrame:
     """The documents with hit spans cut out; those that consist mostly of them go.
 
     Columns and all other documents stay as they are, rows with a null text too.
     """
-    text = options.pop("text", "text")
     key = OWN + "key"
-    window, limit = options.pop("window", 10), options.pop("max_coverage", 0.5)
-    item_key, item_text = options.pop("item_key", "item_id"), options.pop("item_text", "text")
-    size = options.pop("block_words", BLOCK_WORDS)
-    spark = docs.sparkSession
-    automata = [
-        spark.sparkContext.broadcast(Automaton(block, window))
-        for block in blocks(items, item_key, item_text, size)
-    ]
+    automata = sent(docs, items, item_key, item_text, window, block_words)
     place = [c.lower() for c in docs.columns].index(text.lower())
     schema = T.StructType([*docs.schema.fields, T.StructField(key, T.BooleanType())])
 
     def make():
-        def match(words):
-            mask, found = bytearray(len(words)), set()
-            for a in automata:
-                a.value.hits(words, mask, found)
-            return mask, found
+        match = matcher(automata)
 
         def work(batch):
             texts, keep = [], []
@@ -282,7 +287,7 @@ def remove_contamination(docs: DataFrame, items: DataFrame, **options) -> DataFr
                 words = words_of(value)
                 new = value
                 if words and 1 in match(words)[0]:
-                    new = cleaned(value, limit, match)
+                    new = cleaned(value, max_coverage, match)
                 texts.append(new)
                 keep.append(value is None or new is not None)
             columns = {f"{i}": c for i, c in enumerate(batch.columns)}

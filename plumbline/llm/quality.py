@@ -90,7 +90,7 @@ class Rule:
 RULES = (
     Rule("too_few_words", ("n_words",), "n_words < 10"),
     Rule("word_length", ("n_words", "word_chars"), "word_chars < 2 * n_words OR word_chars > 20 * n_words"),
-    Rule("symbols", ("n_words", "n_symbols"), "n_symbols > n_words"),
+    Rule("symbols", ("n_words", "n_symbols"), "4 * n_symbols > n_words"),
     Rule("repeated_lines", ("n_dup_lines", "n_words"), "10 * n_dup_lines > n_words"),
     Rule("repeated_words", ("n_words", "n_repeat_words"), "100 * n_repeat_words > 20 * n_words"),
 )
