@@ -19,8 +19,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from plumbline.gallery import QUERIES  # noqa: E402
 from plumbline.operators import pairs as X  # noqa: E402
-from plumbline.operators.profile import profile  # noqa: E402
-from plumbline.operators.suggest import recommend, suggest  # noqa: E402
+from plumbline.operators.profile import profile, value_counts  # noqa: E402
+from plumbline.operators.suggest import (  # noqa: E402
+    recommend,
+    suggest,
+    suggested_values,
+    value_sets,
+)
 from plumbline.plans.evaluate import evaluate  # noqa: E402
 
 THIRTY = [
@@ -58,8 +63,12 @@ def queries(spark: SparkSession, d: str):
     )
 
     def loop():
-        suggestions = suggest(profile(orders)).withColumn("table_name", F.lit("orders"))
-        return evaluate(orders, recommend(suggestions)).collect()
+        counts = value_counts(orders, ["o_orderstatus", "o_orderpriority"])
+        profiled = profile(orders)
+        found = suggest(profiled, counts)
+        suggestions = found.withColumn("table_name", F.lit("orders"))
+        sets = value_sets(found, suggested_values(profiled, counts))
+        return evaluate(orders, recommend(suggestions), references=sets).collect()
 
     def one_by_one():
         return [evaluate(lines, [rule]).collect() for rule in THIRTY]

@@ -3,8 +3,8 @@
 from plumbline.plans.checks import Check
 from plumbline.plans.evaluate import evaluate, evaluate_batch, evaluate_many
 from plumbline.plans.rules import explode_rules
-from plumbline.operators.profile import profile
-from plumbline.operators.suggest import recommend, suggest
+from plumbline.operators.profile import histograms, profile, value_counts
+from plumbline.operators.suggest import recommend, suggest, suggested_values, value_sets
 from plumbline.plans.jobs import BatchJobs
 from plumbline.plans.runs import DataQuality
 
@@ -16,7 +16,11 @@ __all__ = [
     "evaluate_batch",
     "evaluate_many",
     "explode_rules",
+    "histograms",
     "profile",
     "recommend",
     "suggest",
+    "suggested_values",
+    "value_counts",
+    "value_sets",
 ]

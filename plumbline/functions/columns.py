@@ -17,6 +17,8 @@ NUMERIC = (
     T.DecimalType,
 )
 STRING = (T.StringType, T.CharType, T.VarcharType)
+# The collation under which texts are equal if their bytes are.
+BINARY = "UTF8_BINARY"
 
 
 def ref(name: str) -> Column:
@@ -65,22 +67,34 @@ def is_flat(dtype: T.DataType) -> bool:
     )
 
 
-# Bytes up to which a text is its own grouping key.
+# Bytes up to which a text is not longer than its digest.
 LONG_TEXT = 64
 
 
 def compact_key(c: Column, dtype: T.DataType) -> Column:
-    """Grouping key that stands for the value: long texts give way to their SHA-256.
+    """Grouping key that is equal where the values are: long texts give way to their SHA-256.
 
     A digest is longer than the longest text kept, so it equals no such text; shuffles
     then carry at most 68 bytes per text in place of whole documents. NULL stays NULL.
+    A text under a collation is grouped by itself at any length, since texts of different
+    bytes may be equal there.
     """
-    if not is_string(dtype):
+    if not is_string(dtype) or getattr(dtype, "collation", BINARY) != BINARY:
         return c
     digest = F.concat(F.lit("sha:"), F.sha2(c, 256))
     return F.when(F.octet_length(c) > LONG_TEXT, digest).otherwise(c)
 
 
+def sum_sql(c: str) -> str:
+    """Sum as a double, in SQL: exact as long as the column's own type holds it, never an overflow."""
+    return f"coalesce(CAST(try_sum({c}) AS DOUBLE), sum(CAST({c} AS DOUBLE)))"
+
+
+def mean_sql(c: str) -> str:
+    """Mean as a double, in SQL, likewise."""
+    return f"coalesce(CAST(try_avg({c}) AS DOUBLE), avg(CAST({c} AS DOUBLE)))"
+
+
 def typed(value: object, dtype: T.DataType) -> Column:
     """Literal in the type of the column it is compared with.
 

@@ -16,12 +16,15 @@ URL = r"https?://[^\s/$.?#][^\s]*"
 SOCIAL_SECURITY = (
     r"(?:00[1-9]|0[1-9]\d|[1-578]\d\d|6[0-57-9]\d|66[0-57-9])(?<=\b\d{3})-\d{2}-\d{4}\b"
 )
-CARD = r"\d(?<=\b\d)(?:[ -]?\d){12,18}\b"
+CARD = r"\d(?<=\b\d)(?:[ -]?\d){12}"
+# Digits of a card, and a card of so many from any word's start to any word's end.
+CARD_SIZES = range(13, 20)
+CARD_OF = r"\b(?=(\d(?:[ -]?\d){%d}\b))"
 
 # Text shapes that decide the inferred type of a string column.
-INTEGRAL = r"^[+-]?\d+$"
-FRACTIONAL = r"^[+-]?(\d+\.\d*|\.\d+|\d+[eE][+-]?\d+|\d+\.\d*[eE][+-]?\d+)$"
-BOOLEAN = r"^(?i)(true|false)$"
+INTEGRAL = r"^[+-]?\d+\z"
+FRACTIONAL = r"^[+-]?(\d+\.\d*|\.\d+|\d+[eE][+-]?\d+|\d+\.\d*[eE][+-]?\d+)\z"
+BOOLEAN = r"^(?i)(true|false)\z"
 
 
 def contained(c: Column, dtype: T.DataType, values: Sequence[object]) -> Column:
@@ -29,12 +32,17 @@ def contained(c: Column, dtype: T.DataType, values: Sequence[object]) -> Column:
     return c.isNull() | c.isin(*[typed(v, dtype) for v in values])
 
 
-def non_negative(c: Column) -> Column:
-    return F.coalesce(c, F.lit(0)) >= 0
+def is_number(c: Column, dtype: T.DataType) -> Column:
+    """Not NaN, which Spark orders above all numbers and which meets no demand here."""
+    return ~F.isnan(c) if isinstance(dtype, (T.FloatType, T.DoubleType)) else F.lit(True)
 
 
-def positive(c: Column) -> Column:
-    return F.coalesce(c, F.lit(1)) > 0
+def non_negative(c: Column, dtype: T.DataType) -> Column:
+    return c.isNull() | ((c >= 0) & is_number(c, dtype))
+
+
+def positive(c: Column, dtype: T.DataType) -> Column:
+    return c.isNull() | ((c > 0) & is_number(c, dtype))
 
 
 def filled(c: Column, dtype: T.DataType, blank_as_null: bool = False) -> Column:
@@ -68,11 +76,19 @@ def contains_social_security_number(c: Column) -> Column:
 
 
 def contains_credit_card_number(c: Column) -> Column:
-    """Thirteen to nineteen digits in card spelling that pass the Luhn test."""
-    candidates = F.regexp_extract_all(c.cast("string"), F.lit(CARD), F.lit(0))
-    return F.exists(
-        candidates, lambda n: F.call_function("luhn_check", F.regexp_replace(n, "[ -]", ""))
+    """Thirteen to nineteen digits in card spelling that pass the Luhn test.
+
+    Digits that go on, such as an expiry date or a code, do not hide a card: every stretch from
+    the start of a group of digits to the end of one is tried. Most texts fail the first search.
+    """
+    text = c.cast("string")
+    found = F.concat(
+        *(F.regexp_extract_all(text, F.lit(CARD_OF % (n - 1)), F.lit(1)) for n in CARD_SIZES)
+    )
+    valid = F.exists(
+        found, lambda n: F.call_function("luhn_check", F.regexp_replace(n, "[ -]", ""))
     )
+    return F.when(text.rlike(CARD), valid).when(text.isNotNull(), False)
 
 
 # What any number or truth value has: looked at first, so that long texts are passed over
@@ -145,11 +161,12 @@ def compare(c: Column, dtype: T.DataType, op: str, lo, hi, values) -> Column:
         return c.isNull() | ((value > low) & (value < high))
     limit = values[0] if values else lo
     bound, value = _bound(limit, dtype), _comparable(c, dtype, limit)
+    kind = T.DoubleType() if value is not c else dtype
     test = {
         "=": value == bound,
-        ">": value > bound,
+        ">": (value > bound) & is_number(value, kind),
         "<": value < bound,
-        ">=": value >= bound,
+        ">=": (value >= bound) & is_number(value, kind),
         "<=": value <= bound,
     }
     return c.isNull() | test[op]

@@ -88,6 +88,31 @@ _R.add(
 )
 
 
+@_R.query(
+    "b03_recorded_status",
+    f"""WITH i AS (SELECT batch_id, object_id, status FROM {_ITEMS_SQL})
+    SELECT batch_id, object_id, status, NULL::BIGINT AS items, NULL::BIGINT AS failed FROM i
+    UNION ALL SELECT batch_id, batch_id, CASE WHEN count(*) FILTER (WHERE status = 'FAILED') > 0 THEN 'FAILED'
+        WHEN count(*) FILTER (WHERE status = 'INGESTED') > 0 THEN 'PARTIAL'
+        WHEN count(*) FILTER (WHERE status = 'PENDING') > 0 THEN 'RUNNING' ELSE 'SUCCEEDED' END,
+    count(*), nullif(count(*) FILTER (WHERE status = 'FAILED'), 0) FROM i GROUP BY batch_id""",
+)
+def _recorded(spark, d):
+    """Status of every item and rollup of every batch, recorded twice and read back."""
+    path = scratch_path(spark, "statuses")
+    steps = _steps(spark, d)
+    append_record(B.status_records(B.item_status(steps.where("step_no = 1"))), path)
+    append_record(B.status_records(B.item_status(steps)), path)
+    newest = latest_by_key(read_records(spark, path), ["batch_id", "object_id"])
+    return newest.select(
+        "batch_id",
+        "object_id",
+        "status",
+        F.col("file_counts")["BATCH"].alias("items"),
+        F.col("file_counts")["FAILED"].alias("failed"),
+    )
+
+
 @_R.query(
     "b04_step_log",
     f"""SELECT batch_id, object_id, arg_max(status, step_no) AS status, max(step_no) AS step_no
@@ -129,7 +154,7 @@ def _four_jobs(spark, d):
     jobs = BatchJobs(DataQuality(spark, store), event)
     jobs.open()
     jobs.profile()
-    jobs.suggest()
+    jobs.suggest({"orders.parquet": ["o_orderstatus", "o_orderpriority"]})
     jobs.recommend()
     jobs.evaluate(f"{store}/flat")
     steps = jobs.steps().where("step = 'Step-Evaluate'")

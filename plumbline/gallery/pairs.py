@@ -135,7 +135,7 @@ def _dropped(spark, d):
 )
 def _custom(spark, d):
     sql = "SELECT avg(n) FROM (SELECT o_custkey, count(*) AS n FROM {primary} GROUP BY o_custkey)"
-    return _rounded(X.custom_sql(spark, sql, {"primary": table(spark, d, "orders")}))
+    return _rounded(X.custom_sql(spark, sql, {"primary": table(spark, d, "orders")}).select("metric"))
 
 
 @_R.query(

@@ -6,8 +6,14 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import share
 from plumbline.gallery.common import LABELLED, Registry, labelled, table
-from plumbline.operators.profile import profile
-from plumbline.operators.suggest import recommend, suggest, suggest_unique
+from plumbline.operators.profile import histograms, profile, value_counts
+from plumbline.operators.suggest import (
+    recommend,
+    suggest,
+    suggest_unique,
+    suggested_values,
+    value_sets,
+)
 from plumbline.plans.evaluate import evaluate
 
 _R = Registry()
@@ -45,12 +51,9 @@ _R.add(
 )
 def _approx_distinct(spark, d):
     customer = table(spark, d, "customer")
-    counts = [
-        F.struct(F.lit(c).alias("column_name"), F.countDistinct(c).alias("exact"))
-        for c in customer.columns
-    ]
-    exact = customer.agg(F.array(*counts).alias("c")).select(F.inline("c"))
-    both = profile(customer).select("column_name", "approx_distinct").join(exact, "column_name")
+    both = profile(customer, counted=customer.columns).select(
+        "column_name", "approx_distinct", F.col("distinct").alias("exact")
+    )
     near = F.abs(F.col("approx_distinct") - F.col("exact")) <= 3 * 0.05 * F.col("exact") + 1
     return both.select("column_name", "exact", near.alias("within_bound"))
 
@@ -112,6 +115,16 @@ _R.add(
 )
 
 
+_R.add(
+    "p05_numbers_beyond_64_bits",
+    lambda spark, d: profile(
+        table(spark, d, "orders").select((F.col("o_orderkey") * F.lit(1 << 40)).alias("h"))
+    ).select("column_name", "sum", "minimum"),
+    "SELECT 'h' AS column_name, sum(o_orderkey::HUGEINT * 1099511627776)::DOUBLE AS sum, "
+    "min(o_orderkey * 1099511627776)::DOUBLE AS minimum FROM orders",
+)
+
+
 @_R.query(
     "p06_approx_percentiles",
     _each(
@@ -137,18 +150,42 @@ def _percentiles(spark, d):
     return rows.select("percentile", "n", near.alias("within_bound"))
 
 
+_LINE_COLUMNS = (
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+    "l_returnflag",
+    "l_linestatus",
+    "l_shipdate",
+)
 _R.add(
     "p07_histograms",
-    lambda spark, d: profile(table(spark, d, "lineitem"))
-    .select("column_name", F.inline("histogram"))
-    .select("column_name", "value", "count", F.round("ratio", 6).alias("ratio"))
-    .where("column_name IN ('l_returnflag', 'l_linestatus', 'l_linenumber', 'l_quantity', 'l_tax')"),
+    lambda spark, d: histograms(table(spark, d, "lineitem"), _LINE_COLUMNS).select(
+        "column_name", "value", "count", F.round("ratio", 6).alias("ratio")
+    ),
     _each(
-        ("l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_tax"),
+        _LINE_COLUMNS,
         "SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS count, "
         "round(count(*)::DOUBLE / (SELECT count(*) FROM lineitem), 6) AS ratio FROM lineitem GROUP BY {c}",
     ),
 )
+_R.add(
+    "p07_distinct",
+    lambda spark, d: profile(table(spark, d, "documents"), counted=("text", "lang", "source")).select(
+        "column_name", "is_counted", "distinct"
+    ),
+    _each(
+        ("text", "lang", "source"),
+        "SELECT '{c}' AS column_name, true AS is_counted, count(DISTINCT {c}) AS distinct FROM documents",
+    )
+    + "\nUNION ALL\n"
+    + _each(("doc_id", "n_chars"), "SELECT '{c}', false, NULL"),
+)
 _R.add(
     "p08_profile_rows",
     lambda spark, d: profile(table(spark, d, "events")).select(
@@ -161,15 +198,39 @@ _R.add(
 )
 
 
+def _texts(df):
+    return [f.name for f in df.schema if f.dataType.simpleString() == "string"]
+
+
+def _found(df):
+    """Suggestions with those about the values of all text columns, and these values."""
+    counts, profiled = value_counts(df, _texts(df)), profile(df)
+    return suggest(profiled, counts), suggested_values(profiled, counts)
+
+
 def _suggested(source, rule: str):
     def query(spark, d):
         df = source(spark, d) if callable(source) else table(spark, d, source)
-        found = suggest(profile(df))
+        found, _ = _found(df)
         return found.where(F.col("suggesting_rule") == rule).select("column_name", "dqdl_rule")
 
     return query
 
 
+def _valued(source, rule: str):
+    """Rule text and value of every row that a suggestion about values consists of."""
+
+    def query(spark, d):
+        found, values = _found(source(spark, d) if callable(source) else table(spark, d, source))
+        rules = found.select("column_name", "suggesting_rule", "dqdl_rule")
+        rows = values.where(F.col("suggesting_rule") == rule)
+        return rows.join(rules, ["column_name", "suggesting_rule"]).select(
+            "column_name", "dqdl_rule", "value", "count"
+        )
+
+    return query
+
+
 _ORDER_COLUMNS = (
     "o_orderkey",
     "o_custkey",
@@ -187,12 +248,39 @@ _NON_NEGATIVE_SQL = _each(
     "SELECT '{c}' AS column_name, 'IsNonNegative \"{c}\"' AS dqdl_rule FROM orders HAVING min({c}) >= 0",
 )
 _CATEGORY = (
-    "SELECT '{c}' AS column_name, 'IsContainedIn \"{c}\" in [' || "
-    "string_agg('\"' || {c} || '\"', ',' ORDER BY n DESC, {c}) || ']' AS dqdl_rule "
-    "FROM (SELECT {c}, count(*) AS n FROM %s GROUP BY {c}) HAVING count(*) <= 120 "
-    "AND count(*) <= 0.1 * sum(n)"
+    "SELECT '{c}' AS column_name, 'ReferentialIntegrity \"{c}\" \"values of {c}.value\"' AS dqdl_rule "
+    "FROM (SELECT {c}, count(*) AS n FROM %s GROUP BY {c}) HAVING count(*) <= 0.1 * sum(n)"
 )
 _CATEGORY_SQL = _each(("o_orderstatus", "o_orderpriority"), _CATEGORY % "orders")
+_CATEGORY_VALUES_SQL = _each(
+    ("o_orderstatus", "o_orderpriority"),
+    "SELECT v.*, value, count FROM (%s) v, (SELECT {c} AS value, count(*) AS count FROM orders GROUP BY {c})"
+    % (_CATEGORY % "orders"),
+)
+# The values before the share of 0.9 is reached, and those of the same count as the last of them.
+_TOP = (
+    "SELECT {c} AS value, n, t, k, n >= min(n) FILTER (before < 0.9::DOUBLE * t) OVER () AS top FROM ("
+    "SELECT {c}, n, coalesce(sum(n) OVER (ORDER BY n DESC RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) "
+    "AS before, sum(n) OVER () AS t, count(*) OVER () AS k FROM "
+    "(SELECT {c}, count(*) AS n FROM documents WHERE {c} IS NOT NULL GROUP BY {c}))"
+)
+_TOP_SQL = (
+    "SELECT '{c}' AS column_name, 'ReferentialIntegrity \"{c}\" \"top values of {c}.value\" >= ' || "
+    "printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / t)) * 100) / 100) AS dqdl_rule FROM ("
+    "SELECT sum(n) FILTER (top)::DOUBLE / any_value(t) AS p, any_value(t) AS t, count(*) FILTER (top) AS kept, "
+    f"any_value(k) AS k FROM ({_TOP})) WHERE kept < k"
+)
+
+
+def _initials(spark, d):
+    """Documents with the first letter of their text, some of which are rare."""
+    return table(spark, d, "documents").withColumn("initial", F.substring("text", 1, 1))
+
+
+_TOP_VALUES_SQL = _each(
+    ("text", "lang", "source", "initial"),
+    f"SELECT r.*, value, n AS count FROM ({_TOP_SQL}) r, ({_TOP}) WHERE top",
+).replace("FROM documents", "FROM (SELECT *, substr(text, 1, 1) AS initial FROM documents)")
 
 _R.add("g01_complete_if_complete", _suggested("orders", "CompleteIfCompleteRule"), _COMPLETE_SQL)
 _R.add(
@@ -216,20 +304,11 @@ _R.add(
         f"count(*) FILTER (WHERE {_FRACTIONAL}) AS fractional FROM part) WHERE integral + fractional = n",
     ),
 )
-_R.add("g04_categorical_range", _suggested("orders", "CategoricalRangeRule"), _CATEGORY_SQL)
+_R.add("g04_categorical_range", _valued("orders", "CategoricalRangeRule"), _CATEGORY_VALUES_SQL)
 _R.add(
     "g05_fractional_categorical_range",
-    _suggested("documents", "FractionalCategoricalRangeRule"),
-    _each(
-        ("lang", "source"),
-        "SELECT '{c}' AS column_name, 'IsContainedIn \"{c}\" in [' || list || '] with threshold >= ' || "
-        "printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / t)) * 100) / 100) AS dqdl_rule FROM ("
-        "SELECT string_agg('\"' || {c} || '\"', ',' ORDER BY n DESC, {c}) AS list, "
-        "sum(n)::DOUBLE / any_value(t) AS p, any_value(t) AS t, count(*) AS kept, any_value(k) AS k FROM ("
-        "SELECT {c}, n, sum(n) OVER (ORDER BY n DESC, {c}) - n AS before, sum(n) OVER () AS t, "
-        "count(*) OVER () AS k FROM (SELECT {c}, count(*) AS n FROM documents GROUP BY {c})) "
-        "WHERE before < 0.9::DOUBLE * t) WHERE kept < k AND k <= 0.4 * t AND k <= 120",
-    ),
+    _valued(_initials, "FractionalCategoricalRangeRule"),
+    _TOP_VALUES_SQL,
 )
 _R.add("g06_non_negative", _suggested("orders", "NonNegativeNumbersRule"), _NON_NEGATIVE_SQL)
 
@@ -247,13 +326,21 @@ def _unique(spark, d):
     return suggest_unique(orders, profile(orders)).select("column_name", "dqdl_rule")
 
 
+# Of the orders, no value is so rare that a few cover nine tenths of a column of texts.
+_ORDER_TOP_SQL = _each(
+    ("o_orderstatus", "o_orderpriority"),
+    f"SELECT column_name, dqdl_rule FROM ({_TOP_SQL.replace('documents', 'orders')})",
+)
+
+
 ORDER_SUGGESTIONS_SQL = f"""SELECT column_name, 'CompleteIfCompleteRule' AS suggesting_rule, dqdl_rule FROM ({_COMPLETE_SQL})
     UNION ALL SELECT column_name, 'NonNegativeNumbersRule', dqdl_rule FROM ({_NON_NEGATIVE_SQL})
-    UNION ALL SELECT column_name, 'CategoricalRangeRule', dqdl_rule FROM ({_CATEGORY_SQL})"""
+    UNION ALL SELECT column_name, 'CategoricalRangeRule', dqdl_rule FROM ({_CATEGORY_SQL})
+    UNION ALL SELECT column_name, 'FractionalCategoricalRangeRule', dqdl_rule FROM ({_ORDER_TOP_SQL})"""
 
 
 def _order_suggestions(spark, d):
-    return suggest(profile(table(spark, d, "orders")))
+    return _found(table(spark, d, "orders"))[0]
 
 
 _R.add(
@@ -294,8 +381,9 @@ def _recommend(spark, d):
 def _closed_loop(spark, d):
     """Rules recommended for a table hold on that table."""
     orders = table(spark, d, "orders")
-    suggestions = suggest(profile(orders)).withColumn("table_name", F.lit("orders"))
-    results = evaluate(orders, recommend(suggestions))
+    found, values = _found(orders)
+    suggestions = found.withColumn("table_name", F.lit("orders"))
+    results = evaluate(orders, recommend(suggestions), references=value_sets(found, values))
     return (
         results.join(suggestions, results.rule_text == suggestions.dqdl_rule)
         .groupBy("suggesting_rule")

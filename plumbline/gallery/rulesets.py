@@ -125,16 +125,27 @@ _MIXED = [
     'IsComplete "o_clerk"',
     "HasColour = 1",
     'IsUnique "o_custkey"',
+    'HasPattern "o_orderpriority" matches "[a"',
+    'IsLessThan "o_orderpriority" "o_custkey"',
+    'CustomSql "SELECT o_custkey FROM {primary}" > 0',
+    'ReferentialIntegrity "o_orderpriority" "customer.c_custkey"',
+    'ReferentialIntegrity "o_custkey" "customer.c_custkey"',
 ]
 _MIXED_SQL = """(SELECT 0 AS rule_no, 'PASS' AS result
     UNION ALL SELECT 1, CASE WHEN min(o_totalprice) > 0 THEN 'PASS' ELSE 'FAIL' END FROM orders
     UNION ALL SELECT 2, CASE WHEN min(o_totalprice) > 100000 THEN 'PASS' ELSE 'FAIL' END FROM orders
     UNION ALL SELECT 3, 'ERROR' UNION ALL SELECT 4, 'ERROR' UNION ALL SELECT 5, 'SKIP'
-    UNION ALL SELECT 6, CASE WHEN count(DISTINCT o_custkey) = count(*) THEN 'PASS' ELSE 'FAIL' END FROM orders)"""
+    UNION ALL SELECT 6, CASE WHEN count(DISTINCT o_custkey) = count(*) THEN 'PASS' ELSE 'FAIL' END FROM orders
+    UNION ALL SELECT 7, 'ERROR' UNION ALL SELECT 8, 'ERROR'
+    UNION ALL SELECT 9, CASE WHEN count(*) > 1 THEN 'ERROR' WHEN max(o_custkey) > 0 THEN 'PASS' ELSE 'FAIL' END FROM orders
+    UNION ALL SELECT 10, 'ERROR'
+    UNION ALL SELECT 11, CASE WHEN count(c_custkey) = count(*) THEN 'PASS' ELSE 'FAIL' END
+        FROM orders LEFT JOIN customer ON o_custkey = c_custkey)"""
 
 
 def _mixed(spark, d):
-    return evaluate(table(spark, d, "orders"), _MIXED, name="mixed")
+    customers = {"customer": table(spark, d, "customer")}
+    return evaluate(table(spark, d, "orders"), _MIXED, name="mixed", references=customers)
 
 
 _R.add(
@@ -224,6 +235,45 @@ def _batch(spark, d):
     return results.select("table_name", *judged(results).columns)
 
 
+_TWO_BY = """WITH m AS (SELECT *, strftime(o_orderdate, '%Y-%m') AS month FROM orders),
+    other AS (SELECT * FROM m WHERE o_orderkey % 5 <> 0),
+    g AS (SELECT month, count(*)::DOUBLE AS n, count(DISTINCT o_orderpriority)::DOUBLE AS bins,
+        avg((o_orderstatus = 'F')::INT) AS f, avg((o_custkey IN (SELECT c_custkey FROM customer))::INT) AS known,
+        max(o_totalprice) AS top FROM m GROUP BY month),
+    o AS (SELECT month, count(*) AS n FROM other GROUP BY month)"""
+
+
+@_R.query(
+    "r10_by_two_tables",
+    f"""{_TWO_BY} SELECT month, rule_no, round(metric, 6) AS metric FROM (
+    SELECT month, 0 AS rule_no, bins AS metric FROM g UNION ALL SELECT month, 1, f FROM g
+    UNION ALL SELECT month, 2, known FROM g
+    UNION ALL SELECT month, 3, n / (SELECT count(*) FROM customer) FROM g
+    UNION ALL SELECT month, 4, top / (SELECT max(o_totalprice) FROM orders) FROM g
+    UNION ALL SELECT g.month, 5, CASE WHEN o.n IS NULL THEN NULL ELSE 1.0 END FROM g LEFT JOIN o USING (month)
+    UNION ALL SELECT month, 6, 1.0 FROM g)""",
+)
+def _two_tables_by_month(spark, d):
+    """Histograms and comparisons of two tables for every month on its own."""
+    orders = table(spark, d, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    rules = [
+        'HasHistogramValues "o_orderpriority" = 5',
+        'HasHistogramValues "o_orderstatus" "F" > 0.1',
+        'ReferentialIntegrity "o_custkey" "customer.c_custkey"',
+        'RowCountMatch "customer" > 0',
+        'AggregateMatch "max(o_totalprice)" "orders" "max(o_totalprice)" > 0.5',
+        'DatasetMatch "fewer" "o_orderkey" "o_totalprice,o_orderstatus" = 1',
+        'SchemaMatch "orders" = 1',
+    ]
+    others = {
+        "customer": table(spark, d, "customer"),
+        "orders": table(spark, d, "orders"),
+        "fewer": orders.where("o_orderkey % 5 <> 0"),
+    }
+    results = evaluate(orders, rules, by=["month"], references=others)
+    return results.select("month", "rule_no", F.round("metric", 6).alias("metric"))
+
+
 @_R.query(
     "r10_evaluate_by",
     """WITH g AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_custkey, count(*) AS c FROM orders GROUP BY ALL),

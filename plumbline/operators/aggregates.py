@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import predicates as P
-from plumbline.functions.columns import every, ref, share, some
+from plumbline.functions.columns import every, identifier, mean_sql, ref, share, some, sum_sql
 from plumbline.operators.metric import SCAN, SKETCH, Metric
 
 
@@ -36,11 +36,11 @@ def maximum(col: str) -> Metric:
 
 
 def mean(col: str) -> Metric:
-    return _scan("mean", (col,), F.avg(ref(col)))
+    return _scan("mean", (col,), F.expr(mean_sql(identifier(col))))
 
 
 def total(col: str) -> Metric:
-    return _scan("sum", (col,), F.sum(ref(col)))
+    return _scan("sum", (col,), F.expr(sum_sql(identifier(col))))
 
 
 def standard_deviation(col: str) -> Metric:
@@ -90,12 +90,12 @@ def contained(col: str, dtype: T.DataType, values: Sequence[object]) -> Metric:
     return _scan("contained", (col,), share(test), tuple(map(str, values)))
 
 
-def non_negative(col: str) -> Metric:
-    return _scan("non_negative", (col,), share(P.non_negative(ref(col))))
+def non_negative(col: str, dtype: T.DataType) -> Metric:
+    return _scan("non_negative", (col,), share(P.non_negative(ref(col), dtype)))
 
 
-def positive(col: str) -> Metric:
-    return _scan("positive", (col,), share(P.positive(ref(col))))
+def positive(col: str, dtype: T.DataType) -> Metric:
+    return _scan("positive", (col,), share(P.positive(ref(col), dtype)))
 
 
 def satisfies(condition: str, columns: Sequence[str]) -> Metric:
@@ -191,6 +191,33 @@ def kll_quantile(col: str, q: float, k: int = 800) -> Metric:
     return _sketch("kll", (col,), quantile, q, k)
 
 
+def kll_buckets(df: DataFrame, col: str, buckets: int = 64, k: int = 2048) -> DataFrame:
+    """``(bucket, low, high, count)`` of equal-width buckets from the least to the greatest value.
+
+    Counts are differences of ranks read off one KLL sketch; a bucket takes its upper bound and
+    the first one the least value too. ``k`` sets the sketch's size and so the error. The bounds,
+    one row, are read first: ranks are looked up at literals only.
+    """
+    c = F.nullif(ref(col).cast("double"), F.lit(float("nan")))
+    lo, hi, n = df.agg(F.min(c), F.max(c), F.count(c)).first()
+    if not n:
+        lo = hi = 0.0
+    edges = [lo + (hi - lo) * i / buckets for i in range(buckets + 1)]
+    inner = F.array(*map(F.lit, edges[1:-1])) if buckets > 1 else F.array().cast("array<double>")
+    sketch = F.kll_sketch_agg_double(c, F.lit(k))
+    ranks = F.concat(F.array(F.lit(0.0)), F.kll_sketch_get_rank_double(sketch, inner), F.array(F.lit(1.0)))
+    counted = df.where(F.lit(bool(n))).agg(F.count(c).alias("n"), ranks.alias("ranks")).where("n > 0")
+    i, bounds = F.col("bucket"), F.array(*map(F.lit, edges))
+    return counted.select(
+        "n", "ranks", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket")
+    ).select(
+        "bucket",
+        F.get(bounds, i).alias("low"),
+        F.get(bounds, i + 1).alias("high"),
+        F.round((F.get("ranks", i + 1) - F.get("ranks", i)) * F.col("n")).cast("long").alias("count"),
+    )
+
+
 def kll_rank(col: str, value: float, k: int = 800) -> Metric:
     """Share of values at or below ``value``, read off a KLL sketch."""
     rank = _kll(col, k, lambda s: F.kll_sketch_get_rank_double(s, F.lit(value)))

@@ -111,17 +111,31 @@ def mutual_information(a: str, b: str) -> Metric:
 # --- histogram -----------------------------------------------------------------
 
 
+def bin_shares(
+    df: DataFrame, col: str, value: str | None, binning: Column | None, by: Sequence[str]
+) -> DataFrame:
+    """Per partition ``metric``: the share of one bin, or the number of bins."""
+    dtype = df.schema[col].dataType
+    key = binning if binning is not None else compact_key(ref(col), dtype)
+    sizes = group_sizes(df, [key], by).groupBy(*map(ref, by))
+    if value is None:
+        return sizes.agg(F.count(F.lit(1)).cast("double").alias("metric"))
+    wanted = F.lit(value) if binning is not None else compact_key(F.lit(value), dtype)
+    own = F.sum(F.when(F.col("_k0").cast("string") == wanted, F.col(N)).otherwise(0))
+    return sizes.agg(F.try_divide(own, F.sum(N)).alias("metric"))
+
+
 def histogram(
     df: DataFrame, col: str, binning: Column | None = None, max_bins: int | None = None
 ) -> DataFrame:
     """``(value, count, ratio)`` of every bin; NULL is a bin of its own.
 
     ``max_bins`` asks for a report of the largest bins only, ties ordered by value. Ratios
-    are over all rows of the table in any case.
+    are over all rows of the table in any case, which are summed from the groups' sizes.
     """
     key = binning if binning is not None else ref(col)
     sizes = group_sizes(df, [key])
-    rows = df.agg(F.count(F.lit(1))).scalar()
+    rows = sizes.agg(F.sum(N)).scalar()
     bins = sizes.select(
         F.col("_k0").cast("string").alias("value"),
         F.col(N).alias("count"),
@@ -141,8 +155,10 @@ def histogram_values(
     """Ratio of one bin of the histogram (0 when it is not in it), or the number of bins."""
 
     def build(df: DataFrame, by: Sequence[str]) -> DataFrame:
+        if max_bins is None:
+            return bin_shares(df, col, value, binning, by)
         if by:
-            raise RuleError("a histogram is not evaluated per partition")
+            raise RuleError("a report of the largest bins is not made per partition")
         bins = histogram(df, col, binning, max_bins)
         if value is None:
             return bins.agg(F.count(F.lit(1)).cast("double").alias("metric"))

@@ -30,10 +30,49 @@ def _key(c: Column, text: bool) -> Column:
     return compact_key(c, T.StringType()) if text else c
 
 
+def _integrity_by(
+    df: DataFrame, cols: Sequence[str], parent: DataFrame, parent_cols: Sequence[str], by: Sequence[str]
+) -> DataFrame:
+    """The same per partition: its keys are counted first, so a key meets the parent once for each."""
+    keys = key_names(len(cols))
+    texts = _texts(df, cols, parent, parent_cols)
+    child = df.select(
+        *map(ref, by), *[_key(ref(c), t).alias(k) for c, k, t in zip(cols, keys, texts)]
+    )
+    complete = every(F.col(k).isNotNull() for k in keys)
+    sizes = child.groupBy(*map(ref, by), *keys).agg(
+        F.count_if(complete).alias("n")  # partitions without a complete key stay, with none
+    )
+    known = (
+        parent.select(*[_key(ref(c), t).alias(k) for c, k, t in zip(parent_cols, keys, texts)])
+        .distinct()
+        .withColumn("known", F.lit(1))
+    )
+    checked, matched = F.sum("n"), F.sum(F.when(F.col("known") == 1, F.col("n")).otherwise(0))
+    return (
+        sizes.join(known, keys, "left")
+        .groupBy(*map(ref, by))
+        .agg(
+            checked.alias("checked"),
+            matched.alias("matched"),
+            F.try_divide(matched, checked).alias("metric"),
+        )
+    )
+
+
 def referential_integrity(
-    df: DataFrame, cols: Sequence[str], parent: DataFrame, parent_cols: Sequence[str]
+    df: DataFrame,
+    cols: Sequence[str],
+    parent: DataFrame,
+    parent_cols: Sequence[str],
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """``checked`` child rows with a complete key, those ``matched`` in the parent, ``metric``."""
+    """``checked`` child rows with a complete key, those ``matched`` in the parent, ``metric``.
+
+    ``by``: columns of the child to give a row for each part of; the parent stays whole.
+    """
+    if by:
+        return _integrity_by(df, cols, parent, parent_cols, by)
     keys = key_names(len(cols))
     texts = _texts(df, cols, parent, parent_cols)
 
@@ -59,10 +98,11 @@ def referential_integrity(
     )
 
 
-def row_count_match(df: DataFrame, other: DataFrame) -> DataFrame:
-    """``rows``, ``reference_rows`` and their ratio as ``metric``."""
+def row_count_match(df: DataFrame, other: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """``rows``, ``reference_rows`` (of the whole reference) and their ratio as ``metric``."""
     counted = other.agg(F.count(F.lit(1))).scalar()
-    return df.agg(F.count(F.lit(1)).alias("rows")).select(
+    return df.groupBy(*map(ref, by)).agg(F.count(F.lit(1)).alias("rows")).select(
+        *map(ref, by),
         "rows",
         counted.alias("reference_rows"),
         F.try_divide(F.col("rows"), counted).alias("metric"),
@@ -70,11 +110,12 @@ def row_count_match(df: DataFrame, other: DataFrame) -> DataFrame:
 
 
 def aggregate_match(
-    df: DataFrame, expression: str, other: DataFrame, other_expression: str
+    df: DataFrame, expression: str, other: DataFrame, other_expression: str, by: Sequence[str] = ()
 ) -> DataFrame:
-    """``value``, ``reference_value`` and their ratio as ``metric``."""
+    """``value``, ``reference_value`` (of the whole reference) and their ratio as ``metric``."""
     reference = other.agg(F.expr(other_expression).cast("double")).scalar()
-    return df.agg(F.expr(expression).cast("double").alias("value")).select(
+    return df.groupBy(*map(ref, by)).agg(F.expr(expression).cast("double").alias("value")).select(
+        *map(ref, by),
         "value",
         reference.alias("reference_value"),
         F.try_divide(F.col("value"), reference).alias("metric"),
@@ -82,16 +123,21 @@ def aggregate_match(
 
 
 def dataset_match(
-    df: DataFrame, other: DataFrame, keys: Sequence[str], match: Sequence[str] = ()
+    df: DataFrame,
+    other: DataFrame,
+    keys: Sequence[str],
+    match: Sequence[str] = (),
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """How far ``df`` agrees with the reference rows of ``other``, NULL equal to NULL.
 
     ``matched`` reference rows have a partner agreeing on ``match``; ``changed`` ones only
     on ``keys``; ``missing`` ones have none; ``extra`` rows stand in ``df`` alone. Copies
-    of a key pair off one to one.
+    of a key pair off one to one. ``by``: columns of both data sets, whose parts are compared
+    with each other.
     """
-    match = list(match) or [c for c in other.columns if c not in keys]
-    cols = [*keys, *match]
+    match = list(match) or [c for c in other.columns if c not in (*keys, *by)]
+    cols = [*by, *[k for k in keys if k not in by], *[c for c in match if c not in by]]
 
     texts = _texts(df, cols, other, cols)
 
@@ -115,11 +161,13 @@ def dataset_match(
     names = key_names(len(keys))
     per_key = (
         rows.withColumn("_clean", clean)
-        .groupBy("_clean", *[F.when(~clean, ref(k)).alias(n) for k, n in zip(keys, names)])
+        .groupBy(
+            *map(ref, by), "_clean", *[F.when(~clean, ref(k)).alias(n) for k, n in zip(keys, names)]
+        )
         .agg(*[F.sum(c).alias(c) for c in ("_same", "_r", "_d")])
     )
     changed = F.least("_r", "_d")
-    whole = per_key.agg(
+    whole = per_key.groupBy(*map(ref, by)).agg(
         *[
             F.coalesce(F.sum(e), F.lit(0)).alias(n)
             for n, e in {
@@ -134,7 +182,7 @@ def dataset_match(
     return whole.select("*", F.try_divide(F.col("matched"), reference_rows).alias("metric"))
 
 
-def schema_conformance(df: DataFrame, other: DataFrame) -> DataFrame:
+def schema_conformance(df: DataFrame, other: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per column of ``other``: ``cells`` with a value in ``df`` and the share readable in its type."""
     present = set(df.columns)
 
@@ -152,15 +200,15 @@ def schema_conformance(df: DataFrame, other: DataFrame) -> DataFrame:
             readable.alias("castable"),
         )
 
-    rows = df.agg(F.array(*map(row, other.schema)).alias("rows"))
+    rows = df.groupBy(*map(ref, by)).agg(F.array(*map(row, other.schema)).alias("rows"))
     share = F.when(~F.col("present"), 0.0).otherwise(F.try_divide("castable", "cells"))
-    return rows.select(F.inline("rows")).withColumn("metric", share)
+    return rows.select(*map(ref, by), F.inline("rows")).withColumn("metric", share)
 
 
-def schema_share(df: DataFrame, other: DataFrame) -> DataFrame:
+def schema_share(df: DataFrame, other: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One ``metric``: mean share over the columns; a column without values conforms."""
-    per_column = schema_conformance(df, other)
-    return per_column.agg(F.avg(F.coalesce("metric", F.lit(1.0))).alias("metric"))
+    per_column = schema_conformance(df, other, by)
+    return per_column.groupBy(*map(ref, by)).agg(F.avg(F.coalesce("metric", F.lit(1.0))).alias("metric"))
 
 
 def dropped_columns(df: DataFrame, expected: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -185,7 +233,10 @@ def dropped_columns(df: DataFrame, expected: Sequence[str], by: Sequence[str]) -
 def custom_sql(
     spark: SparkSession, sql: str, datasets: Mapping[str, DataFrame]
 ) -> DataFrame:
-    """Scalar result of a query as ``metric``; ``{name}`` stands for a data set."""
+    """Scalar result of a query as ``metric``; ``{name}`` stands for a data set.
+
+    A query of several rows has no metric; ``error`` then says how many there are.
+    """
     views = {}
     for name, frame in datasets.items():
         if "{" + name + "}" in sql:
@@ -194,8 +245,12 @@ def custom_sql(
             sql = sql.replace("{" + name + "}", views[name])
     try:
         result = spark.sql(sql)
-        metric = result.select(ref(result.columns[0]).cast("double")).scalar()
-        return spark.range(0, 1, 1, 1).select(metric.alias("metric"))
+        n, value = F.col("n"), F.col("value")
+        rows = result.select(ref(result.columns[0]).try_cast("double").alias("value"))
+        return rows.agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("value")).select(
+            F.when(n == 1, value).alias("metric"),
+            F.when(n > 1, F.format_string("the query gives %d rows, one is needed", n)).alias("error"),
+        )
     finally:
         for view in views.values():
             spark.catalog.dropTempView(view)

@@ -1,9 +1,9 @@
 """Column profiles: one row per column.
 
-First pass: plain aggregates of all columns in one code-generated aggregate, and sketches
-(distinct counts, quantiles) in another; both yield one row per column. What the second
-pass counts depends on the first, so those rows (one per column) come to the driver. The
-second pass counts the values of low-cardinality columns only, all in one shuffle.
+Plain aggregates of all columns in one code-generated aggregate, and sketches (distinct
+counts, quantiles) in another; both yield one row per column. Which text columns read as
+numbers depends on the first, so those rows (one per column) come to the driver. Values are
+counted of the columns that the caller names, all of them in one shuffle, and stay rows.
 """
 
 from __future__ import annotations
@@ -18,28 +18,30 @@ from plumbline.functions.columns import (
     is_numeric,
     is_string,
     literal,
+    mean_sql,
     ref,
+    sum_sql,
 )
 from plumbline.functions.predicates import shape_sql
 
 RSD = 0.05
-LOW_CARDINALITY = 120
 QUANTILES = [i / 100 for i in range(1, 101)]
 KLL_K = 800
-# Numeric statistics and the aggregates they are.
+# Numeric statistics and the aggregates they are, none of which overflows.
 NUMBERS = {
-    "minimum": "min",
-    "maximum": "max",
-    "mean": "avg",
-    "sum": "sum",
-    "std_dev": "stddev_pop",
+    "minimum": "CAST(min({c}) AS DOUBLE)".format,
+    "maximum": "CAST(max({c}) AS DOUBLE)".format,
+    "mean": lambda c: mean_sql(c),
+    "sum": lambda c: sum_sql(c),
+    "std_dev": "stddev_pop(CAST({c} AS DOUBLE))".format,
 }
-# Columns per aggregate: up to nine aggregates a column stay within generated code.
-COLUMNS_PER_PASS = 9
+# Aggregates of one pass, below the code generator's limit of 100 fields, and of one column.
+PER_PASS, PER_NUMBER, PER_TEXT, PER_OTHER = 80, 10, 5, 2
+SKETCHED_COLUMNS = 36
 
 _SUMMARY = (
     "column_name string, data_type string, is_inferred boolean, rows bigint, cells bigint, "
-    "boolean bigint, fractional bigint, integral bigint, minimum double, maximum double, "
+    "nans bigint, boolean bigint, fractional bigint, integral bigint, minimum double, maximum double, "
     "mean double, sum double, std_dev double, approx_distinct bigint, "
     "approx_percentiles array<double>"
 )
@@ -70,6 +72,7 @@ def _plain(field: T.StructField) -> Column:
         "schema_type": literal(_kind(field.dataType)),
         "rows": "count(1)",
         "cells": f"count({c})",
+        "nans": "0L",
         "boolean": "CAST(NULL AS BIGINT)",
         "fractional": "CAST(NULL AS BIGINT)",
         "integral": "CAST(NULL AS BIGINT)",
@@ -78,10 +81,20 @@ def _plain(field: T.StructField) -> Column:
     if is_string(field.dataType):
         parts |= {name: f"count_if({test})" for name, test in shape_sql(c).items()}
     if is_numeric(field.dataType):
-        parts |= {name: f"CAST({call}({c}) AS DOUBLE)" for name, call in NUMBERS.items()}
+        if isinstance(field.dataType, (T.FloatType, T.DoubleType)):
+            parts["nans"] = f"count_if(isnan({c}))"
+            c = f"nullif({c}, CAST('NaN' AS {field.dataType.simpleString()}))"
+        parts |= {name: call(c=c) for name, call in NUMBERS.items()}
     return _struct(parts)
 
 
+def _weight(field: T.StructField) -> int:
+    """Aggregates that a column takes."""
+    if is_numeric(field.dataType):
+        return PER_NUMBER
+    return PER_TEXT if is_string(field.dataType) else PER_OTHER
+
+
 def _sketches(field: T.StructField, rsd: float) -> Column:
     c = identifier(field.name)
     parts = {
@@ -102,11 +115,18 @@ def _sketches(field: T.StructField, rsd: float) -> Column:
     return _struct(parts)
 
 
-def _rows(df: DataFrame, structs: Sequence[Column], width: int) -> DataFrame:
-    """One aggregate per ``width`` columns, each reading only its own columns."""
+def _rows(df: DataFrame, structs: Sequence[Column], weights: Sequence[int], most: int) -> DataFrame:
+    """One aggregate per ``most`` weights, each reading only its own columns."""
+    passes: list[list[Column]] = []
+    room = 0
+    for struct, weight in zip(structs, weights):
+        if weight > room:
+            passes.append([])
+            room = most
+        passes[-1].append(struct)
+        room -= weight
     parts = [
-        df.agg(F.array(*structs[i : i + width]).alias("_rows")).select(F.inline("_rows"))
-        for i in range(0, len(structs), width)
+        df.agg(F.array(*own).alias("_rows")).select(F.inline("_rows")) for own in passes
     ]
     united = parts[0]
     for part in parts[1:]:
@@ -131,8 +151,8 @@ def _inferred() -> Column:
 def summary(df: DataFrame, rsd: float = RSD) -> DataFrame:
     """First pass, lazily: one row per column without histograms."""
     fields = list(df.schema)
-    plain = _rows(df, [_plain(f) for f in fields], COLUMNS_PER_PASS)
-    sketches = _rows(df, [_sketches(f, rsd) for f in fields], 4 * COLUMNS_PER_PASS)
+    plain = _rows(df, [_plain(f) for f in fields], list(map(_weight, fields)), PER_PASS)
+    sketches = _rows(df, [_sketches(f, rsd) for f in fields], [1] * len(fields), SKETCHED_COLUMNS)
     found = _inferred()
     return (
         plain.join(sketches, "column_name")
@@ -159,37 +179,19 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def histograms(df: DataFrame, columns: Sequence[str], cap: int = LOW_CARDINALITY) -> DataFrame:
-    """Histogram per column, largest bin first, of the columns with at most ``cap`` values.
+def histograms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``(column_name, value, count, ratio)``: every bin of the named columns; ratios are over all rows."""
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return value_counts(df, columns).withColumn("ratio", F.col("count") / rows)
 
-    ``columns`` passed an estimate of the same bound, so no column has many more values
-    than ``cap``; those that do have more get no histogram.
-    """
-    entry = F.struct(
-        (-F.col("count")).alias("order"), F.col("value"), F.col("count").alias("count")
-    )
-    per_column = value_counts(df, columns).groupBy("column_name").agg(
-        F.count("value").alias("distinct"),
-        F.sum("count").alias("_rows"),
-        F.sort_array(F.collect_list(entry)).alias("_bins"),
-    )
-    bins = F.transform(
-        "_bins",
-        lambda b: F.struct(
-            b["value"].alias("value"),
-            b["count"].alias("count"),
-            (b["count"] / F.col("_rows")).alias("ratio"),
-        ),
-    )
-    return per_column.where(F.col("distinct") <= cap).select(
-        "column_name", "distinct", bins.alias("histogram")
-    )
 
+def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> DataFrame:
+    """One row per column, sorted by name.
 
-def profile(
-    df: DataFrame, rsd: float = RSD, low_cardinality: int = LOW_CARDINALITY
-) -> DataFrame:
-    """One row per column, sorted by name."""
+    ``counted``: columns whose values are counted, for an exact ``distinct``; ``value_counts``
+    and ``histograms`` give the values themselves, whole. ``is_counted`` says which they were.
+    Numeric statistics are those of the numbers; NaN counts in ``nans`` alone.
+    """
     spark = df.sparkSession
     rows = summary(df, rsd).collect()  # one row per column
     first = spark.createDataFrame(rows, _SUMMARY)
@@ -207,23 +209,15 @@ def profile(
             .drop(*[f"_{n}" for n in names])
         )
 
-    bound = low_cardinality * (1 + 3 * rsd)
-    low = [
-        r.column_name
-        for r in rows
-        if r.approx_distinct is not None and r.cells > 0 and r.approx_distinct <= bound
-    ]
-    if low:
-        first = first.join(histograms(df, low, low_cardinality), "column_name", "left")
-    else:
-        first = first.withColumns(
-            {
-                "distinct": F.lit(None).cast("bigint"),
-                "histogram": F.lit(None).cast(
-                    "array<struct<value:string,count:bigint,ratio:double>>"
-                ),
-            }
+    if counted:
+        exact = (
+            value_counts(df, counted)
+            .groupBy("column_name")
+            .agg(F.count("value").alias("distinct"))
         )
+        first = first.join(exact, "column_name", "left")
+    else:
+        first = first.withColumn("distinct", F.lit(None).cast("bigint"))
 
     text = F.col("boolean").isNotNull()
     shapes = F.map_from_arrays(
@@ -247,6 +241,8 @@ def profile(
         F.try_divide("cells", "rows").alias("completeness"),
         "approx_distinct",
         "distinct",
+        F.col("column_name").isin(*counted).alias("is_counted") if counted else F.lit(False).alias("is_counted"),
+        "nans",
         F.when(text, shapes).alias("type_counts"),
         "minimum",
         "maximum",
@@ -254,5 +250,4 @@ def profile(
         "sum",
         "std_dev",
         "approx_percentiles",
-        "histogram",
     ).orderBy("column_name")

@@ -1,6 +1,8 @@
 """Constraints suggested by a profile, and the rulesets made of them.
 
-All heuristics are expressions on a profile row, so suggesting reads the profile once.
+Most heuristics are expressions on a profile row. Those about the values of a column read the
+counts of the values of the columns that the caller named: the values they suggest are rows of a
+table (``suggested_values``), however many, and the rule's text refers to that table by name.
 """
 
 from __future__ import annotations
@@ -8,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.columns import compact_key, ref
 from plumbline.operators import grouped as G
@@ -17,7 +19,6 @@ from plumbline.operators.profile import RSD
 # Thresholds of the heuristics.
 MIN_COMPLETENESS = 0.2
 MAX_CATEGORY_RATIO = 0.1
-MAX_FRACTIONAL_RATIO = 0.4
 TARGET_COVERAGE = 0.9
 Z = 1.96
 
@@ -36,8 +37,14 @@ def quoted(text: Column) -> Column:
     return F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
 
 
-def value_list(values: Column) -> Column:
-    return F.concat(F.lit("["), F.array_join(F.transform(values, quoted), ","), F.lit("]"))
+# Rules about values, and what their tables of values are called.
+ALL_VALUES, TOP_VALUES = "CategoricalRangeRule", "FractionalCategoricalRangeRule"
+SETS = {ALL_VALUES: "values of ", TOP_VALUES: "top values of "}
+
+
+def set_name(column: str, rule: str) -> str:
+    """Name by which a rule's text refers to its values; a dot would end it."""
+    return SETS[rule] + column.replace(".", "_")
 
 
 def lower_bound(p: Column, n: Column) -> Column:
@@ -97,43 +104,6 @@ def _heuristics() -> list[Column]:
         ),
     )
 
-    # Value lists: bins without the NULL bin, largest first, ties by value.
-    bins = F.filter("histogram", lambda b: b["value"].isNotNull())
-    distinct = F.size(bins)
-    text_bins = (kind == "String") & F.col("histogram").isNotNull() & (distinct > 0)
-    ratio = F.try_divide(distinct, n)
-    listed = value_list(F.transform(bins, lambda b: b["value"]))
-    categorical = F.when(
-        text_bins & (ratio <= MAX_CATEGORY_RATIO),
-        _suggestion(
-            "Compliance",
-            "CategoricalRangeRule",
-            F.lit("1.0"),
-            F.format_string(".isContainedIn(%s, %s)", name, listed),
-            F.format_string("IsContainedIn %s in %s", name, listed),
-        ),
-    )
-
-    def count_of(some: Column) -> Column:
-        return F.aggregate(some, F.lit(0).cast("bigint"), lambda acc, b: acc + b["count"])
-
-    # A bin belongs to the smallest covering set while the bins before it fall short.
-    top = F.filter(
-        bins, lambda b, i: count_of(F.slice(bins, F.lit(1), i)) < TARGET_COVERAGE * cells
-    )
-    covered = F.try_divide(count_of(top), cells)
-    kept = _number(lower_bound(covered, n))
-    top_list = value_list(F.transform(top, lambda b: b["value"]))
-    fractional = F.when(
-        text_bins & (ratio <= MAX_FRACTIONAL_RATIO) & (F.size(top) < distinct),
-        _suggestion(
-            "Compliance",
-            "FractionalCategoricalRangeRule",
-            covered,
-            F.format_string('.isContainedIn(%s, %s, ">= %s")', name, top_list, kept),
-            F.format_string("IsContainedIn %s in %s with threshold >= %s", name, top_list, kept),
-        ),
-    )
     non_negative = F.when(
         (F.col("profile_type") == "Numeric")
         & ~F.col("is_data_type_inferred")
@@ -146,14 +116,109 @@ def _heuristics() -> list[Column]:
             F.format_string("IsNonNegative %s", name),
         ),
     )
-    return [complete, retain_completeness, retain_type, categorical, fractional, non_negative]
+    return [complete, retain_completeness, retain_type, non_negative]
+
+
+def _categories(profile: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per column and rule that applies: the least count that stays, and the share of cells covered.
+
+    How often counts occur is far less than the values themselves: the running share of a column
+    goes over its distinct counts, the largest first, and values of one count stay or go together.
+    """
+    often = (
+        counts.where("value IS NOT NULL")
+        .groupBy("column_name", "count")
+        .agg(F.count(F.lit(1)).alias("values"))
+    )
+    texts = profile.where("data_type = 'String'").select("column_name", "rows", "cells")
+    larger = Window.partitionBy("column_name").orderBy(F.desc("count")).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    cells = F.col("count") * F.col("values")
+    before = F.coalesce(F.sum(cells).over(larger), F.lit(0))
+    top = F.col("before") < TARGET_COVERAGE * F.col("cells")
+    per_column = (
+        often.join(texts, "column_name")
+        .withColumn("before", before)
+        .groupBy("column_name", "rows", "cells")
+        .agg(
+            F.sum("values").alias("distinct"),
+            F.min("count").alias("least"),
+            F.sum(F.when(top, F.col("values"))).alias("top"),
+            F.min(F.when(top, F.col("count"))).alias("least_top"),
+            F.sum(F.when(top, cells)).alias("covered"),
+        )
+    )
+    everything = F.when(
+        F.col("distinct") <= MAX_CATEGORY_RATIO * F.col("rows"),
+        F.struct(F.lit(ALL_VALUES).alias("rule"), F.col("least"), F.lit(1.0).alias("covered")),
+    )
+    most = F.when(
+        F.col("top") < F.col("distinct"),
+        F.struct(
+            F.lit(TOP_VALUES).alias("rule"),
+            F.col("least_top").alias("least"),
+            F.try_divide("covered", "cells").alias("covered"),
+        ),
+    )
+    found = F.inline(F.array_compact(F.array(everything, most)))
+    return per_column.select("column_name", "rows", found)
+
+
+def suggested_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
+    """``(column_name, suggesting_rule, value, count)``: the values that the suggested rules refer to."""
+    kept = _categories(profile, counts).select("column_name", F.col("rule").alias("suggesting_rule"), "least")
+    return (
+        counts.where("value IS NOT NULL")
+        .join(kept, "column_name")
+        .where(F.col("count") >= F.col("least"))
+        .select("column_name", "suggesting_rule", "value", "count")
+    )
+
+
+def value_sets(suggestions: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
+    """The values under the names that the rules use: ``references`` of ``evaluate``."""
+    about = suggestions.where(F.col("suggesting_rule").isin(*SETS))
+    rows = about.select("column_name", "suggesting_rule").distinct().collect()  # a row per column and rule
+    return {
+        set_name(*r): values.where(
+            (F.col("column_name") == r.column_name) & (F.col("suggesting_rule") == r.suggesting_rule)
+        ).select("value")
+        for r in rows
+    }
 
 
-def suggest(profile: DataFrame) -> DataFrame:
-    """One row per suggested constraint, sorted by column."""
+def _about_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
+    name = quoted(F.col("column_name"))
+    named = F.when(F.col("rule") == ALL_VALUES, SETS[ALL_VALUES]).otherwise(SETS[TOP_VALUES])
+    values = F.concat(named, F.replace("column_name", F.lit("."), F.lit("_")))
+    bound = _number(lower_bound(F.col("covered"), F.col("rows")))
+    demand = F.when(F.col("rule") == ALL_VALUES, "").otherwise(F.concat(F.lit(" >= "), bound))
+    return _categories(profile, counts).select(
+        "column_name",
+        F.lit("Compliance").alias("constraint_name"),
+        F.col("covered").cast("string").alias("current_value"),
+        F.col("rule").alias("suggesting_rule"),
+        F.format_string(".isContainedIn(%s, %s)", name, quoted(values)).alias("code_for_constraint"),
+        F.concat(
+            F.format_string(
+                "ReferentialIntegrity %s %s", name, quoted(F.concat(values, F.lit(".value")))
+            ),
+            demand,
+        ).alias("dqdl_rule"),
+    )
+
+
+def suggest(profile: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """One row per suggested constraint, sorted by column.
+
+    ``counts``: ``value_counts`` of the columns whose values may be constrained.
+    """
     found = F.array_compact(F.array(*_heuristics()))
-    rows = profile.select("column_name", F.inline(found))
-    return rows.select(*SUGGESTION).orderBy("column_name", "suggesting_rule")
+    rows = profile.select("column_name", F.inline(found)).select(*SUGGESTION)
+    if counts is not None:
+        rows = rows.unionByName(_about_values(profile, counts))
+    return rows.orderBy("column_name", "suggesting_rule")
 
 
 def suggest_unique(df: DataFrame, profile: DataFrame, rsd: float = RSD) -> DataFrame:

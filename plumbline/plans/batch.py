@@ -97,3 +97,19 @@ def batch_status(items: DataFrame, strict_reference: bool = False) -> DataFrame:
         )
         .select("batch_id", outcome.alias("status"), "items", "file_counts")
     )
+
+
+def status_records(items: DataFrame, strict_reference: bool = False) -> DataFrame:
+    """What is recorded of a batch: each item's status, and a row of the batch with its rollup.
+
+    ``file_counts`` of the batch's row has its items by status and, under ``BATCH``, all of them.
+    """
+    total = F.create_map(F.lit("BATCH"), F.col("items"))
+    whole = batch_status(items, strict_reference).select(
+        "batch_id",
+        F.col("batch_id").alias("object_id"),
+        "status",
+        F.map_concat("file_counts", total).alias("file_counts"),
+    )
+    none = F.lit(None).cast("map<string,bigint>").alias("file_counts")
+    return items.select("batch_id", "object_id", "status", none).unionByName(whole)

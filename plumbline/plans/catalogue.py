@@ -6,11 +6,11 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta, timezone
 
-from pyspark.errors import AnalysisException, ParseException
+from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from plumbline.functions.assertions import ALL_ROWS, SUPPORTED, Assertion, assertion
-from plumbline.functions.columns import is_numeric, is_string
+from plumbline.functions.columns import is_numeric, is_string, literal
 from plumbline.operators import aggregates as A
 from plumbline.operators import grouped as G
 from plumbline.operators import pairs as X
@@ -104,6 +104,45 @@ def _two(build: Callable[[str, str], Metric], numeric: bool = False):
     return lambda rule, ctx: build(*check(rule, ctx, 2))
 
 
+def _signed(build: Callable[[str, T.DataType], Metric]):
+    def compile_(rule: Rule, ctx: Context) -> Metric:
+        (col,) = _numeric(rule, ctx, 1)
+        return build(col, ctx.dtype(col))
+
+    return compile_
+
+
+def _alike(a: T.DataType, b: T.DataType, what: str) -> None:
+    """Types that Spark compares without a cast that could fail on a row."""
+    temporal = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    same = (
+        a == b
+        or (is_numeric(a) and is_numeric(b))
+        or (is_string(a) and is_string(b))
+        or (isinstance(a, temporal) and isinstance(b, temporal))
+    )
+    if not same:
+        raise RuleError(f"{what} are {a.simpleString()} and {b.simpleString()}")
+
+
+def _compared(build: Callable[[str, str], Metric]):
+    def compile_(rule: Rule, ctx: Context) -> Metric:
+        a, b = _cols(rule, ctx, 2)
+        _alike(ctx.dtype(a), ctx.dtype(b), f"columns {a!r} and {b!r}")
+        return build(a, b)
+
+    return compile_
+
+
+def _regex(pattern: str, ctx: Context) -> str:
+    """The pattern, if Spark's engine reads it; tried on a literal, without a job."""
+    try:
+        ctx.df.sparkSession.sql(f"SELECT '' RLIKE {literal(pattern)}").collect()
+    except PySparkException:
+        raise RuleError(f"pattern {pattern!r} is no regular expression") from None
+    return pattern
+
+
 def _lengths(build: Callable[[str], Metric]):
     return lambda rule, ctx: build(_text(rule, ctx))
 
@@ -136,6 +175,8 @@ def _values(rule: Rule, ctx: Context) -> Metric:
     (col,) = _cols(rule, ctx, 1)
     if rule.op not in (*SUPPORTED, "matches"):
         raise RuleError(f"expression {rule.expression!r} is not supported")
+    if rule.op == "matches":
+        _regex(_listed(rule, "a pattern")[0], ctx)
     return A.values(col, ctx.dtype(col), rule.op, rule.lo, rule.hi, rule.in_list or ())
 
 
@@ -143,13 +184,12 @@ def _length(rule: Rule, ctx: Context) -> Metric:
     col = _text(rule, ctx)
     if rule.op not in SUPPORTED:
         raise RuleError(f"expression {rule.expression!r} is not supported")
-    whole = [None if v is None else int(v) for v in (rule.lo, rule.hi)]
-    return A.length(col, rule.op, *whole, rule.in_list or ())
+    return A.length(col, rule.op, rule.lo, rule.hi, rule.in_list or ())
 
 
 def _pattern(rule: Rule, ctx: Context) -> Metric:
     (col,) = _cols(rule, ctx, 1)
-    return A.pattern(col, _listed(rule, "a pattern")[0])
+    return A.pattern(col, _regex(_listed(rule, "a pattern")[0], ctx))
 
 
 def _data_type(rule: Rule, ctx: Context) -> Metric:
@@ -231,20 +271,9 @@ def _histogram(rule: Rule, ctx: Context) -> Metric:
 # --- metrics over two data sets ------------------------------------------------
 
 
-def _whole_only(build: Callable[[DataFrame], DataFrame]):
-    """A frame builder that compares whole data sets, not partitions of them."""
-
-    def compile_(df: DataFrame, by):
-        if by:
-            raise RuleError("a comparison of data sets is not evaluated per partition")
-        return build(df).select(F.col("metric").cast("double").alias("metric"))
-
-    return compile_
-
-
-def _frame(rule: Rule, columns, build) -> Metric:
+def _frame(rule: Rule, columns, build: Callable[[DataFrame, tuple], DataFrame]) -> Metric:
     identity = (rule.rule_type, rule.columns, tuple(rule.options.items()))
-    return Metric(FRAME, identity, tuple(columns), build=_whole_only(build))
+    return Metric(FRAME, identity, tuple(columns), build=build)
 
 
 def _referential_integrity(rule: Rule, ctx: Context) -> Metric:
@@ -260,14 +289,16 @@ def _referential_integrity(rule: Rule, ctx: Context) -> Metric:
         ctx.dtype(c)
     if missing := [c for c in parent_cols if c not in parent.columns]:
         raise RuleError(f"column {missing[0]!r} does not exist in {name!r}")
+    for c, p in zip(child, parent_cols):
+        _alike(ctx.dtype(c), parent.schema[p].dataType, f"columns {c!r} and {p!r}")
     return _frame(
-        rule, child, lambda df: X.referential_integrity(df, child, parent, parent_cols)
+        rule, child, lambda df, by: X.referential_integrity(df, child, parent, parent_cols, by)
     )
 
 
 def _row_count_match(rule: Rule, ctx: Context) -> Metric:
     other = ctx.reference(_extra(rule, 0, "a data set"))
-    return _frame(rule, (), lambda df: X.row_count_match(df, other))
+    return _frame(rule, (), lambda df, by: X.row_count_match(df, other, by))
 
 
 def _aggregate_match(rule: Rule, ctx: Context) -> Metric:
@@ -282,7 +313,7 @@ def _aggregate_match(rule: Rule, ctx: Context) -> Metric:
     return _frame(
         rule,
         ctx.df.columns,
-        lambda df: X.aggregate_match(df, expression, other, other_expression),
+        lambda df, by: X.aggregate_match(df, expression, other, other_expression, by),
     )
 
 
@@ -300,19 +331,28 @@ def _dataset_match(rule: Rule, ctx: Context) -> Metric:
         ctx.dtype(c)
         if c not in other.columns:
             raise RuleError(f"column {c!r} does not exist in the reference data set")
-    return _frame(rule, (*keys, *match), lambda df: X.dataset_match(df, other, keys, match))
+        _alike(ctx.dtype(c), other.schema[c].dataType, f"both columns {c!r}")
+
+    def build(df: DataFrame, by) -> DataFrame:
+        if missing := [c for c in by if c not in other.columns]:
+            raise RuleError(f"partitions by {missing[0]!r}, which the reference data set lacks")
+        return X.dataset_match(df, other, keys, match, by)
+
+    return _frame(rule, (*keys, *match), build)
 
 
 def _schema_match(rule: Rule, ctx: Context) -> Metric:
     other = ctx.reference(_extra(rule, 0, "a data set"))
-    return _frame(rule, ctx.df.columns, lambda df: X.schema_share(df, other))
+    return _frame(rule, ctx.df.columns, lambda df, by: X.schema_share(df, other, by))
 
 
 def _custom_sql(rule: Rule, ctx: Context) -> Metric:
     sql = _extra(rule, 0, "a query")
     spark = ctx.df.sparkSession
 
-    def build(df: DataFrame) -> DataFrame:
+    def build(df: DataFrame, by) -> DataFrame:
+        if by:
+            raise RuleError("a query over whole data sets is not evaluated per partition")
         try:
             return X.custom_sql(spark, sql, {**ctx.references, "primary": df})
         except (AnalysisException, ParseException) as error:
@@ -341,12 +381,12 @@ METRICS: dict[str, Callable[[Rule, Context], Metric]] = {
     "HaveCompleteness": _any(A.all_complete),
     "AreAnyComplete": _any(A.any_complete),
     "HaveAnyCompleteness": _any(A.any_complete),
-    "IsNonNegative": _one(A.non_negative, numeric=True),
-    "IsPositive": _one(A.positive, numeric=True),
-    "IsLessThan": _two(A.less_than),
-    "IsLessThanOrEqualTo": _two(A.less_or_equal),
-    "IsGreaterThan": _two(A.greater_than),
-    "IsGreaterThanOrEqualTo": _two(A.greater_or_equal),
+    "IsNonNegative": _signed(A.non_negative),
+    "IsPositive": _signed(A.positive),
+    "IsLessThan": _compared(A.less_than),
+    "IsLessThanOrEqualTo": _compared(A.less_or_equal),
+    "IsGreaterThan": _compared(A.greater_than),
+    "IsGreaterThanOrEqualTo": _compared(A.greater_or_equal),
     "Satisfies": _satisfies,
     "ContainsCreditCardNumber": _one(A.credit_card),
     "ContainsEmail": _one(A.email),

@@ -27,6 +27,9 @@ from plumbline.plans.rules import Rule, explode_rules, one_row, parse_rules, rul
 # Below spark.sql.codegen.maxFields (100): a wider aggregate leaves generated code.
 CHUNK = 80
 
+# Column of a frame that says why it has no metric.
+FAULT = "_error"
+
 RESULT_SCHEMA = (
     "ruleset_name string, rule_no int, rule_text string, rule_type string, "
     "metric double, result string, message string"
@@ -78,16 +81,24 @@ def _rule_row(rule_id: int, c: Constraint, slot: int | None) -> dict:
 
 
 def _judge(
-    frame: DataFrame, by: Sequence[str], metrics: list[str], rows: list[dict], custom: dict
+    frame: DataFrame,
+    by: Sequence[str],
+    metrics: list[str],
+    rows: list[dict],
+    custom: dict,
+    fault: str | None = None,
 ) -> DataFrame:
     """Results of all rules on the metrics of one frame; a NULL or NaN metric meets nothing.
 
+    ``fault``: column of the frame that says what kept it from having a metric.
+
     The rules are one literal, so the plan does not grow with their number.
     """
     by_cols = list(map(ref, by))
     rules = F.from_json(F.lit(json.dumps(rows)), _RULE_ROWS)
     values = F.array(*map(ref, metrics)) if metrics else F.lit(None).cast("array<double>")
-    judged = frame.select(*by_cols, values.alias("_metrics"), F.inline(rules))
+    wrong = ref(fault) if fault else F.lit(None).cast("string")
+    judged = frame.select(*by_cols, values.alias("_metrics"), wrong.alias("_fault"), F.inline(rules))
     metric = F.col("metric")
     holds = F.expr(
         """CASE op WHEN '=' THEN metric = lo WHEN '>' THEN metric > lo WHEN '<' THEN metric < lo
@@ -106,9 +117,13 @@ def _judge(
         "rule_text",
         "rule_type",
         "metric",
-        F.expr("coalesce(status, if(_met, 'PASS', 'FAIL')) AS result"),
         F.expr(
-            """CASE WHEN status IS NOT NULL THEN message WHEN _met THEN ''
+            "CASE WHEN status IS NOT NULL THEN status WHEN _fault IS NOT NULL THEN 'ERROR' "
+            "WHEN _met THEN 'PASS' ELSE 'FAIL' END AS result"
+        ),
+        F.expr(
+            """CASE WHEN status IS NOT NULL THEN message WHEN _fault IS NOT NULL THEN _fault
+            WHEN _met THEN ''
             WHEN metric IS NULL THEN 'no value: the data set is empty or holds only NULL'
             ELSE concat('value ', metric, ' does not meet: ', demand) END AS message"""
         ),
@@ -166,7 +181,8 @@ def evaluate_constraints(
 
     def framed(chunk: list[Metric]) -> DataFrame:
         built = chunk[0].build(df, by)
-        return built.select(*by_cols, F.col("metric").alias(alias[chunk[0]]))
+        fault = [F.col("error").alias(FAULT)] if "error" in built.columns else []
+        return built.select(*by_cols, F.col("metric").cast("double").alias(alias[chunk[0]]), *fault)
 
     for family in (SCAN, SKETCH):
         for chunk in _chunks([m for m in alias if m.family == family]):
@@ -193,7 +209,8 @@ def evaluate_constraints(
         mine = [(i, c) for i, c in numbered if not c.status and c.metric in slots]
         rows = [_rule_row(i, c, slots[c.metric]) for i, c in mine]
         custom = {i: c.demand for i, c in mine if isinstance(c.demand, Custom)}
-        parts.append(_judge(frame, by, [alias[m] for m in chunk], rows, custom))
+        fault = FAULT if FAULT in frame.columns else None
+        parts.append(_judge(frame, by, [alias[m] for m in chunk], rows, custom, fault))
     settled = [_rule_row(i, c, None) for i, c in numbered if c.status]
     if settled:
         none = [F.lit(None).cast(df.schema[b].dataType).alias(b) for b in by]

@@ -89,6 +89,17 @@ class BatchJobs:
     def status(self, strict_reference: bool = False) -> DataFrame:
         return B.batch_status(B.item_status(self.steps()), strict_reference)
 
+    def record_status(self, strict_reference: bool = False) -> DataFrame:
+        """Records the status of every table and of the batch as they are now; gives the recorded rows."""
+        rows = B.status_records(B.item_status(self.steps()), strict_reference)
+        self.dq.append(rows, "statuses")
+        return self.recorded_status()
+
+    def recorded_status(self) -> DataFrame:
+        """What was recorded last of every table and of the batch."""
+        rows = self.dq.table("statuses").where(F.col("batch_id") == self.batch_id)
+        return latest_by_key(rows, ["batch_id", "object_id"])
+
     def _run_of(self, step: str) -> dict[str, str]:
         """Run id per table of an earlier step; a row per table."""
         done = self.steps().where((F.col("step") == step) & (F.col("status") == "COMPLETED"))
@@ -129,13 +140,19 @@ class BatchJobs:
 
         return self._log(self._each("Step-Profile", work))
 
-    def suggest(self) -> DataFrame:
-        """Suggests from the profiles of the profile job where it ran, else profiles anew."""
+    def suggest(self, counted: Mapping[str, Iterable[str]] | None = None) -> DataFrame:
+        """Suggests from the profiles of the profile job where it ran, else profiles anew.
+
+        ``counted``: per table the columns whose values may be constrained.
+        """
+        counted = counted or {}
         profiles = self._run_of("Step-Profile") if self.dq.has("steps") else {}
 
         def work(item: dict) -> Outcome:
             run = self.dq.start_data_quality_rule_recommendation_run(
-                item["DataSource"], profiles.get(item["table_name"])
+                item["DataSource"],
+                profiles.get(item["table_name"]),
+                counted.get(item["table_name"], ()),
             )
             return "COMPLETED", run["RunId"], run["RunId"]
 

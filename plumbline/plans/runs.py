@@ -9,23 +9,35 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Iterable, Mapping
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.operators.profile import profile
-from plumbline.operators.suggest import recommend, suggest
+from plumbline.operators.profile import profile, value_counts
+from plumbline.operators.suggest import recommend, suggest, suggested_values, value_sets
 from plumbline.plans.evaluate import evaluate
 from plumbline.plans.rules import explode_rules, rules_of
 from plumbline.plans.score import result_records, tally
 from plumbline.sources.readers import read_source
-from plumbline.sources.records import append_record, first_written, latest_by_key, read_records
+from plumbline.sources.records import (
+    EXPIRY_DAYS,
+    append_record,
+    compact_records,
+    first_written,
+    latest_by_key,
+    read_records,
+)
 
 RUN_SCHEMA = (
     "RunId string, Kind string, Status string, StatusMsg string, DataSource string, "
     "RulesetNames array<string>, ResultIds array<string>, StartedOn timestamp, "
     "CompletedOn timestamp, DqJobName string, DqRunId string"
 )
+# Tables of a store.
+TABLES = (
+    "runs", "rulesets", "profiles", "suggestions", "values", "results", "batches", "steps", "statuses",
+)
 RULESET_SCHEMA = (
     "Name string, Description string, Ruleset string, Tags map<string,string>, "
     "DataSource map<string,string>, "
@@ -81,6 +93,12 @@ class DataQuality:
             raise NotFound(f"nothing recorded in {table!r}")
         return versions
 
+    def compact_to(self, store: str, days: int = EXPIRY_DAYS) -> DataQuality:
+        """The living records of all tables in a new store, a folder per day; work goes on there."""
+        for table in TABLES:
+            compact_records(self.spark, f"{self.store}/{table}", f"{store.rstrip('/')}/{table}", days=days)
+        return DataQuality(self.spark, store, self.job_name, self.job_run_id)
+
     def _get(self, table: str, key: str, value: str) -> dict:
         found = latest_by_key(self.table(table).where(F.col(key) == value), [key]).collect()
         if not found:
@@ -114,6 +132,15 @@ class DataQuality:
         )
         return {"RunId": run["RunId"]}
 
+    @contextmanager
+    def _recorded(self, run: dict):
+        """Records the run as FAILED, with the message, if its work raises."""
+        try:
+            yield
+        except Exception as error:
+            self._finish(run, "FAILED", f"{type(error).__name__}: {error}")
+            raise
+
     def get_run(self, RunId: str) -> dict:
         run = self._get("runs", "RunId", RunId)
         run["DataSource"] = json.loads(run["DataSource"])
@@ -159,12 +186,13 @@ class DataQuality:
 
     def start_data_quality_profile_run(self, DataSource: Mapping) -> dict:
         run = self._start("profile", DataSource=json.dumps(DataSource))
-        df = read_source(self.spark, DataSource)
-        if df is None:
-            return self._finish(run, "NODATA", EMPTY)
-        rows = profile(df).withColumn("RunId", F.lit(run["RunId"]))
-        self.append(rows, "profiles")
-        return self._finish(run, "SUCCEEDED")
+        with self._recorded(run):
+            df = read_source(self.spark, DataSource)
+            if df is None:
+                return self._finish(run, "NODATA", EMPTY)
+            rows = profile(df).withColumn("RunId", F.lit(run["RunId"]))
+            self.append(rows, "profiles")
+            return self._finish(run, "SUCCEEDED")
 
     def get_data_quality_profile(self, RunId: str) -> dict:
         """The run with its column profiles as a DataFrame, one row per column."""
@@ -175,20 +203,30 @@ class DataQuality:
         return run
 
     def start_data_quality_rule_recommendation_run(
-        self, DataSource: Mapping, ProfileRunId: str | None = None
+        self, DataSource: Mapping, ProfileRunId: str | None = None, counted: Iterable[str] = ()
     ) -> dict:
-        """Suggests from the profile of an earlier run if given, else from a new one."""
+        """Suggests from the profile of an earlier run if given, else from a new one.
+
+        ``counted``: columns whose values may be constrained; these are kept as rows.
+        """
+        counted = list(counted)
         run = self._start("suggestion", DataSource=json.dumps(DataSource))
-        if ProfileRunId is not None:
-            profiled = self.get_data_quality_profile(ProfileRunId).get("ColumnProfiles")
-        else:
-            df = read_source(self.spark, DataSource)
-            profiled = None if df is None else profile(df)
-        if profiled is None:
-            return self._finish(run, "NODATA", EMPTY)
-        rows = suggest(profiled).withColumn("RunId", F.lit(run["RunId"]))
-        self.append(rows, "suggestions")
-        return self._finish(run, "SUCCEEDED")
+        with self._recorded(run):
+            df = None
+            if ProfileRunId is None or counted:
+                df = read_source(self.spark, DataSource)
+            if ProfileRunId is not None:
+                profiled = self.get_data_quality_profile(ProfileRunId).get("ColumnProfiles")
+            else:
+                profiled = None if df is None else profile(df)
+            if profiled is None:
+                return self._finish(run, "NODATA", EMPTY)
+            counts = value_counts(df, counted) if counted and df is not None else None
+            own = F.lit(run["RunId"])
+            if counts is not None:
+                self.append(suggested_values(profiled, counts).withColumn("RunId", own), "values")
+            self.append(suggest(profiled, counts).withColumn("RunId", own), "suggestions")
+            return self._finish(run, "SUCCEEDED")
 
     def get_data_quality_rule_recommendation_run(self, RunId: str) -> dict:
         """The run with its suggestions as a DataFrame, one row per suggestion."""
@@ -199,6 +237,13 @@ class DataQuality:
             run["ConstraintSuggestions"] = rows.orderBy("column_name", "suggesting_rule")
         return run
 
+    def value_sets(self, RunId: str) -> dict[str, DataFrame]:
+        """The values that the suggestions of a run refer to, by the names they use."""
+        if not self.has("values"):
+            return {}
+        suggestions = self.table("suggestions").where(F.col("RunId") == RunId)
+        return value_sets(suggestions, self.table("values").where(F.col("RunId") == RunId))
+
     get_data_quality_suggestions = get_data_quality_rule_recommendation_run
 
     def recommend_ruleset(self, table_name: str, RunId: str, database: str = "default") -> dict:
@@ -224,18 +269,23 @@ class DataQuality:
         run = self._start(
             "evaluation", DataSource=json.dumps(DataSource), RulesetNames=names
         )
-        df = read_source(self.spark, DataSource)
-        if df is None:
-            return self._finish(run, "NODATA", EMPTY)
-        rules = rules_of(explode_rules(self.rulesets(names)))
-        source = {k: v if isinstance(v, str) else json.dumps(v) for k, v in DataSource.items()}
-        results = evaluate(df, rules, references=references, as_of=as_of)
-        # One row per rule: judged once, then kept as local rows for the record.
-        judged = self.spark.createDataFrame(results.collect(), results.schema)
-        records = result_records(judged, run["RunId"], source, run["StartedOn"], _now())
-        self.append(records, "results")
-        ids = [r.ResultId for r in records.select("ResultId").orderBy("ResultId").collect()]
-        return self._finish(run, "SUCCEEDED", ResultIds=ids)
+        with self._recorded(run):
+            df = read_source(self.spark, DataSource)
+            if df is None:
+                return self._finish(run, "NODATA", EMPTY)
+            rulesets = self.rulesets(names)
+            rules = rules_of(explode_rules(rulesets))
+            tags = rulesets.select(F.col("Tags")["SuggestionRunId"].alias("run")).distinct().collect()
+            sets = [self.value_sets(t.run) for t in tags if t.run]
+            known = {name: df for own in sets for name, df in own.items()} | dict(references or {})
+            source = {k: v if isinstance(v, str) else json.dumps(v) for k, v in DataSource.items()}
+            results = evaluate(df, rules, references=known, as_of=as_of)
+            # One row per rule: judged once, then kept as local rows for the record.
+            judged = self.spark.createDataFrame(results.collect(), results.schema)
+            records = result_records(judged, run["RunId"], source, run["StartedOn"], _now())
+            self.append(records, "results")
+            ids = [r.ResultId for r in records.select("ResultId").orderBy("ResultId").collect()]
+            return self._finish(run, "SUCCEEDED", ResultIds=ids)
 
     def get_data_quality_ruleset_evaluation_run(self, RunId: str) -> dict:
         return self.get_run(RunId)

@@ -61,15 +61,30 @@ def first_written(records: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def latest_view(results: DataFrame, table: str = "table_name", run: str = "run_ts") -> DataFrame:
+# Tables up to which the newest run of each is sent to every task.
+SENT_TABLES, SALTS = 100_000, 64
+
+
+def latest_view(
+    results: DataFrame,
+    table: str = "table_name",
+    run: str = "run_ts",
+    sent_tables: int = SENT_TABLES,
+) -> DataFrame:
     """Rows of the newest run of each table, all of them.
 
-    The newest run per table is a small aggregate that the rows are filtered against; no
-    table's rows are gathered in one task, as a ranking window would do.
+    The newest run per table is a row per table. These are counted: up to ``sent_tables`` they are
+    sent to the rows, which then are not shuffled at all. More are joined under a salt from where the
+    row is read, since all rows of one run have the same key.
     """
     newest = results.groupBy(ref(table).alias("_t")).agg(F.max(ref(run)).alias("_r"))
     same = ref(table).eqNullSafe(F.col("_t")) & (ref(run) == F.col("_r"))
-    return results.join(newest, same, "left_semi")
+    if newest.limit(sent_tables + 1).count() <= sent_tables:
+        return results.join(F.broadcast(newest), same, "left_semi")
+    salt = F.pmod(F.xxhash64(*[ref(c).cast("string") for c in (table, run)], F.spark_partition_id()), F.lit(SALTS))
+    every = newest.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = results.withColumn("_salt", salt.cast("int"))
+    return salted.join(every, same & (F.col("_salt") == F.col("_s")), "left_semi").drop("_salt")
 
 
 def series_view(results: DataFrame) -> DataFrame:
@@ -86,6 +101,26 @@ def expire(records: DataFrame, as_of: Column | datetime, days: int = EXPIRY_DAYS
     return records.where(F.col("written_at") > as_of - F.make_dt_interval(F.lit(days)))
 
 
+def compact_records(
+    spark: SparkSession,
+    path: str,
+    target: str,
+    as_of: Column | datetime | None = None,
+    days: int = EXPIRY_DAYS,
+) -> None:
+    """Writes the versions still alive to ``target``, a new folder, with one folder per day.
+
+    The many small folders of single writes are left as they are; writers go on in ``target``.
+    A read of some days there lists these days' folders only (``write_id`` is ``d-`` and the day).
+    """
+    versions = read_records(spark, path)
+    if versions is None:
+        return
+    living = expire(versions, F.current_timestamp() if as_of is None else as_of, days)
+    day = F.concat(F.lit("d-"), F.date_format("written_at", "yyyy-MM-dd"))
+    living.withColumn(WRITE, day).repartition(WRITE).write.partitionBy(WRITE).parquet(target)
+
+
 def flatten(records: DataFrame, nested: str) -> DataFrame:
     """Nested record lists (profiles, suggestions, rule results) as flat rows."""
     outer = [c for c in records.columns if c != nested]
