@@ -125,4 +125,42 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_repeats": op9_repeats,
     "op10_lines": op10_lines,
 }
-ORACLES: dict[str, str] = {}
+
+#: DuckDB's view of the contracts that SQL can state.
+_LOWER = "translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ITEM_WORDS = (
+    "regexp_extract_all(" + _LOWER.format(t="text") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLES: dict[str, str] = {
+    "op2_decontamination": f"""WITH
+    i AS (SELECT item_id, w, least(10, len(w)) AS s FROM (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark)
+        WHERE len(w) > 0),
+    g AS (SELECT DISTINCT item_id, s, array_to_string(w[p:p + s - 1], ' ') AS run
+        FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS p FROM i)),
+    d AS (SELECT doc_id, coalesce({_ITEM_WORDS}, []) AS w FROM documents),
+    r AS (SELECT doc_id, s, p, array_to_string(w[p:p + s - 1], ' ') AS run FROM (
+        SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS p FROM d, (SELECT DISTINCT s FROM g) WHERE len(w) >= s)),
+    h AS (SELECT doc_id, item_id, p, s FROM r JOIN g USING (s, run)),
+    n AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + s)) AS q FROM h) GROUP BY 1),
+    m AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM h) GROUP BY 1)
+    SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+    coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op4_quality_rules": r"""WITH
+    d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+        FROM documents),
+    g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, run) AS c FROM (
+        SELECT doc_id, p, w[p:p + 4] AS run FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS p FROM d WHERE len(w) > 4))),
+    r AS (SELECT doc_id, count(DISTINCT q) AS n FROM (SELECT doc_id, unnest(range(p, p + 5)) AS q FROM g WHERE c > 1) GROUP BY 1),
+    m AS (SELECT doc_id, len(w)::BIGINT AS n_words,
+        coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+        (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+        FROM d LEFT JOIN r USING (doc_id)),
+    b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+    SELECT *, NOT base_failed AND word_chars BETWEEN 2 * n_words AND 20 * n_words AND 4 * n_symbols <= n_words
+        AND 10 * n_dup_lines <= n_words AS kept FROM b""",
+}
