@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -13,6 +15,19 @@ from plumbline.scratch import scratch_path
 OWN = "__own_"
 
 
+def mapped(df: DataFrame) -> DataFrame:
+    """The frame, about to be mapped in Python: workers that see this folder find the package in it.
+
+    A cluster without a shared folder for code gets the package by ``--py-files``.
+    """
+    environment = df.sparkSession.sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return df
+
+
 def kind(df: DataFrame, column: str) -> T.DataType:
     """The type of a column, names compared as Spark compares them."""
     return df.select(column).schema[0].dataType
@@ -52,7 +67,7 @@ def map_batches(
                     schema=arrow,
                 )
 
-    return df.mapInArrow(run, schema)
+    return mapped(df).mapInArrow(run, schema)
 
 
 def T_to_arrow(schema: T.StructType) -> pa.Schema:

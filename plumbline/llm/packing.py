@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from plumbline.llm.common import kind, text_rows
+from plumbline.llm.common import kind, mapped, text_rows
 
 #: Tokens that open windows may hold before they fill one another up.
 HOLD = 4_000_000
@@ -274,7 +274,7 @@ def pack(
         if windows.full:
             yield rows(windows.take())
 
-    return text_rows(docs, key, text).mapInArrow(run, schema)
+    return mapped(text_rows(docs, key, text)).mapInArrow(run, schema)
 
 
 def padding(sizes: np.ndarray, capacity: int = 4096) -> int:

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from plumbline.llm.common import kind, map_batches, written
+from plumbline.llm.common import kind, map_batches, mapped, written
 
 LENGTH, LEAD = 100, 32
 #: Bytes looked at together; contexts sorted together; contexts of one group for one task.
@@ -304,7 +304,7 @@ def _met(found: DataFrame, key: T.DataType) -> DataFrame:
             if made:
                 yield out(made)
 
-    return dealt.mapInArrow(run, schema)
+    return mapped(dealt).mapInArrow(run, schema)
 
 
 def _places(df: DataFrame, *columns: str) -> DataFrame:
@@ -385,7 +385,7 @@ def _sorted_buckets(contexts: DataFrame, key: T.DataType, length: int) -> DataFr
         if size:
             yield settle(pa.Table.from_batches(held))
 
-    return dealt.mapInArrow(run, schema)
+    return mapped(dealt).mapInArrow(run, schema)
 
 
 def _by_digest(contexts: DataFrame, key: T.DataType, length: int) -> DataFrame:

@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from plumbline.llm.common import OWN, kind, map_batches, text_rows, written
+from plumbline.llm.common import OWN, kind, map_batches, mapped, text_rows, written
 from plumbline.llm.components import roots
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -170,7 +170,8 @@ def links(fingerprints: DataFrame, radius: int = RADIUS, tree: int = TREE) -> Da
         free = max(64 - m.bit_count() for m in masks)
         small = sized if 1 << free <= tree else sized.where(F.col("n") <= tree)
         part = (
-            small.select("mask", "value", "fp")
+            mapped(small)
+            .select("mask", "value", "fp")
             .repartition("mask", "value")
             .sortWithinPartitions("mask", "value", "fp")
             .mapInPandas(search, schema)
