@@ -99,6 +99,10 @@ def _match(spark, d):
     "x05_schema_conformance",
     """SELECT 'p_partkey' AS column_name, 'bigint' AS expected_type, true AS present,
         count(p_partkey) AS cells, count(p_partkey) AS castable, 1.0::DOUBLE AS metric FROM part
+    UNION ALL SELECT 'p_name', 'string', true, count(p_name), count(p_name), 1.0 FROM part
+    UNION ALL SELECT 'p_type', 'date', true, count(p_type), 0, 0.0 FROM part
+    UNION ALL SELECT 'p_size', 'int', true, count(p_size), count(p_size), 1.0 FROM part
+    UNION ALL SELECT 'p_retailprice', 'double', true, count(p_retailprice), count(p_retailprice), 1.0 FROM part
     UNION ALL SELECT 'p_brand', 'int', true, count(p_brand),
         count(TRY_CAST(replace(p_brand, 'Brand#1', '1') AS INT)),
         round(count(TRY_CAST(replace(p_brand, 'Brand#1', '1') AS INT))::DOUBLE / count(p_brand), 6) FROM part
@@ -106,12 +110,10 @@ def _match(spark, d):
 )
 def _conformance(spark, d):
     part = table(spark, d, "part")
-    texts = part.select(
-        F.col("p_partkey").cast("string").alias("p_partkey"),
-        F.expr("replace(p_brand, 'Brand#1', '1')").alias("p_brand"),
-    )
-    wanted = part.select(
-        "p_partkey", F.lit(1).alias("p_brand"), F.lit("").alias("p_container")
+    shortened = part.withColumn("p_brand", F.expr("replace(p_brand, 'Brand#1', '1')"))
+    texts = shortened.select(*[F.col(c).cast("string").alias(c) for c in part.columns])
+    wanted = part.withColumns(
+        {"p_brand": F.lit(1), "p_type": F.lit(None).cast("date"), "p_container": F.lit("")}
     )
     return _rounded(X.schema_conformance(texts, wanted))
 

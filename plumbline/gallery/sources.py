@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import hashlib
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -36,10 +36,15 @@ _R.add(
 def _read_table(spark, d):
     """Orders through a catalog entry that points at their files."""
     path = f"{d}/orders.parquet"
-    name = "plumbline_orders_" + hashlib.md5(path.encode()).hexdigest()[:8]
-    if not spark.catalog.tableExists(f"default.{name}"):
-        spark.catalog.createTable(f"default.{name}", path=path, source="parquet")
-    return _by_status(readers.read_table(spark, "default", name))
+    name = "plumbline_orders_" + uuid.uuid4().hex[:8]
+    spark.catalog.createTable(f"default.{name}", path=path, source="parquet")
+    try:
+        # read once, so that the entry can go; the files are not the catalog's and stay
+        found = _by_status(readers.read_table(spark, "default", name))
+        rows = found.collect()  # a row per status
+        return spark.createDataFrame(rows, found.schema)
+    finally:
+        spark.sql(f"DROP TABLE default.{name}")
 
 
 _R.add(
@@ -167,11 +172,11 @@ def _append(spark, d):
 _R.add(
     "s11_latest_by_key",
     lambda spark, d: records.latest_by_key(
-        table(spark, d, "events").drop("props"), ["user_id"], ["ts", "event_id"]
+        table(spark, d, "events"), ["user_id"], ["ts", "event_id"]
     ),
     """SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, max(ts) AS ts,
-    arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value
-    FROM events GROUP BY user_id""",
+    arg_max(event_type, (ts, event_id)) AS event_type, arg_max(value, (ts, event_id)) AS value,
+    arg_max(props, (ts, event_id)) AS props FROM events GROUP BY user_id""",
 )
 
 

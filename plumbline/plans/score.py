@@ -15,6 +15,17 @@ def _of(status: str):
     return F.count_if(F.col("result") == status)
 
 
+def _counts(rules: str, by_status: Mapping[str, str]) -> Column:
+    """Number of rules and of each status as a map; of the statuses, only PASS and FAIL may be zero."""
+    return F.map_filter(
+        F.map_from_arrays(
+            F.array(F.lit("RULES"), *map(F.lit, by_status)),
+            F.array(*[F.col(c).cast("int") for c in (rules, *by_status.values())]),
+        ),
+        lambda k, v: (v > 0) | k.isin("RULES", "PASS", "FAIL"),
+    )
+
+
 def tally(
     results: DataFrame, by: Sequence[str] = RULESET, names: DataFrame | None = None
 ) -> DataFrame:
@@ -29,16 +40,7 @@ def tally(
     counted = results.groupBy(*by).agg(
         F.count("result").alias("rules"), *[_of(s).alias(s.lower()) for s in STATUSES]
     )
-    entries = [F.struct(F.lit("RULES").alias("key"), F.col("rules").cast("int").alias("value"))]
-    entries += [
-        F.struct(F.lit(s).alias("key"), F.col(s.lower()).cast("int").alias("value"))
-        for s in STATUSES
-    ]
-    # Only PASS and FAIL are always shown.
-    shown = F.map_filter(
-        F.map_from_entries(F.array(*entries)),
-        lambda k, v: (v > 0) | k.isin("RULES", "PASS", "FAIL"),
-    )
+    shown = _counts("rules", {s: s.lower() for s in STATUSES})
     return counted.withColumns(
         {"score": F.try_divide("pass", F.col("pass") + F.col("fail")), "tally": shown}
     )
@@ -107,12 +109,7 @@ def result_records(
         F.count(F.lit(1)).cast("int").alias("_rules"),
         *[_of(s).cast("int").alias(s) for s in STATUSES],
     )
-    counts = F.map_filter(
-        F.map_from_arrays(
-            F.array(F.lit("RULES"), *[F.lit(s) for s in STATUSES]), F.array("_rules", *STATUSES)
-        ),
-        lambda k, v: (v > 0) | k.isin("RULES", "PASS", "FAIL"),
-    )
+    counts = _counts("_rules", {s: s for s in STATUSES})
     source = [F.lit(x) for pair in data_source.items() for x in pair]
     return records.select(
         F.concat(F.lit(f"dqresult-{started}-"), *by).alias("ResultId"),

@@ -27,7 +27,9 @@ def test_profile_suggest_recommend_evaluate(spark, tables, tmp_path):
     assert profiled["Status"] == "SUCCEEDED" and profiled["CompletedOn"] >= profiled["StartedOn"]
     assert [r.column_name for r in profiled["ColumnProfiles"].collect()] == ["k", "v"]
 
-    run = dq.start_data_quality_rule_recommendation_run(source, ProfileRunId=profile_run["RunId"])
+    run = dq.start_data_quality_rule_recommendation_run(
+        source, ProfileRunId=profile_run["RunId"], counted=["v"]
+    )
     suggestions = dq.get_data_quality_suggestions(**run)["ConstraintSuggestions"]
     assert suggestions.count() == 4
     ruleset = dq.recommend_ruleset("good", run["RunId"])
@@ -120,6 +122,11 @@ def test_all_four_jobs(spark, tables, tmp_path):
     jobs.evaluate(str(tmp_path / "results"))
     last = {(r.object_id, r.step): r.status for r in jobs.steps().collect()}
     assert last[("good", "Step-Evaluate")] == "COMPLETED"
+    jobs.record_status()
+    recorded = {r.object_id: (r.status, r.file_counts) for r in jobs.recorded_status().collect()}
+    batch = recorded.pop(jobs.batch_id)
+    assert recorded == {"good": ("COMPLETED", None), "gone": ("ERROR", None)} or recorded["gone"][0] == "WARNING"
+    assert batch[0] in ("FAILED", "PARTIAL") and batch[1]["BATCH"] == 2 and batch[1]["COMPLETED"] == 1
     assert {r.Result for r in spark.read.parquet(str(tmp_path / "results")).collect()} == {"PASS"}
     runs = dq.table("runs").where("Kind = 'suggestion' AND Status <> 'RUNNING'")
     assert {r.Status for r in runs.collect()} == {"SUCCEEDED", "NODATA"}
