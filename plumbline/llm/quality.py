@@ -122,7 +122,8 @@ def estimate(
     texts = docs.select(F.col(text).cast("string").alias(OWN + "text"))
     # taken from the first partitions that have as many, however many there are
     taken = texts.where(F.length(OWN + "text") <= SAMPLE_CHARS).take(rows)
-    sample = docs.sparkSession.createDataFrame(taken, texts.schema)
+    listed = F.array(*[F.lit(r[0]) for r in taken]).cast("array<string>")
+    sample = docs.sparkSession.range(0, 1, 1, 1).select(F.explode(listed).alias(OWN + "text"))
     columns = measures(OWN + "text")
     found = []
     for rule in rules:
