@@ -13,6 +13,7 @@ columns of the input with the names of measures are not touched.
 
 from __future__ import annotations
 
+import json
 import time
 from dataclasses import dataclass
 
@@ -122,7 +123,8 @@ def estimate(
     texts = docs.select(F.col(text).cast("string").alias(OWN + "text"))
     # taken from the first partitions that have as many, however many there are
     taken = texts.where(F.length(OWN + "text") <= SAMPLE_CHARS).take(rows)
-    listed = F.array(*[F.lit(r[0]) for r in taken]).cast("array<string>")
+    # one literal: hundreds of them would swell the generated code
+    listed = F.from_json(F.lit(json.dumps([r[0] for r in taken])), "array<string>")
     sample = docs.sparkSession.range(0, 1, 1, 1).select(F.explode(listed).alias(OWN + "text"))
     columns = measures(OWN + "text")
     found = []
