@@ -229,14 +229,12 @@ def _kll_buckets(spark, d):
     """Bucket counts of the sketch beside the exact ones: within 2 % of all rows."""
     orders = table(spark, d, "orders")
     found = A.kll_buckets(orders, "o_totalprice", 20)
-    bounds = orders.agg(F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"), F.count(F.lit(1)).alias("rows"))
-    place = F.ceil((F.col("o_totalprice") - F.col("lo")) / ((F.col("hi") - F.col("lo")) / 20)) - 1
-    exact = (
-        orders.join(F.broadcast(bounds))
-        .groupBy(F.least(F.greatest(place, F.lit(0)), F.lit(19)).cast("int").alias("bucket"), "rows")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    near = F.abs(F.col("count") - F.col("n")) <= 0.02 * F.col("rows")
+    price = F.col("o_totalprice")
+    lo, hi, rows = orders.agg(F.min(price), F.max(price), F.count(price)).first()
+    place = F.ceil((price - lo) / ((hi - lo) / 20)) - 1
+    bucket = F.least(F.greatest(place, F.lit(0)), F.lit(19)).cast("int")
+    exact = orders.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    near = F.abs(F.col("count") - F.col("n")) <= 0.02 * rows
     return exact.join(found, "bucket").select("bucket", "n", near.alias("within_bound"))
 
 
