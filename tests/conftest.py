@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -11,6 +12,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
+    folder = tempfile.mkdtemp(prefix="plumbline-tests-")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("plumbline-tests")
@@ -18,6 +20,8 @@ def spark():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
+        .config("spark.checkpoint.dir", f"{folder}/checkpoints")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
