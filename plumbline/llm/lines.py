@@ -1,12 +1,16 @@
 """Line deduplication by winnowing over line hashes.
 
-A *run* is the fewest whole lines from some line on that together have ``min_words`` words; lines
-without a word are passed over. Winnowing picks from each run the line with the least hash (the first
-of equals), so equal runs have the same pick wherever they stand: a guaranteed fingerprint. Positions
-are joined on fingerprints, and around a shared one the runs on both sides are compared by their
-digests: every run that also starts earlier (in a document of smaller id, or before in the same one)
-is repeated, and overlapping repeated runs make a match as long as it can be extended both ways. The
-lines of all later occurrences are deleted; the first stays.
+A *run* is the fewest whole lines from some line on, or up to some line, that together have
+``min_words`` words; lines without a word are passed over. Winnowing picks from each run the line with
+the least hash (the first of equals) as its fingerprint; runs are grouped by fingerprint and digest of
+all their lines, so that only equal ones meet. Every run that also starts earlier (in a document of
+smaller id, or before in the same one) is repeated. The lines of all later occurrences are deleted;
+the first stays.
+
+Together these are all lines of all maximal repeated passages of ``min_words`` words or more: in such a
+passage each line either has that many words up to it, and then ends a run inside the passage, or has
+fewer, and then lies in the run that begins with the passage. Whether lines make a run is seen from
+them alone, so equal ones are runs wherever they stand, and no match has to be extended from there.
 
 The comparison groups for the least position, which combines before the shuffle, and joins back,
 which can be split; a line that stands in a third of all documents is spread. Within a batch,
@@ -41,6 +45,28 @@ def shaped(text: str | None) -> tuple[list[int], list[bytes], list[int]]:
     return number, lines, words
 
 
+def shortest_runs(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """First line and one past the last of the fewest lines from each line on, and up to each line."""
+    out, end, total = [], 0, 0
+    for start, own in enumerate(words):
+        while end < len(words) and total < min_words:
+            total += words[end]
+            end += 1
+        if total < min_words:
+            break
+        out.append((start, end))
+        total -= own
+    start = total = 0
+    for last, own in enumerate(words):
+        total += own
+        while total - words[start] >= min_words:
+            total -= words[start]
+            start += 1
+        if total >= min_words:
+            out.append((start, last + 1))
+    return sorted(set(out))
+
+
 def winnowed(text: str | None, min_words: int) -> list[tuple[int, int, int, bytes]]:
     """Per run: first line, one past the last, fingerprint, digest."""
     from xxhash import xxh3_64_intdigest
@@ -49,23 +75,20 @@ def winnowed(text: str | None, min_words: int) -> list[tuple[int, int, int, byte
     if sum(words) < min_words:
         return []
     hashes = [xxh3_64_intdigest(x) for x in lines]
-    out, end, total = [], 0, 0
+    out, seen = [], 0
     least: list[int] = []  # lines that may yet be least, from small to large hash
     head = 0
-    for start in range(len(lines)):
-        while end < len(lines) and total < min_words:
-            while len(least) > head and hashes[least[-1]] > hashes[end]:
+    # in this order neither the first line nor the last ever goes back
+    for start, end in shortest_runs(words, min_words):
+        for i in range(seen, end):
+            while len(least) > head and hashes[least[-1]] > hashes[i]:
                 least.pop()
-            least.append(end)
-            total += words[end]
-            end += 1
-        if total < min_words:
-            break
-        if least[head] < start:
+            least.append(i)
+        seen = max(seen, end)
+        while least[head] < start:
             head += 1
         digest = hashlib.blake2b(b"\n".join(lines[start:end]), digest_size=16).digest()
         out.append((number[start], number[end - 1] + 1, hashes[least[head]], digest))
-        total -= words[start]
     return out
 
 

@@ -268,6 +268,42 @@ def test_lines_of_an_empty_table(spark):
     assert lines.dedupe_lines(frame).collect() == [] and lines.line_report(frame).collect() == []
 
 
+def brute_passages(docs, min_words):
+    """Lines of every run, of any length from min_words words on, that also starts earlier: line numbers by document."""
+    seen, out = {}, {}
+    for key, text in sorted(docs):
+        own = [(i, x.strip()) for i, x in enumerate((text or "").split("\n")) if x.strip()]
+        out[key] = set()
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                run = tuple(x for _, x in own[a:b])
+                if sum(len(x.split()) for x in run) >= min_words and seen.setdefault(run, (key, a)) != (key, a):
+                    out[key] |= {i for i, _ in own[a:b]}
+    return out
+
+
+def test_lines_to_the_end_of_a_repeated_passage(spark):
+    passage = "\n".join(["a line of the twelve words that both documents have in common", "three words more", "two more"])
+    docs = [(1, f"{passage}\nhere the first goes on"), (2, f"other start\n{passage}\nthen the second differs"), (3, f"{passage}\nand once more")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.dedupe_lines(frame).collect()}
+    assert got == {1: docs[0][1], 2: "other start\nthen the second differs", 3: "and once more"}
+    assert {r["doc_id"]: r["n_deleted"] for r in lines.line_report(frame).collect()} == {1: 0, 2: 3, 3: 3}
+
+
+def test_lines_of_all_repeated_passages(spark):
+    rnd = random.Random(10)
+    pool = [prose(rnd, rnd.choice([1, 1, 2, 3, 8, 11])) for _ in range(9)] + ["", " "]
+    docs = list(enumerate("\n".join(rnd.choice(pool) for _ in range(rnd.randint(0, 20))) for _ in range(60)))
+    want = brute_passages(docs, 10)
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"]: r["n_deleted"] for r in lines.line_report(frame).collect()} == {k: len(v) for k, v in want.items()}
+    got = {r["doc_id"]: r["text"] for r in lines.dedupe_lines(frame).collect()}
+    for key, text in docs:
+        kept = [x for i, x in enumerate(text.split("\n")) if i not in want[key] and x.strip()]
+        assert [x for x in (got.get(key) or "").split("\n") if x.strip()] == kept
+
+
 # HTML ------------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
