@@ -14,7 +14,8 @@ them alone, so equal ones are runs wherever they stand, and no match has to be e
 
 The comparison groups for the least position, which combines before the shuffle, and joins back,
 which can be split; a line that stands in a third of all documents is spread. Within a batch,
-repeats are found before anything is shuffled.
+repeats are found before anything is shuffled. Equal rows have the same runs, which are gathered
+once, so what is gathered is bounded by the text whatever the number of its rows.
 
 Defined cases: a null or empty text has no lines and stays; texts of fewer than ``min_words`` words
 stay; lines are compared without the white space at their ends; a null ``doc_id`` counts as the
@@ -177,7 +178,7 @@ def dedupe_lines(
     found = (
         repeated_runs(short, min_words)
         .groupBy(F.col("doc").alias(OWN + "d"), F.col("tie").alias(OWN + "t"))
-        .agg(F.collect_list(F.struct("begin", "end")).alias(count))
+        .agg(F.collect_set(F.struct("begin", "end")).alias(count))
     )
     joined = rows.join(
         found, F.col(key).eqNullSafe(F.col(OWN + "d")) & (F.col(tie) == F.col(OWN + "t")), "left"
@@ -216,7 +217,7 @@ def line_report(
     found = (
         repeated_runs(rows, min_words)
         .groupBy(F.col("doc").alias("d"), F.col("tie").alias("t"))
-        .agg(F.collect_list(F.struct("begin", "end")).alias("own"))
+        .agg(F.collect_set(F.struct("begin", "end")).alias("own"))
     )
     joined = rows.join(found, rows.doc.eqNullSafe(F.col("d")) & (rows.tie == F.col("t")), "left")
     schema = T.StructType(

@@ -308,8 +308,8 @@ def _met(found: DataFrame, key: T.DataType) -> DataFrame:
 
 
 def _places(df: DataFrame, *columns: str) -> DataFrame:
-    """Per document the list of what it has, at most some for each of its bytes."""
-    return df.groupBy("doc", "tie").agg(F.collect_list(F.struct(*columns)).alias("own"))
+    """Per document what it has, at most some for each of its bytes: equal rows have the same, which counts once."""
+    return df.groupBy("doc", "tie").agg(F.collect_set(F.struct(*columns)).alias("own"))
 
 
 def _joined(rows: DataFrame, own: DataFrame, how: str) -> DataFrame:

@@ -113,6 +113,18 @@ def test_repeated_rows_and_ties(spark):
     assert len(same) == 2 and same[0] == same[1]
 
 
+def test_equal_rows_gather_their_places_once(spark, monkeypatch):
+    text = " ".join(passages(6, 4))
+    frame = spark.createDataFrame([(0, text)] + [(1, text)] * 40, "doc_id long, text string").repartition(4)
+    seen, map_batches = [], repeats.map_batches
+    monkeypatch.setattr(repeats, "map_batches", lambda df, make, schema: (seen.append(df), map_batches(df, make, schema))[1])
+    rows = repeats.remove_repeats(frame).collect()
+    assert [r["n_removed"] for r in rows if r["doc_id"] == 1] == [len(text.encode())] * 40
+    for df in (x for x in seen if "own" in x.columns):
+        for r in df.collect():
+            assert len(r["own"] or ()) == len(set(r["own"] or ()))
+
+
 def test_empty_table(spark):
     frame = spark.createDataFrame([], "doc_id string, text string, tie int, own int")
     assert repeats.remove_repeats(frame).collect() == []

@@ -304,6 +304,18 @@ def test_lines_of_all_repeated_passages(spark):
         assert [x for x in (got.get(key) or "").split("\n") if x.strip()] == kept
 
 
+def test_equal_rows_gather_their_runs_once(spark, monkeypatch):
+    text = "\n".join(f"line {i} of the many that the first one has too" for i in range(6))
+    frame = spark.createDataFrame([(0, text)] + [(1, text)] * 40 + [(2, "a line\n" + text)], "doc_id long, text string").repartition(4)
+    seen, map_batches = [], lines.map_batches
+    monkeypatch.setattr(lines, "map_batches", lambda df, make, schema: (seen.append(df), map_batches(df, make, schema))[1])
+    assert [tuple(r) for r in lines.dedupe_lines(frame).orderBy("doc_id").collect()] == [(0, text), (2, "a line")]
+    gathered = seen[-1]
+    assert sorted(r["doc_id"] for r in lines.line_report(frame).where("n_deleted = 6").collect()) == [1] * 40 + [2]
+    for df in (gathered, seen[-1]):
+        assert max(len(r[-1] or ()) for r in df.collect()) == 6
+
+
 # HTML ------------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head>
