@@ -13,8 +13,10 @@ in the same pass.
 Words are runs of ASCII letters, digits and all characters beyond ASCII, with A-Z lower-cased.
 
 Defined cases: a null or empty text has no words and is clean; a null item has none and matches
-nothing; repeated items all count; repeated rows of documents each give a row; an empty benchmark
-leaves all clean; other columns of either table are not read.
+nothing; an item with a null key hits like any other, and all such items together are one null among a
+document's items: ``n_items`` counts it as one, ``items_sha256`` passes over it; repeated items all
+count, those of one key and different texts too; repeated rows of documents each give a row; an empty
+benchmark leaves all clean; other columns of either table are not read.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ def words_of(text: str | None) -> list[bytes]:
 class Automaton:
     """Generalised suffix automaton of word sequences, with what a hit needs to know per state."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int):
         self.window = window
         self.vocabulary: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -98,10 +100,10 @@ class Automaton:
             state = self.link[state]
         return state
 
-    def _name(self, runs: list[tuple[str, list[int]]]) -> None:
+    def _name(self, runs: list[tuple[str | None, list[int]]]) -> None:
         """Which items a window at a state means: whole windows, and items shorter than one."""
-        self.items: dict[int, set[str]] = {}
-        short: dict[int, dict[str, int]] = {}
+        self.items: dict[int, set[str | None]] = {}
+        short: dict[int, set[tuple[str | None, int]]] = {}
         for name, ids in runs:
             state = length = 0
             for c in ids:
@@ -109,17 +111,17 @@ class Automaton:
                 if length >= self.window:
                     self.items.setdefault(self._whole(state), set()).add(name)
             if len(ids) < self.window:
-                short.setdefault(state, {})[name] = len(ids)
+                short.setdefault(state, set()).add((name, len(ids)))
         #: state -> the short items that end wherever the state's runs do
-        self.short: dict[int, dict[str, int]] = {}
+        self.short: dict[int, set[tuple[str | None, int]]] = {}
         if short:
             for state in sorted(range(1, len(self.next)), key=self.length.__getitem__):
-                above = self.short.get(self.link[state], {})
-                own = short.get(state, {})
+                above = self.short.get(self.link[state], set())
+                own = short.get(state, set())
                 if above or own:
-                    self.short[state] = {**above, **own}
+                    self.short[state] = above | own if own else above
 
-    def hits(self, words: list[bytes], mask: bytearray, found: set[str]) -> None:
+    def hits(self, words: list[bytes], mask: bytearray, found: set[str | None]) -> None:
         """Mark the hit words and add the items that occur."""
         flags = bytes(map(self.vocabulary.__contains__, words))
         for run in re.finditer(rb"\x01{%d,}" % self.shortest, flags):
@@ -130,7 +132,7 @@ class Automaton:
                 if length >= self.window:
                     reach = self.window
                     found |= self.items[self._whole(state)]
-                for name, size in self.short.get(state, {}).items():
+                for name, size in self.short.get(state, ()):
                     if size <= length:
                         reach = max(reach, size)
                         found.add(name)
@@ -138,11 +140,11 @@ class Automaton:
                     mask[i + 1 - reach : i + 1] = b"\x01" * reach
 
 
-def blocks(items: DataFrame, key: str, text: str, size: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+def blocks(items: DataFrame, key: str, text: str, size: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
     """The items in order of their names, a bounded block at a time."""
     rows = items.select(
         F.col(key).cast("string").alias("item"), F.col(text).cast("string").alias("text")
-    ).where("item IS NOT NULL AND text IS NOT NULL")
+    ).where("text IS NOT NULL")
     block, n = [], 0
     for row in rows.toLocalIterator():
         words = words_of(row["text"])
@@ -164,7 +166,7 @@ def sent(docs: DataFrame, items: DataFrame, key: str, text: str, window: int, si
 def matcher(automata: list):
     """Words -> mask of the hit ones and names of the items, over all blocks."""
 
-    def match(words: list[bytes]) -> tuple[bytearray, set[str]]:
+    def match(words: list[bytes]) -> tuple[bytearray, set[str | None]]:
         mask, found = bytearray(len(words)), set()
         for a in automata:
             a.value.hits(words, mask, found)
@@ -246,7 +248,7 @@ def decontaminate(
                 n = mask.count(1)
                 out["n_words"].append(len(words))
                 out["n_hit"].append(n)
-                out["item_ids"].append(sorted(found))
+                out["item_ids"].append(sorted(found, key=lambda x: (x is None, x or "")))
                 out["spans"].append([{"word": a, "words": b - a} for a, b in spans_of(mask)])
                 out["contaminated"].append(n > 0)
                 if with_text:

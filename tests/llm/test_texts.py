@@ -7,11 +7,13 @@ import itertools
 import random
 import re
 
+import duckdb
 import pytest
 import xxhash
 
 from plumbline.llm import decontamination, html_text, lines, quality, simhash
 from plumbline.llm.components import roots
+from plumbline.llm.queries import ORACLES, QUERIES
 
 WEIRD = ["", None, " \t\n", "one", "one two", "A b C", "ünï cödé wörds hére", "x " * 3000, "\x1c odd \x1c"]
 
@@ -169,6 +171,23 @@ def test_remove_contamination_keeps_the_rest(spark):
     assert decontamination.remove_contamination(frame.limit(0), bench).count() == 0
 
 
+def test_items_without_a_key(spark, tmp_path):
+    long = [" ".join(f"{x}{i}" for i in range(14)) for x in "abc"]
+    items = [(None, long[0]), (None, long[1]), (7, long[2]), (None, "three short words"), (None, "words"), (8, "deep blue sea"), (8, "sea"), (None, None)]
+    docs = [f"so {long[0]} on", f"{long[1]} and {long[2]}", long[2], "of words", "three short words", "blue sea", "nothing", None]
+    folder = str(tmp_path)
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    found = QUERIES["op2_decontamination"](spark, folder)
+    tables = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        tables.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet/*.parquet'")
+    assert sorted(map(tuple, found.collect())) == sorted(tables.execute(ORACLES["op2_decontamination"]).fetchall())
+    assert [r["n_hit"] for r in found.orderBy("doc_id").collect()] == [14, 28, 14, 1, 3, 1, 0, 0]
+    clean = decontamination.remove_contamination(spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/benchmark.parquet"), max_coverage=0.9)
+    assert {r["doc_id"]: r["text"] for r in clean.collect()} == {0: "so  on", 3: "of ", 5: "blue ", 6: "nothing", 7: None}
+
+
 # Quality ---------------------------------------------------------------------------------------
 
 
