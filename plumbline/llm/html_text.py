@@ -4,9 +4,14 @@ The standard library's streaming parser turns a page into lines: a line ends whe
 starts or ends. A line's ratio is its characters over the tags met on it; lines in elements that
 are never content (menus, forms, adverts, comments and the like, by element, role, class or id)
 have ratio zero. Ratios are smoothed over neighbouring lines with a Gaussian and parted into two
-clusters by the threshold halfway between the clusters' means. Lines above it are content; so is,
-of the other lines, what stands in the same region: the same ``article`` or ``main`` element, or
-else between two content lines of the same container. Never-content lines stay out everywhere.
+clusters by the threshold halfway between the clusters' means. Lines above it are content, and
+choose what is taken whole, other lines included. Where most of their characters stand in ``article``
+or ``main`` elements, these are the regions: each with a line above the threshold by its own ratio too,
+not by its neighbours' alone. An article in an article is part of it; one in ``main`` is a region of its
+own, and with it go the lines that ``main`` has outside its articles. Elsewhere it is the content lines
+and, with all in them, the containers that have such a line; of ``body`` itself only its own lines and
+its lists, quotes, tables and figures, as the rest is the whole page. Never-content lines stay out
+everywhere.
 
 Character references are decoded by the parser; white space in a line becomes one blank.
 
@@ -43,6 +48,9 @@ NEVER = frozenset(
 #: Elements inside which a paragraph or list item stays open until its container ends.
 CONTAINER = BLOCK - frozenset("p li dt dd option h1 h2 h3 h4 h5 h6".split())
 REGION = frozenset(("article", "main"))
+#: The page itself, and what belongs to the text around it wherever it stands.
+PAGE = frozenset(("", "html", "body"))
+FLOW = frozenset("blockquote details dl figure ol pre table ul".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search "
     "toolbar".split()
@@ -64,12 +72,15 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: open elements: name, never content, in a region, number of the container
-        self.open: list[tuple[str, bool, bool, int]] = [("", False, False, 0)]
+        #: open elements: name, never content, number of the region or 0, number of the container
+        self.open: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
         self.parts: list[str] = []
-        self.tags = self.containers = 0
-        #: text, tags, never content, in a region, container
-        self.lines: list[tuple[str, int, bool, bool, int]] = []
+        self.tags = 0
+        #: of each container its name and the one around it; of each region whether an article, and the one around it
+        self.containers: list[tuple[str, int]] = [("", 0)]
+        self.regions: list[tuple[bool, int]] = [(False, 0)]
+        #: text, tags, never content, region, container
+        self.lines: list[tuple[str, int, bool, int, int]] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
@@ -108,11 +119,14 @@ class Lines(HTMLParser):
         if not never and attrs:
             never = self._marked(dict(attrs), region)
         if tag in CONTAINER:
-            self.containers += 1
-            container = self.containers
-        self.open.append((tag, never, region or tag in REGION, container))
-
-    def _marked(self, attrs: dict, region: bool) -> bool:
+            self.containers.append((tag, container))
+            container = len(self.containers) - 1
+        if tag in REGION and not self.regions[region][0]:
+            self.regions.append((tag == "article", region))
+            region = len(self.regions) - 1
+        self.open.append((tag, never, region, container))
+
+    def _marked(self, attrs: dict, region: int) -> bool:
         if "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
         if (attrs.get("role") or "").lower() in ROLES:
@@ -143,7 +157,7 @@ class Lines(HTMLParser):
         if self.open[-1][0] not in ("script", "style"):
             self.parts.append(data)
 
-    def page(self, html: str) -> list[tuple[str, int, bool, bool, int]]:
+    def page(self, html: str) -> list[tuple[str, int, bool, int, int]]:
         self.feed(html)
         self.close()
         self.end_line()
@@ -176,7 +190,8 @@ def threshold(values: np.ndarray) -> float:
 
 def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """The content lines of a page, joined by line breaks."""
-    lines = Lines().page(html) if html else []
+    parser = Lines()
+    lines = parser.page(html) if html else []
     if not any(not never for _, _, never, _, _ in lines):
         return ""
     ratios = np.array(
@@ -184,19 +199,28 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     )
     smooth = smoothed(ratios, sigma)
     open_ = np.array([not never for _, _, never, _, _ in lines])
-    content = (smooth >= threshold(smooth)) & open_
+    least = threshold(smooth)
+    content = (smooth >= least) & open_
     if not content.any():  # the smooth peak lies on lines that are never content
         content = open_ & (smooth >= smooth[open_].max())
-    in_region = np.array([region for _, _, _, region, _ in lines])
+    strong = content & (ratios >= least)
+    if not strong.any():
+        strong = content
+    regions = np.array([region for *_, region, _ in lines])
     containers = np.array([c for *_, c in lines])
-    if (content & in_region).any():
-        chosen = open_ & in_region
+    sizes = np.array([len(text) for text, *_ in lines])
+    if 2 * sizes[strong & (regions > 0)].sum() >= sizes[strong].sum():
+        taken = set(regions[strong & (regions > 0)].tolist())
+        for region in list(taken):
+            while region := parser.regions[region][1]:
+                taken.add(region)
+        chosen = open_ & np.isin(regions, list(taken))
     else:
-        chosen = content.copy()
-        for c in set(containers[content].tolist()):
-            own = np.flatnonzero(content & (containers == c))
-            inside = np.arange(len(lines))
-            chosen |= open_ & (containers == c) & (inside >= own[0]) & (inside <= own[-1])
+        whole = np.zeros(len(parser.containers), bool)
+        whole[containers[strong]] = True
+        for c, (name, around) in enumerate(parser.containers):
+            whole[c] |= whole[around] and (name in FLOW or parser.containers[around][0] not in PAGE)
+        chosen = open_ & (content | whole[containers])
     return "\n".join(lines[i][0] for i in np.flatnonzero(chosen))
 
 

@@ -362,6 +362,34 @@ def test_odd_pages(html):
     assert html_text.main_text("<div class=ad>x</div>") == ""
 
 
+LONG = ["<p>%s</p>" % (f"Sentence {i} of the text that this page is about. " * 12).strip() for i in range(10)]
+SHORT = "Some more of them".split()
+
+
+def test_page_without_article():
+    words = "".join(f"<p>{w}</p>" for w in SHORT) + "<ul><li>first<li>last</ul>"
+    text = html_text.main_text(f"<body><div class=menu><p>a</p></div><div><h1>Head</h1>{''.join(LONG)}{words}</div><div>elsewhere</div>" + "<div><p>x</p></div>" * 9)
+    assert [x for x in text.split("\n") if not x.startswith("Sentence")][:7] == ["Head", *SHORT, "first", "last"]
+    assert text.count("Sentence 9") == 12 and "\nx" not in text
+    # directly in the body: its own lines and lists, not all of the page
+    text = html_text.main_text(f"<body>{''.join(LONG)}{words}" + "<div><p>x</p></div>" * 9)
+    assert text.split("\n")[10:] == [*SHORT, "first", "last"]
+
+
+def test_page_of_several_articles():
+    cards = "".join(f"<article><h2>Card {i}</h2><p>Read on</p></article>" for i in range(9))
+    story = f"<article><h1>Story</h1>{''.join(LONG)}<p>End</p></article>"
+    for page in (f"<main><h1>Site</h1>{story}{cards}</main>", f"<main><h1>Site</h1>{cards}{story}</main>"):
+        text = html_text.main_text(page)
+        assert "Card" not in text and "Read on" not in text
+        assert text.startswith("Site\nStory\nSentence 0") and text.endswith("\nEnd")
+    # both stories are content; cards beside a text in a div are not
+    both = html_text.main_text(f"{story}{cards}{story.replace('Story', 'Other')}")
+    assert "Story" in both and "Other" in both and "Card" not in both
+    text = html_text.main_text(f"<div><h1>Head</h1>{''.join(LONG)}<p>End</p></div>{cards}")
+    assert text.startswith("Head\nSentence 0") and "\nEnd" in text and "Card 5" not in text
+
+
 def test_extract(spark):
     frame = spark.createDataFrame([(1, "u", PAGE % "<article><p>Héllo there</article>", "x"), (2, None, None, "y")], "page_id long, url string, html string, text string")
     rows = {r["page_id"]: tuple(r)[1:] for r in html_text.extract(frame).collect()}
