@@ -1 +1 @@
-"""Operators for training data: ten ways to clean, judge and pack a corpus. Nothing else imports them."""
+"""Operators for training data: thirteen ways to clean, judge, search and pack a corpus. Nothing else imports them."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from itertools import chain
 from pathlib import Path
 
 import pyarrow as pa
@@ -46,17 +47,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def raw(column: pa.Array) -> list[bytes | None]:
+    """The bytes of a text column, as they are stored, be they UTF-8 or not."""
+    return column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist()
+
+
+def strings(column: pa.Array) -> list[str | None]:
+    """The texts of a column; bytes that are no UTF-8 become U+FFFD, as Spark's own functions read them."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        return [None if b is None else b.decode("utf-8", "replace") for b in raw(column)]
+
+
 def map_batches(
     df: DataFrame,
-    make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict] | dict | None]],
+    make: Callable[[], Callable[[pa.RecordBatch | None], Iterator[dict] | dict | None]],
     schema: T.StructType,
+    finish: bool = False,
 ) -> DataFrame:
-    """Each Arrow batch through a function made once per task; it gives columns as lists or arrays."""
+    """Each Arrow batch through a function made once per task; it gives columns as lists or arrays.
+
+    With ``finish`` the function is called once more, with None, after a task's last batch.
+    """
     arrow = T_to_arrow(schema)
 
     def run(batches):
         work = make()
-        for batch in batches:
+        for batch in chain(batches, [None]) if finish else batches:
             made = work(batch)
             for columns in [made] if isinstance(made, dict) else made or ():
                 yield pa.RecordBatch.from_arrays(

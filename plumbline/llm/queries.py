@@ -12,11 +12,14 @@ from plumbline.llm import (
     language,
     lines,
     packing,
+    periodic,
     quality,
+    ranking,
     repeats,
     secrets,
     simhash,
     toxicity,
+    warc,
 )
 from plumbline.llm.common import fold
 
@@ -113,6 +116,71 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per test item: the ten documents of the highest score above 0."""
+    return ranking.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per page: its record as read back from the archives that all pages were written to."""
+    pages = table(spark, sf_dir, "pages")
+    found = warc.read_archives(spark, warc.write_archives(pages), with_payload=False)
+    key = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("key").cast(key).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to_key").cast(key).alias("refers_to"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: its periodic runs of words, and the digest of what stays without their repeats.
+
+    One document in ten is made periodic from some word on, as the contract says.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    runs = periodic.find_runs(docs.withColumn("text", F.expr(_MADE_PERIODIC)))
+    best = F.element_at(F.expr(_BY_EXPONENT), 1)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return (
+        runs.withColumn("best", F.when(F.size("runs") > 0, best))
+        .select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            *(F.col(f"best.{n}").alias(n) for n in ("start", "length", "period")),
+            F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+            F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+            F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+        )
+    )
+
+
+#: The contract's planted documents: from word a on, one of ten repeats p words.
+_MADE_PERIODIC = r"""
+    CASE WHEN text IS NOT NULL AND crc32(encode(CAST(doc_id AS STRING), 'UTF-8')) % 10 = 0 THEN
+        array_join(flatten(transform(
+            array(struct(
+                regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+', 0) AS w,
+                crc32(encode(CAST(doc_id AS STRING), 'UTF-8')) div 10 AS g
+            )),
+            s -> transform(
+                array(struct(s.w AS w, s.g % greatest(size(s.w), 1) AS a,
+                    (size(s.w) - s.g % greatest(size(s.w), 1)) div (3 + s.g % 8) + 1 AS p)),
+                t -> array_join(transform(t.w, (x, i) -> IF(i < t.a, x, t.w[CAST(t.a + (i - t.a) % t.p AS INT)])), ' ')
+            )
+        )), '')
+    ELSE text END"""
+#: Runs by length over period as a fraction, the greatest first; then by start and period.
+_BY_EXPONENT = """
+    array_sort(runs, (a, b) -> CASE
+        WHEN a.length * b.period <> b.length * a.period THEN IF(a.length * b.period > b.length * a.period, -1, 1)
+        WHEN a.start <> b.start THEN IF(a.start < b.start, -1, 1)
+        WHEN a.period <> b.period THEN IF(a.period < b.period, -1, 1)
+        ELSE 0 END)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_decontamination": op2_decontamination,
@@ -124,6 +192,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_repeats": op9_repeats,
     "op10_lines": op10_lines,
+    "op11_search": op11_search,
+    "op12_warc": op12_warc,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 #: DuckDB's view of the contracts that SQL can state.
@@ -148,6 +219,30 @@ ORACLES: dict[str, str] = {
     coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
     coalesce(n_hit, 0) > 0 AS contaminated
     FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op11_search": r"""WITH
+    d AS (SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({l}, '{t}') AS w FROM documents),
+    c AS (SELECT *, len(w) AS n FROM d WHERE len(w) > 0),
+    s AS (SELECT count(*) AS docs, sum(n)::HUGEINT AS terms FROM c),
+    i AS (SELECT item_id, term, count(*) AS times FROM (
+        SELECT item_id, unnest(regexp_extract_all({l}, '{t}')) AS term FROM benchmark) GROUP BY ALL),
+    o AS (SELECT doc_id, r, n, term, count(*) AS tf FROM (SELECT doc_id, r, n, unnest(w) AS term FROM c)
+        WHERE term IN (SELECT term FROM i) GROUP BY ALL),
+    f AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM o, s GROUP BY term, docs),
+    x AS (SELECT item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms))))::BIGINT AS score
+        FROM o JOIN f USING (term) JOIN i USING (term), s GROUP BY ALL)
+    SELECT item_id, rank, doc_id, score FROM (SELECT item_id, doc_id, score,
+        (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM x WHERE score > 0)
+    WHERE rank <= 10""".format(
+        l=_LOWER.format(t="text"), t=r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    ),
+    "op12_warc": """SELECT page_id, strlen(p) AS payload_bytes,
+    array_to_string(list_transform(range(0, 8), lambda g: array_to_string(list_transform([15, 10, 5, 0], lambda b:
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * g, 5))::INT >> b) & 31), 1)), '')), '')
+        AS payload_digest,
+    CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+    CASE WHEN page_id <> top THEN top END AS refers_to
+    FROM (SELECT page_id, coalesce(html, '') AS p, sha1(coalesce(html, '')) AS h,
+        max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top FROM pages)""",
     "op4_quality_rules": r"""WITH
     d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l

@@ -18,6 +18,11 @@ COLUMNS = {
     "op8_packing": ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
     "op9_repeats": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_lines": ["doc_id", "n_lines", "n_deleted", "kept_sha256"],
+    "op11_search": ["item_id", "rank", "doc_id", "score"],
+    "op12_warc": ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"],
+    "op13_periodic_runs": [
+        "doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256",
+    ],
 }
 
 
@@ -31,9 +36,9 @@ def test_columns_and_rows(spark, name):
     folder = "/root/testdata/sf0.001"
     found = QUERIES[name](spark, folder)
     assert found.columns[: len(COLUMNS[name])] == COLUMNS[name]
-    source = "pages" if name == "op7_html" else "documents"
+    source = "pages" if name in ("op7_html", "op12_warc") else "documents"
     rows = spark.read.parquet(f"{folder}/{source}.parquet").count()
-    if name not in ("op6_secrets", "op8_packing"):
+    if name not in ("op6_secrets", "op8_packing", "op11_search"):
         assert found.count() == rows
     else:
         assert found.select("doc_id").distinct().count() <= rows
