@@ -200,6 +200,88 @@ _R.add(
     .agg(F.count(F.lit(1)).alias("n")),
     "SELECT event_type AS table_name, ts::DATE AS run_ts, count(*) AS n FROM events GROUP BY 1, 2",
 )
+def _deviations_sql(points: str, keys: str = "", window: int = 14, season: int = 1) -> str:
+    """Deviations of ``(keys, run, metric)`` rows, one per key and run."""
+    part = f"PARTITION BY {keys}" if keys else ""
+    over = f"OVER ({part} ORDER BY run)"
+    lead = f"{keys}, " if keys else ""
+    return f"""(SELECT {lead}run, metric, change, expected, unit AS spread, CASE WHEN len(h) < 5 THEN NULL
+        WHEN change = expected THEN 0 WHEN unit = 0 THEN 'inf'::DOUBLE ELSE abs(change - expected) / unit END AS deviation
+        FROM (SELECT *, greatest(1.4826 * list_aggregate(list_transform(h, lambda x: abs(x - expected)), 'median'),
+            0.01 * abs(before)) AS unit
+        FROM (SELECT *, list_aggregate(h, 'median') AS expected
+        FROM (SELECT *, coalesce(list(change) FILTER (WHERE change IS NOT NULL)
+            OVER ({part} ORDER BY run ROWS BETWEEN {window} PRECEDING AND 1 PRECEDING), []) AS h
+        FROM (SELECT *, metric - before AS change
+        FROM (SELECT *, lag(metric, {season}) {over} AS before FROM ({points})))))))"""
+
+
+_R.add(
+    "s13_metric_series",
+    lambda spark, d: records.series_view(
+        evaluate(
+            table(spark, d, "events").withColumn("day", F.to_date("ts")),
+            ["HasSize > 0", 'HasSum "value" > 0', 'HasNumberOfDistinctValues "user_id" > 0'],
+            by=["event_type", "day"],
+        ),
+        "metric",
+        ("event_type", "rule_type"),
+        "day",
+        window=7,
+    ).select(
+        "event_type", "rule_type", "day",
+        *[F.round(c, 4).alias(c) for c in ("metric", "change", "expected", "spread", "deviation")],
+    ),
+    "SELECT event_type, rule_type, run AS day, round(metric, 4) AS metric, round(change, 4) AS change, "
+    "round(expected, 4) AS expected, round(spread, 4) AS spread, round(deviation, 4) AS deviation FROM "
+    + _deviations_sql(
+        " UNION ALL ".join(
+            f"SELECT event_type, '{name}' AS rule_type, ts::DATE AS run, {value}::DOUBLE AS metric FROM events GROUP BY 1, 3"
+            for name, value in (
+                ("HasSize", "count(*)"),
+                ("HasSum", "sum(value)"),
+                ("HasNumberOfDistinctValues", "count(DISTINCT user_id)"),
+            )
+        ),
+        "event_type, rule_type",
+        window=7,
+    ),
+)
+
+# Events with the newest day five times over, beside the day's number: a jump and a steady drift.
+_PLANTED = """(SELECT *, date_diff('day', DATE '2024-01-01', ts::DATE) AS drift FROM events JOIN range({n}) r(i)
+    ON i = 0 OR ts::DATE = (SELECT max(ts::DATE) FROM events))"""
+_CHANGES = [
+    ("count(*)", "count(*)", 1, 5),
+    ("avg(drift)", "avg(drift)", 1, 5),
+    ("count(*)", "count(*)", 7, 1),
+]
+
+
+@_R.query(
+    "s13_metric_change",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS rules, round(deviation, 4) AS metric, CASE WHEN deviation <= 8 THEN 'PASS' ELSE 'FAIL' END AS result
+        FROM (SELECT coalesce(arg_max(deviation, run), 0) AS deviation FROM {_deviations_sql(
+            f"SELECT ts::DATE AS run, {sql}::DOUBLE AS metric FROM {_PLANTED.format(n=n)} GROUP BY 1", season=season)})"""
+        for name, (_, sql, season, n) in zip(("jump", "drift", "season"), _CHANGES)
+    ),
+)
+def _metric_change(spark, d):
+    """A jump of the newest day's rows fails, a steady drift and the days as they are pass."""
+    events = table(spark, d, "events")
+    newest = events.where(F.to_date("ts") == events.agg(F.max(F.to_date("ts"))).scalar())
+    parts = []
+    for name, (aggregate, _, season, n) in zip(("jump", "drift", "season"), _CHANGES):
+        rows = events
+        for _ in range(n - 1):
+            rows = rows.unionByName(newest)
+        rows = rows.withColumn("drift", F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")))
+        rule = f'MetricChange "{aggregate}" "to_date(ts)" "{season}" <= 8'
+        parts.append(evaluate(rows, [rule]).select(F.lit(name).alias("rules"), F.round("metric", 4).alias("metric"), "result"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 _R.add(
     "s14_expire",
     lambda spark, d: records.expire(

@@ -1,6 +1,7 @@
-"""Checks answered by group sizes: one grouped count per key set, then one small aggregate.
+"""Checks answered by group sizes: one grouped count for all key sets, then one small aggregate.
 
-The grouped count combines on the map side, so a key that holds a third of the rows
+Each row is counted under every key set at once, tagged with the set's number, so that the table is
+read and shuffled once however many key sets there are. The grouped count combines on the map side, so a key that holds a third of the rows
 reaches the shuffle as one partial count per task.
 """
 
@@ -8,12 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions.columns import compact_key, every, ref, some
 from plumbline.operators.metric import FRAME, GROUPS, Metric, RuleError
 
 N = "_n"
+# Statistics that are 0 where there are no groups; the others are NULL.
+COUNTS = ("distinct", "bins")
 
 
 def key_names(width: int) -> list[str]:
@@ -28,14 +32,17 @@ def group_sizes(df: DataFrame, keys: Sequence[Column], by: Sequence[str] = ()) -
 
 
 def statistics(width: int) -> dict[str, Column]:
-    """Aggregates over a group-size frame with ``width`` key columns.
+    """Aggregates over a group-size frame with ``width`` key columns."""
+    keys = [F.col(k) for k in key_names(width)]
+    return statistics_of(some(k.isNotNull() for k in keys), every(k.isNotNull() for k in keys))
+
+
+def statistics_of(keyed: Column, complete: Column) -> dict[str, Column]:
+    """Aggregates over groups of which some key, or each, is not NULL.
 
     Rows whose keys are all NULL stand outside of M, D and U.
     """
-    keys = [F.col(k) for k in key_names(width)]
     n = F.col(N)
-    keyed = some(k.isNotNull() for k in keys)
-    complete = every(k.isNotNull() for k in keys)
     m = F.sum(F.when(keyed, n).otherwise(0))
     d = F.count_if(keyed)
     u = F.count_if(keyed & (n == 1))
@@ -67,6 +74,98 @@ def grouped(
     return Metric(GROUPS, (statistic, *cols, *label), tuple(cols), expr, keys=keys)
 
 
+# Key sets counted in one exchange, and key columns that a row of it has at most.
+SETS_PER_PASS, SLOTS_PER_PASS = 32, 12
+TAG = "_set"
+
+
+def slots_of(
+    df: DataFrame, key_sets: Sequence[Sequence[Column]]
+) -> tuple[list[T.DataType], list[list[int]]]:
+    """Typed slots that hold any one of the key sets, and which slots each set fills.
+
+    Keys of one type share slots, so the row stays narrow and every key keeps its own type.
+    """
+    types: list[T.DataType] = []
+    filled: list[list[int]] = []
+    for keys in key_sets:
+        own: list[int] = []
+        for field in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema:
+            free = [i for i, t in enumerate(types) if t == field.dataType and i not in own]
+            if not free:
+                types.append(field.dataType)
+            own.append(free[0] if free else len(types) - 1)
+        filled.append(own)
+    return types, filled
+
+
+def tagged_sizes(
+    df: DataFrame, key_sets: Sequence[Sequence[Column]], by: Sequence[str] = ()
+) -> tuple[DataFrame, list[str]]:
+    """Group sizes of several key sets from one scan and one exchange, and the names of their slots.
+
+    A row becomes a row per key set with the set's number; a slot that the set does not fill is NULL.
+    Groups are equal where number and keys are, so counts are exact; tasks count before the exchange.
+    """
+    types, filled = slots_of(df, key_sets)
+    names = key_names(len(types))
+    cells: list[Column] = []
+    for number, (keys, own) in enumerate(zip(key_sets, filled)):
+        held = dict(zip(own, keys))
+        nothing = (F.lit(None).cast(t) for t in types)
+        cells += [F.lit(number), *(held.get(i, none) for i, none in enumerate(nothing))]
+    rows = df.select(*map(ref, by), F.stack(F.lit(len(key_sets)), *cells).alias(TAG, *names))
+    return rows.groupBy(*map(ref, by), TAG, *names).agg(F.count(F.lit(1)).alias(N)), names
+
+
+def statistics_by_set(
+    df: DataFrame, key_sets: Sequence[Sequence[Column]], by: Sequence[str] = ()
+) -> DataFrame:
+    """``by`` columns, the number of the key set and its statistics, a row each."""
+    sizes, names = tagged_sizes(df, key_sets, by)
+    held = sum((F.col(k).isNotNull().cast("int") for k in names), F.lit(0))
+    width = F.get(F.array(*[F.lit(len(k)) for k in key_sets]), F.col(TAG))
+    found = statistics_of(held > 0, held == width)
+    return sizes.groupBy(*map(ref, by), TAG).agg(*[c.alias(s) for s, c in found.items()])
+
+
+def passes(df: DataFrame, key_sets: dict[tuple, list[Metric]]) -> list[list[Metric]]:
+    """The metrics of the key sets, dealt to as few passes as the bounds on a pass allow."""
+    out: list[list[list[Metric]]] = []
+    for metrics in key_sets.values():
+        if out:
+            sets = [m[0].keys for m in [*out[-1], metrics]]
+            try:
+                fits = len(sets) <= SETS_PER_PASS and len(slots_of(df, sets)[0]) <= SLOTS_PER_PASS
+            except AnalysisException:  # a key that does not fit the data set is found out alone
+                fits = False
+            if fits:
+                out[-1].append(metrics)
+                continue
+        out.append([metrics])
+    return [[m for metrics in own for m in metrics] for own in out]
+
+
+def statistics_frame(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """``by`` columns and each metric under its name: one exchange for all key sets."""
+    by_cols = list(map(ref, by))
+    sets: dict[tuple, int] = {}
+    for m in metrics:
+        sets.setdefault(key_set(m), len(sets))
+    if len(sets) == 1:
+        sizes = group_sizes(df, metrics[0].keys, by)
+        return sizes.groupBy(*by_cols).agg(*[m.expr.alias(n) for m, n in zip(metrics, names)])
+    keys = {sets[key_set(m)]: m.keys for m in metrics}
+    found = statistics_by_set(df, [keys[i] for i in range(len(keys))], by)
+    values = []
+    for m, name in zip(metrics, names):
+        own = F.max(F.when(F.col(TAG) == sets[key_set(m)], F.col(m.identity[0])))
+        if m.identity[0] in COUNTS:  # of no rows
+            own = F.coalesce(own, F.lit(0))
+        values.append(own.cast("double").alias(name))
+    return found.groupBy(*by_cols).agg(*values)
+
+
 def key_set(metric: Metric) -> tuple:
     """Metrics with the same key set share one grouped count."""
     return metric.identity[1:]

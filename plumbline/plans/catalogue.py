@@ -14,6 +14,7 @@ from plumbline.functions.columns import is_numeric, is_string, literal
 from plumbline.operators import aggregates as A
 from plumbline.operators import grouped as G
 from plumbline.operators import pairs as X
+from plumbline.operators import trends as R
 from plumbline.operators.metric import FRAME, Metric, RuleError
 from plumbline.plans.rules import Rule
 
@@ -268,6 +269,22 @@ def _histogram(rule: Rule, ctx: Context) -> Metric:
     return G.histogram_values(col, value, **rule.options)
 
 
+def _metric_change(rule: Rule, ctx: Context) -> Metric:
+    """An aggregate, the period it is taken over, and optionally the season and the window in periods."""
+    aggregate, period = _extra(rule, 0, "an aggregate"), _extra(rule, 1, "a period")
+    options = dict(rule.options)
+    for position, name in ((2, "season"), (3, "window")):
+        if len(rule.columns) > position:
+            options[name] = int(_number(rule, position, f"a {name}"))
+    if min(options.get("season", 1), options.get("window", 1)) < 1:
+        raise RuleError("season and window are numbers of periods")
+    try:
+        ctx.df.groupBy(F.expr(period)).agg(F.expr(aggregate).cast("double"))
+    except (AnalysisException, ParseException):
+        raise RuleError("aggregate and period do not fit the data set") from None
+    return R.metric_change(aggregate, period, ctx.df.columns, **options)
+
+
 # --- metrics over two data sets ------------------------------------------------
 
 
@@ -403,6 +420,7 @@ METRICS: dict[str, Callable[[Rule, Context], Metric]] = {
     "HasHistogramValues": _histogram,
     "ColumnExists": _exists,
     "ColumnCount": _column_count,
+    "MetricChange": _metric_change,
     "ReferentialIntegrity": _referential_integrity,
     "RowCountMatch": _row_count_match,
     "AggregateMatch": _aggregate_match,

@@ -207,6 +207,15 @@ class Check:
         options = {"binning": binning, "max_bins": maxBins}
         return self._add("HasHistogramValues", columns, assertion, options=options)
 
+    # over time
+
+    def hasMetricChange(
+        self, aggregate: str, period: str, assertion, season: int = 1, window: int = 14
+    ) -> Check:
+        """Asserts how far the newest period's change of an aggregate deviates from earlier changes."""
+        columns = (aggregate, period, str(season), str(window))
+        return self._add("MetricChange", columns, assertion)
+
     # two data sets, named as in ``evaluate(..., references={name: DataFrame})``
 
     def referentialIntegrity(

@@ -2,7 +2,7 @@
 
 Plain aggregates of every rule of every ruleset fuse into one code-generated aggregate
 (cut into chunks below the code generator's field limit), sketches into a second one, and
-each key set gets one grouped count. The branches are united, so one action runs them all.
+all key sets into one grouped count. The branches are united, so one action runs them all.
 Only rule metadata is on the driver; metrics stay in the plan.
 """
 
@@ -176,8 +176,7 @@ def evaluate_constraints(
         return [m.expr.alias(alias[m]) for m in chunk]
 
     def counted(chunk: list[Metric]) -> DataFrame:
-        sizes = G.group_sizes(df, chunk[0].keys, by)
-        return sizes.groupBy(*by_cols).agg(*named(chunk))
+        return G.statistics_frame(df, chunk, by, [alias[m] for m in chunk])
 
     def framed(chunk: list[Metric]) -> DataFrame:
         built = chunk[0].build(df, by)
@@ -191,7 +190,7 @@ def evaluate_constraints(
     for m in alias:
         if m.family == GROUPS:
             key_sets.setdefault(G.key_set(m), []).append(m)
-    for chunk in key_sets.values():
+    for chunk in G.passes(df, key_sets):
         plan(chunk, counted)
     for m in alias:
         if m.family == FRAME:

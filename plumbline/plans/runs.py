@@ -27,6 +27,7 @@ from plumbline.sources.records import (
     first_written,
     latest_by_key,
     read_records,
+    series_view,
 )
 
 RUN_SCHEMA = (
@@ -293,6 +294,19 @@ class DataQuality:
     def get_data_quality_result(self, ResultId: str) -> dict:
         return self._get("results", "ResultId", ResultId)
 
+    def metric_trends(self, **options) -> DataFrame:
+        """How the metric of every rule moved from run to run: a row per data source, rule and run."""
+        rules = self.table("results").select(
+            F.col("DataSource").cast("string").alias("data_source"),
+            "RulesetName",
+            F.to_timestamp("StartedOn").alias("run_ts"),
+            F.explode("RuleResults").alias("r"),
+        )
+        points = rules.select(
+            "*", F.col("r.Description").alias("rule_text"), F.col("r.EvaluatedMetrics.Value").alias("metric")
+        )
+        return series_view(points, "metric", ("data_source", "RulesetName", "rule_text"), **options)
+
     def tallies(self, RunId: str) -> DataFrame:
         """Tally per ruleset of a run's results."""
         rules = self.table("results").where(F.col("RulesetEvaluationRunId") == RunId)

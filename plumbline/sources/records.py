@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.functions.columns import ref
+from plumbline.operators.trends import deviations
 from plumbline.sources.readers import read_path
 
 EXPIRY_DAYS = 32
@@ -87,9 +88,18 @@ def latest_view(
     return salted.join(every, same & (F.col("_salt") == F.col("_s")), "left_semi").drop("_salt")
 
 
-def series_view(results: DataFrame) -> DataFrame:
-    """All runs of every table."""
-    return results
+def series_view(
+    results: DataFrame,
+    metric: str | None = None,
+    keys: Sequence[str] = ("table_name", "rule_text"),
+    run: str = "run_ts",
+    **options,
+) -> DataFrame:
+    """All runs of every table; with ``metric``, how its value moved from run to run under each of ``keys``.
+
+    See ``trends.deviations`` for the columns and ``options``.
+    """
+    return results if metric is None else deviations(results, keys, run, metric, **options)
 
 
 def expire(records: DataFrame, as_of: Column | datetime, days: int = EXPIRY_DAYS) -> DataFrame:

@@ -63,3 +63,15 @@ def test_comparing_tables_shuffles_partial_counts(spark, sf_dir):
     assert "Join" not in found
     assert "partial_sum(n" in found.split("Exchange hashpartitioning")[1]
     assert found.count("Exchange hashpartitioning") == 1
+
+
+def test_key_sets_share_one_scan_and_one_exchange(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    rules = [f'IsUnique "{c}"' for c in lines.columns]
+    pairs = zip(lines.columns, lines.columns[1:])
+    rules += [f'HasDistinctness "{a}" "{b}" > 0' for a, b in pairs if a != "l_suppkey"]
+    assert len(rules) == 20
+    found = plan(evaluate(lines, rules)).split("Initial Plan")[0]
+    assert found.count("Scan parquet") == 1
+    assert found.count("ENSURE_REQUIREMENTS") == 3  # groups, statistics of a set, all in one row
+    assert "partial_count" in found and "Expand" not in found
