@@ -12,6 +12,7 @@ from plumbline.plans.evaluate import evaluate, evaluate_batch, evaluate_many, wi
 from plumbline.plans.rules import explode_rules, rulesets_frame
 from plumbline.scratch import scratch_path
 from plumbline.sources.readers import read_source
+from plumbline.streaming.accumulated import evaluate_so_far
 from plumbline.streaming.arriving import evaluate_arriving
 
 _R = Registry()
@@ -315,6 +316,104 @@ def _arriving(spark, d):
     return results.select("rule_no", "rule_type", F.round("metric", 6).alias("metric"), "result")
 
 
+# Rules whose metrics need all files: keys that files share, totals and moments.
+_SO_FAR = [
+    'IsUnique "l_orderkey"',
+    'HasUniqueness "l_orderkey" "l_linenumber" > 0.5',
+    'HasDistinctness "l_partkey" > 0.5',
+    'HasEntropy "l_returnflag" > 1',
+    'IsPrimaryKey "l_orderkey" "l_linenumber" "l_suppkey"',
+    "HasSize > 1000",
+    'HasSum "l_quantity" > 0',
+    'HasMean "l_extendedprice" > 0',
+    'HasStandardDeviation "l_extendedprice" > 0',
+    'HasCorrelation "l_quantity" "l_extendedprice" > 0.5',
+    'IsContainedIn "l_returnflag" in ["A","N"] with threshold >= 0.6',
+    'HasMax "l_tax" <= 0.08',
+]
+_SIZES_SQL = "(SELECT count(*) AS n FROM lineitem GROUP BY {keys})"
+_SO_FAR_SQL = "\nUNION ALL\n".join(
+    f"SELECT {i} AS rule_no, round(m, 6) AS metric, CASE WHEN m {demand} THEN 'PASS' ELSE 'FAIL' END AS result "
+    f"FROM (SELECT CAST({metric} AS DOUBLE) AS m FROM {source})"
+    for i, (metric, demand, source) in enumerate(
+        [
+            ("sum(n) FILTER (WHERE n = 1) / sum(n)", "= 1", _SIZES_SQL.format(keys="l_orderkey")),
+            ("sum(n) FILTER (WHERE n = 1) / sum(n)", "> 0.5", _SIZES_SQL.format(keys="l_orderkey, l_linenumber")),
+            ("count(*) / sum(n)", "> 0.5", _SIZES_SQL.format(keys="l_partkey")),
+            ("ln(sum(n)) - sum(n * ln(n)) / sum(n)", "> 1", _SIZES_SQL.format(keys="l_returnflag")),
+            ("sum(n) FILTER (WHERE n = 1) / sum(n)", "= 1", _SIZES_SQL.format(keys="l_orderkey, l_linenumber, l_suppkey")),
+            ("count(*)", "> 1000", "lineitem"),
+            ("sum(l_quantity)", "> 0", "lineitem"),
+            ("avg(l_extendedprice)", "> 0", "lineitem"),
+            ("stddev_pop(l_extendedprice)", "> 0", "lineitem"),
+            ("corr(l_quantity, l_extendedprice)", "> 0.5", "lineitem"),
+            ("avg((l_returnflag IN ('A', 'N'))::INT)", ">= 0.6", "lineitem"),
+            ("max(l_tax)", "<= 0.08", "lineitem"),
+        ]
+    )
+)
+
+
+@_R.query("r11_all_arrived", _SO_FAR_SQL)
+def _all_arrived(spark, d):
+    """Files that share their keys arrive one by one, the last after a restart; judged over all of them."""
+    base = scratch_path(spark, "so-far")
+    lines = table(spark, d, "lineitem")
+    for arrival in ("l_linenumber % 3 < 2", "l_linenumber % 3 = 2"):
+        files = lines.where(arrival).withColumn("file", F.expr("l_linenumber % 3"))
+        files.repartition("file").drop("file").write.mode("append").parquet(f"{base}/in")
+        evaluate_arriving(
+            spark, f"{base}/in", lines.schema, _SO_FAR, f"{base}/out", f"{base}/checkpoint",
+            state_path=f"{base}/state", max_files=1,
+        ).awaitTermination()
+    results = spark.read.parquet(f"{base}/out")
+    newest = results.where(F.col("batch_id") == results.agg(F.max("batch_id")).scalar())
+    return judged(newest)
+
+
+@_R.query(
+    "r10_merged_by_month",
+    """SELECT month, i AS rule_no, round([count(*), avg(o_totalprice), stddev_pop(o_totalprice),
+        count(*) FILTER (WHERE o_orderstatus = 'F') / count(*)][i + 1], 4) AS metric
+    FROM (SELECT *, date_trunc('month', o_orderdate)::DATE AS month FROM orders), range(4) r(i) GROUP BY month, i""",
+)
+def _merged(spark, d):
+    """States of parts of the orders, taken one after the other, merged by month."""
+    path = scratch_path(spark, "merged")
+    orders = table(spark, d, "orders").withColumn("month", F.trunc("o_orderdate", "month"))
+    rules = [
+        "HasSize > 0", 'HasMean "o_totalprice" > 0', 'HasStandardDeviation "o_totalprice" > 0',
+        'IsContainedIn "o_orderstatus" in ["F"] with threshold >= 0',
+    ]
+    for part in range(3):
+        results = evaluate_so_far(orders.where(F.col("o_custkey") % 3 == part), rules, path, part, by=["month"])
+    return results.select("month", "rule_no", F.round("metric", 4).alias("metric"))
+
+
+@_R.query(
+    "r10_merged_sketches",
+    """SELECT * FROM (VALUES (0, true), (1, true), (2, true), (3, true)) v(rule_no, within)""",
+)
+def _merged_sketches(spark, d):
+    """Sketches of parts of the line items merged: distinct values and ranks within the sketches' bounds."""
+    path = scratch_path(spark, "merged-sketches")
+    lines = table(spark, d, "lineitem")
+    rules = [
+        'HasApproxCountDistinct "l_orderkey" > 0', 'HasApproxCountDistinct "l_partkey" > 0',
+        'KllSketchSatisfies "l_extendedprice" "0.5" > 0', 'HasApproxQuantile "l_extendedprice" "0.9" > 0',
+    ]
+    for part in range(3):
+        results = evaluate_so_far(lines.where(F.col("l_suppkey") % 3 == part), rules, path, part)
+    exact = lines.agg(F.count_distinct("l_orderkey"), F.count_distinct("l_partkey"), F.count(F.lit(1))).first()
+    found = {r.rule_no: r.metric for r in results.collect()}  # a row per rule
+    ranks = lines.agg(*[F.count_if(F.col("l_extendedprice") <= found[i]) / exact[2] for i in (2, 3)]).first()
+    within = [
+        *[abs(found[i] - exact[i]) <= 3 * 0.05 * exact[i] for i in (0, 1)],
+        *[abs(r - q) <= 0.01 for r, q in zip(ranks, (0.5, 0.9))],
+    ]
+    return spark.createDataFrame(list(enumerate(within)), "rule_no int, within boolean")
+
+
 _R.add(
     "r12_check_status",
     lambda spark, d: S.check_status(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +17,18 @@ class RuleError(ValueError):
     """The rule cannot be run on this data set; becomes an ERROR result."""
 
 
+@dataclass(frozen=True)
+class State:
+    """What each part of a data set keeps of a metric, and the metric of the merged parts.
+
+    ``fields``: aggregates over a part's rows, by the name that says how they merge (``states.MERGED``).
+    ``finish``: the metric, from the merged fields.
+    """
+
+    fields: Mapping[str, Column]
+    finish: Callable[[], Column]
+
+
 @dataclass(frozen=True)
 class Metric:
     """``identity`` says when two rules mean the same number, which is then computed once."""
@@ -29,3 +41,4 @@ class Metric:
         default=None, compare=False
     )
     keys: tuple[Column, ...] = field(default=(), compare=False)
+    state: State | None = field(default=None, compare=False)

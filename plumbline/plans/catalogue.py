@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timedelta, timezone
 
 from pyspark.errors import AnalysisException, ParseException, PySparkException
@@ -248,9 +248,9 @@ def _freshness(rule: Rule, ctx: Context) -> Metric:
             raise RuleError("an age such as '<= 10 days' is needed")
         max_age = timedelta(**{unit: rule.lo})
     as_of = rule.options.get("as_of") or ctx.as_of
-    if as_of is None:
-        as_of = datetime.now(timezone.utc)
-    return A.freshness(col, ctx.dtype(col), max_age, as_of)
+    metric = A.freshness(col, ctx.dtype(col), max_age, as_of or datetime.now(timezone.utc))
+    # an age from now on is another number for every part
+    return metric if as_of else replace(metric, state=None)
 
 
 def _exists(rule: Rule, ctx: Context) -> Metric:

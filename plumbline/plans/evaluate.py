@@ -139,13 +139,7 @@ def _chunks(metrics: list[Metric]) -> list[list[Metric]]:
 def evaluate_constraints(
     df: DataFrame, constraints: Sequence[Constraint], by: Sequence[str] = ()
 ) -> DataFrame:
-    spark = df.sparkSession
-    constraints = list(constraints)
-    metrics: dict[tuple, Metric] = {}
-    for c in constraints:
-        if c.metric is not None and c.status is None:
-            metrics.setdefault((c.metric.family, *c.metric.identity), c.metric)
-    alias = {m: f"_m{i}" for i, m in enumerate(metrics.values())}
+    alias = named_metrics(constraints)
     by_cols = list(map(ref, by))
 
     frames: list[tuple[DataFrame, list[Metric]]] = []
@@ -196,6 +190,31 @@ def evaluate_constraints(
         if m.family == FRAME:
             plan([m], framed)
 
+    return judge(df, constraints, frames, alias, failed, by)
+
+
+def named_metrics(constraints: Sequence[Constraint]) -> dict[Metric, str]:
+    """The different metrics that the constraints need, each with a column name."""
+    metrics: dict[tuple, Metric] = {}
+    for c in constraints:
+        if c.metric is not None and c.status is None:
+            metrics.setdefault((c.metric.family, *c.metric.identity), c.metric)
+    return {m: f"_m{i}" for i, m in enumerate(metrics.values())}
+
+
+def judge(
+    df: DataFrame,
+    constraints: Sequence[Constraint],
+    frames: Sequence[tuple[DataFrame, list[Metric]]],
+    alias: Mapping[Metric, str],
+    failed: Mapping[Metric, str],
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Results of all constraints from frames that hold their metrics; ``failed`` ones have none.
+
+    Of ``df`` only the session and the types of the ``by`` columns are taken.
+    """
+    spark = df.sparkSession
     numbered = [
         (i, Constraint(c.rule, status="ERROR", message=failed[c.metric]))
         if not c.status and c.metric in failed

@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from plumbline.plans.evaluate import evaluate, to_rules
+from plumbline.streaming.accumulated import evaluate_so_far
 
 FILE = "source_file"
 
@@ -22,25 +23,32 @@ def evaluate_arriving(
     name: str = "rules",
     per_file: bool = False,
     max_files: int | None = None,
+    state_path: str | None = None,
     **kwargs,
 ) -> StreamingQuery:
     """Judges all files not seen before, then stops; run it again for the next arrivals.
 
     A micro-batch owns the ``batch_id`` partition of the results and overwrites it, so
     one that is retried after a failure leaves its results once. ``per_file`` judges
-    every file on its own.
+    every file on its own. With ``state_path``, which belongs to one checkpoint, the rules
+    are judged over all files that have arrived up to a micro-batch (``evaluate_so_far``).
     """
+    if per_file and state_path is not None:
+        raise ValueError("a file on its own needs no state of others")
     compiled = to_rules(spark, rules, name)
     reader = spark.readStream.schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     files = reader.parquet(path)
-    if per_file:
+    if per_file or state_path is not None:
         files = files.withColumn(FILE, F.col("_metadata.file_path"))
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        by = [FILE] if per_file else []
-        results = evaluate(batch, compiled, by=by, **kwargs)
+        if state_path is not None:
+            results = evaluate_so_far(batch, compiled, state_path, batch_id, parts=[FILE], **kwargs)
+        else:
+            by = [FILE] if per_file else []
+            results = evaluate(batch, compiled, by=by, **kwargs)
         (
             results.withColumn("batch_id", F.lit(batch_id))
             .hint("rebalance")
