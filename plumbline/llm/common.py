@@ -60,22 +60,43 @@ def strings(column: pa.Array) -> list[str | None]:
         return [None if b is None else b.decode("utf-8", "replace") for b in raw(column)]
 
 
+def _text(dtype: pa.DataType) -> bool:
+    return pa.types.is_string(dtype) or pa.types.is_large_string(dtype)
+
+
+def decodable(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch, with U+FFFD for what is no UTF-8 in its text columns.
+
+    Spark reads such bytes from Parquet without complaint, and hands them on; Python cannot decode them.
+    """
+    columns = list(batch.columns)
+    for i, column in enumerate(columns):
+        if _text(column.type):
+            try:
+                column.validate(full=True)
+            except pa.ArrowInvalid:
+                columns[i] = pa.array(strings(column), type=column.type)
+    return pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+
+
 def map_batches(
     df: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch | None], Iterator[dict] | dict | None]],
     schema: T.StructType,
     finish: bool = False,
+    as_stored: bool = False,
 ) -> DataFrame:
     """Each Arrow batch through a function made once per task; it gives columns as lists or arrays.
 
-    With ``finish`` the function is called once more, with None, after a task's last batch.
+    With ``finish`` the function is called once more, with None, after a task's last batch. Texts are
+    decodable, unless the function asks for them ``as_stored`` and reads them by ``raw`` or ``strings``.
     """
     arrow = T_to_arrow(schema)
 
     def run(batches):
         work = make()
         for batch in chain(batches, [None]) if finish else batches:
-            made = work(batch)
+            made = work(batch if batch is None or as_stored else decodable(batch))
             for columns in [made] if isinstance(made, dict) else made or ():
                 yield pa.RecordBatch.from_arrays(
                     [

@@ -13,15 +13,26 @@ and, with all in them, the containers that have such a line; of ``body`` itself
 its lists, quotes, tables and figures, as the rest is the whole page. Never-content lines stay out
 everywhere.
 
-Character references are decoded by the parser; white space in a line becomes one blank.
+What classes, ids, roles and ``form`` say of an element is doubtful, since pages are wrapped in forms and
+bodies named after what they lack. A class counts where its name ends in such a word (``left-sidebar``), or
+begins with one and ends in a word for a container (``comment-list``), not where it denies or describes
+(``no-sidebar``, ``comments-open``); never on ``html``, ``body``, ``main`` and ``article``; and an element
+that has most of the page's text and its heading, article or main element, or a form that has nearly all of
+the text, is none.
+
+Character references are decoded by the parser; white space in a line becomes one blank. A page takes
+time in proportion to its length, whatever tags it leaves open or closes without need.
 
 Defined cases: a null or empty page, and one without text, gives the empty text; unclosed and
-stray tags are forgiven as browsers do for paragraphs and list items; repeated rows each give a
-row; an empty table gives none; only the named columns are read.
+stray tags are forgiven as browsers do for paragraphs and list items; marked sections and other
+declarations are passed over up to their ``>`` (or, unclosed, to the end of the page); bytes that are no
+UTF-8 become U+FFFD; repeated rows each give a row; an empty table gives none; only the named columns
+are read.
 """
 
 from __future__ import annotations
 
+import re
 from html.parser import HTMLParser
 
 import numpy as np
@@ -65,6 +76,30 @@ MARKS = frozenset(
 )
 #: Words that do so outside articles only: an article may have a header of its own.
 OUTER = frozenset("footer header masthead copyright topbar".split())
+#: Last words of a name that begins with a mark, and first words of a name that only tells of one.
+CARRIERS = frozenset(
+    "area bar block blocks body bottom box button buttons card cards col column container footer form "
+    "group header holder icons inner item items left link links list main outer panel placeholder posts right row "
+    "section slot strip text thread toggle top unit wrap wrapper".split()
+)
+DENIALS = frozenset("has hide is no not show with without".split())
+#: Elements whose own class or role never makes them anything else.
+SURE = REGION | {"html", "body"}
+#: A marked element with its heading or region and so much of the text is none; nor is a form without either
+#: that has nearly all of it and more text than fields have.
+MOST, NEARLY_ALL, FORM_TEXT = 0.5, 0.9, 500
+#: Never content whatever it holds.
+CERTAIN = -1
+
+_NAME = re.compile(r"[a-z]+|[A-Z](?:[a-z]+|[A-Z]*(?![a-z]))")
+
+
+def marked(name: str, marks: frozenset[str]) -> bool:
+    """Whether a class or id says that its element is something that the marks name."""
+    words = [w.lower() for w in _NAME.findall(name)]
+    if not words or words[0] in DENIALS:
+        return False
+    return words[-1] in marks or (words[0] in marks and words[-1] in CARRIERS) or "".join(words) in marks
 
 
 class Lines(HTMLParser):
@@ -72,41 +107,48 @@ class Lines(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: open elements: name, never content, number of the region or 0, number of the container
-        self.open: list[tuple[str, bool, int, int]] = [("", False, 0, 0)]
+        #: open elements: name, CERTAIN or number of the mark or 0, number of the region or 0, number of the container
+        self.open: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+        #: places among them of each name, and of all containers
+        self.places: dict[str, list[int]] = {}
+        self.barriers: list[int] = []
         self.parts: list[str] = []
         self.tags = 0
         #: of each container its name and the one around it; of each region whether an article, and the one around it
         self.containers: list[tuple[str, int]] = [("", 0)]
         self.regions: list[tuple[bool, int]] = [(False, 0)]
-        #: text, tags, never content, region, container
-        self.lines: list[tuple[str, int, bool, int, int]] = []
+        #: of each marked element the one around it, whether it is a form, and whether it has a heading or region
+        self.marks: list[tuple[int, bool]] = [(0, False)]
+        self.heads: list[bool] = [False]
+        #: text, tags, CERTAIN or mark, region, container
+        self.lines: list[tuple[str, int, int, int, int]] = []
 
     def end_line(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
-            _, never, region, container = self.open[-1]
-            self.lines.append((text, self.tags, never, region, container))
+            _, mark, region, container = self.open[-1]
+            self.lines.append((text, self.tags, mark, region, container))
             self.tags = 0
         self.parts = []
 
-    def _close(self, names: tuple[str, ...], within: frozenset[str]) -> None:
-        """Ends an open element of these names, if no element of ``within`` stands above it."""
-        for i in range(len(self.open) - 1, 0, -1):
-            name = self.open[i][0]
-            if name in names:
-                del self.open[i:]
-                return
-            if name in within:
-                return
+    def _close(self, names: tuple[str, ...], bounded: bool) -> None:
+        """Ends the last open element of these names, if ``bounded`` only inside the last container."""
+        at = max((self.places[n][-1] for n in names if self.places.get(n)), default=0)
+        if not at or (bounded and self.barriers and self.barriers[-1] > at):
+            return
+        while len(self.open) > at:
+            name = self.open.pop()[0]
+            self.places[name].pop()
+            if self.barriers and self.barriers[-1] == len(self.open):
+                self.barriers.pop()
 
     def handle_starttag(self, tag, attrs):
         block = tag in BLOCK
         if block:
             self.end_line()
             if tag in ("li", "dt", "dd", "option"):
-                self._close(("dt", "dd") if tag in ("dt", "dd") else (tag,), CONTAINER)
-            self._close(("p",), CONTAINER)
+                self._close(("dt", "dd") if tag in ("dt", "dd") else (tag,), True)
+            self._close(("p",), True)
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "wbr", "hr", "img", "input"):
@@ -114,28 +156,38 @@ class Lines(HTMLParser):
             return
         if tag in ("td", "th"):
             self.parts.append(" ")
-        _, never, region, container = self.open[-1]
-        never = never or tag in NEVER or (tag == "header" and not region)
-        if not never and attrs:
-            never = self._marked(dict(attrs), region)
+        _, mark, region, container = self.open[-1]
+        if mark != CERTAIN:
+            given = dict(attrs)
+            if tag in NEVER and tag != "form" or (tag == "header" and not region) or self._hidden(given):
+                mark = CERTAIN
+            elif tag == "form" or (tag not in SURE and self._marked(given, region)):
+                self.marks.append((mark, tag == "form"))
+                self.heads.append(False)
+                mark = len(self.marks) - 1
+            if mark > 0 and (tag == "h1" or tag in REGION):
+                self.heads[mark] = True
         if tag in CONTAINER:
             self.containers.append((tag, container))
             container = len(self.containers) - 1
         if tag in REGION and not self.regions[region][0]:
             self.regions.append((tag == "article", region))
             region = len(self.regions) - 1
-        self.open.append((tag, never, region, container))
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in CONTAINER:
+            self.barriers.append(len(self.open))
+        self.open.append((tag, mark, region, container))
 
-    def _marked(self, attrs: dict, region: int) -> bool:
+    def _hidden(self, attrs: dict) -> bool:
         if "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
+        return "display:none" in (attrs.get("style") or "").replace(" ", "").lower()
+
+    def _marked(self, attrs: dict, region: int) -> bool:
         if (attrs.get("role") or "").lower() in ROLES:
             return True
-        if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
-            return True
-        names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-        words = set("".join(c if c.isalpha() else " " for c in names).split())
-        return bool(words & MARKS) or (not region and bool(words & OUTER))
+        marks = MARKS if region else MARKS | OUTER
+        return any(marked(n, marks) for n in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split())
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -151,17 +203,59 @@ class Lines(HTMLParser):
         if tag in ("td", "th"):
             self.parts.append(" ")
         # an inline end tag does not reach over a block
-        self._close((tag,), frozenset() if tag in BLOCK else CONTAINER)
+        self._close((tag,), tag not in BLOCK)
 
     def handle_data(self, data):
         if self.open[-1][0] not in ("script", "style"):
             self.parts.append(data)
 
+    # Where markup is not closed, what the parser takes for it runs to the page's end, as in browsers:
+    # it is looked for once, not again from each place where some begins.
+
+    def parse_comment(self, i, report=True):
+        end = super().parse_comment(i, report)
+        return end if end >= 0 else len(self.rawdata)
+
+    def parse_html_declaration(self, i):
+        """Comments as the parser takes them; of all other declarations nothing is used."""
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
+    def parse_pi(self, i):
+        return len(self.rawdata) if i > self.last else super().parse_pi(i)
+
+    def parse_starttag(self, i):
+        return len(self.rawdata) if i > self.last else super().parse_starttag(i)
+
+    def parse_endtag(self, i):
+        return len(self.rawdata) if i > self.last else super().parse_endtag(i)
+
     def page(self, html: str) -> list[tuple[str, int, bool, int, int]]:
-        self.feed(html)
+        """The lines: text, tags, never content, region, container."""
+        self.rawdata, self.last = html, html.rfind(">")
         self.close()
         self.end_line()
-        return self.lines
+        sizes = [0] * len(self.marks)
+        for text, _, mark, _, _ in self.lines:
+            if mark != CERTAIN:
+                sizes[mark] += len(text)
+        total = sum(sizes)
+        for mark in range(len(self.marks) - 1, 0, -1):  # a mark stands behind the one around it
+            around = self.marks[mark][0]
+            sizes[around] += sizes[mark] if around else 0
+            self.heads[around] |= self.heads[mark]
+        void = [True] * len(self.marks)  # the mark and those around it say nothing
+        for mark in range(1, len(self.marks)):
+            around, form = self.marks[mark]
+            wraps = self.heads[mark] and sizes[mark] > MOST * total
+            wraps |= form and sizes[mark] > max(NEARLY_ALL * total, FORM_TEXT)
+            void[mark] = void[around] and wraps
+        return [
+            (text, tags, mark == CERTAIN or not void[mark], region, container)
+            for text, tags, mark, region, container in self.lines
+        ]
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -212,7 +306,7 @@ def main_text(html: str | None, sigma: float = SIGMA) -> str:
     if 2 * sizes[strong & (regions > 0)].sum() >= sizes[strong].sum():
         taken = set(regions[strong & (regions > 0)].tolist())
         for region in list(taken):
-            while region := parser.regions[region][1]:
+            while (region := parser.regions[region][1]) and region not in taken:
                 taken.add(region)
         chosen = open_ & np.isin(regions, list(taken))
     else:

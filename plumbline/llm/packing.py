@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, types as T
 
-from plumbline.llm.common import kind, mapped, text_rows
+from plumbline.llm.common import kind, mapped, strings, text_rows
 
 #: Tokens that open windows may hold before they fill one another up.
 HOLD = 4_000_000
@@ -265,9 +265,8 @@ def pack(
             return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
         for batch in batches:
-            keys = batch.column(0).to_pylist()
-            for doc, value in zip(keys, batch.column(1)):
-                windows.add(doc, words.ids(value.as_py() or "", end))
+            for doc, value in zip(strings(batch.column(0)), strings(batch.column(1))):
+                windows.add(doc, words.ids(value or "", end))
                 if len(windows.full) >= 256:
                     yield rows(windows.take())
         windows.drain()

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, types as T
 
-from plumbline.llm.common import kind, map_batches, raw, text_rows
+from plumbline.llm.common import kind, map_batches, raw, strings, text_rows
 
 #: Words sorted together, and suffixes asked at once.
 STRETCH = 200_000
@@ -254,7 +254,7 @@ def find_runs(
 
         def work(batch):
             keys, documents, held = [], [], 0
-            for name, value in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
+            for name, value in zip(strings(batch.column(0)), raw(batch.column(1))):
                 words = (value or b"").split()
                 if documents and held + len(words) > STRETCH:
                     yield settle(keys, documents)
@@ -267,4 +267,4 @@ def find_runs(
 
         return work
 
-    return map_batches(text_rows(docs, key, text), make, schema)
+    return map_batches(text_rows(docs, key, text), make, schema, as_stored=True)

@@ -37,7 +37,7 @@ import ahocorasick
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from plumbline.llm.common import OWN, kind, map_batches, raw, text_rows
+from plumbline.llm.common import OWN, kind, map_batches, raw, strings, text_rows
 
 #: Bytes of the texts of one block of items, and items of one block.
 BLOCK_BYTES = 32_000_000
@@ -118,7 +118,7 @@ def term_statistics(docs: DataFrame, terms) -> DataFrame:
 
         return work
 
-    return map_batches(docs, make, schema, finish=True).groupBy("term").agg(F.sum("n").alias("n"))
+    return map_batches(docs, make, schema, finish=True, as_stored=True).groupBy("term").agg(F.sum("n").alias("n"))
 
 
 class Scores:
@@ -197,13 +197,13 @@ def scored(docs: DataFrame, terms, weights, found: int, total: int, k: int) -> D
                     "doc_id": [e[3] for e in best],
                     "score": [-e[1] for e in best],
                 }
-            for key, text in zip(batch.column(0).to_pylist(), raw(batch.column(1))):
+            for key, text in zip(strings(batch.column(0)), raw(batch.column(1))):
                 state.add(key, text)
             return None
 
         return work
 
-    return map_batches(docs, make, schema, finish=True)
+    return map_batches(docs, make, schema, finish=True, as_stored=True)
 
 
 def blocks(items: DataFrame, block_bytes: int, block_items: int) -> tuple[DataFrame, int]:

@@ -17,12 +17,14 @@ suffixes at anchors are compared, each with the *context* that its windows can s
 3. A group with more contexts than one task should hold goes window by window instead: a digest
    grouped for the least position, combined before the shuffle, and joined back.
 
-All three are exact. A document's places are gathered per document and applied to its bytes.
+All three compare whole windows, where contexts are equal by a 64-bit hash of them (one and two) or windows
+by a 128-bit digest (three). A document's places are gathered per document and applied to its bytes.
 
 Defined cases: a null or empty text has no bytes; texts under ``length`` bytes stay whole; a null
 ``doc_id`` counts as the smallest; rows of one ``doc_id`` with different texts follow the order of a
 hash of their texts; rows equal in both are one document, and each gets its result; an empty table
-gives no row; other columns are not read.
+gives no row; bytes that are no UTF-8 count as they are; other columns are not read. ``length`` may be
+64 to 65,535.
 """
 
 from __future__ import annotations
@@ -34,13 +36,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from plumbline.llm.common import kind, map_batches, mapped, written
+from plumbline.llm.common import kind, map_batches, mapped, raw, strings, written
 
 LENGTH, LEAD = 100, 32
 #: Bytes looked at together; contexts sorted together; contexts of one group for one task.
 BLOCK, CHUNK, GROUP = 1 << 20, 4_000, 4_000
 ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 PLACE = (1 << 24) - 1
+#: Bits for a number of windows or an offset, which bound the length of a repeat.
+BITS = 16
+FIELD = (1 << BITS) - 1
+LENGTHS = (64, FIELD)
+#: Documents of several rows that are sent to all rows to be made one each.
+SENT = 100_000
 
 
 def eights(buffer: bytes) -> np.ndarray:
@@ -116,9 +124,9 @@ def anchors(parts: list[bytes], length: int = LENGTH):
 def segments(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
     """The texts in lots of about a block: row, place in its text, bytes. Long ones overlap by a window."""
     rows, places, parts, size = [], [], [], 0
-    for row, raw in enumerate(texts):
-        for at in range(0, max(1, len(raw) - length + 1), BLOCK):
-            part = raw[at : at + BLOCK + length - 1]
+    for row, text in enumerate(texts):
+        for at in range(0, max(1, len(text) - length + 1), BLOCK):
+            part = text[at : at + BLOCK + length - 1]
             if len(part) < length:
                 continue
             rows.append(row), places.append(at), parts.append(part)
@@ -132,7 +140,12 @@ def segments(texts: list[bytes], length: int) -> Iterator[tuple[list[int], list[
 
 def packed(first, count, offset):
     """First window, number of windows and anchor's offset in one number."""
-    return (first << 16) | (count << 8) | offset
+    return (first << 2 * BITS) | (count << BITS) | offset
+
+
+def unpacked(at):
+    """The three again."""
+    return at >> 2 * BITS, at >> BITS & FIELD, at & FIELD
 
 
 def ranks(keys: list) -> np.ndarray:
@@ -218,8 +231,8 @@ def _anchored(rows: DataFrame, key: T.DataType, length: int) -> DataFrame:
     def make():
         def work(batch):
             docs, ties = batch.column(0), batch.column(1)
-            texts = [(t.as_py() or "").encode() for t in batch.column(2)]
-            rank = ranks(list(zip(docs.to_pylist(), ties.to_pylist())))
+            texts = [t or b"" for t in raw(batch.column(2))]
+            rank = ranks(list(zip(strings(docs), ties.to_pylist())))
             found = []
             for row, place, parts in segments(texts, length):
                 made = anchors(parts, length)
@@ -251,7 +264,7 @@ def _anchored(rows: DataFrame, key: T.DataType, length: int) -> DataFrame:
 
         return work
 
-    return map_batches(rows, make, schema)
+    return map_batches(rows, make, schema, as_stored=True)
 
 
 def _met(found: DataFrame, key: T.DataType) -> DataFrame:
@@ -289,7 +302,7 @@ def _met(found: DataFrame, key: T.DataType) -> DataFrame:
             made = []
             rows = batch.filter(pa.array(busy))
             for doc, tie, lead, at, context in zip(*(c.to_pylist() for c in rows.columns[:5])):
-                place = (doc, tie, at >> 16)
+                place = (doc, tie, unpacked(at)[0])
                 if lead != now:
                     now, context_now, place_now = lead, context, place
                     waiting = (doc, tie, lead, at, False)
@@ -326,13 +339,13 @@ def _contexts(rows: DataFrame, firsts: DataFrame, key: T.DataType, length: int)
     def make():
         def work(batch):
             row, at, start, context, lead = [], [], [], [], []
-            for i, (text, own) in enumerate(zip(batch.column(2), batch.column(3))):
-                raw = (text.as_py() or "").encode()
+            for i, (text, own) in enumerate(zip(raw(batch.column(2)), batch.column(3))):
+                text = text or b""
                 for x in own.as_py():
-                    first, count, offset = x["at"] >> 16, x["at"] >> 8 & 255, x["at"] & 255
+                    first, count, offset = unpacked(x["at"])
                     row.append(i), at.append(x["at"]), lead.append(x["lead"])
-                    start.append(raw[first + offset : first + offset + LEAD])
-                    context.append(raw[first : first + count + length - 1])
+                    start.append(text[first + offset : first + offset + LEAD])
+                    context.append(text[first : first + count + length - 1])
             return {
                 "doc": batch.column(0).take(pa.array(row, pa.int64())),
                 "tie": batch.column(1).take(pa.array(row, pa.int64())),
@@ -344,7 +357,7 @@ def _contexts(rows: DataFrame, firsts: DataFrame, key: T.DataType, length: int)
 
         return work
 
-    return map_batches(_joined(rows, _places(firsts, "at", "lead"), "inner"), make, schema)
+    return map_batches(_joined(rows, _places(firsts, "at", "lead"), "inner"), make, schema, as_stored=True)
 
 
 def _sorted_buckets(contexts: DataFrame, key: T.DataType, length: int) -> DataFrame:
@@ -359,8 +372,8 @@ def _sorted_buckets(contexts: DataFrame, key: T.DataType, length: int) -> DataFr
         def settle(table: pa.Table):
             docs, ties = table.column("doc").combine_chunks(), table.column("tie").combine_chunks()
             at = table.column("at").to_numpy()
-            first, count = at >> 16, at >> 8 & 255
-            rank = ranks(list(zip(docs.to_pylist(), ties.to_pylist())))
+            first, count, _ = unpacked(at)
+            rank = ranks(list(zip(strings(docs), ties.to_pylist())))
             flags = repeated(table.column("context").to_pylist(), count, (rank << 40) + first, length)
             owner, begin, end = spans(flags, count, first)
             owner = pa.array(owner)
@@ -395,12 +408,12 @@ def _by_digest(contexts: DataFrame, key: T.DataType, length: int) -> DataFrame:
     def make():
         def work(batch):
             for i, (at, context) in enumerate(zip(batch.column(2).to_pylist(), batch.column(4).to_pylist())):
-                n = at >> 8 & 255
+                first, n, _ = unpacked(at)
                 row = pa.array([i] * n, pa.int64())
                 yield {
                     "doc": batch.column(0).take(row),
                     "tie": batch.column(1).take(row),
-                    "place": list(range(at >> 16, (at >> 16) + n)),
+                    "place": list(range(first, first + n)),
                     "digest": [
                         hashlib.blake2b(context[j : j + length], digest_size=16).digest() for j in range(n)
                     ],
@@ -428,8 +441,8 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, group: int = GROUP) ->
     whole = met.where("whole").select(
         "doc",
         "tie",
-        F.shiftright("at", 16).alias("begin"),
-        (F.shiftright("at", 16) + F.shiftright("at", 8).bitwiseAND(255)).alias("end"),
+        F.shiftright("at", 2 * BITS).alias("begin"),
+        (F.shiftright("at", 2 * BITS) + F.shiftright("at", BITS).bitwiseAND(FIELD)).alias("end"),
     )
     firsts = met.where("NOT whole").select("doc", "tie", "at", "lead")
     large = written(
@@ -457,6 +470,22 @@ def covered(places: list[tuple[int, int]], length: int) -> list[tuple[int, int]]
     return [tuple(x) for x in out]
 
 
+def _once(rows: DataFrame) -> DataFrame:
+    """One row per document: equal rows have one result, and a thousand of them would meet in each of their anchors."""
+    again = written(
+        rows.groupBy("doc", "tie").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc", "tie"), "again"
+    )
+    n = again.limit(SENT + 1).count()
+    if not n:
+        return rows
+    if n > SENT:
+        return rows.groupBy("doc", "tie").agg(F.first("text").alias("text"))
+    again = F.broadcast(again.toDF("d", "t"))
+    same = rows.doc.eqNullSafe(F.col("d")) & (rows.tie == F.col("t"))
+    merged = rows.join(again, same, "left_semi").groupBy("doc", "tie").agg(F.first("text").alias("text"))
+    return rows.join(again, same, "left_anti").union(merged)
+
+
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = True
 ) -> DataFrame:
@@ -464,13 +493,13 @@ def remove_repeats(
 
     ``kept`` is binary: a span may end within a character.
     """
-    if length < 64:
-        raise ValueError("repeats are sought from 64 bytes on")
+    if not LENGTHS[0] <= length <= LENGTHS[1]:
+        raise ValueError("repeats are sought from {} to {} bytes".format(*LENGTHS))
     own = kind(docs, key)
     rows = docs.select(F.col(key).alias("doc"), F.col(text).cast("string").alias("text")).select(
         "doc", F.xxhash64("text").alias("tie"), "text"
     )
-    places = written(repeated_spans(rows, length), "places")
+    places = written(repeated_spans(_once(rows), length), "places")
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType())])
     schema = T.StructType(
         [
@@ -487,16 +516,16 @@ def remove_repeats(
         def work(batch):
             out = {f.name: [] for f in schema}
             out["doc_id"] = batch.column(0)
-            for value, found in zip(batch.column(2), batch.column(3)):
-                raw = (value.as_py() or "").encode()
+            for value, found in zip(raw(batch.column(2)), batch.column(3)):
+                value = value or b""
                 cuts = covered([(x["begin"], x["end"]) for x in found.as_py() or ()], length)
                 kept, at = [], 0
                 for a, b in cuts:
-                    kept.append(raw[at:a])
+                    kept.append(value[at:a])
                     at = b
-                kept = b"".join([*kept, raw[at:]])
-                out["n_bytes"].append(len(raw))
-                out["n_removed"].append(len(raw) - len(kept))
+                kept = b"".join([*kept, value[at:]])
+                out["n_bytes"].append(len(value))
+                out["n_removed"].append(len(value) - len(kept))
                 out["spans"].append([{"begin": a, "end": b} for a, b in cuts])
                 out["kept_sha256"].append(hashlib.sha256(kept).hexdigest())
                 if with_text:
@@ -505,4 +534,4 @@ def remove_repeats(
 
         return work
 
-    return map_batches(_joined(rows, _places(places, "begin", "end"), "left"), make, schema)
+    return map_batches(_joined(rows, _places(places, "begin", "end"), "left"), make, schema, as_stored=True)

@@ -210,7 +210,7 @@ def write_archives(
 
         return work
 
-    manifest = map_batches(joined, make, MANIFEST, finish=True)
+    manifest = map_batches(joined, make, MANIFEST, finish=True, as_stored=True)
     manifest.write.parquet(f"{folder}/_manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/_manifest")
 
@@ -431,4 +431,4 @@ def read_archives(
 
         return work
 
-    return map_batches(ranges.repartition(tasks), make, schema)
+    return map_batches(ranges.repartition(tasks), make, schema, as_stored=True)

@@ -45,6 +45,10 @@ def passages(seed, n):
     return docs
 
 
+def letters(seed, n):
+    return "".join(random.Random(seed).choices("abcdefgh ", k=n))
+
+
 CASES = ["", None, "a" * 500, "ab" * 300, "x" * 99, "x" * 100, "x" * 101, "of the " * 90, "é" * 77]
 
 
@@ -67,14 +71,14 @@ def test_against_every_window(spark, group, monkeypatch):
 
 
 def test_blocks_of_long_texts(spark, monkeypatch):
-    text = "".join(random.Random(4).choice("abcdefgh ") for _ in range(5000))
+    text = letters(4, 5000)
     docs = [(1, text), (2, text[300:2900]), (3, "q" + text)]
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     assert result(frame) == brute(docs, 100)
 
 
 def test_blocks_do_not_change_anchored_windows():
-    text = "".join(random.Random(4).choice("abcdefgh ") for _ in range(5000)).encode()
+    text = letters(4, 5000).encode()
     whole = [w for a in [repeats.anchors([text])] for w in zip(*(x.tolist() for x in a[1:3]))]
     assert sum(n for _, n in whole) == 5000 - 99
     old = repeats.BLOCK
@@ -117,7 +121,7 @@ def test_equal_rows_gather_their_places_once(spark, monkeypatch):
     text = " ".join(passages(6, 4))
     frame = spark.createDataFrame([(0, text)] + [(1, text)] * 40, "doc_id long, text string").repartition(4)
     seen, map_batches = [], repeats.map_batches
-    monkeypatch.setattr(repeats, "map_batches", lambda df, make, schema: (seen.append(df), map_batches(df, make, schema))[1])
+    monkeypatch.setattr(repeats, "map_batches", lambda df, *a, **k: (seen.append(df), map_batches(df, *a, **k))[1])
     rows = repeats.remove_repeats(frame).collect()
     assert [r["n_removed"] for r in rows if r["doc_id"] == 1] == [len(text.encode())] * 40
     for df in (x for x in seen if "own" in x.columns):
@@ -135,3 +139,30 @@ def test_texts_of_ids(spark):
     frame = spark.createDataFrame(docs, "doc_id string, text string")
     found = {r["doc_id"]: r["n_removed"] for r in repeats.remove_repeats(frame).collect()}
     assert found == {"a": 199 + 0, "b": 200} or found["b"] == 200
+
+
+@pytest.mark.parametrize("length", [64, 288, 400, 900])
+def test_other_lengths(spark, length):
+    text = letters(9, 3000)
+    docs = [(1, text), (2, text), (3, text[500:2000] + "!" + text[100:1200]), (4, "ab" * 1000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert result(frame, length=length) == brute(docs, length)
+
+
+def test_lengths_that_do_not_fit_are_refused(spark):
+    frame = spark.createDataFrame([], "doc_id long, text string")
+    for length in (63, 1 << 16):
+        with pytest.raises(ValueError):
+            repeats.remove_repeats(frame, length=length)
+
+
+@pytest.mark.parametrize("sent", [100_000, 0])
+def test_equal_rows_are_anchored_once(spark, sent, monkeypatch):
+    monkeypatch.setattr(repeats, "SENT", sent)
+    text = letters(8, 600)
+    rows = [(1, text)] * 50 + [(2, text[100:500])] * 20 + [(None, None)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    own = frame.selectExpr("doc_id doc", "text").selectExpr("doc", "xxhash64(text) tie", "text")
+    assert repeats._once(own).count() == 3
+    found = repeats.remove_repeats(frame).collect()
+    assert sorted((r.doc_id or 0, r.n_removed) for r in found) == [(0, 0)] * 3 + [(1, 0)] * 50 + [(2, 400)] * 20
