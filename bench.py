@@ -19,7 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from plumbline.gallery import QUERIES  # noqa: E402
 from plumbline.operators import pairs as X  # noqa: E402
-from plumbline.operators.profile import profile, value_counts  # noqa: E402
+from plumbline.operators.profile import counted_values, profile  # noqa: E402
 from plumbline.operators.suggest import (  # noqa: E402
     recommend,
     suggest,
@@ -63,8 +63,8 @@ def queries(spark: SparkSession, d: str):
     )
 
     def loop():
-        counts = value_counts(orders, ["o_orderstatus", "o_orderpriority"])
         profiled = profile(orders)
+        counts = counted_values(orders, profiled)
         found = suggest(profiled, counts)
         suggestions = found.withColumn("table_name", F.lit("orders"))
         sets = value_sets(found, suggested_values(profiled, counts))

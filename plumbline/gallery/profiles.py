@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.columns import share
 from plumbline.gallery.common import LABELLED, Registry, labelled, table
-from plumbline.operators.profile import histograms, profile, value_counts
+from plumbline.operators.profile import counted_values, histograms, profile, value_counts
+from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import (
     recommend,
     suggest,
@@ -150,6 +151,31 @@ def _percentiles(spark, d):
     return rows.select("percentile", "n", near.alias("within_bound"))
 
 
+_SHARES = [i / 20 for i in range(21)]
+# A third of the rows have one price.
+_HOT = "CASE WHEN o_orderkey % 3 = 0 THEN 1000.0::DOUBLE ELSE o_totalprice END"
+
+
+@_R.query(
+    "p06_exact_percentiles",
+    "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS column_name, {q}::DOUBLE AS share, quantile_disc({sql}, {q})::DOUBLE AS value FROM orders"
+        for name, sql in (("price", "o_totalprice"), ("hot", _HOT), ("key", "o_custkey"))
+        for q in _SHARES
+    ),
+)
+def _exact_percentiles(spark, d):
+    orders = table(spark, d, "orders").select(
+        F.col("o_totalprice").alias("price"),
+        F.when(F.col("o_orderkey") % 3 == 0, 1000.0).otherwise(F.col("o_totalprice")).alias("hot"),
+        F.col("o_custkey").alias("key"),
+    )
+    found = [
+        (c, q, float(v)) for c in orders.columns for q, v in zip(_SHARES, exact_quantiles(orders, c, _SHARES))
+    ]  # a row per column and share
+    return spark.createDataFrame(found, "column_name string, share double, value double")
+
+
 _LINE_COLUMNS = (
     "l_orderkey",
     "l_partkey",
@@ -165,6 +191,18 @@ _LINE_COLUMNS = (
 )
 _R.add(
     "p07_histograms",
+    lambda spark, d: histograms(table(spark, d, "lineitem")).select(
+        "column_name", "value", "count", F.round("ratio", 6).alias("ratio")
+    ),
+    _each(
+        _LINE_COLUMNS,
+        "SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS count, "
+        "round(count(*)::DOUBLE / (SELECT count(*) FROM lineitem), 6) AS ratio FROM lineitem GROUP BY {c} "
+        "QUALIFY count(*) OVER () <= 120",
+    ),
+)
+_R.add(
+    "p07_named_histograms",
     lambda spark, d: histograms(table(spark, d, "lineitem"), _LINE_COLUMNS).select(
         "column_name", "value", "count", F.round("ratio", 6).alias("ratio")
     ),
@@ -198,13 +236,10 @@ _R.add(
 )
 
 
-def _texts(df):
-    return [f.name for f in df.schema if f.dataType.simpleString() == "string"]
-
-
-def _found(df):
-    """Suggestions with those about the values of all text columns, and these values."""
-    counts, profiled = value_counts(df, _texts(df)), profile(df)
+def _found(df, columns=None):
+    """Suggestions with those about the values of columns of few values, or of the named ones, and these values."""
+    profiled = profile(df)
+    counts = counted_values(df, profiled) if columns is None else value_counts(df, columns)
     return suggest(profiled, counts), suggested_values(profiled, counts)
 
 
@@ -217,11 +252,11 @@ def _suggested(source, rule: str):
     return query
 
 
-def _valued(source, rule: str):
+def _valued(source, rule: str, columns=None):
     """Rule text and value of every row that a suggestion about values consists of."""
 
     def query(spark, d):
-        found, values = _found(source(spark, d) if callable(source) else table(spark, d, source))
+        found, values = _found(source(spark, d) if callable(source) else table(spark, d, source), columns)
         rules = found.select("column_name", "suggesting_rule", "dqdl_rule")
         rows = values.where(F.col("suggesting_rule") == rule)
         return rows.join(rules, ["column_name", "suggesting_rule"]).select(
@@ -247,8 +282,9 @@ _NON_NEGATIVE_SQL = _each(
     ("o_orderkey", "o_custkey", "o_totalprice"),
     "SELECT '{c}' AS column_name, 'IsNonNegative \"{c}\"' AS dqdl_rule FROM orders HAVING min({c}) >= 0",
 )
+_LISTED = """string_agg('"' || {v} || '"', ',' ORDER BY n DESC, {v})"""
 _CATEGORY = (
-    "SELECT '{c}' AS column_name, 'ReferentialIntegrity \"{c}\" \"values of {c}.value\"' AS dqdl_rule "
+    "SELECT '{c}' AS column_name, 'IsContainedIn \"{c}\" in [' || " + _LISTED.replace("{v}", "{c}") + " || ']' AS dqdl_rule "
     "FROM (SELECT {c}, count(*) AS n FROM %s GROUP BY {c}) HAVING count(*) <= 0.1 * sum(n)"
 )
 _CATEGORY_SQL = _each(("o_orderstatus", "o_orderpriority"), _CATEGORY % "orders")
@@ -264,10 +300,13 @@ _TOP = (
     "AS before, sum(n) OVER () AS t, count(*) OVER () AS k FROM "
     "(SELECT {c}, count(*) AS n FROM documents WHERE {c} IS NOT NULL GROUP BY {c}))"
 )
+_BOUND = "printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / t)) * 100) / 100)"
 _TOP_SQL = (
-    "SELECT '{c}' AS column_name, 'ReferentialIntegrity \"{c}\" \"top values of {c}.value\" >= ' || "
-    "printf('%.2f', floor((p - 1.96 * sqrt(p * (1 - p) / t)) * 100) / 100) AS dqdl_rule FROM ("
+    "SELECT '{c}' AS column_name, CASE WHEN kept <= 120 THEN 'IsContainedIn \"{c}\" in [' || listed || '] with threshold >= ' "
+    "ELSE 'ReferentialIntegrity \"{c}\" \"top values of {c}.value\" >= ' END || "
+    f"{_BOUND} AS dqdl_rule FROM ("
     "SELECT sum(n) FILTER (top)::DOUBLE / any_value(t) AS p, any_value(t) AS t, count(*) FILTER (top) AS kept, "
+    "string_agg('\"' || value || '\"', ',' ORDER BY n DESC, value) FILTER (top) AS listed, "
     f"any_value(k) AS k FROM ({_TOP})) WHERE kept < k"
 )
 
@@ -277,10 +316,8 @@ def _initials(spark, d):
     return table(spark, d, "documents").withColumn("initial", F.substring("text", 1, 1))
 
 
-_TOP_VALUES_SQL = _each(
-    ("text", "lang", "source", "initial"),
-    f"SELECT r.*, value, n AS count FROM ({_TOP_SQL}) r, ({_TOP}) WHERE top",
-).replace("FROM documents", "FROM (SELECT *, substr(text, 1, 1) AS initial FROM documents)")
+_TOP_VALUES = f"SELECT r.*, value, n AS count FROM ({_TOP_SQL}) r, ({_TOP}) WHERE top"
+_TOP_VALUES_SQL = _each(("lang", "source", "initial"), f"{_TOP_VALUES} AND k <= 120").replace("FROM documents", "FROM (SELECT *, substr(text, 1, 1) AS initial FROM documents)")
 
 _R.add("g01_complete_if_complete", _suggested("orders", "CompleteIfCompleteRule"), _COMPLETE_SQL)
 _R.add(
@@ -310,6 +347,15 @@ _R.add(
     _valued(_initials, "FractionalCategoricalRangeRule"),
     _TOP_VALUES_SQL,
 )
+_R.add(
+    "g05_top_values_by_name",
+    _valued(
+        lambda spark, d: table(spark, d, "documents").withColumn("opening", F.substring("text", 1, 4)),
+        "FractionalCategoricalRangeRule",
+        ["opening"],
+    ),
+    _each(("opening",), _TOP_VALUES).replace("FROM documents", "FROM (SELECT *, substr(text, 1, 4) AS opening FROM documents)"),
+)
 _R.add("g06_non_negative", _suggested("orders", "NonNegativeNumbersRule"), _NON_NEGATIVE_SQL)
 
 

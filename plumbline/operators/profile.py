@@ -3,7 +3,8 @@
 Plain aggregates of all columns in one code-generated aggregate, and sketches (distinct
 counts, quantiles) in another; both yield one row per column. Which text columns read as
 numbers depends on the first, so those rows (one per column) come to the driver. Values are
-counted of the columns that the caller names, all of them in one shuffle, and stay rows.
+counted of the columns that have few, as the sketches tell, or that the caller names: all of them in one
+shuffle, and they stay rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions.columns import (
+    compact_key,
     identifier,
     is_flat,
     is_numeric,
@@ -23,6 +25,7 @@ from plumbline.functions.columns import (
     sum_sql,
 )
 from plumbline.functions.predicates import shape_sql
+from plumbline.scratch import scratch_path
 
 RSD = 0.05
 QUANTILES = [i / 100 for i in range(1, 101)]
@@ -38,6 +41,8 @@ NUMBERS = {
 # Aggregates of one pass, below the code generator's limit of 100 fields, and of one column.
 PER_PASS, PER_NUMBER, PER_TEXT, PER_OTHER = 80, 10, 5, 2
 SKETCHED_COLUMNS = 36
+# Values up to which a column counts as one of few.
+MAX_COUNTED = 120
 
 _SUMMARY = (
     "column_name string, data_type string, is_inferred boolean, rows bigint, cells bigint, "
@@ -179,10 +184,43 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def histograms(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_name, value, count, ratio)``: every bin of the named columns; ratios are over all rows."""
+def few_valued(df: DataFrame, profiled: DataFrame | None = None, most: int = MAX_COUNTED) -> list[str]:
+    """Columns that seem to have ``most`` values at most: by the profile's estimate, with room for its error."""
+    fitting = [f.name for f in df.schema if is_flat(f.dataType)]
+    if profiled is None:
+        rows = df.agg(F.array(*[F.approx_count_distinct(ref(c), RSD) for c in fitting]).alias("n")).first()
+        estimates = dict(zip(fitting, rows["n"] if fitting else ()))
+    else:
+        estimates = {r.column_name: r.approx_distinct for r in profiled.select("column_name", "approx_distinct").collect()}
+    return [c for c in fitting if (estimates.get(c) or 0) <= most * (1 + 4 * RSD)]
+
+
+def counted_values(df: DataFrame, profiled: DataFrame | None = None, most: int = MAX_COUNTED) -> DataFrame:
+    """``value_counts`` of all columns of few values, whatever their type; no column need be named.
+
+    An estimate picks the columns, one pass counts the values of these, and what has more than ``most``
+    after all is left out. The counts, a few rows, are written once, since several readers follow.
+    """
+    columns = few_valued(df, profiled, most)
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column_name string, value string, count bigint")
+    path = scratch_path(df.sparkSession, "value_counts")
+    value_counts(df, columns).coalesce(1).write.parquet(path)
+    counts = df.sparkSession.read.schema("column_name string, value string, count bigint").parquet(path)
+    kept = counts.groupBy("column_name").agg(F.count("value").alias("_n")).where(F.col("_n") <= most)
+    return counts.join(F.broadcast(kept.drop("_n")), "column_name")  # a row per column
+
+
+def histograms(
+    df: DataFrame, columns: Sequence[str] | None = None, profiled: DataFrame | None = None, most: int = MAX_COUNTED
+) -> DataFrame:
+    """``(column_name, value, count, ratio)``: every bin of the columns of few values, or of the named ones.
+
+    Ratios are over all rows; NULL is a bin.
+    """
     rows = df.agg(F.count(F.lit(1))).scalar()
-    return value_counts(df, columns).withColumn("ratio", F.col("count") / rows)
+    counts = counted_values(df, profiled, most) if columns is None else value_counts(df, columns)
+    return counts.withColumn("ratio", F.col("count") / rows)
 
 
 def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> DataFrame:
@@ -210,11 +248,9 @@ def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> Dat
         )
 
     if counted:
-        exact = (
-            value_counts(df, counted)
-            .groupBy("column_name")
-            .agg(F.count("value").alias("distinct"))
-        )
+        # by digest where texts are long: how many there are is asked, not which
+        keys = df.select(*[compact_key(ref(c), df.schema[c].dataType).alias(c) for c in counted])
+        exact = value_counts(keys, counted).groupBy("column_name").agg(F.count("value").alias("distinct"))
         first = first.join(exact, "column_name", "left")
     else:
         first = first.withColumn("distinct", F.lit(None).cast("bigint"))

@@ -1,8 +1,9 @@
 """Constraints suggested by a profile, and the rulesets made of them.
 
 Most heuristics are expressions on a profile row. Those about the values of a column read the
-counts of the values of the columns that the caller named: the values they suggest are rows of a
-table (``suggested_values``), however many, and the rule's text refers to that table by name.
+counts of its values (``profile.counted_values``). Up to ``MAX_LISTED`` values stand in the rule's text, which
+then means the same anywhere; more are rows of a table (``suggested_values``), to which the text
+refers by name.
 """
 
 from __future__ import annotations
@@ -21,6 +22,8 @@ MIN_COMPLETENESS = 0.2
 MAX_CATEGORY_RATIO = 0.1
 TARGET_COVERAGE = 0.9
 Z = 1.96
+# Values, and characters of all of them, that a rule's text lists; lists with line breaks are kept as rows too.
+MAX_LISTED, MAX_TEXT = 120, 20_000
 
 # Columns of a suggestion.
 SUGGESTION = (
@@ -40,6 +43,8 @@ def quoted(text: Column) -> Column:
 # Rules about values, and what their tables of values are called.
 ALL_VALUES, TOP_VALUES = "CategoricalRangeRule", "FractionalCategoricalRangeRule"
 SETS = {ALL_VALUES: "values of ", TOP_VALUES: "top values of "}
+# How a rule begins whose values are rows.
+BY_NAME = "ReferentialIntegrity"
 
 
 def set_name(column: str, rule: str) -> str:
@@ -151,7 +156,9 @@ def _categories(profile: DataFrame, counts: DataFrame) -> DataFrame:
     )
     everything = F.when(
         F.col("distinct") <= MAX_CATEGORY_RATIO * F.col("rows"),
-        F.struct(F.lit(ALL_VALUES).alias("rule"), F.col("least"), F.lit(1.0).alias("covered")),
+        F.struct(
+            F.lit(ALL_VALUES).alias("rule"), F.col("least"), F.lit(1.0).alias("covered"), F.col("distinct").alias("kept")
+        ),
     )
     most = F.when(
         F.col("top") < F.col("distinct"),
@@ -159,6 +166,7 @@ def _categories(profile: DataFrame, counts: DataFrame) -> DataFrame:
             F.lit(TOP_VALUES).alias("rule"),
             F.col("least_top").alias("least"),
             F.try_divide("covered", "cells").alias("covered"),
+            F.col("top").alias("kept"),
         ),
     )
     found = F.inline(F.array_compact(F.array(everything, most)))
@@ -178,7 +186,7 @@ def suggested_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
 
 def value_sets(suggestions: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
     """The values under the names that the rules use: ``references`` of ``evaluate``."""
-    about = suggestions.where(F.col("suggesting_rule").isin(*SETS))
+    about = suggestions.where(F.col("suggesting_rule").isin(*SETS) & F.startswith("dqdl_rule", F.lit(BY_NAME)))
     rows = about.select("column_name", "suggesting_rule").distinct().collect()  # a row per column and rule
     return {
         set_name(*r): values.where(
@@ -189,36 +197,63 @@ def value_sets(suggestions: DataFrame, values: DataFrame) -> dict[str, DataFrame
 
 
 def _about_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
+    found = _categories(profile, counts)
+    keys = ("column_name", "rule")
+    values = (
+        counts.where("value IS NOT NULL")
+        .join(found.where(F.col("kept") <= MAX_LISTED).select(*keys, "least"), "column_name")
+        .where(F.col("count") >= F.col("least"))
+    )
+    # as many elements as a text may list
+    listed = F.transform(
+        F.sort_array(F.collect_list(F.struct((-F.col("count")).alias("n"), quoted(F.col("value")).alias("v")))),
+        lambda x: x["v"],
+    )
+    texts = (
+        values.groupBy(*keys)
+        .agg(listed.alias("listed"), F.bool_or(F.col("value").rlike("[\\n\\r\\u0001]")).alias("broken"))
+        .where(~F.col("broken") & (F.length(F.array_join("listed", ",")) <= MAX_TEXT))
+        .select(*keys, "listed")
+    )
     name = quoted(F.col("column_name"))
     named = F.when(F.col("rule") == ALL_VALUES, SETS[ALL_VALUES]).otherwise(SETS[TOP_VALUES])
-    values = F.concat(named, F.replace("column_name", F.lit("."), F.lit("_")))
+    table = F.concat(named, F.replace("column_name", F.lit("."), F.lit("_")))
     bound = _number(lower_bound(F.col("covered"), F.col("rows")))
-    demand = F.when(F.col("rule") == ALL_VALUES, "").otherwise(F.concat(F.lit(" >= "), bound))
-    return _categories(profile, counts).select(
+    everything = F.col("rule") == ALL_VALUES
+    by_list = F.concat(
+        F.format_string("IsContainedIn %s in [%s]", name, F.array_join("listed", ",")),
+        F.when(everything, "").otherwise(F.concat(F.lit(" with threshold >= "), bound)),
+    )
+    by_name = F.concat(
+        F.format_string(f"{BY_NAME} %s %s", name, quoted(F.concat(table, F.lit(".value")))),
+        F.when(everything, "").otherwise(F.concat(F.lit(" >= "), bound)),
+    )
+    values_code = F.coalesce(F.format_string("[%s]", F.array_join("listed", ", ")), quoted(table))
+    code = F.when(everything, F.format_string(".isContainedIn(%s, %s)", name, values_code)).otherwise(
+        F.format_string('.isContainedIn(%s, %s, ">= %s")', name, values_code, bound)
+    )
+    return found.join(texts, [*keys], "left").select(
         "column_name",
         F.lit("Compliance").alias("constraint_name"),
         F.col("covered").cast("string").alias("current_value"),
         F.col("rule").alias("suggesting_rule"),
-        F.format_string(".isContainedIn(%s, %s)", name, quoted(values)).alias("code_for_constraint"),
-        F.concat(
-            F.format_string(
-                "ReferentialIntegrity %s %s", name, quoted(F.concat(values, F.lit(".value")))
-            ),
-            demand,
-        ).alias("dqdl_rule"),
+        code.alias("code_for_constraint"),
+        F.when(F.col("listed").isNotNull(), by_list).otherwise(by_name).alias("dqdl_rule"),
     )
 
 
 def suggest(profile: DataFrame, counts: DataFrame | None = None) -> DataFrame:
     """One row per suggested constraint, sorted by column.
 
-    ``counts``: ``value_counts`` of the columns whose values may be constrained.
+    ``counts``: counts of the values of the columns whose values may be constrained.
     """
     found = F.array_compact(F.array(*_heuristics()))
     rows = profile.select("column_name", F.inline(found)).select(*SUGGESTION)
     if counts is not None:
         rows = rows.unionByName(_about_values(profile, counts))
-    return rows.orderBy("column_name", "suggesting_rule")
+    ordered = rows.orderBy("column_name", "suggesting_rule")
+    # a few rows per column of the table, which rules and value sets are then made of
+    return profile.sparkSession.createDataFrame(ordered.collect(), ordered.schema)
 
 
 def suggest_unique(df: DataFrame, profile: DataFrame, rsd: float = RSD) -> DataFrame:

@@ -14,6 +14,7 @@ from plumbline.functions.columns import is_numeric, is_string, literal
 from plumbline.operators import aggregates as A
 from plumbline.operators import grouped as G
 from plumbline.operators import pairs as X
+from plumbline.operators import quantiles as Q
 from plumbline.operators import trends as R
 from plumbline.operators.metric import FRAME, Metric, RuleError
 from plumbline.plans.rules import Rule
@@ -391,6 +392,7 @@ METRICS: dict[str, Callable[[Rule, Context], Metric]] = {
     "HasMaxLength": _lengths(A.max_length),
     "HasApproxCountDistinct": _approx_distinct,
     "HasApproxQuantile": _quantile(A.approx_quantile),
+    "HasExactQuantile": _quantile(Q.exact_quantile),
     "KllSketchSatisfies": _kll,
     "IsComplete": _completeness,
     "HasCompleteness": _completeness,

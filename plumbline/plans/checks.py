@@ -71,6 +71,9 @@ class Check:
         columns = (column, str(quantile))
         return self._add("HasApproxQuantile", columns, assertion, options={"accuracy": accuracy})
 
+    def hasExactQuantile(self, column: str, quantile: float, assertion) -> Check:
+        return self._add("HasExactQuantile", (column, str(quantile)), assertion)
+
     def kllSketchSatisfies(
         self,
         column: str,

@@ -14,7 +14,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline.operators.profile import profile, value_counts
+from plumbline.operators.profile import counted_values, profile, value_counts
 from plumbline.operators.suggest import recommend, suggest, suggested_values, value_sets
 from plumbline.plans.evaluate import evaluate
 from plumbline.plans.rules import explode_rules, rules_of
@@ -204,17 +204,18 @@ class DataQuality:
         return run
 
     def start_data_quality_rule_recommendation_run(
-        self, DataSource: Mapping, ProfileRunId: str | None = None, counted: Iterable[str] = ()
+        self, DataSource: Mapping, ProfileRunId: str | None = None, counted: Iterable[str] | None = ()
     ) -> dict:
         """Suggests from the profile of an earlier run if given, else from a new one.
 
-        ``counted``: columns whose values may be constrained; these are kept as rows.
+        ``counted``: columns whose values may be constrained, or None for those of few values; what a
+        rule's text does not list is kept as rows.
         """
-        counted = list(counted)
+        counted = None if counted is None else list(counted)
         run = self._start("suggestion", DataSource=json.dumps(DataSource))
         with self._recorded(run):
             df = None
-            if ProfileRunId is None or counted:
+            if ProfileRunId is None or counted is None or counted:
                 df = read_source(self.spark, DataSource)
             if ProfileRunId is not None:
                 profiled = self.get_data_quality_profile(ProfileRunId).get("ColumnProfiles")
@@ -222,7 +223,11 @@ class DataQuality:
                 profiled = None if df is None else profile(df)
             if profiled is None:
                 return self._finish(run, "NODATA", EMPTY)
-            counts = value_counts(df, counted) if counted and df is not None else None
+            counts = None
+            if df is not None and counted is None:
+                counts = counted_values(df, profiled)
+            elif df is not None and counted:
+                counts = value_counts(df, counted)
             own = F.lit(run["RunId"])
             if counts is not None:
                 self.append(suggested_values(profiled, counts).withColumn("RunId", own), "values")

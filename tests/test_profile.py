@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from plumbline import evaluate, profile, recommend, suggest
-from plumbline.operators.profile import histograms, value_counts
+from plumbline.operators.profile import counted_values, histograms, value_counts
+from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import suggest_unique, suggested_values, value_sets
 
 
@@ -131,10 +133,10 @@ def test_suggested_rules_hold_on_their_own_data(mixed):
     assert rules[("sparse", "RetainCompletenessRule")] == 'HasCompleteness "sparse" >= 0.88'
     assert rules[("whole_text", "RetainTypeRule")] == 'HasDataType "whole_text" = "Integral"'
     assert rules[("category", "CategoricalRangeRule")] == (
-        'ReferentialIntegrity "category" "values of category.value"'
+        'IsContainedIn "category" in ["a","b, B c","rare ""x"", (y)"]'
     )
     assert rules[("category", "FractionalCategoricalRangeRule")] == (
-        'ReferentialIntegrity "category" "top values of category.value" >= 0.98'
+        'IsContainedIn "category" in ["a","b, B c"] with threshold >= 0.98'
     )
     assert rules[("id", "UniqueIfUniqueRule")] == 'IsUnique "id"'
     assert ("signed", "NonNegativeNumbersRule") not in rules
@@ -160,3 +162,58 @@ def test_same_profile_however_partitioned(mixed):
     exact = ["column_name", "data_type", "rows", "cells", "minimum", "maximum", "approx_distinct"]
     want = profile(mixed).select(*exact).collect()
     assert profile(mixed.repartition(13)).select(*exact).collect() == want
+
+
+def test_columns_of_few_values_are_found_and_counted_once(spark, mixed):
+    counts = counted_values(mixed, profile(mixed))
+    few = {"flag_text", "category", "empty", "flag"}
+    assert {r.column_name for r in counts.select("column_name").distinct().collect()} == few
+    again = {(r.column_name, r.value): r["count"] for r in value_counts(mixed, sorted(few)).collect()}
+    assert {(r.column_name, r.value): r["count"] for r in counts.collect()} == again
+    assert all("/value_counts-" in f for f in counts.inputFiles())
+    assert {r.column_name for r in counted_values(mixed, most=2).collect()} == {"flag", "flag_text", "empty"}
+    assert histograms(mixed).count() == counts.count()
+
+
+def test_long_lists_and_line_breaks_go_by_name(spark):
+    i = F.col("id")
+    df = spark.range(0, 20_000).select(
+        F.concat(F.lit("v"), (i % 150).cast("string")).alias("many"),
+        F.concat(F.lit("line\n"), (i % 3).cast("string")).alias("broken"),
+        F.concat(F.lit('"q, ]" '), (i % 3).cast("string")).alias("odd"),
+    )
+    found = profile(df)
+    counts = value_counts(df, ["many", "broken", "odd"])
+    suggestions = suggest(found, counts).where("suggesting_rule = 'CategoricalRangeRule'")
+    kinds = {r.column_name: r.dqdl_rule.split(" ")[0] for r in suggestions.collect()}
+    assert kinds == {"many": "ReferentialIntegrity", "broken": "ReferentialIntegrity", "odd": "IsContainedIn"}
+    sets = value_sets(suggestions, suggested_values(found, counts))
+    assert set(sets) == {"values of many", "values of broken"}
+    results = evaluate(df, recommend(suggestions.withColumn("table_name", F.lit("t"))), references=sets)
+    assert [r.result for r in results.collect()] == ["PASS"] * 3
+
+
+@pytest.mark.parametrize("kind", ["long", "int", "double", "float", "decimal(20,2)"])
+def test_exact_quantiles(spark, kind):
+    rng = random.Random(3)
+    pools = [
+        [rng.gauss(0, 1000) for _ in range(500)],
+        [7.0] * 300 + [rng.random() for _ in range(99)],
+        [1e-9 * rng.random() for _ in range(50)] + [1e9, -1e9, 0.0, -0.0],
+        [5.0],
+    ]
+    for pool in pools:
+        df = spark.createDataFrame([(x,) for x in [*pool, None]], "v double").select(F.col("v").cast(kind))
+        ordered = sorted(r.v for r in df.where("v IS NOT NULL").collect())
+        shares = [0, 0.001, 0.25, 0.5, 1 / 3, 0.9, 1]
+        want = [ordered[max(1, math.ceil(q * len(ordered))) - 1] for q in shares]
+        assert exact_quantiles(df, "v", shares, buckets=16) == want
+
+
+def test_exact_quantiles_at_the_ends_of_types(spark):
+    df = spark.createDataFrame([(2**63 - 1, 1e308), (-(2**63), -1e308), (2**63 - 2, float("nan")), (0, float("inf"))], "l long, d double")
+    assert exact_quantiles(df, "l", [0, 0.5, 0.75, 1]) == [-(2**63), 0, 2**63 - 2, 2**63 - 1]
+    assert exact_quantiles(df, "d", [0, 0.5, 1]) == [-1e308, 1e308, float("inf")]
+    assert exact_quantiles(df.limit(0), "l", [0.5]) == [None]
+    rules = ['HasExactQuantile "l" "0.5" = 0', 'HasExactQuantile "l" "2" = 0']
+    assert [r.result for r in sorted(evaluate(df, rules).collect(), key=lambda r: r.rule_no)] == ["PASS", "ERROR"]
