@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from plumbline.functions.columns import share
 from plumbline.gallery.common import LABELLED, Registry, labelled, table
+from plumbline.operators.keys import suggested_keys
 from plumbline.operators.profile import counted_values, histograms, profile, value_counts
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import (
@@ -372,6 +375,31 @@ def _unique(spark, d):
     return suggest_unique(orders, profile(orders)).select("column_name", "dqdl_rule")
 
 
+def _keys_sql(name: str, columns, most: int) -> str:
+    """Every set of up to ``most`` columns tried; keys without a smaller one inside."""
+    tried = "\nUNION ALL\n".join(
+        f"SELECT [{', '.join(repr(c) for c in s)}] AS cols, (SELECT count(*) = count(DISTINCT ({', '.join(s)},)) FROM {name}) AS is_key"
+        for width in range(1, most + 1)
+        for s in combinations(columns, width)
+    ).replace(",))", "))")
+    return f"""WITH k AS MATERIALIZED (SELECT cols FROM ({tried}) WHERE is_key)
+        SELECT '{name}' AS table_name, 'IsPrimaryKey "' || array_to_string(cols, '" "') || '"' AS dqdl_rule, len(cols)::INT AS width
+        FROM k WHERE NOT EXISTS (SELECT 1 FROM k AS small WHERE len(small.cols) < len(k.cols) AND list_has_all(k.cols, small.cols))"""
+
+
+@_R.query(
+    "g07_minimal_keys",
+    f"SELECT * FROM ({_keys_sql('orders', _ORDER_COLUMNS, 3)}) UNION ALL SELECT * FROM ({_keys_sql('lineitem', _LINE_COLUMNS, 3)})",
+)
+def _minimal_keys(spark, d):
+    """The smallest keys of the orders (one column) and the line items (sets of columns)."""
+    parts = [
+        suggested_keys(table(spark, d, t)).select(F.lit(t).alias("table_name"), "dqdl_rule", "width")
+        for t in ("orders", "lineitem")
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 # Of the orders, no value is so rare that a few cover nine tenths of a column of texts.
 _ORDER_TOP_SQL = _each(
     ("o_orderstatus", "o_orderpriority"),

@@ -79,21 +79,26 @@ SETS_PER_PASS, SLOTS_PER_PASS = 32, 12
 TAG = "_set"
 
 
-def slots_of(
-    df: DataFrame, key_sets: Sequence[Sequence[Column]]
-) -> tuple[list[T.DataType], list[list[int]]]:
+def key_types(df: DataFrame, key_sets: Sequence[Sequence[Column]]) -> list[list[T.DataType]]:
+    """The types of the keys of each set, from one look at the plan."""
+    named = [k.alias(f"k{i}_{j}") for i, keys in enumerate(key_sets) for j, k in enumerate(keys)]
+    found = iter(df.select(*named).schema)
+    return [[next(found).dataType for _ in keys] for keys in key_sets]
+
+
+def slots_of(key_types: Sequence[Sequence[T.DataType]]) -> tuple[list[T.DataType], list[list[int]]]:
     """Typed slots that hold any one of the key sets, and which slots each set fills.
 
     Keys of one type share slots, so the row stays narrow and every key keeps its own type.
     """
     types: list[T.DataType] = []
     filled: list[list[int]] = []
-    for keys in key_sets:
+    for keys in key_types:
         own: list[int] = []
-        for field in df.select(*[k.alias(f"k{i}") for i, k in enumerate(keys)]).schema:
-            free = [i for i, t in enumerate(types) if t == field.dataType and i not in own]
+        for dtype in keys:
+            free = [i for i, t in enumerate(types) if t == dtype and i not in own]
             if not free:
-                types.append(field.dataType)
+                types.append(dtype)
             own.append(free[0] if free else len(types) - 1)
         filled.append(own)
     return types, filled
@@ -107,7 +112,7 @@ def tagged_sizes(
     A row becomes a row per key set with the set's number; a slot that the set does not fill is NULL.
     Groups are equal where number and keys are, so counts are exact; tasks count before the exchange.
     """
-    types, filled = slots_of(df, key_sets)
+    types, filled = slots_of(key_types(df, key_sets))
     names = key_names(len(types))
     cells: list[Column] = []
     for number, (keys, own) in enumerate(zip(key_sets, filled)):
@@ -131,19 +136,19 @@ def statistics_by_set(
 
 def passes(df: DataFrame, key_sets: dict[tuple, list[Metric]]) -> list[list[Metric]]:
     """The metrics of the key sets, dealt to as few passes as the bounds on a pass allow."""
-    out: list[list[list[Metric]]] = []
-    for metrics in key_sets.values():
-        if out:
-            sets = [m[0].keys for m in [*out[-1], metrics]]
-            try:
-                fits = len(sets) <= SETS_PER_PASS and len(slots_of(df, sets)[0]) <= SLOTS_PER_PASS
-            except AnalysisException:  # a key that does not fit the data set is found out alone
-                fits = False
-            if fits:
-                out[-1].append(metrics)
+    sets = list(key_sets.values())
+    try:
+        types = key_types(df, [metrics[0].keys for metrics in sets])
+    except AnalysisException:  # a key that does not fit the data set is found out alone
+        return sets
+    out: list[list[int]] = []
+    for i in range(len(sets)):
+        if out and len(out[-1]) < SETS_PER_PASS:
+            if len(slots_of([types[j] for j in [*out[-1], i]])[0]) <= SLOTS_PER_PASS:
+                out[-1].append(i)
                 continue
-        out.append([metrics])
-    return [[m for metrics in own for m in metrics] for own in out]
+        out.append([i])
+    return [[m for i in own for m in sets[i]] for own in out]
 
 
 def statistics_frame(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str], names: Sequence[str]) -> DataFrame:

@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from plumbline.functions.columns import ref
-from plumbline.operators.grouped import COUNTS, N, TAG, key_set, passes, slots_of, tagged_sizes
+from plumbline.operators.grouped import COUNTS, N, TAG, key_set, key_types, passes, slots_of, tagged_sizes
 from plumbline.operators.metric import Metric
 from plumbline.sources.readers import read_path
 
@@ -47,7 +47,7 @@ def batch_sizes(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()
     out = []
     for own in passes(df, sets):
         chosen = {set_name(m): m.keys for m in own}
-        types, _ = slots_of(df, list(chosen.values()))
+        types, _ = slots_of(key_types(df, list(chosen.values())))
         sizes, slots = tagged_sizes(df, list(chosen.values()), by)
         named = [
             F.col(s).alias(_slot(t, types[:i].count(t))) for i, (s, t) in enumerate(zip(slots, types))
