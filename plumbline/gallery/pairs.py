@@ -73,9 +73,7 @@ def _drifted(orders):
     )
 
 
-@_R.query(
-    "x04_dataset_match",
-    f"""SELECT matched, changed, missing, extra,
+_MATCH_SQL = f"""SELECT matched, changed, missing, extra,
     round(matched::DOUBLE / (matched + changed + missing), 6) AS metric FROM (
     SELECT count(*) FILTER (WHERE both_sides AND same) AS matched,
         count(*) FILTER (WHERE both_sides AND NOT same) AS changed,
@@ -88,13 +86,21 @@ def _drifted(orders):
         AND r.o_totalprice IS NOT DISTINCT FROM d.o_totalprice
         AND r.o_orderdate IS NOT DISTINCT FROM d.o_orderdate
         AND r.o_orderpriority IS NOT DISTINCT FROM d.o_orderpriority AS same
-        FROM orders r FULL JOIN {_DRIFTED_SQL} d ON r.o_orderkey = d.o_orderkey))""",
-)
+        FROM orders r FULL JOIN {_DRIFTED_SQL} d ON r.o_orderkey = d.o_orderkey))"""
+
+
+@_R.query("x04_dataset_match", _MATCH_SQL)
 def _match(spark, d):
     orders = table(spark, d, "orders")
     return _rounded(X.dataset_match(_drifted(orders), orders, ["o_orderkey"]))
 
 
+@_R.query("x04_digest_match", _MATCH_SQL)
+def _digest_match(spark, d):
+    orders = table(spark, d, "orders")
+    return _rounded(X.digest_match(_drifted(orders), orders, ["o_orderkey"]))
+
+
 @_R.query(
     "x05_schema_conformance",
     """SELECT 'p_partkey' AS column_name, 'bigint' AS expected_type, true AS present,

@@ -182,6 +182,95 @@ def dataset_match(
     return whole.select("*", F.try_divide(F.col("matched"), reference_rows).alias("metric"))
 
 
+# Buckets of one level of a digest tree as a power of two, its levels, and differing buckets that are looked into.
+DIGEST_BITS, DIGEST_LEVELS, DIGEST_OPEN = 10, 3, 1024
+
+
+def _hashable(c: Column, dtype: T.DataType) -> Column:
+    """Equal numbers hash alike: adding zero makes one value of both zeros."""
+    return c + F.lit(0).cast(dtype) if isinstance(dtype, (T.FloatType, T.DoubleType)) else c
+
+
+def _differing(rows: DataFrame, bucket: Column) -> DataFrame:
+    """Buckets whose rows are not the same on both sides, by order-free digests.
+
+    A bucket's digest is its number of rows and the sums of the halves of two hashes of each row, with
+    the reference's rows added and the others' taken away: a row per task and bucket is shuffled.
+    """
+    sign = F.col("_r") - F.col("_d")
+    low, high = F.lit(0xFFFFFFFF), 32
+    halves = [e for h in ("_h", "_g") for e in (F.col(h).bitwiseAND(low), F.shiftrightunsigned(h, high))]
+    sums = [F.sum(sign).alias("s"), *[F.sum(sign * e).alias(f"s{i}") for i, e in enumerate(halves)]]
+    digests = rows.groupBy(bucket.alias("_b")).agg(*sums)
+    unequal = F.lit(False)
+    for name in ("s", *[f"s{i}" for i in range(len(halves))]):
+        unequal = unequal | (F.col(name) != 0)
+    return digests.where(unequal).select("_b")
+
+
+def digest_match(df: DataFrame, other: DataFrame, keys: Sequence[str], match: Sequence[str] = ()) -> DataFrame:
+    """``dataset_match`` of two large tables that are mostly the same.
+
+    Rows fall into buckets by a hash of their keys. Where the digests of a bucket agree, its rows do
+    (but for a chance of about 2^-128 a bucket), and they all match; only differing buckets are parted
+    further, level by level, and only their rows are compared one by one. Each level is one scan of both
+    tables, of which no rows are shuffled. Looking stops where more than ``DIGEST_OPEN`` buckets differ.
+    """
+    match = list(match) or [c for c in other.columns if c not in keys]
+    cols = [*keys, *[c for c in match if c not in keys]]
+    texts = _texts(df, cols, other, cols)
+
+    def side(frame: DataFrame, in_reference: int) -> DataFrame:
+        own = [_key(ref(c), t).alias(c) for c, t in zip(cols, texts)]
+        flags = [F.lit(in_reference).cast("long").alias("_r"), F.lit(1 - in_reference).cast("long").alias("_d")]
+        return frame.select(*own, *flags)
+
+    # united first, so that both sides are hashed in one type
+    united = side(other, 1).unionByName(side(df, 0))
+    values = [_hashable(ref(c), united.schema[c].dataType) for c in cols]
+    # a hash passes over NULL, so which values are NULL is hashed too
+    nulls = [v.isNull() for v in values]
+    rows = united.withColumns(
+        {
+            "_k": F.xxhash64(*values[: len(keys)]),
+            "_h": F.xxhash64(*values, *nulls),
+            "_g": F.xxhash64(F.lit("second"), *nulls, *values),
+        }
+    )
+    spark = df.sparkSession
+    reference_rows = other.count()
+    level, open_ = 0, None
+    while level < DIGEST_LEVELS:
+        bucket = F.col("_k").bitwiseAND((1 << DIGEST_BITS * (level + 1)) - 1)
+        found = [r["_b"] for r in _differing(rows, bucket).limit(100_001).collect()]
+        if len(found) > 100_000:
+            break
+        level, open_ = level + 1, found
+        if not found or len(found) > DIGEST_OPEN or level == DIGEST_LEVELS:
+            break
+        own = spark.createDataFrame([(b,) for b in found], "_o bigint")
+        rows = rows.join(F.broadcast(own), bucket == F.col("_o"), "left_semi")
+    if open_ is None:  # nearly every bucket differs
+        return dataset_match(df, other, keys, match)
+    if open_:
+        mask = (1 << DIGEST_BITS * level) - 1
+        own = F.broadcast(spark.createDataFrame([(b,) for b in open_], "_o bigint"))
+        left = rows.join(own, F.col("_k").bitwiseAND(mask) == F.col("_o"), "left_semi").select(*map(ref, cols), "_r")
+    else:
+        left = rows.where(F.lit(False)).select(*map(ref, cols), "_r")
+    reference, rest = left.where("_r = 1").drop("_r"), left.where("_r = 0").drop("_r")
+    compared = dataset_match(rest, reference, keys, match)
+    looked_at = F.col("matched") + F.col("changed") + F.col("missing")
+    matched = F.col("matched") + F.lit(reference_rows) - looked_at
+    return compared.select(
+        matched.alias("matched"),
+        "changed",
+        "missing",
+        "extra",
+        F.try_divide(matched, F.lit(reference_rows)).alias("metric"),
+    )
+
+
 def schema_conformance(df: DataFrame, other: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Per column of ``other``: ``cells`` with a value in ``df`` and the share readable in its type."""
     present = set(df.columns)

@@ -122,3 +122,29 @@ def test_two_table_rules(spark):
     assert {i: (r.metric, r.result) for i, r in built.items()} == {
         i: (r.metric, r.result) for i, r in rows.items()
     }
+
+
+@pytest.mark.parametrize("drift", [0, 1, 40, 3000])
+def test_digests_give_the_counts_of_the_full_comparison(spark, drift, monkeypatch):
+    i = F.col("id")
+    reference = spark.range(3000).select(
+        i.cast("int").alias("k"), (i % 7).alias("a"), F.when(i % 5 != 0, (i % 3).cast("double")).alias("b"), F.lit("t" * 90).alias("c")
+    )
+    spread = F.pmod(F.xxhash64("k"), F.lit(3000)) < drift
+    df = reference.withColumn("a", F.when(spread & (F.col("k") % 3 == 0), None).otherwise(F.col("a"))).where(
+        ~(spread & (F.col("k") % 3 == 1))
+    )
+    df = df.unionByName(df.where(spread & (F.col("k") % 3 == 2))).withColumn("k", F.col("k").cast("long"))
+    looked = []
+    whole = X.dataset_match
+    monkeypatch.setattr(X, "dataset_match", lambda d, o, *a: (looked.append(o), whole(d, o, *a))[1])
+    got = X.digest_match(df, reference, ["k"]).first()
+    assert tuple(got) == tuple(whole(df, reference, ["k"]).first())
+    assert looked[0].count() <= max(4 * drift, 0)
+
+
+def test_digests_tell_null_from_its_place_and_count_copies(spark):
+    a = spark.createDataFrame([(1, None, 5), (2, 3, 3), (2, 3, 3), (3, 0, None)], "k int, x int, y int")
+    b = spark.createDataFrame([(1, 5, None), (2, 3, 3), (3, 0, None)], "k int, x int, y int")
+    for left, right in ((a, b), (b, a), (a, a), (a.limit(0), a), (a, a.limit(0))):
+        assert tuple(X.digest_match(left, right, ["k"]).first()) == tuple(X.dataset_match(left, right, ["k"]).first())
