@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import functions as F
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, functions as F
 
 from plumbline.gallery.common import Registry, table
 from plumbline.gallery.rulesets import SLICE, SLICE_SQL
@@ -14,6 +16,8 @@ from plumbline.plans import score as S
 from plumbline.plans.evaluate import evaluate
 from plumbline.scratch import scratch_path
 from plumbline.sources import readers, records, sinks
+from plumbline.sources.keyed_store import KeyedStore
+from plumbline.sources.versions import publish_version, read_version
 
 _R = Registry()
 QUERIES, ORACLES = _R.queries, _R.oracles
@@ -39,10 +43,10 @@ def _read_table(spark, d):
     name = "plumbline_orders_" + uuid.uuid4().hex[:8]
     spark.catalog.createTable(f"default.{name}", path=path, source="parquet")
     try:
-        # read once, so that the entry can go; the files are not the catalog's and stay
         found = _by_status(readers.read_table(spark, "default", name))
-        rows = found.collect()  # a row per status
-        return spark.createDataFrame(rows, found.schema)
+        # the plan that was made of the entry reads its files, which are not the catalog's and stay
+        found.schema
+        return found
     finally:
         spark.sql(f"DROP TABLE default.{name}")
 
@@ -137,6 +141,57 @@ _R.add(
 )
 
 
+def _broken(df):
+    """The rows, of which some raise when they are written."""
+    return df.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 7 == 3, F.raise_error(F.lit("broken"))).otherwise(F.col("o_totalprice")))
+
+
+@_R.query(
+    "s07_versions",
+    """SELECT step, o_orderstatus, n FROM (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
+        (VALUES ('first', ['F']), ('failed', ['F']), ('added', ['F', 'O']), ('partition', ['F', 'O']), ('replaced', ['P'])) v(step, kept)
+    WHERE list_contains(kept, o_orderstatus)""",
+)
+def _versions(spark, d):
+    """Published version by version, one of them with a write that fails midway: readers see whole versions only."""
+    path = scratch_path(spark, "versions")
+    orders = table(spark, d, "orders")
+    seen = []
+
+    def look(step):
+        # what is read is the version of that moment, whatever is published later
+        seen.append(_by_status(read_version(spark, path, ["o_orderstatus"])).withColumn("step", F.lit(step)))
+
+    publish_version(orders.where("o_orderstatus = 'F'"), path, ["o_orderstatus"])
+    look("first")
+    try:
+        publish_version(_broken(orders), path, ["o_orderstatus"])
+    except PySparkException:
+        look("failed")
+    publish_version(orders.where("o_orderstatus = 'O'"), path, ["o_orderstatus"], "append")
+    look("added")
+    publish_version(orders.where("o_orderstatus = 'O'"), path, ["o_orderstatus"], "partitions")
+    look("partition")
+    publish_version(orders.where("o_orderstatus = 'P'"), path, ["o_orderstatus"], "replace")
+    look("replaced")
+    return reduce(DataFrame.unionByName, seen)
+
+
+_R.add(
+    "s07_publish_partitions",
+    lambda spark, d: _by_status(_partitions_replaced(spark, d)),
+    """SELECT o_orderstatus, count(*) FILTER (WHERE o_orderstatus <> 'O' OR o_custkey % 2 = 0) AS n FROM orders GROUP BY 1""",
+)
+
+
+def _partitions_replaced(spark, d):
+    path = scratch_path(spark, "publish-partitions")
+    orders = table(spark, d, "orders")
+    sinks.publish(orders, path, ["o_orderstatus"])
+    sinks.publish_partitions(orders.where("o_orderstatus = 'O' AND o_custkey % 2 = 0"), path, ["o_orderstatus"])
+    return spark.read.parquet(path)
+
+
 @_R.query(
     "s09_file_inventory",
     """SELECT DISTINCT 'partition=' || o_orderstatus AS folder, true AS filled FROM orders
@@ -169,6 +224,24 @@ def _append(spark, d):
     return newest.select("o_orderkey", "o_orderstatus")
 
 
+@_R.query(
+    "s10_keyed_store",
+    """SELECT user_id, arg_max(event_id, (ts, event_id)) AS event_id, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY user_id""",
+)
+def _keyed_store(spark, d):
+    """Events by user, written day by day in part, compacted in between, then written on: the newest of each user."""
+    store = KeyedStore(spark, scratch_path(spark, "keyed"), ["user_id"])
+    events = table(spark, d, "events").select("user_id", "event_id", "ts", "value")
+    for n, part in enumerate(("event_id % 3 = 0", "event_id % 3 = 1", "event_id % 3 = 2")):
+        newest = records.latest_by_key(events.where(part), ["user_id"], ["ts", "event_id"])
+        store.append(newest, datetime(2024, 1, 1 + n))
+        if n == 1:
+            # each record's versions are ordered by what they hold, so all of them stay
+            store.copy_to(store.path + "-copy", as_of=datetime(2024, 1, 9))
+            store = KeyedStore(spark, store.path + "-copy", ["user_id"])
+    return records.latest_by_key(store.read(), ["user_id"], ["ts", "event_id"]).select("user_id", "event_id", "value")
+
+
 _R.add(
     "s11_latest_by_key",
     lambda spark, d: records.latest_by_key(

@@ -19,6 +19,7 @@ from plumbline.operators.suggest import recommend, suggest, suggested_values, va
 from plumbline.plans.evaluate import evaluate
 from plumbline.plans.rules import explode_rules, rules_of
 from plumbline.plans.score import result_records, tally
+from plumbline.sources.keyed_store import KeyedStore
 from plumbline.sources.readers import read_source
 from plumbline.sources.records import (
     EXPIRY_DAYS,
@@ -39,6 +40,8 @@ RUN_SCHEMA = (
 TABLES = (
     "runs", "rulesets", "profiles", "suggestions", "values", "results", "batches", "steps", "statuses",
 )
+# Tables read by key, and their keys.
+KEYED = {"runs": "RunId", "rulesets": "Name", "results": "ResultId"}
 RULESET_SCHEMA = (
     "Name string, Description string, Ruleset string, Tags map<string,string>, "
     "DataSource map<string,string>, "
@@ -80,31 +83,50 @@ class DataQuality:
 
     # --- records -----------------------------------------------------------------
 
+    def _keyed(self, table: str, store: str | None = None) -> KeyedStore:
+        return KeyedStore(self.spark, f"{store or self.store}/{table}", [KEYED[table]])
+
+    def _versions(self, table: str) -> DataFrame | None:
+        return self._keyed(table).read() if table in KEYED else read_records(self.spark, f"{self.store}/{table}")
+
     def append(self, rows: DataFrame, table: str) -> None:
         """Adds rows to a table of the store."""
-        append_record(rows, f"{self.store}/{table}")
+        if table in KEYED:
+            self._keyed(table).append(rows)
+        else:
+            append_record(rows, f"{self.store}/{table}")
 
     def has(self, table: str) -> bool:
-        return read_records(self.spark, f"{self.store}/{table}") is not None
+        return self._versions(table) is not None
 
     def table(self, table: str) -> DataFrame:
         """All versions of all rows recorded in a table of the store."""
-        versions = read_records(self.spark, f"{self.store}/{table}")
+        versions = self._versions(table)
         if versions is None:
             raise NotFound(f"nothing recorded in {table!r}")
         return versions
 
+    def compact(self, days: int = EXPIRY_DAYS) -> None:
+        """The tables read by key, compacted where they are; readers and writers go on meanwhile."""
+        for table in KEYED:
+            self._keyed(table).compact(days=days)
+
     def compact_to(self, store: str, days: int = EXPIRY_DAYS) -> DataQuality:
-        """The living records of all tables in a new store, a folder per day; work goes on there."""
+        """The living records of all tables in a new store, a folder per day or key; work goes on there."""
         for table in TABLES:
-            compact_records(self.spark, f"{self.store}/{table}", f"{store.rstrip('/')}/{table}", days=days)
+            target = f"{store.rstrip('/')}/{table}"
+            if table in KEYED:
+                self._keyed(table).copy_to(target, days=days)
+            else:
+                compact_records(self.spark, f"{self.store}/{table}", target, days=days)
         return DataQuality(self.spark, store, self.job_name, self.job_run_id)
 
     def _get(self, table: str, key: str, value: str) -> dict:
-        found = latest_by_key(self.table(table).where(F.col(key) == value), [key]).collect()
-        if not found:
+        found = self._keyed(table).get(value)
+        rows = [] if found is None else found.collect()
+        if not rows:
             raise NotFound(f"no {key} {value!r} in {table!r}")
-        return found[0].asDict(recursive=True)
+        return rows[0].asDict(recursive=True)
 
     def _put_run(self, run: dict) -> None:
         fields = [f.strip().split()[0] for f in RUN_SCHEMA.split(", ")]

@@ -23,7 +23,9 @@ def _utc(moment: datetime) -> str:
     return moment.isoformat(sep=" ")
 
 
-def append_record(record: DataFrame, path: str, written_at: datetime | None = None) -> None:
+def append_record(
+    record: DataFrame, path: str, written_at: datetime | None = None, partition_cols: Sequence[str] = ()
+) -> None:
     """Adds a version of one or more records; ``written_at`` is UTC, now by default.
 
     Every write has a folder of its own: writers that share an output folder also share
@@ -31,7 +33,8 @@ def append_record(record: DataFrame, path: str, written_at: datetime | None = No
     """
     stamp = F.current_timestamp() if written_at is None else F.lit(_utc(written_at) + "Z")
     folder = f"{path}/{WRITE}=w-{uuid.uuid4().hex}"
-    record.withColumn("written_at", stamp.cast("timestamp")).write.parquet(folder)
+    stamped = record.withColumn("written_at", stamp.cast("timestamp"))
+    (stamped.write.partitionBy(*partition_cols) if partition_cols else stamped.write).parquet(folder)
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame | None:
