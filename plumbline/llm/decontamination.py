@@ -6,9 +6,9 @@ item. Where that length reaches the window, the window's words are hit; an item
 window is itself one. Runs of words that no item contains are passed over without touching the
 automaton.
 
-Items are read in blocks of at most ``block_words`` words; each block's automaton is broadcast, so
-its size is bounded whatever the benchmark's, and a document meets the blocks one after the other
-in the same pass.
+Items are read in blocks of at most ``block_words`` words; each block's automaton is broadcast, and a
+document meets the blocks one after the other in the same pass. All of them are in every worker's memory,
+so the items are measured first: more than ``MAX_BYTES`` of text are refused.
 
 Words are runs of ASCII letters, digits and all characters beyond ASCII, with A-Z lower-cased.
 
@@ -34,6 +34,8 @@ from plumbline.llm.common import OWN, kind, map_batches, text_rows
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words of one block of items; an automaton has at most twice as many states.
 BLOCK_WORDS = 1_000_000
+#: Bytes of all items together; their automata go to every worker.
+MAX_BYTES = 64_000_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -159,6 +161,9 @@ def blocks(items: DataFrame, key: str, text: str, size: int) -> Iterator[list[tu
 
 def sent(docs: DataFrame, items: DataFrame, key: str, text: str, window: int, size: int) -> list:
     """The blocks' automata, broadcast one by one as the items come in."""
+    size_of = items.agg(F.coalesce(F.sum(F.octet_length(F.col(text).cast("string"))), F.lit(0))).first()[0]
+    if size_of > MAX_BYTES:
+        raise ValueError(f"the items have {size_of} bytes, automata of more than {MAX_BYTES} are not sent out")
     context = docs.sparkSession.sparkContext
     return [context.broadcast(Automaton(b, window)) for b in blocks(items, key, text, size)]
 

@@ -111,6 +111,11 @@ def sample(rows: DataFrame, label: str, share: int, counts: dict) -> DataFrame:
     return rows.where(chosen)
 
 
+def bounded(rows: DataFrame, most: int, *columns: str) -> DataFrame:
+    """``most`` rows at most, by a hash of what they hold: the same ones in every run, whatever key they share."""
+    return rows.orderBy(F.xxhash64(*columns), *columns).limit(most)
+
+
 def learn(docs: DataFrame, learnable: Column, key: str, text: str, lang: str, sample_rows: int):
     """A model from the learnable labelled rows, or None where there are none."""
     rows = docs.where(learnable & F.col(lang).isNotNull()).select(
@@ -119,7 +124,7 @@ def learn(docs: DataFrame, learnable: Column, key: str, text: str, lang: str, sa
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return None
-    chosen = sample(rows, "lang", max(1, sample_rows // len(counts)), counts).limit(2 * sample_rows)
+    chosen = bounded(sample(rows, "lang", max(1, sample_rows // len(counts)), counts), 2 * sample_rows, "doc_id", "text")
 
     def make():
         def work(batch):

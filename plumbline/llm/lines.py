@@ -1,26 +1,32 @@
 """Line deduplication by winnowing over line hashes.
 
 A *run* is the fewest whole lines from some line on, or up to some line, that together have
-``min_words`` words; lines without a word are passed over. Winnowing picks from each run the line with
-the least hash (the first of equals) as its fingerprint; runs are grouped by fingerprint and digest of
-all their lines, so that only equal ones meet. Every run that also starts earlier (in a document of
-smaller id, or before in the same one) is repeated. The lines of all later occurrences are deleted;
-the first stays.
-
-Together these are all lines of all maximal repeated passages of ``min_words`` words or more: in such a
-passage each line either has that many words up to it, and then ends a run inside the passage, or has
-fewer, and then lies in the run that begins with the passage. Whether lines make a run is seen from
-them alone, so equal ones are runs wherever they stand, and no match has to be extended from there.
-
-The comparison groups for the least position, which combines before the shuffle, and joins back,
-which can be split; a line that stands in a third of all documents is spread. Within a batch,
-repeats are found before anything is shuffled. Equal rows have the same runs, which are gathered
-once, so what is gathered is bounded by the text whatever the number of its rows.
+``min_words`` words; lines without a word are passed over. Winnowing picks from each run the line of the
+least hash (the first of equals): the minima are the fingerprints, and any two passages of ``min_words``
+words that are equal have one in common. A fingerprint is kept once, with its *extent*: all lines of the
+runs that picked it, which is as far as it can speak for a match both ways.
+
+1. Fingerprints meet by the hash of their line. One that meets no other is done.
+2. Of equal extents around it all but the first are repeated, line for line.
+3. Where extents differ, the first one of each is extended both ways as far as it equals another: run by
+   run of the extent, those up to each line and those from each line on, by digest. A run that also starts
+   earlier (in a document of smaller id, or before in the same one) is repeated.
+
+The lines of all later occurrences are deleted; the first stays. Together these are all lines of all maximal
+repeated passages of ``min_words`` words or more: in such a passage each line either has that many
+words up to it, and then ends a run inside the passage, or has fewer, and then lies in the run that begins
+with the passage.
+
+Comparisons group for the least position, which combines before the shuffle, and join back, which can be
+split; a line that stands in a third of all documents is spread. Within a batch, equal extents are found
+before anything is shuffled. Equal rows have the same extents, which are gathered once, so what is
+gathered is bounded by the text whatever the number of its rows.
 
 Defined cases: a null or empty text has no lines and stays; texts of fewer than ``min_words`` words
 stay; lines are compared without the white space at their ends; a null ``doc_id`` counts as the
 smallest; rows of one ``doc_id`` with different texts follow the order of a hash of their texts;
-rows equal in both are one document; an empty table gives an empty one; other columns are kept.
+rows equal in both are one document; an empty table gives an empty one; bytes that are no UTF-8 become
+U+FFFD in the texts given back; other columns are kept.
 """
 
 from __future__ import annotations
@@ -68,18 +74,25 @@ def shortest_runs(words: list[int], min_words: int) -> list[tuple[int, int]]:
     return sorted(set(out))
 
 
-def winnowed(text: str | None, min_words: int) -> list[tuple[int, int, int, bytes]]:
-    """Per run: first line, one past the last, fingerprint, digest."""
+def digest_of(lines: list[bytes]) -> bytes:
+    return hashlib.blake2b(b"\n".join(lines), digest_size=16).digest()
+
+
+def winnowed(text: str | None, min_words: int) -> list[tuple[int, int, int, bytes, list[tuple[int, int, bytes]] | None]]:
+    """Per fingerprint: first line of its extent, one past the last, its hash, the extent's digest, its runs.
+
+    A run is its first line, one past the last, and its digest; None where the extent is one run.
+    """
     from xxhash import xxh3_64_intdigest
 
     number, lines, words = shaped(text)
     if sum(words) < min_words:
         return []
     hashes = [xxh3_64_intdigest(x) for x in lines]
-    out, seen = [], 0
+    picked: list[tuple[int, list[tuple[int, int]]]] = []
+    seen = head = 0
     least: list[int] = []  # lines that may yet be least, from small to large hash
-    head = 0
-    # in this order neither the first line nor the last ever goes back
+    # in this order neither the first line nor the last ever goes back, so neither does the least one
     for start, end in shortest_runs(words, min_words):
         for i in range(seen, end):
             while len(least) > head and hashes[least[-1]] > hashes[i]:
@@ -88,13 +101,28 @@ def winnowed(text: str | None, min_words: int) -> list[tuple[int, int, int, byte
         seen = max(seen, end)
         while least[head] < start:
             head += 1
-        digest = hashlib.blake2b(b"\n".join(lines[start:end]), digest_size=16).digest()
-        out.append((number[start], number[end - 1] + 1, hashes[least[head]], digest))
+        if not picked or picked[-1][0] != least[head]:
+            picked.append((least[head], []))
+        picked[-1][1].append((start, end))
+    out = []
+    for at, runs in picked:
+        low, high = runs[0][0], max(end for _, end in runs)
+        if len(runs) == 1:
+            extent, own = digest_of(lines[low:high]), None
+        else:  # no line is empty, so these digests are no run's
+            extent = digest_of([b"", b"%d" % (at - low), *lines[low:high]])
+            own = [(number[a], number[b - 1] + 1, digest_of(lines[a:b])) for a, b in runs]
+        out.append((number[low], number[high - 1] + 1, hashes[at], extent, own))
     return out
 
 
-def _runs(rows: DataFrame, min_words: int) -> DataFrame:
-    """All runs of all documents; those met earlier in the batch are marked as known."""
+RUN = T.StructType(
+    [T.StructField("begin", T.LongType()), T.StructField("end", T.LongType()), T.StructField("digest", T.BinaryType())]
+)
+
+
+def _fingerprints(rows: DataFrame, min_words: int) -> DataFrame:
+    """All fingerprints of all documents; those whose extent was met earlier in the batch are marked as known."""
     schema = T.StructType(
         [
             T.StructField("doc", kind(rows, "doc")),
@@ -102,7 +130,8 @@ def _runs(rows: DataFrame, min_words: int) -> DataFrame:
             T.StructField("begin", T.LongType()),
             T.StructField("end", T.LongType()),
             T.StructField("fingerprint", T.LongType()),
-            T.StructField("digest", T.BinaryType()),
+            T.StructField("extent", T.BinaryType()),
+            T.StructField("runs", T.ArrayType(RUN)),
             T.StructField("known", T.BooleanType()),
         ]
     )
@@ -117,13 +146,14 @@ def _runs(rows: DataFrame, min_words: int) -> DataFrame:
             first: dict[bytes, tuple] = {}
             made = []
             for i in order:
-                for begin, end, fingerprint, digest in winnowed(batch.column(2)[i].as_py(), min_words):
+                for begin, end, fingerprint, extent, runs in winnowed(batch.column(2)[i].as_py(), min_words):
                     place = (keys[i], begin)
-                    known = first.setdefault(digest, place) != place
-                    made.append((i, begin, end, fingerprint, digest, known))
+                    known = first.setdefault(extent, place) != place
+                    own = None if known or runs is None else [{"begin": a, "end": b, "digest": d} for a, b, d in runs]
+                    made.append((i, begin, end, fingerprint, extent, own, known))
             if not made:
                 return None
-            row, begin, end, fingerprint, digest, known = zip(*made)
+            row, begin, end, fingerprint, extent, runs, known = zip(*made)
             row = pa.array(row)
             return {
                 "doc": batch.column(0).take(row),
@@ -131,7 +161,8 @@ def _runs(rows: DataFrame, min_words: int) -> DataFrame:
                 "begin": begin,
                 "end": end,
                 "fingerprint": pa.array(np.array(fingerprint, np.uint64).view(np.int64)),
-                "digest": digest,
+                "extent": extent,
+                "runs": runs,
                 "known": known,
             }
 
@@ -140,19 +171,35 @@ def _runs(rows: DataFrame, min_words: int) -> DataFrame:
     return map_batches(rows, make, schema)
 
 
+def _first_and_latest(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.min("place").alias("first"), F.max("place").alias("latest"))
+
+
 def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``doc, tie, begin, end`` (lines) of every run that also starts earlier; of ``doc, tie, text``."""
-    runs = written(_runs(rows, min_words), "runs")
-    open_ = runs.where("NOT known").withColumn("place", F.struct("doc", "tie", "begin"))
-    firsts = (
-        open_.groupBy("fingerprint", "digest")
-        .agg(F.min("place").alias("first"), F.max("place").alias("latest"))
-        .where("NOT first <=> latest")
-        .select("fingerprint", "digest", "first")
+    """``doc, tie, begin, end`` (lines) of what also starts earlier; of ``doc, tie, text``."""
+    columns, place = ("doc", "tie", "begin", "end"), F.struct("doc", "tie", "begin")
+    found = written(_fingerprints(rows, min_words), "fingerprints")
+    open_ = found.where("NOT known").withColumn("place", place)
+    extents = written(_first_and_latest(open_, "fingerprint", "extent"), "extents")
+    # a hash beside which lines of more than one kind stand
+    differing = (
+        extents.groupBy("fingerprint")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("fingerprint", F.lit(True).alias("differs"))
     )
-    met = open_.join(firsts, ["fingerprint", "digest"]).where("NOT place <=> first")
-    columns = ("doc", "tie", "begin", "end")
-    return runs.where("known").select(*columns).union(met.select(*columns))
+    asked = extents.join(differing, "fingerprint", "left").where("differs OR NOT first <=> latest")
+    met = open_.join(asked.drop("latest"), ["fingerprint", "extent"])
+    whole = met.where("NOT place <=> first").select(*columns)
+    alone = F.array(F.struct("begin", "end", F.col("extent").alias("digest")))
+    # an extent of one run has that run's digest
+    runs = written(
+        met.where("differs AND place <=> first").select("doc", "tie", "fingerprint", F.inline(F.coalesce("runs", alone))),
+        "runs",
+    ).withColumn("place", place)
+    firsts = _first_and_latest(runs, "fingerprint", "digest").where("NOT first <=> latest").drop("latest")
+    again = runs.join(firsts, ["fingerprint", "digest"]).where("NOT place <=> first")
+    return found.where("known").select(*columns).union(whole).union(again.select(*columns))
 
 
 def without(text: str | None, places: list[tuple[int, int]]) -> str | None:

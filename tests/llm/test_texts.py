@@ -278,8 +278,28 @@ def test_every_run_has_its_least_line():
     rnd = random.Random(9)
     text = "\n".join(prose(rnd, rnd.randint(1, 6)) for _ in range(60))
     own = [x.encode() for x in text.split("\n")]
-    for begin, end, fingerprint, _ in lines.winnowed(text, 10):
-        assert fingerprint == min(xxhash.xxh3_64_intdigest(x) for x in own[begin:end])
+    seen = []
+    for low, high, fingerprint, extent, runs in lines.winnowed(text, 10):
+        for begin, end, _ in runs or [(low, high, extent)]:
+            assert low <= begin < end <= high
+            assert fingerprint == min(xxhash.xxh3_64_intdigest(x) for x in own[begin:end])
+            seen.append((begin, end))
+    assert seen == lines.shortest_runs([len(x.split()) for x in own], 10) and len(seen) > len(lines.winnowed(text, 10))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_extents_that_differ_are_compared_run_by_run(spark, seed):
+    """Few different lines, so that the same fingerprints stand in many surroundings, also many times in one text."""
+    rnd = random.Random(seed)
+    pool = [prose(rnd, n) for n in (1, 2, 3, 4, 5, 7, 11)]
+    docs = [(i, "\n".join(rnd.choices(pool[: rnd.randint(3, 7)], k=rnd.randint(0, 25)))) for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    want = brute_lines_whole(docs, 10)
+    assert {r["doc_id"]: r["n_deleted"] for r in lines.line_report(frame).collect()} == {k: len(v) for k, v in want.items()}
+
+
+def brute_lines_whole(docs, min_words):
+    return brute_passages(docs, min_words)
 
 
 def test_lines_of_an_empty_table(spark):
