@@ -15,14 +15,13 @@ columns of the input with the names of measures are not touched.
 
 from __future__ import annotations
 
-import json
 import math
 import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from plumbline.llm.common import OWN
+from plumbline.llm.common import OWN, written
 
 #: Rows on which costs and selectivities are estimated, and the longest text among them.
 SAMPLE_ROWS, SAMPLE_CHARS = 500, 65_536
@@ -121,26 +120,25 @@ def inlined(rule: Rule, columns: dict[str, str]) -> str:
     return let(f"named_struct({packed})", "m", f"coalesce({body}, false)")
 
 
-def sampled(docs: DataFrame, text: str, rows: int) -> list[str]:
-    """Texts from all partitions, by a seeded draw and then by hash; ``rows`` at most."""
-    texts = docs.select(F.col(text).cast("string").alias(OWN + "text"))
+def sampled(docs: DataFrame, text: str, rows: int) -> DataFrame:
+    """Texts from all partitions, by a seeded draw and then by hash; ``rows`` at most, as a table of one file."""
+    own = OWN + "text"
+    texts = docs.select(F.col(text).cast("string").alias(own))
     n = texts.count()
     drawn = texts if n <= 4 * rows else texts.sample(False, 4 * rows / n, seed=11)
-    short = drawn.where(F.coalesce(F.length(OWN + "text"), F.lit(0)) <= SAMPLE_CHARS)
-    return [r[0] for r in short.orderBy(F.xxhash64(OWN + "text"), OWN + "text").limit(rows).collect()]
+    short = drawn.where(F.coalesce(F.length(own), F.lit(0)) <= SAMPLE_CHARS)
+    return written(short.orderBy(F.xxhash64(own), own).limit(rows).coalesce(1), "quality_sample")
 
 
 def estimate(
     docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, rows: int = SAMPLE_ROWS
 ) -> list[dict]:
     """Per rule: its cost in units of splitting the words, share of the sample it rejects, rejection per cost."""
-    taken = sampled(docs, text, rows)
-    rounds = max(1, TIMED_CHARS // max(1, sum(len(t or "") for t in taken)))
-    # one literal: hundreds of them would swell the generated code
-    listed = F.from_json(F.lit(json.dumps(taken)), "array<string>")
-    spark, own = docs.sparkSession, OWN + "text"
-    sample = spark.range(0, 1, 1, 1).select(F.explode(listed).alias(own))
-    again = sample.select(own, F.explode(F.sequence(F.lit(1), F.lit(min(rounds, 1000)))).alias(OWN + "round"))
+    own = OWN + "text"
+    sample = sampled(docs, text, rows)
+    chars = sample.agg(F.coalesce(F.sum(F.length(own)), F.lit(0))).first()[0]
+    rounds = min(1000, max(1, TIMED_CHARS // max(1, chars)))
+    again = sample.select(own, F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias(OWN + "round"))
     columns = measures(own, "w")
 
     def counted(frame: DataFrame, test: str) -> tuple[int, int]:
