@@ -27,6 +27,7 @@ from plumbline.operators.suggest import (  # noqa: E402
     value_sets,
 )
 from plumbline.plans.evaluate import evaluate  # noqa: E402
+from plumbline.scratch import drop_scratch  # noqa: E402
 
 THIRTY = [
     "HasSize >= 1000",
@@ -136,6 +137,7 @@ def main() -> None:
             run()
             best = min(best, time.perf_counter() - start)
         times[name] = round(best, 3)
+        drop_scratch(spark)
     sf = re.search(r"sf([0-9.]+)", d)
     print(
         json.dumps(

@@ -7,15 +7,21 @@ from plumbline.operators.profile import counted_values, histograms, profile, val
 from plumbline.operators.suggest import recommend, suggest, suggested_values, value_sets
 from plumbline.plans.jobs import BatchJobs
 from plumbline.plans.runs import DataQuality
+from plumbline.scratch import drop_scratch
+from plumbline.streaming.accumulated import evaluate_so_far
+from plumbline.streaming.arriving import evaluate_arriving
 
 __all__ = [
     "BatchJobs",
     "Check",
     "DataQuality",
     "counted_values",
+    "drop_scratch",
     "evaluate",
+    "evaluate_arriving",
     "evaluate_batch",
     "evaluate_many",
+    "evaluate_so_far",
     "explode_rules",
     "histograms",
     "profile",

@@ -9,7 +9,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from plumbline import evaluate
+from plumbline import evaluate, scratch
 from plumbline.functions.ddl import spark_type
 from plumbline.operators.casting import cast_losses, cast_to_ddl
 from plumbline.sources import readers, records, sinks
@@ -191,3 +191,30 @@ def test_each_arriving_file_is_judged(spark, numbers, tmp_path):
     assert sizes.select(FILE).distinct().count() == 3
     assert sizes.agg(F.sum("metric")).first()[0] == 60.0
     assert results.select("batch_id").distinct().count() == 2
+
+
+def test_scratch_tables_are_dropped_when_asked(spark):
+    path = scratch.scratch_path(spark, "table")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert scratch.drop_scratch(spark) >= 1 and readers.read_path(spark, path) is None
+    assert scratch.drop_scratch(spark) == 0
+
+
+def test_a_local_folder_is_refused_on_a_cluster(spark, monkeypatch):
+    class Conf:
+        def get(self, name, default=None):
+            return "file:/tmp/warehouse" if name == "spark.sql.warehouse.dir" else None
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+        setCheckpointDir = staticmethod(lambda root: None)
+
+    class Session:
+        conf, sparkContext, _jvm, _jsc = Conf(), Context(), spark._jvm, spark._jsc
+
+    with pytest.raises(ValueError):
+        scratch.scratch_root(Session())
+    Session.sparkContext.master = "local[4]"
+    assert scratch.scratch_root(Session()) == "file:/tmp/warehouse/_scratch"
