@@ -353,11 +353,13 @@ _R.add(
 _R.add(
     "g05_top_values_by_name",
     _valued(
-        lambda spark, d: table(spark, d, "documents").withColumn("opening", F.substring("text", 1, 4)),
+        lambda spark, d: table(spark, d, "lineitem").withColumn("day", F.date_format("l_shipdate", "yyyy-MM-dd")),
         "FractionalCategoricalRangeRule",
-        ["opening"],
+        ["day"],
+    ),
+    _each(("day",), _TOP_VALUES).replace(
+        "FROM documents", "FROM (SELECT strftime(l_shipdate, '%Y-%m-%d') AS day FROM lineitem)"
     ),
-    _each(("opening",), _TOP_VALUES).replace("FROM documents", "FROM (SELECT *, substr(text, 1, 4) AS opening FROM documents)"),
 )
 _R.add("g06_non_negative", _suggested("orders", "NonNegativeNumbersRule"), _NON_NEGATIVE_SQL)
 
