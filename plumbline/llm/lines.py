@@ -40,6 +40,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from plumbline.llm.common import OWN, kind, map_batches, written
 
 MIN_WORDS = 10
+#: Hashes of lines that are sent to all extents; more meet them in a join.
+SENT = 200_000
 
 
 def shaped(text: str | None) -> tuple[list[int], list[bytes], list[int]]:
@@ -182,12 +184,15 @@ def repeated_runs(rows: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     open_ = found.where("NOT known").withColumn("place", place)
     extents = written(_first_and_latest(open_, "fingerprint", "extent"), "extents")
     # a hash beside which lines of more than one kind stand
-    differing = (
+    differing = written(
         extents.groupBy("fingerprint")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("fingerprint", F.lit(True).alias("differs"))
+        .select("fingerprint", F.lit(True).alias("differs")),
+        "differing",
     )
+    if differing.limit(SENT + 1).count() <= SENT:  # a common line has many extents, which then stay where they are
+        differing = F.broadcast(differing)
     asked = extents.join(differing, "fingerprint", "left").where("differs OR NOT first <=> latest")
     met = open_.join(asked.drop("latest"), ["fingerprint", "extent"])
     whole = met.where("NOT place <=> first").select(*columns)

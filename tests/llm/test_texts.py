@@ -288,8 +288,9 @@ def test_every_run_has_its_least_line():
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_extents_that_differ_are_compared_run_by_run(spark, seed):
+def test_extents_that_differ_are_compared_run_by_run(spark, seed, monkeypatch):
     """Few different lines, so that the same fingerprints stand in many surroundings, also many times in one text."""
+    monkeypatch.setattr(lines, "SENT", 100 * seed)
     rnd = random.Random(seed)
     pool = [prose(rnd, n) for n in (1, 2, 3, 4, 5, 7, 11)]
     docs = [(i, "\n".join(rnd.choices(pool[: rnd.randint(3, 7)], k=rnd.randint(0, 25)))) for i in range(60)]
