@@ -3,7 +3,7 @@
 from plumbline.plans.checks import Check
 from plumbline.plans.evaluate import evaluate, evaluate_batch, evaluate_many
 from plumbline.plans.rules import explode_rules
-from plumbline.operators.profile import counted_values, histograms, profile, value_counts
+from plumbline.operators.profile import counted_values, heavy_hitters, histograms, profile, value_counts
 from plumbline.operators.suggest import recommend, suggest, suggested_values, value_sets
 from plumbline.plans.jobs import BatchJobs
 from plumbline.plans.runs import DataQuality
@@ -23,6 +23,7 @@ __all__ = [
     "evaluate_many",
     "evaluate_so_far",
     "explode_rules",
+    "heavy_hitters",
     "histograms",
     "profile",
     "recommend",

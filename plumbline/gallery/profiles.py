@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.columns import share
 from plumbline.gallery.common import LABELLED, Registry, labelled, table
 from plumbline.operators.keys import suggested_keys
-from plumbline.operators.profile import counted_values, histograms, profile, value_counts
+from plumbline.operators.profile import counted_values, heavy_hitters, histograms, profile, value_counts
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import (
     recommend,
@@ -215,6 +215,18 @@ _R.add(
         "round(count(*)::DOUBLE / (SELECT count(*) FROM lineitem), 6) AS ratio FROM lineitem GROUP BY {c}",
     ),
 )
+_R.add(
+    "p07_heavy_hitters",
+    lambda spark, d: heavy_hitters(
+        table(spark, d, "lineitem").withColumn("hot", F.when(F.col("l_orderkey") % 3 == 0, 7).otherwise(F.col("l_orderkey"))), 0.005
+    ).select("column_name", "value", "count", F.round("ratio", 6).alias("ratio")),
+    _each(
+        (*(c for c in _LINE_COLUMNS if c != "l_shipdate"), "hot"),
+        "SELECT '{c}' AS column_name, {c}::VARCHAR AS value, count(*) AS count, round(count(*) / any_value(t), 6) AS ratio FROM "
+        "(SELECT *, CASE WHEN l_orderkey % 3 = 0 THEN 7 ELSE l_orderkey END AS hot, count(*) OVER () AS t FROM lineitem) "
+        "GROUP BY {c} HAVING count(*) >= 0.005 * any_value(t)",
+    ),
+)
 _R.add(
     "p07_distinct",
     lambda spark, d: profile(table(spark, d, "documents"), counted=("text", "lang", "source")).select(

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import evaluate, profile, recommend, suggest
-from plumbline.operators.profile import counted_values, histograms, value_counts
+from plumbline.operators.profile import counted_values, heavy_hitters, histograms, value_counts
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import suggest_unique, suggested_values, value_sets
 
@@ -217,3 +217,20 @@ def test_exact_quantiles_at_the_ends_of_types(spark):
     assert exact_quantiles(df.limit(0), "l", [0.5]) == [None]
     rules = ['HasExactQuantile "l" "0.5" = 0', 'HasExactQuantile "l" "2" = 0']
     assert [r.result for r in sorted(evaluate(df, rules).collect(), key=lambda r: r.rule_no)] == ["PASS", "ERROR"]
+
+
+@pytest.mark.parametrize("share", [0.001, 0.02, 0.3])
+def test_heavy_hitters_are_all_found_and_counted(spark, share):
+    i = F.col("id")
+    df = spark.range(0, 30_000, 1, 8).select(
+        F.when(i % 3 == 0, "hot").otherwise(i.cast("string")).alias("third"),
+        F.floor(F.sqrt(i)).cast("int").alias("spread"),
+        F.when(i % 50 == 1, F.lit("long text " * 30)).when(i % 7 != 0, F.concat(F.lit("text " * 20), i.cast("string"))).alias("long"),
+        F.floor(i * i % 9973 / 100).alias("even"),
+        F.array(i).alias("list"),
+    )
+    got = {(r.column_name, r.value): r["count"] for r in heavy_hitters(df, share).collect()}
+    flat = [c for c in df.columns if c != "list"]
+    every = value_counts(df, flat).where(f"value IS NOT NULL AND count >= {share * 30_000}")
+    assert got == {(r.column_name, r.value): r["count"] for r in every.collect()}
+    assert ("third", "hot") in got
