@@ -16,7 +16,7 @@ each language.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; rows with a null
 language or key are not learned from; where nothing can be learned all is ``und``; repeated rows
-each give a row; an empty table gives none; no other column is read.
+each give a row; bytes that are no UTF-8 become U+FFFD; an empty table gives none; no other column is read.
 """
 
 from __future__ import annotations

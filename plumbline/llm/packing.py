@@ -8,7 +8,7 @@ need no padding. Every task packs the rows of its own input partition, so nothin
 task that runs again makes the same windows.
 
 Defined cases: a null or empty text is the end token alone; a repeated row is packed again; a null
-``doc_id`` is kept; a text longer than a window gives whole windows and a rest; an empty table
+``doc_id`` is kept; a text longer than a window gives whole windows and a rest; bytes that are no UTF-8 become U+FFFD; an empty table
 gives no piece. Only the two named columns are read.
 """
 

@@ -9,7 +9,7 @@ never reaches the dearer ones behind it. Which documents stay does not depend on
 noisy estimate changes the time only.
 
 Defined cases: a null or empty text has no words, all measures are 0 and ``too_few_words`` rejects
-it; repeated rows each give a row; an empty table gives no row (the rules keep their given order);
+it; repeated rows each give a row; bytes that are no UTF-8 part no words and count as Spark reads them; an empty table gives no row (the rules keep their given order);
 columns of the input with the names of measures are not touched.
 """
 

@@ -15,7 +15,7 @@ Trees give a spanning set of links per shard; components come from joins over th
 Defined cases: a null or empty text, and one of white space only, has fingerprint zero, linked like
 any other; fewer than three words are one shingle; repeated rows have the same fingerprint and
 each give a row; a null ``doc_id`` is never a component's name unless the component has no other;
-an empty table gives no row.
+bytes that are no UTF-8 become U+FFFD; an empty table gives no row.
 """
 
 from __future__ import annotations
