@@ -36,6 +36,8 @@ SAMPLE_ROWS, TREES, DEPTH, CONTEXT = 2_000, 20, 6, 40
 #: Fixed patterns: the shape of a candidate, key formats, words beside secrets and beside examples.
 RUN = r"(?<![A-Za-z0-9_+/-])(?:(?=[A-Za-z_+/-]*[0-9])[A-Za-z0-9_+/-]{16,}+|[A-Za-z_+/-]{20,}+)={0,2}"
 CREDENTIAL = r"(?i:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|credentials?|auth(?:orization)?|bearer)"
+#: Parts of which each credential word has one, in small letters.
+STEMS = ("pass", "pwd", "secret", "token", "api", "access", "credential", "auth", "bearer")
 #: What stands between a credential word and its value; quotes, if any, are the last of it.
 ASSIGN = CREDENTIAL + r"(?i:[a-z_-]{0,16})[\"']?\s{0,3}(?::=|=>|[=:])\s{0,3}(?i:bearer\s+|basic\s+)?"
 ASSIGNED = ASSIGN + r"(?:\"[^\"\n]+|'[^'\n]+|[^\s\"'`<>,;]*[^\s\"'`<>,;.:!?)])"
@@ -92,12 +94,25 @@ def candidates(
     t, p = OWN + "text", OWN + "path"
     rows = docs.select(
         F.col(key).alias("doc_id"), F.col(text).cast("string").alias(t), F.coalesce(F.col(path).cast("string"), F.lit("")).alias(p)
-    ).where(F.col(t).rlike(SHAPE))
-    found = rows.select(
-        "doc_id",
-        F.col(p),
-        F.regexp_extract_all(F.col(t), F.lit(SHAPE), F.lit(0)).alias("c"),
-        F.split(F.col(t), SHAPE, -1).alias("between"),
+    )
+    # plain searches first: the pattern of assignments is dear, and most texts have no credential word
+    low = F.lower(t)
+    named = reduce(Column.__or__, [low.contains(stem) for stem in STEMS])
+
+    def either(search):
+        return F.when(F.col("named"), search(SHAPE)).otherwise(search(RUN))
+
+    found = (
+        rows.withColumn("named", F.coalesce(named, F.lit(False)))
+        .select(
+            "doc_id",
+            F.col(p),
+            F.col(t),
+            "named",
+            either(lambda pattern: F.regexp_extract_all(F.col(t), F.lit(pattern), F.lit(0))).alias("c"),
+        )
+        .where(F.size("c") > 0)
+        .select("doc_id", p, "c", either(lambda pattern: F.split(F.col(t), pattern, -1)).alias("between"))
     ).select("doc_id", p, "between", F.posexplode("c").alias("i", "candidate"))
     prefix = F.regexp_extract("candidate", BEFORE, 0)
     before = F.right(F.concat(F.get("between", F.col("i")), prefix), F.lit(CONTEXT))

@@ -225,3 +225,9 @@ def test_scan_removes_false_positives(spark):
     assert secrets.scan(frame.limit(0)).collect() == []
     alone = secrets.scan(frame.where("doc_id = 1")).collect()
     assert [r["score"] for r in alone] == [1.0]
+
+
+def test_every_credential_word_has_a_stem():
+    words = "password passwd passphrase pwd secret token api_key apikey access-key accesskey credential credentials auth authorization bearer"
+    for word in words.split():
+        assert any(stem in word for stem in secrets.STEMS)
