@@ -26,6 +26,7 @@ from plumbline.functions.columns import (
     sum_sql,
 )
 from plumbline.functions.predicates import shape_sql
+from plumbline.functions.rows import rows_frame
 from plumbline.scratch import scratch_path
 
 RSD = 0.05
@@ -208,8 +209,9 @@ def counted_values(df: DataFrame, profiled: DataFrame | None = None, most: int =
     path = scratch_path(df.sparkSession, "value_counts")
     value_counts(df, columns).coalesce(1).write.parquet(path)
     counts = df.sparkSession.read.schema("column_name string, value string, count bigint").parquet(path)
-    kept = counts.groupBy("column_name").agg(F.count("value").alias("_n")).where(F.col("_n") <= most)
-    return counts.join(F.broadcast(kept.drop("_n")), "column_name")  # a row per column
+    sizes = counts.groupBy("column_name").agg(F.count("value").alias("n"))
+    over = [r.column_name for r in sizes.where(F.col("n") > most).collect()]  # some columns' names
+    return counts.where(~F.col("column_name").isin(over)) if over else counts
 
 
 def heavy_hitters(df: DataFrame, share: float, columns: Sequence[str] | None = None) -> DataFrame:
@@ -263,8 +265,8 @@ def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> Dat
     Numeric statistics are those of the numbers; NaN counts in ``nans`` alone.
     """
     spark = df.sparkSession
-    rows = summary(df, rsd).collect()  # one row per column
-    first = spark.createDataFrame(rows, _SUMMARY)
+    rows = sorted(summary(df, rsd).collect(), key=lambda r: r.column_name)  # one row per column
+    first = rows_frame(spark, rows, _SUMMARY)
 
     numeric_texts = [
         r.column_name for r in rows if r.is_inferred and r.data_type in ("Integral", "Fractional")
@@ -299,7 +301,7 @@ def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> Dat
         ),
     )
     numeric = F.col("data_type").isin("Integral", "Fractional")
-    return first.select(
+    found = first.select(
         "column_name",
         F.when(numeric, "Numeric").otherwise("Standard").alias("profile_type"),
         "data_type",
@@ -318,4 +320,6 @@ def profile(df: DataFrame, counted: Sequence[str] = (), rsd: float = RSD) -> Dat
         "sum",
         "std_dev",
         "approx_percentiles",
-    ).orderBy("column_name")
+    )
+    # without a join the rows are in order as they are
+    return found.orderBy("column_name") if numeric_texts or counted else found

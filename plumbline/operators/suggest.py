@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.functions.columns import compact_key, ref
+from plumbline.functions.rows import rows_frame
 from plumbline.operators import grouped as G
 from plumbline.operators.profile import RSD
 
@@ -187,7 +188,7 @@ def suggested_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
 def value_sets(suggestions: DataFrame, values: DataFrame) -> dict[str, DataFrame]:
     """The values under the names that the rules use: ``references`` of ``evaluate``."""
     about = suggestions.where(F.col("suggesting_rule").isin(*SETS) & F.startswith("dqdl_rule", F.lit(BY_NAME)))
-    rows = about.select("column_name", "suggesting_rule").distinct().collect()  # a row per column and rule
+    rows = about.select("column_name", "suggesting_rule").collect()  # a row per column and rule
     return {
         set_name(*r): values.where(
             (F.col("column_name") == r.column_name) & (F.col("suggesting_rule") == r.suggesting_rule)
@@ -197,7 +198,9 @@ def value_sets(suggestions: DataFrame, values: DataFrame) -> dict[str, DataFrame
 
 
 def _about_values(profile: DataFrame, counts: DataFrame) -> DataFrame:
-    found = _categories(profile, counts)
+    categories = _categories(profile, counts)
+    # a row or two per column, of which both the lists and the rules are made
+    found = rows_frame(profile.sparkSession, categories.collect(), categories.schema)
     keys = ("column_name", "rule")
     values = (
         counts.where("value IS NOT NULL")
@@ -253,7 +256,7 @@ def suggest(profile: DataFrame, counts: DataFrame | None = None) -> DataFrame:
         rows = rows.unionByName(_about_values(profile, counts))
     ordered = rows.orderBy("column_name", "suggesting_rule")
     # a few rows per column of the table, which rules and value sets are then made of
-    return profile.sparkSession.createDataFrame(ordered.collect(), ordered.schema)
+    return rows_frame(profile.sparkSession, ordered.collect(), ordered.schema)
 
 
 def suggest_unique(df: DataFrame, profile: DataFrame, rsd: float = RSD) -> DataFrame:
