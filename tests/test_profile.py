@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline import evaluate, profile, recommend, suggest
+from plumbline.functions.rows import rows_frame
 from plumbline.operators.profile import counted_values, heavy_hitters, histograms, value_counts
 from plumbline.operators.quantiles import exact_quantiles
 from plumbline.operators.suggest import suggest_unique, suggested_values, value_sets
@@ -234,3 +235,17 @@ def test_heavy_hitters_are_all_found_and_counted(spark, share):
     every = value_counts(df, flat).where(f"value IS NOT NULL AND count >= {share * 30_000}")
     assert got == {(r.column_name, r.value): r["count"] for r in every.collect()}
     assert ("third", "hot") in got
+
+
+def test_columns_that_turn_out_to_have_more_values_are_left_out(spark):
+    df = spark.range(60).selectExpr("id % 3 AS few", "id % 23 AS many")
+    assert {r.column_name for r in counted_values(df, most=22).collect()} == {"few"}
+    assert {r.column_name for r in counted_values(df, most=23).collect()} == {"few", "many"}
+
+
+def test_rows_of_metadata_are_part_of_the_plan(spark):
+    schema = "name string, n bigint, xs array<double>"
+    df = rows_frame(spark, [("a", 1, [0.5, None]), (None, None, None)], schema)
+    assert [tuple(r) for r in df.collect()] == [("a", 1, [0.5, None]), (None, None, None)]
+    assert "LocalTableScan" in df.where("n = 1")._jdf.queryExecution().executedPlan().toString()
+    assert rows_frame(spark, [], schema).collect() == []
