@@ -122,7 +122,7 @@ _R.add(
 _R.add(
     "p05_numbers_beyond_64_bits",
     lambda spark, d: profile(
-        table(spark, d, "orders").select((F.col("o_orderkey") * F.lit(1 << 40)).alias("h"))
+        table(spark, d, "orders").select((F.col("o_orderkey").cast("decimal(38,0)") * F.lit(1 << 40)).alias("h"))
     ).select("column_name", "sum", "minimum"),
     "SELECT 'h' AS column_name, sum(o_orderkey::HUGEINT * 1099511627776)::DOUBLE AS sum, "
     "min(o_orderkey * 1099511627776)::DOUBLE AS minimum FROM orders",
