@@ -336,7 +336,7 @@ def _initials(spark, d):
 
 
 _TOP_VALUES = f"SELECT r.*, value, n AS count FROM ({_TOP_SQL}) r, ({_TOP}) WHERE top"
-_TOP_VALUES_SQL = _each(("lang", "source", "initial"), f"{_TOP_VALUES} AND k <= 120").replace("FROM documents", "FROM (SELECT *, substr(text, 1, 1) AS initial FROM documents)")
+_TOP_VALUES_SQL = _each(("text", "lang", "source", "initial"), _TOP_VALUES).replace("FROM documents", "FROM (SELECT *, substr(text, 1, 1) AS initial FROM documents)")
 
 _R.add("g01_complete_if_complete", _suggested("orders", "CompleteIfCompleteRule"), _COMPLETE_SQL)
 _R.add(
@@ -363,7 +363,7 @@ _R.add(
 _R.add("g04_categorical_range", _valued("orders", "CategoricalRangeRule"), _CATEGORY_VALUES_SQL)
 _R.add(
     "g05_fractional_categorical_range",
-    _valued(_initials, "FractionalCategoricalRangeRule"),
+    _valued(_initials, "FractionalCategoricalRangeRule", ["text", "lang", "source", "initial"]),
     _TOP_VALUES_SQL,
 )
 _R.add(
