@@ -6,10 +6,11 @@ slide over the text; each filter keeps its largest response anywhere in the text
 a logistic unit reads these. For scoring, tables and filters are multiplied out once per task: a
 filter's response is then a sum of looked-up rows.
 
-The fit uses a bounded sample of labelled rows, ``sample_rows`` in all, half of each class where
-there are as many, of texts of ``FIT_BYTES`` at most. A part of it is kept from training to calibrate: the score's own threshold, so
-that 0.5 is the cut that errs least at the share of toxic rows among all labels, and one threshold
-per language for ``flagged``. The score reads the text alone.
+The fit reads every labelled row, whole texts of any length: each epoch, every task trains the
+network on its rows and the networks are averaged. A fifth of the rows, by a hash of the key, is kept
+from training to calibrate, counted by logits in bins of ``BIN``: the score's own threshold, so that
+0.5 is the cut that errs least at the share of toxic rows among all labels, and one threshold per
+language for ``flagged``. The score reads the text alone.
 
 Every text is scored whole, in blocks that overlap by the widest filter.
 
@@ -27,11 +28,9 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.llm.common import kind, map_batches
-from plumbline.llm.language import bounded, sample
+from plumbline.scratch import scratch_path
 
 SAMPLE_ROWS, EPOCHS = 5_000, 10
-#: Bytes of the longest text that the fit learns from.
-FIT_BYTES = 1 << 17
 #: Rows of each hashed table, numbers per embedding, filters per width, widths.
 TABLE, DIM, FILTERS, WIDTHS = 1 << 15, 16, 16, (1, 2, 3)
 LEFT_OUT = 0.6
@@ -192,31 +191,105 @@ class Model:
         self.network, self.centre, self.by_language, self.share = network, centre, by_language, share
 
 
-def fit(texts: list[np.ndarray], labels: np.ndarray, langs: list, share: float) -> Model:
-    """``share`` is the share of toxic rows among all labels, from which the sample's differs."""
-    if len(set(labels.tolist())) < 2:
-        return Model(None, 0.0, {}, share)
-    held = np.arange(len(texts)) % 5 == 0
-    network = Network()
-    network.train([t for t, h in zip(texts, held) if not h], labels[~held])
-    if len(set(labels[held].tolist())) < 2:
-        return Model(network, 0.0, {}, share)
-    logits = np.array([network.logit(t) for t, h in zip(texts, held) if h])
-    y = labels[held]
-    weights = np.where(y == 1, share / (y == 1).sum(), (1 - share) / (y == 0).sum())
-    centre = cut(logits, y, weights)
-    by_language = {}
-    own = [lang for lang, h in zip(langs, held) if h]
-    for lang in sorted({x for x in own if x is not None}):
-        at = np.array([x == lang for x in own])
-        if len(set(y[at].tolist())) == 2:
-            by_language[lang] = float(1 / (1 + np.exp(centre - cut(logits[at], y[at], weights[at]))))
-    return Model(network, centre, by_language, share)
+#: Logits are counted for the thresholds in bins of this width.
+BIN = 0.01
+
+
+def _state(network: Network, grow: dict) -> list[np.ndarray]:
+    """Every number that training changes, in a fixed order."""
+    return [
+        network.words, network.stems, *network.filters, network.bias, network.out, np.array([network.shift]),
+        grow["words"], grow["stems"], *grow["filters"], grow["bias"], grow["out"], np.array([grow["shift"]]),
+    ]
+
+
+def _restore(state: list[np.ndarray]) -> tuple[Network, dict]:
+    network, k = Network(), len(WIDTHS)
+    network.words, network.stems = (x.astype(np.float32) for x in state[:2])
+    network.filters = [x.astype(np.float32) for x in state[2 : 2 + k]]
+    network.bias, network.out = (x.astype(np.float32) for x in state[2 + k : 4 + k])
+    network.shift = np.float32(state[4 + k][0])
+    rest = state[5 + k :]
+    grow = {
+        "words": rest[0].astype(np.float32),
+        "stems": rest[1].astype(np.float32),
+        "filters": [x.astype(np.float32) for x in rest[2 : 2 + k]],
+        "bias": rest[2 + k].astype(np.float32),
+        "out": rest[3 + k].astype(np.float32),
+        "shift": np.float32(rest[4 + k][0]),
+    }
+    return network, grow
+
+
+def _sparse(x: np.ndarray):
+    """A table's rows that are not zero, with their numbers; other arrays as they are."""
+    if x.ndim != 2 or x.shape[0] != TABLE:
+        return x
+    at = np.flatnonzero(x.any(axis=1))
+    return at.astype(np.int32), x[at], x.shape
+
+
+def _dense(x) -> np.ndarray:
+    if not isinstance(x, tuple):
+        return x
+    at, rows, shape = x
+    found = np.zeros(shape, np.float64)
+    found[at] = rows
+    return found
+
+
+def _train(rows: DataFrame, epochs: int = EPOCHS, rate: float = 0.08) -> Network:
+    """Every epoch, each task trains the broadcast network on all its rows; the networks are averaged by rows.
+
+    Each time a share of the words is left out, as in ``Network.train``.
+    """
+    spark = rows.sparkSession
+    state = _state(Network(), {
+        "words": np.full(TABLE, 1e-4, np.float32),
+        "stems": np.full(TABLE, 1e-4, np.float32),
+        "filters": [np.full((w, DIM, FILTERS), 1e-4, np.float32) for w in WIDTHS],
+        "bias": np.full(FILTERS * len(WIDTHS), 1e-4, np.float32),
+        "out": np.full(FILTERS * len(WIDTHS), 1e-4, np.float32),
+        "shift": np.float32(1e-4),
+    })
+    state = [x.astype(np.float64) for x in state]
+    data = rows.select("toxic", "ids").rdd
+    for epoch in range(epochs):
+        sent = spark.sparkContext.broadcast(state)
+
+        def part(index, batch, sent=sent, epoch=epoch):
+            network, grow, n = None, None, 0
+            rng = np.random.default_rng((11, epoch, index))
+            for r in batch:
+                if network is None:
+                    network, grow = _restore(sent.value)
+                ids = np.frombuffer(bytes(r["ids"]), np.uint32)
+                network._step(ids[rng.random(len(ids)) >= LEFT_OUT], r["toxic"], rate, grow)
+                n += 1
+            if n:
+                # n times the change; of the tables only the rows that changed
+                yield n, [_sparse((x.astype(np.float64) - base) * n) for x, base in zip(_state(network, grow), sent.value)]
+
+        def add(a, b):
+            return a[0] + b[0], [_dense(x) + _dense(y) for x, y in zip(a[1], b[1])]
+
+        found = data.mapPartitionsWithIndex(part).treeReduce(add, 2) if not data.isEmpty() else None
+        sent.unpersist()
+        if found is None:
+            break
+        # in float32, as the tasks train, so that a row they leave alone shows no change
+        state = [(base + _dense(x) / found[0]).astype(np.float32).astype(np.float64) for base, x in zip(state, found[1])]
+    return _restore(state)[0]
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label: str, sample_rows: int
+    docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label: str, sample_rows: int | None = None
 ) -> Model:
+    """Trains on every labelled document; a fifth of them, by a hash of the key, sets the thresholds.
+
+    ``sample_rows`` is no longer read: nothing is sampled.
+    """
+    spark = docs.sparkSession
     known = labels.select(F.col(key).alias("doc_id"), F.col(label).cast("int").alias("toxic")).where(
         "doc_id IS NOT NULL AND toxic IN (0, 1)"
     )
@@ -224,11 +297,11 @@ def learn(
     if not counts:
         return Model(None, 0.0, {}, 0.0)
     share = counts.get(1, 0) / sum(counts.values())
-    # bounded by sample_rows, hence small enough to broadcast; no text is shuffled
-    chosen = bounded(sample(known, "toxic", sample_rows // 2, counts), 2 * sample_rows, "doc_id", "toxic")
+    if len(counts) < 2:
+        return Model(None, 0.0, {}, share)
     rows = docs.select(
         F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
-    ).where(F.coalesce(F.octet_length("text"), F.lit(0)) <= FIT_BYTES).join(F.broadcast(chosen), "doc_id")
+    ).join(known, "doc_id")
     schema = T.StructType(
         [
             T.StructField("doc_id", kind(docs, key)),
@@ -251,17 +324,50 @@ def learn(
 
         return work
 
-    # an id may have many documents: of these too, so many at most
-    found = bounded(map_batches(rows.select("doc_id", "lang", "toxic", "text"), make, schema), 2 * sample_rows, "doc_id", "ids").collect()
-    found.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], bytes(r["ids"])))
-    if not found:
-        return Model(None, 0.0, {}, share)
-    return fit(
-        [np.frombuffer(bytes(r["ids"]), np.uint32) for r in found],
-        np.array([r["toxic"] for r in found]),
-        [r["lang"] for r in found],
-        share,
+    # every labelled text once as word ids, read again each epoch
+    path = scratch_path(spark, "toxicity_ids")
+    map_batches(rows.select("doc_id", "lang", "toxic", "text"), make, schema).withColumn(
+        "held", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0
+    ).write.parquet(path)
+    coded = spark.read.parquet(path)
+    network = _train(coded.where(~F.col("held")))
+    sent = spark.sparkContext.broadcast(network)
+    logit_schema = T.StructType([T.StructField("lang", T.StringType()), T.StructField("toxic", T.IntegerType()), T.StructField("logit", T.DoubleType())])
+
+    def make_logits():
+        net = sent.value
+        tables = net.tables()
+
+        def work(batch):
+            return {
+                "lang": batch.column(0),
+                "toxic": batch.column(1),
+                "logit": [net.logit(np.frombuffer(x.as_py(), np.uint32), tables) for x in batch.column(2)],
+            }
+
+        return work
+
+    logits = map_batches(coded.where("held").select("lang", "toxic", "ids"), make_logits, logit_schema)
+    binned = (
+        logits.groupBy("lang", "toxic", (F.round(F.col("logit") / BIN) * BIN).alias("logit"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
     )
+    sent.unpersist()
+    y = np.array([r["toxic"] for r in binned])
+    if len(set(y.tolist())) < 2:
+        return Model(network, 0.0, {}, share)
+    x = np.array([r["logit"] for r in binned])
+    n = np.array([r["n"] for r in binned], np.float64)
+    weights = np.where(y == 1, n * share / n[y == 1].sum(), n * (1 - share) / n[y == 0].sum())
+    centre = cut(x, y, weights)
+    by_language = {}
+    own = [r["lang"] for r in binned]
+    for lang_ in sorted({v for v in own if v is not None}):
+        at = np.array([v == lang_ for v in own])
+        if len(set(y[at].tolist())) == 2:
+            by_language[lang_] = float(1 / (1 + np.exp(centre - cut(x[at], y[at], weights[at]))))
+    return Model(network, centre, by_language, share)
 
 
 def score(
