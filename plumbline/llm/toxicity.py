@@ -35,6 +35,8 @@ SAMPLE_ROWS, EPOCHS = 5_000, 10
 TABLE, DIM, FILTERS, WIDTHS = 1 << 15, 16, 16, (1, 2, 3)
 LEFT_OUT = 0.6
 STEM, REMEMBER, BLOCK = 5, 400_000, 1 << 16
+#: Words of the texts scored together; table rows per piece of the state summed on the executors.
+RUN, PIECE = 1 << 18, 4096
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -110,6 +112,41 @@ class Network:
     def logit(self, ids: np.ndarray, tables=None) -> float:
         return float(self.pooled(ids, tables) @ self.out + self.shift)
 
+    def logits(self, texts: list[np.ndarray], tables) -> list[float]:
+        """``logit`` of each text; texts are looked up together in runs of up to ``RUN`` words."""
+        found, run, size = [], [], 0
+        for ids in texts:
+            if run and size + len(ids) > RUN:
+                found += self._together(run, tables)
+                run, size = [], 0
+            if len(ids) > RUN:
+                found.append(self.logit(ids, tables))
+            else:
+                run.append(ids)
+                size += len(ids)
+        if run:
+            found += self._together(run, tables)
+        return found
+
+    def _together(self, run: list[np.ndarray], tables) -> list[float]:
+        """The logits of texts laid end to end; a place counts for a text if its filter stays within it."""
+        lengths = np.array([len(x) for x in run], np.int64)
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
+        tops = []
+        for w, r in zip(WIDTHS, self.responses(np.concatenate(run).astype(np.uint32), tables)):
+            n = lengths - w + 1
+            top = np.full((len(run), FILTERS), -np.inf, np.float32)
+            on = np.flatnonzero(n > 0)
+            if len(on):
+                edges = np.empty(2 * len(on), np.int64)
+                edges[0::2], edges[1::2] = starts[on], starts[on] + n[on]
+                # one more place, so that the last text's end is a place too
+                r = np.concatenate([r, np.zeros((1, FILTERS), np.float32)])
+                top[on] = np.maximum.reduceat(r, edges, axis=0)[0::2]
+            tops.append(top)
+        pooled = np.maximum(np.zeros((len(run), FILTERS * len(WIDTHS)), np.float32), np.concatenate(tops, axis=1) + self.bias)
+        return [float(p @ self.out + self.shift) for p in pooled]
+
     def train(self, texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.08):
         """Adaptive gradient steps, one text at a time; only the places a filter keeps get a gradient.
 
@@ -221,19 +258,24 @@ def _restore(state: list[np.ndarray]) -> tuple[Network, dict]:
     return network, grow
 
 
-def _sparse(x: np.ndarray):
-    """A table's rows that are not zero, with their numbers; other arrays as they are."""
-    if x.ndim != 2 or x.shape[0] != TABLE:
-        return x
-    at = np.flatnonzero(x.any(axis=1))
-    return at.astype(np.int32), x[at], x.shape
+def _pieces(delta: list[np.ndarray]):
+    """Keyed parts of a change: a table by pieces of ``PIECE`` rows, only the pieces and rows that changed."""
+    for i, x in enumerate(delta):
+        if x.shape[0] != TABLE:
+            yield (i, 0), x
+            continue
+        at = np.flatnonzero(x.any(axis=1) if x.ndim == 2 else x)
+        for p in np.unique(at // PIECE).tolist():
+            own = at[(at >= p * PIECE) & (at < (p + 1) * PIECE)]
+            yield (i, p), ((own - p * PIECE).astype(np.int32), x[own])
 
 
-def _dense(x) -> np.ndarray:
+def _whole(x, like: np.ndarray) -> np.ndarray:
+    """A piece of ``PIECE`` rows shaped as the rows of ``like``."""
     if not isinstance(x, tuple):
         return x
-    at, rows, shape = x
-    found = np.zeros(shape, np.float64)
+    at, rows = x
+    found = np.zeros((PIECE, *like.shape[1:]), np.float64)
     found[at] = rows
     return found
 
@@ -241,6 +283,7 @@ def _dense(x) -> np.ndarray:
 def _train(rows: DataFrame, epochs: int = EPOCHS, rate: float = 0.08) -> Network:
     """Every epoch, each task trains the broadcast network on all its rows; the networks are averaged by rows.
 
+    The changes are summed by pieces on the executors, so the driver gets one sum of each piece.
     Each time a share of the words is left out, as in ``Network.train``.
     """
     spark = rows.sparkSession
@@ -254,6 +297,7 @@ def _train(rows: DataFrame, epochs: int = EPOCHS, rate: float = 0.08) -> Network
     })
     state = [x.astype(np.float64) for x in state]
     data = rows.select("toxic", "ids").rdd
+    keys = sum(-(-x.shape[0] // PIECE) if x.shape[0] == TABLE else 1 for x in state) + 1
     for epoch in range(epochs):
         sent = spark.sparkContext.broadcast(state)
 
@@ -267,21 +311,34 @@ def _train(rows: DataFrame, epochs: int = EPOCHS, rate: float = 0.08) -> Network
                 network._step(ids[rng.random(len(ids)) >= LEFT_OUT], r["toxic"], rate, grow)
                 n += 1
             if n:
-                # n times the change; of the tables only the rows that changed
-                yield n, [_sparse((x.astype(np.float64) - base) * n) for x, base in zip(_state(network, grow), sent.value)]
+                yield (-1, 0), n
+                # n times the change
+                yield from _pieces([(x.astype(np.float64) - base) * n for x, base in zip(_state(network, grow), sent.value)])
 
-        def add(a, b):
-            return a[0] + b[0], [_dense(x) + _dense(y) for x, y in zip(a[1], b[1])]
-
-        found = data.mapPartitionsWithIndex(part).treeReduce(add, 2) if not data.isEmpty() else None
-        sent.unpersist()
-        if found is None:
+        summed = dict(data.mapPartitionsWithIndex(part).reduceByKey(_add, keys).collect())
+        sent.destroy()
+        if not summed:
             break
+        n = summed.pop((-1, 0))
+        found = [np.zeros_like(x) for x in state]
+        for (i, p), x in summed.items():
+            if state[i].shape[0] == TABLE:
+                found[i][p * PIECE : (p + 1) * PIECE] = _whole(x, state[i])
+            else:
+                found[i] = x
         # in float32, as the tasks train, so that a row they leave alone shows no change
-        state = [(base + _dense(x) / found[0]).astype(np.float32).astype(np.float64) for base, x in zip(state, found[1])]
+        state = [(base + x / n).astype(np.float32).astype(np.float64) for base, x in zip(state, found)]
     return _restore(state)[0]
 
 
+def _add(a, b):
+    """The sum of two parts of a change; sparse pieces are made whole."""
+    if isinstance(a, int):
+        return a + b
+    like = next((x[1] for x in (a, b) if isinstance(x, tuple)), a)
+    return _whole(a, like) + _whole(b, like)
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, label: str, sample_rows: int | None = None
 ) -> Model:
@@ -342,7 +399,7 @@ def learn(
             return {
                 "lang": batch.column(0),
                 "toxic": batch.column(1),
-                "logit": [net.logit(np.frombuffer(x.as_py(), np.uint32), tables) for x in batch.column(2)],
+                "logit": net.logits([np.frombuffer(x.as_py(), np.uint32) for x in batch.column(2)], tables),
             }
 
         return work
@@ -397,7 +454,7 @@ def score(
 
         def work(batch):
             if m.network:
-                logits = np.array([m.network.logit(ids.of(t.as_py()), tables) for t in batch.column(1)])
+                logits = np.array(m.network.logits([ids.of(t.as_py()) for t in batch.column(1)], tables))
                 found = 1 / (1 + np.exp(np.clip(m.centre - logits, -60, 60)))
             else:
                 found = np.full(len(batch), m.share)
