@@ -3,8 +3,9 @@
 Kept are, in a folder: per batch the sizes of its groups (one table for all key sets: the set's name,
 its keys in typed columns, the size), and per batch what it added to the totals of each key set. A new
 batch counts its own groups, looks up the earlier size of just these keys, and adds the difference to
-the totals; earlier sizes are scanned for that but not shuffled while the batch's keys are few enough for
-Spark to send them out. Statistics are read off the totals, a row per batch and key set.
+the totals. Earlier sizes are scanned for that but not shuffled while the batch's groups are few (counted first) and
+sent to them; else both are united and summed by key, one exchange without a join. Statistics are read off the
+totals, a row per batch and key set.
 
 A batch owns its folders and overwrites them, and looks only at batches before it: one that is repeated after
 a failure leaves the same state. ``compact`` sums up the sizes of earlier batches into a base that takes
@@ -25,6 +26,10 @@ from plumbline.operators.metric import Metric
 from plumbline.sources.readers import read_path
 
 SET, BATCH = "key_set", "batch_id"
+# Groups of a batch that are sent to all earlier sizes, so that these are not shuffled.
+SENT = 100_000
+# Rows that a task counts or sums by key, about.
+ROWS_PER_TASK = 500_000
 # What totals hold of a key set: sums over its groups.
 PARTS = ("rows", "keyed", "groups", "distinct", "single", "single_complete", "n_ln_n")
 
@@ -39,8 +44,19 @@ def _slot(dtype: T.DataType, ordinal: int) -> str:
     return f"key_{kind}_{ordinal}"
 
 
+def tasks_for(df: DataFrame, rows: int) -> int:
+    """Tasks that count so many rows, each few enough for its memory."""
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // ROWS_PER_TASK))
+
+
 def batch_sizes(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()) -> DataFrame:
-    """``by`` columns, key set, key columns and size of every group of every key set, one scan a pass."""
+    """``by`` columns, key set, key columns and size of every group of every key set, one scan a pass.
+
+    Rows are spread over all cores before they are multiplied: a batch may be one file that one task reads, or so
+    large that the groups of a task do not fit its memory.
+    """
+    tasks = tasks_for(df, df.count())
+    df = df.select(*map(ref, dict.fromkeys([*by, *(c for m in metrics for c in m.columns)]))).repartition(tasks)
     sets = {}
     for m in metrics:
         sets.setdefault(key_set(m), []).append(m)
@@ -63,11 +79,16 @@ def batch_sizes(df: DataFrame, metrics: Sequence[Metric], by: Sequence[str] = ()
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
 
-def added(new: DataFrame, old: DataFrame | None, by: Sequence[str] = ()) -> DataFrame:
-    """What groups of ``new`` sizes add to the totals of their key sets, given the sizes before."""
+def added(new: DataFrame, old: DataFrame | None, widths: Mapping[str, int], by: Sequence[str] = ()) -> DataFrame:
+    """What groups of ``new`` sizes add to the totals of their key sets, given the sizes before.
+
+    ``widths``: the key sets by name and how many keys each has.
+    """
     keys = [c for c in new.columns if c not in ("size", "held", "width")]
+    number = F.array_position(F.array(*map(F.lit, widths)), F.col(SET))
+    none = F.lit(0).cast("long")
     if old is None:
-        both = new.withColumn("before", F.lit(0).cast("long"))
+        both = new.withColumn("before", none)
     else:
         for c in keys:
             if c not in old.columns:
@@ -75,12 +96,29 @@ def added(new: DataFrame, old: DataFrame | None, by: Sequence[str] = ()) -> Data
         lost = [c for c in old.columns if c not in (*keys, "size", "held", "width")]
         # groups with a key in a column that the batch lacks are none of the batch's
         old = old.where(reduce(Column.__and__, [F.col(c).isNull() for c in lost], F.lit(True)))
-        wanted = new.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys})
-        same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-        known = (
-            old.join(wanted, same, "left_semi").groupBy(*map(ref, keys)).agg(F.sum("size").alias("before"))
-        ).withColumnsRenamed({k: f"_{k}" for k in keys})
-        both = new.join(known, same, "left").select(new["*"], F.coalesce("before", F.lit(0)).alias("before"))
+        groups = new.count()
+        few = groups <= SENT
+        tasks = tasks_for(new, groups + old.count())
+        if few:
+            wanted = new.select(*keys).withColumnsRenamed({k: f"_{k}" for k in keys})
+            same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+            old = old.join(F.broadcast(wanted), same, "left_semi")
+        # the number of a set is shorter than its name; sets that the batch lacks have number 0
+        new = new.select(number.alias(TAG), *map(ref, keys), "size", none.alias("before")).drop(SET)
+        old = old.select(number.alias(TAG), *map(ref, keys), none.alias("size"), F.col("size").alias("before")).drop(SET)
+        sizes = new.unionByName(old.where(F.col(TAG) > 0))
+        slots = [c for c in keys if c != SET and c not in by]
+        group = [ref(c) for c in sizes.columns if c not in ("size", "before")]
+        if not few:  # a key has a row a batch at most, so nothing is hot and nothing to combine before the exchange
+            sizes = sizes.repartition(tasks, *group)
+        both = (
+            sizes.groupBy(*group)
+            .agg(F.sum("size").alias("size"), F.sum("before").alias("before"))
+            .where(F.col("size") > 0)
+            .withColumn(SET, F.get(F.array(*map(F.lit, widths)), F.col(TAG) - 1))
+            .withColumn("held", sum((ref(c).isNotNull().cast("int") for c in slots), F.lit(0)))
+            .withColumn("width", F.get(F.array(*map(F.lit, widths.values())), F.col(TAG) - 1))
+        )
     size, before = F.col("size"), F.col("before")
     after = size + before
     keyed, complete = F.col("held") > 0, F.col("held") == F.col("width")
@@ -152,7 +190,8 @@ class KeyedState:
         earlier = self.sizes(batch_id)
         batch_sizes(batch, metrics, self.by).write.mode("overwrite").parquet(own)
         new = self.spark.read.parquet(own)
-        difference = added(new, earlier, self.by).hint("rebalance")
+        widths = {set_name(m): len(m.keys) for m in metrics}
+        difference = added(new, earlier, widths, self.by).hint("rebalance")
         difference.write.mode("overwrite").parquet(f"{self.path}/totals/{BATCH}={batch_id}")
 
     def metrics(self, metrics: Sequence[Metric], names: Sequence[str], upto: int) -> DataFrame:
